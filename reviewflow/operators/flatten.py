@@ -91,10 +91,10 @@ def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_
                   chunk_size: int = DEFAULT_CHUNK, chunk_col: str = "chunk") -> DataFrame:
     """Flat children → one row per (parent keys, chunk) holding an ordered array<struct>.
 
-    ``pos`` must be the child's dense 0-based position inside its parent (what
-    ``posexplode`` yields, or what ``top_up_groups`` generates).  Chunk
-    ``k`` holds positions ``[k*chunk_size, (k+1)*chunk_size)``, so every
-    array is bounded whatever the parent's size; the grouping shuffles
+    ``pos`` must be unique within its parent: the child's 0-based position
+    (what ``posexplode`` yields or ``top_up_groups`` generates) or any unique
+    integer key.  Chunk ``k`` holds positions ``[k*chunk_size,
+    (k+1)*chunk_size)``, so every array is bounded whatever the parent's size; the grouping shuffles
     (parent, chunk) keys, which spreads a hot parent over many tasks.
     Arrays are sorted by position (``collect_list`` alone has no order).
     """

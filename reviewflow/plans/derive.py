@@ -78,3 +78,97 @@ def review_documents(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK, disclaime
         F.lit(disclaimer).alias("disclaimer"),
         F.array(hospital).alias("data"),
     )
+
+
+# ------------------------------------------------------------------- pages
+
+def conversation_pages(conv: DataFrame) -> DataFrame:
+    """Raw search pages: a conversation is one request, turn t is page t+1.
+
+    Status, token and results follow from the turn's text: status
+    INVALID_REQUEST when length % 7 = 0, ZERO_RESULTS when 1, else OK; no
+    next-page token when length % 5 = 0; results are the text's lines
+    (system turns have none).
+    """
+    n = F.length("text")
+    return conv.select(
+        F.concat(F.lit("req-"), F.col("conv_id").cast("string")).alias("request_id"),
+        (F.col("turn") + 1).cast("int").alias("page_no"),
+        F.when(F.pmod(n, F.lit(7)) == 0, F.lit("INVALID_REQUEST"))
+         .when(F.pmod(n, F.lit(7)) == 1, F.lit("ZERO_RESULTS")).otherwise(F.lit("OK")).alias("status"),
+        F.when(F.pmod(n, F.lit(5)) == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat_ws("-", F.lit("tok"), F.col("conv_id").cast("string"),
+                                (F.col("turn") + 1).cast("string"))).alias("next_page_token"),
+        F.when(F.col("role") == "system", F.array().cast("array<string>"))
+         .otherwise(F.split(F.col("text"), "\n")).alias("results"),
+    )
+
+
+# ------------------------------------------------------------------ places
+
+def customer_places(customer: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+    """Landed place documents: customers nested per nation (``{"results":[place…]}``).
+
+    Missing coordinates: latitude NaN for negative balances, longitude NULL
+    for the HOUSEHOLD segment; ``types`` carries a NULL element.
+    """
+    place = customer.select(
+        F.col("c_nationkey"), F.col("c_custkey").alias("pos"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("business_status"),
+        F.concat(F.col("c_custkey").cast("string"), F.lit(" Market Road")).alias("formatted_address"),
+        F.struct(F.struct(
+            F.when(F.col("c_acctbal") < 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal") / 100.0).alias("lat"),
+            F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("double"))
+             .otherwise(F.col("c_nationkey") * 1.5).alias("lng"),
+        ).alias("location")).alias("geometry"),
+        F.struct((F.col("c_acctbal") > 5000).alias("open_now")).alias("opening_hours"),
+        (F.col("c_acctbal") / 2000.0).alias("rating"),
+        F.col("c_custkey").alias("user_ratings_total"),
+        F.array(F.lit("hospital"), F.lit(None).cast("string"), F.lower("c_mktsegment")).alias("types"),
+        F.concat(F.lit("cust-"), F.col("c_custkey").cast("string")).alias("place_id"),
+    )
+    fields = ["name", "business_status", "formatted_address", "geometry", "opening_hours", "rating",
+              "user_ratings_total", "types", "place_id"]
+    nested = nest_children(place, ["c_nationkey"], "pos", fields, array_name="results", chunk_size=chunk_size)
+    return nested.select(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("city"), "results")
+
+
+# ----------------------------------------------------------------- details
+
+def lineitem_details(lineitem: DataFrame, limit: int) -> DataFrame:
+    """Place-detail rows: an order's first ``limit`` lines (by line number, part, supplier),
+    nested in that order; the fetch counts as failed when every kept line was returned (R)."""
+    from reviewflow.operators.clean import first_n_per_key
+
+    top = first_n_per_key(lineitem, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], limit,
+                          rank_col="pos")
+    fields = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    nested = nest_children(top, ["l_orderkey"], "pos", fields, array_name="reviews", chunk_size=max(limit, 1))
+    return nested.select(
+        F.col("l_orderkey").alias("place_id"),
+        F.exists("reviews", lambda x: x["l_returnflag"] != "R").alias("ok"),
+        F.lit(None).cast("timestamp").alias("fetched_at"),
+        "reviews",
+    )
+
+
+# ----------------------------------------------------------------- reviews
+
+def document_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """A reviews table: a document is a review by 'author <doc_id>' of hospital '<source>';
+    labelled documents carry a sentiment (quality 1 → Positive, 0 → '' i.e. still to do)."""
+    lab = labels.select("doc_id", F.when(F.col("quality") == 1, F.lit("Positive"))
+                        .when(F.col("quality") == 0, F.lit("")).alias("sentiment"))
+    d = documents.join(lab, "doc_id", "left")
+    return d.select(
+        F.concat(F.lit("Hospital "), F.col("source")).alias("hospital_name"),
+        F.concat(F.col("source"), F.lit(" Main Street")).alias("address"),
+        F.concat(F.lit("place-"), F.col("source")).alias("place_id"),
+        (F.col("n_chars") % 50 / 10.0).alias("hospital_rating"),
+        F.concat(F.lit("author "), F.col("doc_id").cast("string")).alias("author_name"),
+        X.author_id(F.concat(F.lit("author "), F.col("doc_id").cast("string"))).alias("author_id"),
+        F.col("text").alias("review"),
+        F.col("sentiment"),
+        F.col("doc_id"),
+    )

@@ -1,0 +1,109 @@
+"""The three flows, each one planned DataFrame and one writing action.
+
+* A — places:  landed ``{"results":[…]}`` → flatten → project → required
+  columns → audit columns → conform → guarded append.
+* B — reviews: landed ``{"data":[{…,"reviews":[…]}]}`` → two-level flatten →
+  audit columns → conform → guarded append; and the landing side: attach
+  details → defaults → top up → nest → JSON documents.
+* C — labels:  reviews table → still-unlabelled rows → scorer → one row per
+  author id → conform → guarded append.
+
+``*_frame`` builds the plan (testable, lazy); ``load_*`` runs it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reviewflow import constants as K
+from reviewflow import schemas as S
+from reviewflow.operators import clean as C
+from reviewflow.operators import flatten as FL
+from reviewflow.operators import sentiment as SE
+from reviewflow.sinks.tables import guarded_append
+from reviewflow.sources.landing import scan_landing
+
+PLACE_REQUIRED = ["name", "rating", "address", "latitude", "longitude"]
+
+
+# ------------------------------------------------------------------ flow A
+
+def places_frame(docs: DataFrame, load_ts) -> DataFrame:
+    flat = FL.flatten_places(docs)
+    flat = C.require(flat, PLACE_REQUIRED)
+    flat = C.with_audit(flat, load_ts)
+    return C.conform_to_schema(flat, S.HOSPITAL_LISTS)
+
+
+def load_places(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL_LISTS.name,
+                url: str | None = None, multi_line: bool = True, **jdbc) -> dict:
+    docs = scan_landing(spark, path, S.PLACES_DOCUMENT, multi_line=multi_line)
+    good, bad = C.split_conformed(places_frame(docs, load_ts))
+    written = guarded_append(good, table, url, **jdbc)
+    return {"files": len(docs.inputFiles()), "written": written}
+
+
+# ------------------------------------------------------------------ flow B
+
+# Narrow read schema for the review loader: the fields the table needs.
+REVIEW_READ_SCHEMA = S.narrow(S.REVIEWS_DOCUMENT, {"data": {
+    "name": True, "formatted_address": True, "place_id": True, "rating": True,
+    "reviews": {k: True for k in ("author_name", "author_url", "language", "original_language",
+                                  "profile_photo_url", "rating", "relative_time_description", "text",
+                                  "time", "translated")}}})
+
+
+def reviews_frame(docs: DataFrame, load_ts) -> DataFrame:
+    flat = FL.flatten_reviews(docs)
+    flat = C.with_audit(flat, load_ts, constants={"sentiment": ""})
+    return C.conform_to_schema(flat, S.HOSPITAL_REVIEWS)
+
+
+def load_reviews(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL_REVIEWS.name,
+                 url: str | None = None, multi_line: bool = True, **jdbc) -> dict:
+    docs = scan_landing(spark, path, REVIEW_READ_SCHEMA, multi_line=multi_line)
+    good, bad = C.split_conformed(reviews_frame(docs, load_ts))
+    written = guarded_append(good, table, url, **jdbc)
+    return {"files": len(docs.inputFiles()), "written": written}
+
+
+def review_defaults() -> dict:
+    """Defaults the extraction applied to missing fields."""
+    return {"formatted_address": K.DEFAULT_ADDRESS}
+
+
+def child_defaults() -> dict:
+    return {"original_language": K.DEFAULT_ORIGINAL_LANGUAGE, "translated": False}
+
+
+# ------------------------------------------------------------------ flow C
+
+def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_labelled: bool = True,
+                spec: S.TableSpec = S.SCORE_SENTIMENT) -> DataFrame:
+    """Score still-unlabelled reviews; one row per author id (first by review text).
+
+    ``native=True`` scores with the Catalyst lexicon (no Python worker);
+    otherwise ``scorer`` runs as an Arrow-batched pandas UDF.
+    """
+    todo = C.only_unlabelled(reviews, "sentiment") if skip_labelled else reviews
+    todo = todo.drop("sentiment")
+    if native and scorer is None:
+        scored = SE.lexicon_score(todo, "review", prefix="__")
+        scored = scored.withColumns({"sentiment": F.col("__label"),
+                                     "sentiment_score": F.col("__score").cast("float")})
+        scored = scored.drop("__n_pos", "__n_neg", "__score", "__label")
+    else:
+        scored = SE.score_text(todo, "review", scorer)
+    scored = C.require(scored, ["author_id"])
+    scored = C.dedup_on_key(scored, ["author_id"], [F.col("review").asc_nulls_last(),
+                                                     F.col("author_name").asc_nulls_last()])
+    return C.conform_to_schema(scored, spec)
+
+
+def label_reviews(spark: SparkSession, source_table: str, target_table: str = S.SCORE_SENTIMENT.name,
+                  scorer=None, url: str | None = None, **jdbc) -> dict:
+    reviews = spark.table(source_table)
+    good, bad = C.split_conformed(label_frame(reviews, scorer, native=scorer is None))
+    written = guarded_append(good, target_table, url, **jdbc)
+    return {"written": written}
