@@ -1,0 +1 @@
+"""Composed operators: flatten/nest, assembly, cleaning, augmentation, sentiment."""

@@ -173,9 +173,18 @@ def label_text(df: DataFrame, text: str, classifier=None, label_col: str = "sent
 
 # ------------------------------------------------------------- trained scorer
 
-def train_scorer(train: DataFrame, text: str, label: str, num_features: int = 1 << 18, max_iter: int = 20):
-    """U4: a distributed text classifier (tokenise → hashed TF → IDF → logistic regression)."""
-    from pyspark.ml import Pipeline
+def train_scorer(train: DataFrame, text: str, label: str, num_features: int = 1 << 18, max_iter: int = 20,
+                 save_path: str | None = None):
+    """U4: a distributed text classifier (tokenise → hashed TF → IDF → logistic regression).
+
+    The fitted pipeline is saved (by default below the shared checkpoint
+    folder) and loaded back: the loaded model is what executors receive, and
+    it carries no training summary (which holds the session and must not be
+    shipped with the scoring UDFs).
+    """
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from reviewflow.session import scratch_path
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
@@ -187,7 +196,10 @@ def train_scorer(train: DataFrame, text: str, label: str, num_features: int = 1
                            predictionCol="__prediction", probabilityCol="__probability",
                            rawPredictionCol="__raw"),
     ]
-    return Pipeline(stages=stages).fit(train)
+    model = Pipeline(stages=stages).fit(train)
+    path = save_path or scratch_path(train.sparkSession, "scorer-model")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def apply_trained(model, df: DataFrame, id2label: dict, label_col: str = "sentiment",

@@ -1,0 +1 @@
+"""Flows (pipelines), stand-in derivations and the registered query catalogue."""

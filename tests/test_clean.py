@@ -1,0 +1,83 @@
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from reviewflow import schemas as S
+from reviewflow.operators import clean as C
+
+
+def test_require_drops_null_and_nan(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("nan")), (None, 2.0)], "a int, b double")
+    assert sorted(r.a for r in C.require(df, ["a", "b"]).collect()) == [1]
+
+
+def test_with_defaults_fills_missing_and_null(spark):
+    df = spark.createDataFrame([(None, None), ("x", True)], "addr string, tr boolean")
+    out = C.with_defaults(df, {"addr": "N/A", "tr": False}).collect()
+    assert [tuple(r) for r in out] == [("N/A", False), ("x", True)]
+
+
+def test_only_unlabelled_and_pushdown(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.createDataFrame([(1, None), (2, ""), (3, "Positive")], "id int, sentiment string").write.parquet(p)
+    df = C.only_unlabelled(spark.read.parquet(p))
+    assert sorted(r.id for r in df.collect()) == [1, 2]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(sentiment),EqualTo(sentiment,))]" in plan
+
+
+def test_with_audit_fixed_load_time(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    r = C.with_audit(df, "2025-01-01 00:00:00", constants={"sentiment": ""}).first()
+    assert r.loaddatetime == datetime(2025, 1, 1) and r.sentiment == ""
+
+
+def test_dedup_on_key_is_repeatable_and_unique(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (1, 7, "c"), (2, 1, "z"), (None, 1, "n")],
+                               "k int, t int, v string")
+    out = C.dedup_on_key(df, ["k"], [F.col("t").desc(), F.col("v")])
+    rows = sorted((r.k or -1, r.v) for r in out.collect())
+    assert rows == [(-1, "n"), (1, "b"), (2, "z")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_first_n_per_key_with_rank(spark):
+    df = spark.range(20).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    out = C.first_n_per_key(df, ["k"], ["v"], 3, rank_col="pos").collect()
+    assert sorted((r.k, r.pos, r.v) for r in out) == [(0, 0, 0), (0, 1, 2), (0, 2, 4), (1, 0, 1), (1, 1, 3), (1, 2, 5)]
+
+
+def test_conform_to_schema_flags_and_splits(spark):
+    spec = S.TableSpec("t", (
+        S.Column("key", "varchar(3)", nullable=False),
+        S.Column("small", "tinyint"),
+        S.Column("f", "float"),
+        S.Column("n", "int"),
+        S.Column("when", "datetime"),
+    ))
+    df = spark.createDataFrame([
+        ("abc", 5, 1.5, 10, "2024-01-01 00:00:00"),
+        ("abcd", 5, 1.5, 10, "2024-01-01 00:00:00"),     # over-long varchar
+        ("abc", 300, 1.5, 10, "2024-01-01 00:00:00"),    # tinyint overflow
+        (None, 5, 1.5, 10, "2024-01-01 00:00:00"),       # NULL key
+        ("abc", 5, 1e300, 10, "2024-01-01 00:00:00"),    # float overflow
+        ("abc", 5, 1.5, 10, "not a time"),               # bad datetime
+        ("abc", None, None, None, None),                 # NULLs are fine
+    ], "key string, small long, f double, n long, when string")
+    conf = C.conform_to_schema(df, spec)
+    errs = [r._errors for r in conf.collect()]
+    assert errs == ["", "key", "small", "key", "f", "when", ""]
+    good, bad = C.split_conformed(conf)
+    assert good.count() + bad.count() == df.count()
+    assert dict(good.dtypes) == {"key": "string", "small": "tinyint", "f": "float", "n": "int", "when": "timestamp"}
+
+
+def test_target_schemas_and_create(spark):
+    assert S.HOSPITAL_REVIEWS.column_names[12] == "review"
+    assert S.MODEL_SENTIMENT.primary_key == ("author_id",)
+    assert S.SCORE_SENTIMENT.column_names[-1] == "sentiment_score"
+    spark.sql("CREATE DATABASE IF NOT EXISTS rf_ddl")
+    created = S.create_target_tables(spark, "rf_ddl")
+    assert len(created) == 4 and S.create_target_tables(spark, "rf_ddl") == []
+    assert spark.table("rf_ddl.hospital_lists_ingestion").columns == S.HOSPITAL_LISTS.column_names

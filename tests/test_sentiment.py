@@ -1,0 +1,46 @@
+from pyspark.sql import functions as F
+
+from reviewflow.operators import sentiment as SE
+
+
+def test_lexicon_score_rule(spark):
+    df = spark.createDataFrame([(1, "Excellent and top-notch, but poor."), (2, "Nothing here"), (3, None),
+                                (4, "awful AWFUL great")], "id int, text string")
+    out = {r.id: r for r in SE.lexicon_score(df, "text").collect()}
+    assert (out[1].n_pos, out[1].n_neg, round(out[1].score, 4), out[1].label) == (2, 1, 0.3333, "Positive")
+    assert (out[2].score, out[2].label) == (0.0, "Mixed")
+    assert out[3].score is None and out[3].label is None
+    assert (out[4].n_pos, out[4].n_neg, out[4].label) == (1, 2, "Negative")
+
+
+def test_score_text_pandas_equals_native_and_single_udf_node(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(
+        ["superb care", "bad and awful", "fine", None, "great great bad", ""])], "id int, text string")
+    py = SE.score_text(df, "text")
+    plan = py._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    nat = SE.lexicon_score(df, "text")
+    a = {r.id: (r.sentiment, r.sentiment_score) for r in py.collect()}
+    b = {r.id: (r.label, r.score) for r in nat.collect()}
+    for k in a:
+        if b[k][1] is None:
+            assert a[k] == (None, None) or a[k][1] != a[k][1]
+        else:
+            assert a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-6
+
+
+def test_label_text_blank_and_argmax(spark):
+    df = spark.createDataFrame([(1, "superb and outstanding"), (2, "   \n"), (3, None), (4, "mediocre"),
+                                (5, "nothing")], "id int, t string")
+    out = {r.id: r.sentiment for r in SE.label_text(df, "t").collect()}
+    # 'mediocre' is in both the neutral and the negative list: tie → first maximum (negative)
+    assert out == {1: "positive", 2: "", 3: "", 4: "negative", 5: "negative"}
+
+
+def test_train_scorer_runs(spark):
+    df = spark.createDataFrame([("good great fine", 1.0), ("bad awful poor", 0.0)] * 10, "text string, y double")
+    model = SE.train_scorer(df, "text", "y", max_iter=5)
+    out = SE.apply_trained(model, df.select("text"), {0: "Negative", 1: "Positive"})
+    rows = out.collect()
+    assert {r.sentiment for r in rows} <= {"Negative", "Positive"} and all(0 <= r.sentiment_score <= 1 for r in rows)
+    assert F is not None
