@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from reviewflow import constants as K
 from reviewflow.functions import exprs as X
+from reviewflow.session import spread
 
 TEMPLATES = {"positive": K.POSITIVE_TEMPLATES, "neutral": K.NEUTRAL_TEMPLATES, "negative": K.NEGATIVE_TEMPLATES}
 ADJECTIVES = {"positive": K.ADJECTIVES_POSITIVE, "neutral": K.ADJECTIVES_NEUTRAL, "negative": K.ADJECTIVES_NEGATIVE}
@@ -66,7 +67,8 @@ def synthetic_review(keys, salt: str = "review", rating: Column | None = None) -
 
 
 def top_up_groups(children: DataFrame, parents: DataFrame, key: str, pos: str = "pos",
-                  min_count: int = K.MIN_REVIEWS_PER_HOSPITAL, gen=None, salt: str = "topup") -> DataFrame:
+                  min_count: int = K.MIN_REVIEWS_PER_HOSPITAL, gen=None, salt: str = "topup",
+                  parent_cols: list | None = None) -> DataFrame:
     """Pad every parent to ``min_count`` children with generated ones.
 
     Existing children are untouched; parents at or above the minimum are
@@ -75,17 +77,19 @@ def top_up_groups(children: DataFrame, parents: DataFrame, key: str, pos: str =
     map task), and the padding rows are bounded by ``min_count`` per parent.
     Generated children take positions n..min_count-1 after the existing
     0..n-1.  ``gen(key_col, pos_col)`` returns the child struct; by default
-    a synthetic review.
+    a synthetic review.  ``parent_cols`` (present on ``parents`` and on the
+    children) are copied onto the generated rows.
     """
+    parent_cols = list(parent_cols or [])
     counts = children.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    need = parents.select(key).join(counts, key, "left") \
+    need = parents.select(key, *parent_cols).join(counts, key, "left") \
         .withColumn("__n", F.coalesce("__n", F.lit(0)).cast("int")) \
         .filter(F.col("__n") < F.lit(min_count))
-    added = need.select(key, F.explode(F.sequence(F.col("__n"), F.lit(min_count - 1))).alias(pos))
+    added = need.select(key, *parent_cols, F.explode(F.sequence(F.col("__n"), F.lit(min_count - 1))).alias(pos))
     gen = gen or (lambda k, p: synthetic_review([k, p], salt))
     child = gen(F.col(key), F.col(pos))
-    added = added.select(key, F.col(pos).cast(children.schema[pos].dataType), child.alias("__g")) \
-        .select(key, pos, "__g.*")
+    added = added.select(key, *parent_cols, F.col(pos).cast(children.schema[pos].dataType), child.alias("__g")) \
+        .select(key, *parent_cols, pos, "__g.*")
     return children.unionByName(added, allowMissingColumns=True)
 
 
@@ -113,6 +117,7 @@ def generate_hospitals(cities: DataFrame, city: str = "city", per_city: int = K.
         X.hash_tenths(f"{salt}:rating", hk, *K.SYNTHETIC_HOSPITAL_RATING).alias("hospital_rating"),
         X.hash_int(f"{salt}:total", hk, *K.SYNTHETIC_RATINGS_TOTAL).cast("long").alias("user_ratings_total"),
     )
+    h = spread(h)        # each hospital row fans out to reviews_per_hospital generated rows
     r = h.select("*", F.explode(F.sequence(F.lit(0), F.lit(reviews_per_hospital - 1))).alias("review_no"))
     rk = [F.col(city), F.col("hospital_no"), F.col("review_no")]
     return r.select("*", synthetic_review(rk, f"{salt}:review").alias("review")).select(

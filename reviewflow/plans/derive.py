@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reviewflow import constants as K
 from reviewflow.functions import exprs as X
 from reviewflow.operators.flatten import DEFAULT_CHUNK, nest_children
+from reviewflow.session import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -29,8 +30,10 @@ FIXED_LOAD_TS = "2025-01-01 00:00:00"
 EPOCH_BASE = 1_700_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A supplied table; ``spread_rows`` for CPU-heavy per-row work (see ``session.spread``)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def conversation_reviews(conv: DataFrame) -> DataFrame:
@@ -172,3 +175,28 @@ def document_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("sentiment"),
         F.col("doc_id"),
     )
+
+
+# --------------------------------------------------- hospitals and details
+
+def conversation_hospitals(conv: DataFrame) -> DataFrame:
+    """Search results (places): one per conversation, from its first turn.
+    The address is missing when the first turn is a system turn."""
+    first = conv.filter(F.col("turn") == 0)
+    return first.select(
+        F.concat(F.lit("place-"), F.col("conv_id").cast("string")).alias("place_id"),
+        F.concat(F.lit("Hospital "), F.col("conv_id").cast("string")).alias("name"),
+        F.when(F.col("role") != "system", F.concat(F.col("conv_id").cast("string"), F.lit(" Main Street")))
+         .alias("formatted_address"))
+
+
+def conversation_details(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+    """Place-detail rows: all of a conversation's turns as reviews, in turn order;
+    the fetch counts as failed when fewer than 3 reviews came back."""
+    flat = conversation_reviews(conv)
+    nested = nest_children(flat, ["place_id"], "pos", REVIEW_FIELDS, array_name="reviews", chunk_size=chunk_size)
+    n = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.concat(F.lit("place-"), F.col("conv_id").cast("string")).alias("place_id"), "n")
+    first = nested.filter(F.col("chunk") == 0).join(n, "place_id")
+    return first.select("place_id", (F.col("n") >= 3).alias("ok"), F.lit(None).cast("timestamp").alias("fetched_at"),
+                        "reviews")

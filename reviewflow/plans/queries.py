@@ -54,8 +54,8 @@ from reviewflow.plans import oracle_sql as O  # noqa: E402
 from reviewflow.plans import pipelines as PL  # noqa: E402
 
 
-def _t(spark, sf_dir, name):
-    return D.table(spark, sf_dir, name)
+def _t(spark, sf_dir, name, spread_rows=False):
+    return D.table(spark, sf_dir, name, spread_rows)
 
 
 # ------------------------------------------------------------ nest / arrays
@@ -363,7 +363,7 @@ FROM (SELECT doc_id, 'original' AS variant, text AS t FROM documents
 """)
 def q_blank_guard(spark, sf_dir):
     """blank test on each whole text and on its whitespace-only skeleton."""
-    d = _t(spark, sf_dir, "documents")
+    d = _t(spark, sf_dir, "documents", spread_rows=True)
     v = d.select("doc_id", F.explode(F.array(
         F.struct(F.lit("original").alias("variant"), F.col("text").alias("t")),
         F.struct(F.lit("whitespace").alias("variant"), F.regexp_replace("text", r"\S", "").alias("t")),
@@ -405,7 +405,7 @@ FROM events
 """)
 def q_hash_pick(spark, sf_dir):
     """repeatable hash-drawn list index, integer, tenths and date."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events", spread_rows=True)
     return ev.select(
         "event_id", X.hash_pick("pick", "event_id", 20).alias("pick"),
         X.hash_int("int", "event_id", 50, 5000).alias("n"),
@@ -420,7 +420,7 @@ FROM (SELECT event_id, {O.hash_int('rating', ['event_id'], 1, 5)} AS rating FROM
 """)
 def q_template_fill(spark, sf_dir):
     """template of the rating's class, four hash-picked adjectives substituted."""
-    ev = _t(spark, sf_dir, "events").select("event_id", X.hash_int("rating", "event_id", 1, 5).alias("rating"))
+    ev = _t(spark, sf_dir, "events", spread_rows=True).select("event_id", X.hash_int("rating", "event_id", 1, 5).alias("rating"))
     return ev.select("event_id", "rating", AU.review_text(F.col("rating"), [F.col("event_id")], "review").alias("text"))
 
 
@@ -500,14 +500,14 @@ FROM (SELECT doc_id, n_pos, n_neg, {score} AS s FROM (SELECT doc_id, {p} AS n_po
 @register("q_lexicon_score", _lexicon_sql("label", "score", counts=True))
 def q_lexicon_score(spark, sf_dir):
     """Native lexicon score over whole texts, (p-n)/(p+n), label at ±0.25."""
-    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    d = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
     return SE.lexicon_score(d, "text", _LEX_POS, _LEX_NEG).select("doc_id", "n_pos", "n_neg", "score", "label")
 
 
 @register("q_score_text", _lexicon_sql("sentiment", "sentiment_score", counts=False))
 def q_score_text(spark, sf_dir):
     """The same scorer through an iterator pandas UDF returning one struct, unpacked."""
-    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    d = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
     out = SE.score_text(d, "text", SE.LexiconScorer(_LEX_POS, _LEX_NEG))
     return out.select("doc_id", F.col("sentiment_score").cast("double").alias("sentiment_score"), "sentiment")
 
@@ -532,7 +532,7 @@ FROM c
 @register("q_label_text", _label_text_sql())
 def q_label_text(spark, sf_dir):
     """Classifier logits (pandas UDF) → argmax → label name; blank text → ''."""
-    ev = _t(spark, sf_dir, "events").select("event_id", "event_type",
+    ev = _t(spark, sf_dir, "events", spread_rows=True).select("event_id", "event_type",
                                              X.hash_int("rating", "event_id", 1, 5).alias("rating"))
     ev = ev.withColumn("t", F.when(F.col("event_type") == "error", F.lit(" \t"))
                        .otherwise(AU.review_text(F.col("rating"), [F.col("event_id")], "review")))
@@ -555,9 +555,10 @@ def q_argmax(spark, sf_dir):
 @register("q_train_scorer")
 def q_train_scorer(spark, sf_dir):
     """U4: logistic regression on hashed TF-IDF, trained on labelled documents, applied to all."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
     labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("y"))
-    model = SE.train_scorer(docs.join(labels, "doc_id"), "text", "y", max_iter=10)
+    # 2^16 hashed features: the labelled set is a few thousand documents.
+    model = SE.train_scorer(docs.join(labels, "doc_id"), "text", "y", num_features=1 << 16, max_iter=10)
     return SE.apply_trained(model, docs, {0: "Negative", 1: "Positive"}).select(
         "doc_id", "sentiment", "sentiment_score")
 
@@ -630,7 +631,7 @@ QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY review, author_name)
 @register("q_label_reviews", _label_reviews_sql())
 def q_label_reviews(spark, sf_dir):
     """Flow C: reviews table → P5 unlabelled → U3 score → K1 one row per author id → K3 conform."""
-    reviews = D.document_reviews(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
+    reviews = D.document_reviews(_t(spark, sf_dir, "documents", spread_rows=True), _t(spark, sf_dir, "labels"))
     return PL.label_frame(reviews)
 
 
@@ -647,3 +648,48 @@ def q_envelope_round_trip(spark, sf_dir):
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
     back = scan_landing(spark, path, PL.REVIEW_READ_SCHEMA, multi_line=False)
     return FL.flatten_reviews(back).drop("author_id")
+
+
+def _land_reviews_sql(min_count: int = K.MIN_REVIEWS_PER_HOSPITAL) -> str:
+    g = O.synthetic_review_cols(["place_id", "pos"], "land")
+    child = ("author_name, rating, text, time, translated, original_language, review_type, date")
+    gen_cols = ", ".join(f"{g[c.strip()]} AS {c.strip()}" for c in child.split(","))
+    return f"""
+WITH h AS (
+  SELECT 'place-' || conv_id AS place_id,
+         coalesce(CASE WHEN role <> 'system' THEN conv_id || ' Main Street' END, 'N/A') AS formatted_address
+  FROM conversations WHERE turn = 0),
+ok AS (SELECT 'place-' || conv_id AS place_id FROM conversations GROUP BY conv_id HAVING count(*) >= 3),
+kept AS (
+  SELECT 'place-' || conv_id AS place_id, CAST(turn AS INTEGER) AS pos, role AS author_name,
+         CAST(length(text) % 5 + 1 AS BIGINT) AS rating, text,
+         CAST(1700000000 + conv_id * 3600 + turn * 60 AS BIGINT) AS time, role = 'assistant' AS translated,
+         coalesce(CASE WHEN role <> 'system' THEN 'en' END, 'en') AS original_language, 'real' AS review_type,
+         strftime(make_timestamp((1700000000 + conv_id * 3600 + turn * 60) * 1000000), '%Y-%m-%d') AS date
+  FROM conversations WHERE turn < {K.REAL_REVIEWS_LIMIT}),
+parents AS (SELECT h.* FROM h JOIN ok USING (place_id)),
+children AS (SELECT p.formatted_address, k.* FROM kept k JOIN parents p USING (place_id)),
+n AS (SELECT p.place_id, p.formatted_address, count(c.place_id) AS n
+      FROM parents p LEFT JOIN children c USING (place_id) GROUP BY ALL)
+SELECT * FROM children
+UNION ALL BY NAME
+SELECT place_id, formatted_address, pos, {gen_cols}
+FROM (SELECT place_id, formatted_address, CAST(unnest(generate_series(n, {min_count - 1})) AS INTEGER) AS pos
+      FROM n WHERE n < {min_count})
+"""
+
+
+@register("q_land_reviews", _land_reviews_sql())
+def q_land_reviews(spark, sf_dir):
+    """Flow B landing side: J1 attach details (failed → dropped, first 5) → P8 defaults →
+    A6 pad each hospital to 100 reviews with generated ones (flat rows, ready to nest and land)."""
+    conv = _t(spark, sf_dir, "conversations")
+    places = C.with_defaults(D.conversation_hospitals(conv), PL.review_defaults())
+    attached = AS.attach_details(places, D.conversation_details(conv), key="place_id", limit=K.REAL_REVIEWS_LIMIT)
+    kept = FL.explode_children(attached, "reviews", ["place_id", "formatted_address"], pos="pos")
+    kept = C.with_defaults(kept, PL.child_defaults())
+    cols = ["author_name", "rating", "text", "time", "translated", "original_language", "review_type", "date"]
+    kept = kept.select("place_id", "formatted_address", "pos", *cols)
+    padded = AU.top_up_groups(kept, attached, "place_id", "pos", min_count=K.MIN_REVIEWS_PER_HOSPITAL,
+                              salt="land", parent_cols=["formatted_address"])
+    return padded.select("place_id", "formatted_address", "pos", *cols)

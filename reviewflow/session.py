@@ -62,3 +62,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique path below the checkpoint root."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a frame over the cluster's cores when its scan yields fewer splits.
+
+    A file stored as one row group is read by one task, and every per-row
+    expression before the first shuffle (regex splits, md5 picks, template
+    fills) then runs on one core.  When the input already has at least
+    ``min_partitions`` splits — the normal case for large tables — this is
+    a no-op and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
