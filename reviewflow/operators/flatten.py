@@ -88,7 +88,7 @@ def flatten_reviews(docs: DataFrame, keep: list | None = None, with_extras: bool
 # ------------------------------------------------------------------ nest
 
 def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_name: str = "children",
-                  chunk_size: int = DEFAULT_CHUNK, chunk_col: str = "chunk") -> DataFrame:
+                  chunk_size: int = DEFAULT_CHUNK, chunk_col: str = "chunk", carry: list | None = None) -> DataFrame:
     """Flat children → one row per (parent keys, chunk) holding an ordered array<struct>.
 
     ``pos`` must be unique within its parent: the child's 0-based position
@@ -97,12 +97,15 @@ def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_
     (k+1)*chunk_size)``, so every array is bounded whatever the parent's size; the grouping shuffles
     (parent, chunk) keys, which spreads a hot parent over many tasks.
     Arrays are sorted by position (``collect_list`` alone has no order).
+    ``carry`` names parent attributes that depend on the keys only; they ride
+    along as ``any_value`` instead of widening the shuffle key.
     """
+    carry = list(carry or [])
     grouped = (df.withColumn(chunk_col, F.floor(F.col(pos) / F.lit(chunk_size)).cast("int"))
                  .groupBy(*keys, chunk_col)
                  .agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("__pos"), *[F.col(f) for f in fields])))
-                      .alias("__arr")))
-    return grouped.select(*keys, chunk_col,
+                      .alias("__arr"), *[F.any_value(c).alias(c) for c in carry]))
+    return grouped.select(*keys, *carry, chunk_col,
                           F.transform("__arr", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
                           .alias(array_name))
 

@@ -69,10 +69,9 @@ def review_documents(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK, disclaime
     One document per (hospital, chunk): ``{"disclaimer":…, "data":[hospital]}``
     with the hospital's reviews nested in turn order.
     """
-    nested = nest_children(conversation_reviews(conv),
-                           keys=["conv_id", "name", "formatted_address", "place_id", "hospital_rating",
-                                       "user_ratings_total"],
-                           pos="pos", fields=REVIEW_FIELDS, array_name="reviews", chunk_size=chunk_size)
+    nested = nest_children(conversation_reviews(conv), keys=["conv_id"], pos="pos", fields=REVIEW_FIELDS,
+                           array_name="reviews", chunk_size=chunk_size,
+                           carry=["name", "formatted_address", "place_id", "hospital_rating", "user_ratings_total"])
     hospital = F.struct(F.col("name"), F.col("formatted_address"), F.col("place_id"),
                         F.col("hospital_rating").alias("rating"), F.col("user_ratings_total"), F.col("reviews"))
     return nested.select(
@@ -158,12 +157,16 @@ def lineitem_details(lineitem: DataFrame, limit: int) -> DataFrame:
 
 # ----------------------------------------------------------------- reviews
 
+def label_sentiments(labels: DataFrame) -> DataFrame:
+    """quality 1 → 'Positive' (done), quality 0 → '' (still to label)."""
+    return labels.select("doc_id", F.when(F.col("quality") == 1, F.lit("Positive"))
+                         .when(F.col("quality") == 0, F.lit("")).alias("sentiment"))
+
+
 def document_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """A reviews table: a document is a review by 'author <doc_id>' of hospital '<source>';
     labelled documents carry a sentiment (quality 1 → Positive, 0 → '' i.e. still to do)."""
-    lab = labels.select("doc_id", F.when(F.col("quality") == 1, F.lit("Positive"))
-                        .when(F.col("quality") == 0, F.lit("")).alias("sentiment"))
-    d = documents.join(lab, "doc_id", "left")
+    d = documents.join(label_sentiments(labels), "doc_id", "left")
     return d.select(
         F.concat(F.lit("Hospital "), F.col("source")).alias("hospital_name"),
         F.concat(F.col("source"), F.lit(" Main Street")).alias("address"),

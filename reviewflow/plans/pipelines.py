@@ -22,7 +22,7 @@ from reviewflow.operators import clean as C
 from reviewflow.operators import flatten as FL
 from reviewflow.operators import sentiment as SE
 from reviewflow.sinks.tables import guarded_append
-from reviewflow.sources.landing import scan_landing
+from reviewflow.sources.landing import landed_file_count, scan_landing
 
 PLACE_REQUIRED = ["name", "rating", "address", "latitude", "longitude"]
 
@@ -41,7 +41,7 @@ def load_places(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL
     docs = scan_landing(spark, path, S.PLACES_DOCUMENT, multi_line=multi_line)
     good, bad = C.split_conformed(places_frame(docs, load_ts))
     written = guarded_append(good, table, url, **jdbc)
-    return {"files": len(docs.inputFiles()), "written": written}
+    return {"files": landed_file_count(docs), "written": written}
 
 
 # ------------------------------------------------------------------ flow B
@@ -65,7 +65,7 @@ def load_reviews(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITA
     docs = scan_landing(spark, path, REVIEW_READ_SCHEMA, multi_line=multi_line)
     good, bad = C.split_conformed(reviews_frame(docs, load_ts))
     written = guarded_append(good, table, url, **jdbc)
-    return {"files": len(docs.inputFiles()), "written": written}
+    return {"files": landed_file_count(docs), "written": written}
 
 
 def review_defaults() -> dict:

@@ -202,10 +202,8 @@ WHERE l.quality IS NULL OR l.quality = 0
 """)
 def q_only_unlabelled(spark, sf_dir):
     """P5: rows whose sentiment is NULL or ''."""
-    r = D.document_reviews(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
     docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    return C.only_unlabelled(r.select("doc_id", "sentiment"), "sentiment").join(docs, "doc_id") \
-        .select("doc_id", "lang", "source", "sentiment")
+    return C.only_unlabelled(docs.join(D.label_sentiments(_t(spark, sf_dir, "labels")), "doc_id", "left"))
 
 
 @register("q_defaults_audit", """
@@ -447,7 +445,7 @@ def q_top_up(spark, sf_dir):
     children = conv.select("conv_id", F.col("turn").alias("pos"), F.col("role").alias("author_name"),
                            (F.pmod(F.length("text"), F.lit(5)) + 1).cast("long").alias("rating"), "text",
                            F.lit(K.REAL_REVIEW_TYPE).alias("review_type"))
-    parents = conv.select("conv_id").distinct()
+    parents = conv.filter(F.col("turn") == 0).select("conv_id")      # a conversation's first turn is its header
     out = AU.top_up_groups(children, parents, "conv_id", "pos", min_count=5, salt="topup")
     return out.select("conv_id", "pos", "author_name", "rating", "text", "review_type")
 

@@ -18,6 +18,27 @@ class NoLandedFiles(FileNotFoundError):
     pass
 
 
+def has_landed_file(spark: SparkSession, path: str, suffix: str = ".json") -> bool:
+    """True as soon as one visible ``*<suffix>`` file exists below ``path``.
+
+    Walks the file system lazily (Hadoop ``listFiles`` iterator) and stops at
+    the first match, so the check costs one listing call, not a full listing
+    carried through the driver.  Hidden files (``_``/``.`` prefixes, which
+    Spark skips) do not count.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        name = it.next().getPath().getName()
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
+            return True
+    return False
+
+
 def scan_landing(spark: SparkSession, path, schema: T.StructType, multi_line: bool = False,
                  suffix: str = ".json", corrupt_col: str | None = None, with_file: bool = False) -> DataFrame:
     """Every ``*<suffix>`` file below ``path`` (recursively) as one relation.
@@ -38,19 +59,15 @@ def scan_landing(spark: SparkSession, path, schema: T.StructType, multi_line: bo
     if corrupt_col:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     paths = [path] if isinstance(path, str) else list(path)
-    try:
-        df = reader.json(paths)
-    except Exception as e:  # noqa: BLE001 — a missing folder is the same failure
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            raise NoLandedFiles(f"no {suffix} files under {paths}") from e
-        raise
-    if not df.inputFiles():
+    if not any(has_landed_file(spark, p, suffix) for p in paths):
         raise NoLandedFiles(f"no {suffix} files under {paths}")
+    df = reader.json(paths)
     if with_file:
         df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
     return df
 
 
 def landed_file_count(df: DataFrame) -> int:
-    """Number of input files of a scan (file listing only, no data read)."""
-    return len(df.inputFiles())
+    """Number of input files of a scan (from the planner's file index; no data read,
+    and only the count crosses into Python)."""
+    return len(df._jdf.inputFiles())          # a JVM array reference; only its length is fetched

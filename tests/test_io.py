@@ -9,7 +9,7 @@ from reviewflow.plans import derive as D
 from reviewflow.plans import pipelines as PL
 from reviewflow.sinks import envelope as EN
 from reviewflow.sinks import tables as TB
-from reviewflow.sources.landing import NoLandedFiles, scan_landing
+from reviewflow.sources.landing import NoLandedFiles, has_landed_file, landed_file_count, scan_landing
 from tests.conftest import SF_SMALL
 
 
@@ -44,7 +44,7 @@ def landing(tmp_path):
 
 def test_scan_landing_recursive_suffix_and_explicit_schema(spark, landing):
     docs = scan_landing(spark, landing, S.PLACES_DOCUMENT, multi_line=True)
-    assert len(docs.inputFiles()) == 3                       # .txt neighbour ignored, nested folder found
+    assert landed_file_count(docs) == 3                      # .txt neighbour ignored, nested folder found
     flat = PL.places_frame(docs, "2025-01-01 00:00:00")
     good, bad = __import__("reviewflow.operators.clean", fromlist=["x"]).split_conformed(flat)
     names = sorted(r.name for r in good.collect())
@@ -60,6 +60,11 @@ def test_scan_landing_empty_folder_raises(spark, tmp_path):
         scan_landing(spark, str(tmp_path / "empty"), S.PLACES_DOCUMENT)
     with pytest.raises(NoLandedFiles):
         scan_landing(spark, str(tmp_path / "missing"), S.PLACES_DOCUMENT)
+    _write(str(tmp_path / "empty" / "_SUCCESS"), "")
+    _write(str(tmp_path / "empty" / "readme.txt"), "x")
+    assert not has_landed_file(spark, str(tmp_path / "empty"))
+    with pytest.raises(NoLandedFiles):
+        scan_landing(spark, str(tmp_path / "empty"), S.PLACES_DOCUMENT)
 
 
 def test_malformed_file_kept_as_corrupt_record(spark, tmp_path):
@@ -78,7 +83,7 @@ def test_envelope_round_trip_and_file_count(spark, tmp_path):
     EN.write_envelope(docs, out, root="data", constants={"disclaimer": "x"}, mode="overwrite")
     assert any(d.startswith("city_slug=") for d in os.listdir(out))
     back = scan_landing(spark, out, S.REVIEWS_DOCUMENT, multi_line=False, with_file=True)
-    assert back.select("source_file").distinct().count() == len(back.inputFiles())
+    assert back.select("source_file").distinct().count() == landed_file_count(back)
     a = PL.reviews_frame(back.drop("source_file"), "2025-01-01 00:00:00")
     b = PL.reviews_frame(docs, "2025-01-01 00:00:00")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
