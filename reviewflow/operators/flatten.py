@@ -101,7 +101,11 @@ def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_
     along as ``any_value`` instead of widening the shuffle key.
     """
     carry = list(carry or [])
+    # Shuffle on (parent, chunk) explicitly: an input already hash-partitioned
+    # by the parent alone would otherwise "satisfy" the grouping and keep a
+    # hot parent in one task.
     grouped = (df.withColumn(chunk_col, F.floor(F.col(pos) / F.lit(chunk_size)).cast("int"))
+                 .repartition(*keys, chunk_col)
                  .groupBy(*keys, chunk_col)
                  .agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("__pos"), *[F.col(f) for f in fields])))
                       .alias("__arr"), *[F.any_value(c).alias(c) for c in carry]))
