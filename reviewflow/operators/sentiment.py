@@ -124,7 +124,17 @@ def _loaded(scorer):
     return _LOADED[key]
 
 
+def _ship() -> None:
+    from pyspark.sql import SparkSession
+
+    from reviewflow.session import ship_package
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship_package(spark)
+
+
 def score_udf(scorer):
+    _ship()
     schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.pandas_udf(schema)
@@ -136,6 +146,8 @@ def score_udf(scorer):
 
 
 def logits_udf(classifier):
+    _ship()
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = _loaded(classifier)

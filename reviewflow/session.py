@@ -40,6 +40,7 @@ def get_session(master: str | None = None, app_name: str = "reviewflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -77,3 +78,52 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reviewflow`` importable in executor Python workers (pandas UDFs).
+
+    Zips the package once per SparkContext into the shared checkpoint folder
+    and registers it with ``addPyFile``; Spark then puts it on every Python
+    worker's path.  Nothing to do when the package is installed on the
+    executors already — the zip only shadows an identical copy.
+    """
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    files = []
+    for root, _dirs, names in os.walk(pkg_dir):
+        if "__pycache__" in root:
+            continue
+        files += [os.path.join(root, n) for n in sorted(names) if n.endswith(".py")]
+    digest = hashlib.sha1()
+    for f in sorted(files):
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    target_dir = os.path.join(checkpoint_root(spark), "pyfiles")
+    target = os.path.join(target_dir, f"reviewflow-{digest.hexdigest()[:12]}.zip")
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" not in local:
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        if not os.path.exists(local):
+            with zipfile.ZipFile(local + ".part", "w", zipfile.ZIP_DEFLATED) as z:
+                for f in files:
+                    z.write(f, os.path.relpath(f, os.path.dirname(pkg_dir)))
+            os.replace(local + ".part", local)
+        sc.addPyFile(local)
+    else:  # remote shared file system: build locally on the driver, Spark ships it
+        import tempfile
+        tmp = os.path.join(tempfile.mkdtemp(prefix="reviewflow-pyfiles-"), os.path.basename(local))
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.relpath(f, os.path.dirname(pkg_dir)))
+        sc.addPyFile(tmp)
+    _SHIPPED.add(key)
