@@ -107,3 +107,97 @@ def label_reviews(spark: SparkSession, source_table: str, target_table: str = S.
     good, bad = C.split_conformed(label_frame(reviews, scorer, native=scorer is None))
     written = guarded_append(good, target_table, url, **jdbc)
     return {"written": written}
+
+
+# ------------------------------------------------------ landing (extraction)
+
+REVIEW_CHILD_COLUMNS = ["author_name", "author_url", "language", "original_language", "profile_photo_url", "rating",
+                        "relative_time_description", "text", "time", "translated", "review_type", "date"]
+
+
+HOSPITAL_PARENT_COLUMNS = ["name", "formatted_address", "hospital_rating", "user_ratings_total"]
+
+
+def land_reviews_frame(places: DataFrame, details: DataFrame, key: str = "place_id",
+                       limit: int = K.REAL_REVIEWS_LIMIT, min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
+                       salt: str = "land", parent_cols: list | None = None) -> DataFrame:
+    """Flow B landing side, flat: one row per (place, review position).
+
+    Successful details are attached (failed or missing ones drop the place),
+    the first ``limit`` reviews kept, missing fields defaulted, and every
+    place padded to ``min_count`` reviews with generated ones.  Place-level
+    columns (``parent_cols``; by default those of HOSPITAL_PARENT_COLUMNS and
+    ``city`` present on ``places``) are repeated on every row; the place's
+    rating is called ``hospital_rating`` so it cannot clash with a review's.
+    """
+    from reviewflow.operators import assemble as AS
+    from reviewflow.operators import augment as AU
+
+    if parent_cols is None:
+        parent_cols = [c for c in ["city", *HOSPITAL_PARENT_COLUMNS] if c in places.columns]
+    places = C.with_defaults(places, {k: v for k, v in review_defaults().items() if k in places.columns})
+    attached = AS.attach_details(places, details, key=key, limit=limit)
+    kept = FL.explode_children(attached, "reviews", [key, *parent_cols], pos="pos")
+    kept = C.with_defaults(kept, {k: v for k, v in child_defaults().items() if k in kept.columns})
+    return AU.top_up_groups(kept, attached, key, "pos", min_count=min_count, salt=salt, parent_cols=parent_cols)
+
+
+def review_documents_frame(flat: DataFrame, city: str = "city", key: str = "place_id",
+                           chunk_size: int = FL.DEFAULT_CHUNK, disclaimer: str = K.DEFAULT_DISCLAIMER) -> DataFrame:
+    """Nest flat reviews (``land_reviews_frame`` output) into landed review documents,
+    one per (place, chunk): ``{"disclaimer":…, "data":[hospital]}`` plus ``city_slug``."""
+    from reviewflow.functions import exprs as X
+
+    fields = [c for c in REVIEW_CHILD_COLUMNS if c in flat.columns]
+    carry = [c for c in [city, *HOSPITAL_PARENT_COLUMNS] if c in flat.columns]
+    nested = FL.nest_children(flat, [key], "pos", fields, array_name="reviews", chunk_size=chunk_size, carry=carry)
+    parts = [F.col(c) for c in ("name", "formatted_address") if c in carry] + [F.col(key)]
+    if "hospital_rating" in carry:
+        parts.append(F.col("hospital_rating").alias("rating"))
+    if "user_ratings_total" in carry:
+        parts.append(F.col("user_ratings_total"))
+    hospital = F.struct(*parts, F.col("reviews"))
+    slug = X.slug(city) if city in carry else F.lit(None).cast("string")
+    return nested.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
+                         F.array(hospital).alias("data"))
+
+
+def land_places_frame(pages: DataFrame, city: str = "city", request: str = "request_id",
+                      chunk_size: int = FL.DEFAULT_CHUNK) -> DataFrame:
+    """Flow A landing side: assemble raw pages (follow tokens, stop at the first
+    bad page) into ``{"results":[…]}`` documents, one per (request, chunk)."""
+    from reviewflow.functions import exprs as X
+    from reviewflow.operators import assemble as AS
+
+    keep_city = [city] if city in pages.columns else []
+    if keep_city:
+        cities = pages.select(request, city).dropDuplicates([request])
+    flat = AS.assemble_pages(pages, request=request)
+    # position inside the request: pages hold at most a page of results, so
+    # page_no * 10_000 + pos is unique and ordered
+    flat = flat.withColumn("__pos", F.col("page_no").cast("long") * 10_000 + F.col("pos"))
+    nested = FL.nest_children(flat, [request], "__pos", ["result"], array_name="__r", chunk_size=chunk_size)
+    docs = nested.select(request, F.transform("__r", lambda x: x["result"]).alias("results"))
+    if keep_city:
+        docs = docs.join(cities, request, "left").withColumn("city_slug", X.slug(city))
+    return docs
+
+
+def land_reviews(spark: SparkSession, places: DataFrame, details: DataFrame, out_path: str,
+                 city: str = "city", **kw) -> None:
+    """Extract job: attach details, pad, nest and write review documents (JSON Lines, folder per city)."""
+    from reviewflow.sinks.envelope import write_envelope
+
+    flat = land_reviews_frame(places, details, **kw)
+    docs = review_documents_frame(flat, city=city)
+    write_envelope(docs, out_path, partition_col="city_slug", root="data",
+                   constants={"disclaimer": K.DEFAULT_DISCLAIMER})
+
+
+def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city") -> None:
+    """Extract job: assemble raw pages and write place documents (JSON Lines, folder per city)."""
+    from reviewflow.sinks.envelope import write_envelope
+
+    docs = land_places_frame(pages, city=city)
+    write_envelope(docs, out_path, partition_col="city_slug" if "city_slug" in docs.columns else None,
+                   root="results")

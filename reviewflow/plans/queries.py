@@ -10,8 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewflow import constants as K
+from reviewflow import schemas as S
+from reviewflow.functions import exprs as X
+from reviewflow.operators import assemble as AS
+from reviewflow.operators import augment as AU
+from reviewflow.operators import clean as C
 from reviewflow.operators import flatten as FL
+from reviewflow.operators import sentiment as SE
 from reviewflow.plans import derive as D
+from reviewflow.plans import oracle_sql as O
+from reviewflow.plans import pipelines as PL
 from reviewflow.plans.registry import register
 
 
@@ -43,16 +52,6 @@ def q_flatten_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FL.flatten_reviews(docs).drop("author_id")
 
 
-from reviewflow import constants as K  # noqa: E402
-from reviewflow import schemas as S  # noqa: E402
-from reviewflow.functions import exprs as X  # noqa: E402
-from reviewflow.operators import assemble as AS  # noqa: E402
-from reviewflow.operators import augment as AU  # noqa: E402
-from reviewflow.operators import clean as C  # noqa: E402
-from reviewflow.operators import sentiment as SE  # noqa: E402
-from reviewflow.plans import oracle_sql as O  # noqa: E402
-from reviewflow.plans import pipelines as PL  # noqa: E402
-
 
 def _t(spark, sf_dir, name, spread_rows=False):
     return D.table(spark, sf_dir, name, spread_rows)
@@ -682,12 +681,9 @@ def q_land_reviews(spark, sf_dir):
     """Flow B landing side: J1 attach details (failed → dropped, first 5) → P8 defaults →
     A6 pad each hospital to 100 reviews with generated ones (flat rows, ready to nest and land)."""
     conv = _t(spark, sf_dir, "conversations")
-    places = C.with_defaults(D.conversation_hospitals(conv), PL.review_defaults())
-    attached = AS.attach_details(places, D.conversation_details(conv), key="place_id", limit=K.REAL_REVIEWS_LIMIT)
-    kept = FL.explode_children(attached, "reviews", ["place_id", "formatted_address"], pos="pos")
-    kept = C.with_defaults(kept, PL.child_defaults())
+    places = D.conversation_hospitals(conv).drop("name")
+    flat = PL.land_reviews_frame(places, D.conversation_details(conv), key="place_id",
+                                 limit=K.REAL_REVIEWS_LIMIT, min_count=K.MIN_REVIEWS_PER_HOSPITAL, salt="land",
+                                 parent_cols=["formatted_address"])
     cols = ["author_name", "rating", "text", "time", "translated", "original_language", "review_type", "date"]
-    kept = kept.select("place_id", "formatted_address", "pos", *cols)
-    padded = AU.top_up_groups(kept, attached, "place_id", "pos", min_count=K.MIN_REVIEWS_PER_HOSPITAL,
-                              salt="land", parent_cols=["formatted_address"])
-    return padded.select("place_id", "formatted_address", "pos", *cols)
+    return flat.select("place_id", "formatted_address", "pos", *cols)
