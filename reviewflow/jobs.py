@@ -48,7 +48,9 @@ def main(argv: list | None = None) -> dict:
     lab = sub.add_parser("label-reviews")
     lab.add_argument("--source-table", required=True)
     lab.add_argument("--target-table")
-    lab.add_argument("--scorer", help="module:Class with load() and score(pd.Series) (default: native lexicon)")
+    lab.add_argument("--scorer", help="module:Class with load() and score(pd.Series) or logits(pd.Series) "
+                                      "(default: lexicon)")
+    lab.add_argument("--variant", choices=("score", "model"), default="score")
     lp = sub.add_parser("land-places")
     lp.add_argument("--pages", required=True)
     lp.add_argument("--out", required=True)
@@ -74,8 +76,8 @@ def main(argv: list | None = None) -> dict:
         out = PL.load_reviews(spark, args.landing, load_ts, table=args.table or PL.S.HOSPITAL_REVIEWS.name,
                               url=url, multi_line=args.multi_line, **jdbc)
     elif args.job == "label-reviews":
-        out = PL.label_reviews(spark, args.source_table, args.target_table or PL.S.SCORE_SENTIMENT.name,
-                               scorer=_scorer(args.scorer), url=url, **jdbc)
+        out = PL.label_reviews(spark, args.source_table, args.target_table, scorer=_scorer(args.scorer), url=url,
+                               variant=args.variant, **jdbc)
     elif args.job == "land-places":
         PL.land_places(spark, spark.read.parquet(args.pages), args.out)
         out = {"written": True}

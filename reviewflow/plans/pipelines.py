@@ -80,15 +80,20 @@ def child_defaults() -> dict:
 # ------------------------------------------------------------------ flow C
 
 def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_labelled: bool = True,
-                spec: S.TableSpec = S.SCORE_SENTIMENT) -> DataFrame:
-    """Score still-unlabelled reviews; one row per author id (first by review text).
-
-    ``native=True`` scores with the Catalyst lexicon (no Python worker);
-    otherwise ``scorer`` runs as an Arrow-batched pandas UDF.
+                spec: S.TableSpec = S.SCORE_SENTIMENT, variant: str = "score") -> DataFrame:
+    """Label reviews; one row per author id (first by review text), conformed to ``spec``.
+
+    ``variant="score"``: score → (label at ±0.25, score); only still-unlabelled
+    rows by default.  ``native=True`` scores with the Catalyst lexicon (no
+    Python worker); otherwise ``scorer`` runs as an Arrow-batched pandas UDF.
+    ``variant="model"``: a classifier's argmax label (blank text → ''), over
+    every row unless ``skip_labelled``; ``scorer`` is the classifier.
     """
     todo = C.only_unlabelled(reviews, "sentiment") if skip_labelled else reviews
     todo = todo.drop("sentiment")
-    if native and scorer is None:
+    if variant == "model":
+        scored = SE.label_text(todo, "review", scorer)
+    elif native and scorer is None:
         scored = SE.lexicon_score(todo, "review", prefix="__")
         scored = scored.withColumns({"sentiment": F.col("__label"),
                                      "sentiment_score": F.col("__score").cast("float")})
@@ -101,11 +106,15 @@ def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_label
     return C.conform_to_schema(scored, spec)
 
 
-def label_reviews(spark: SparkSession, source_table: str, target_table: str = S.SCORE_SENTIMENT.name,
-                  scorer=None, url: str | None = None, **jdbc) -> dict:
+def label_reviews(spark: SparkSession, source_table: str, target_table: str | None = None,
+                  scorer=None, url: str | None = None, variant: str = "score", **jdbc) -> dict:
+    """Flow C job: read the reviews table, label, append to the sentiment table if it exists."""
+    spec = S.MODEL_SENTIMENT if variant == "model" else S.SCORE_SENTIMENT
     reviews = spark.table(source_table)
-    good, bad = C.split_conformed(label_frame(reviews, scorer, native=scorer is None))
-    written = guarded_append(good, target_table, url, **jdbc)
+    frame = label_frame(reviews, scorer, native=scorer is None, skip_labelled=variant != "model",
+                        spec=spec, variant=variant)
+    good, bad = C.split_conformed(frame)
+    written = guarded_append(good, target_table or spec.name, url, **jdbc)
     return {"written": written}
 
 

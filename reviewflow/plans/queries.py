@@ -647,7 +647,7 @@ def q_envelope_round_trip(spark, sf_dir):
     return FL.flatten_reviews(back).drop("author_id")
 
 
-def _land_reviews_sql(min_count: int = K.MIN_REVIEWS_PER_HOSPITAL) -> str:
+def _land_reviews_sql(min_count: int = K.MIN_REVIEWS_PER_HOSPITAL) -> str:  # noqa: D401
     g = O.synthetic_review_cols(["place_id", "pos"], "land")
     child = ("author_name, rating, text, time, translated, original_language, review_type, date")
     gen_cols = ", ".join(f"{g[c.strip()]} AS {c.strip()}" for c in child.split(","))
@@ -687,3 +687,35 @@ def q_land_reviews(spark, sf_dir):
                                  parent_cols=["formatted_address"])
     cols = ["author_name", "rating", "text", "time", "translated", "original_language", "review_type", "date"]
     return flat.select("place_id", "formatted_address", "pos", *cols)
+
+
+def _label_reviews_model_sql() -> str:
+    neg = O.lexicon_count("review", K.ADJECTIVES_NEGATIVE)
+    neu = O.lexicon_count("review", K.ADJECTIVES_NEUTRAL)
+    pos = O.lexicon_count("review", K.ADJECTIVES_POSITIVE)
+    return f"""
+WITH l AS ({_land_reviews_sql()}),
+r AS (SELECT 'Hospital ' || substr(place_id, 7) AS hospital_name, formatted_address AS address,
+             CAST(NULL AS DOUBLE) AS hospital_rating, author_name,
+             CAST({O.murmur3('author_name')} AS VARCHAR) AS author_id, text AS review FROM l),
+c AS (SELECT *, {neg} AS a, {neu} AS b, {pos} AS c FROM r)
+SELECT hospital_name, address, CAST(hospital_rating AS FLOAT) AS hospital_rating, author_name, author_id, review,
+       CASE WHEN review IS NULL OR regexp_replace(review, '^\\s+|\\s+$', '', 'g') = '' THEN ''
+            WHEN a >= b AND a >= c THEN 'negative' WHEN b >= c THEN 'neutral' ELSE 'positive' END AS sentiment,
+       '' AS _errors
+FROM c
+QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY review, author_name) = 1
+"""
+
+
+@register("q_label_reviews_model", _label_reviews_model_sql())
+def q_label_reviews_model(spark, sf_dir):
+    """Flow C, model variant: every landed review → classifier (pandas UDF) argmax label →
+    K1 one row per author id (real authors repeat; hash key) → K3 conform to the model table."""
+    flat = q_land_reviews(spark, sf_dir)
+    reviews = flat.select(
+        F.concat(F.lit("Hospital "), F.substring("place_id", 7, 100)).alias("hospital_name"),
+        F.col("formatted_address").alias("address"), F.lit(None).cast("double").alias("hospital_rating"),
+        "author_name", X.author_id("author_name").alias("author_id"), F.col("text").alias("review"),
+        F.lit(None).cast("string").alias("sentiment"))
+    return PL.label_frame(reviews, skip_labelled=False, spec=S.MODEL_SENTIMENT, variant="model")
