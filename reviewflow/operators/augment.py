@@ -93,6 +93,28 @@ def top_up_groups(children: DataFrame, parents: DataFrame, key: str, pos: str =
     return children.unionByName(added, allowMissingColumns=True)
 
 
+def top_up_nested(df: DataFrame, array_col: str, keys: list, min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
+                  gen=None, salt: str = "topup") -> DataFrame:
+    """A6 on nested records: pad each row's array to ``min_count`` elements in place.
+
+    Like ``top_up_groups`` but for a parent that already holds its children
+    as a bounded array (a hospital with its reviews): existing elements are
+    kept in order, generated ones take positions n..min_count-1, and a row at
+    or above the minimum is unchanged (idempotent).  A narrow, per-row
+    expression — no aggregate, no join, no shuffle.  ``gen(key_cols, pos)``
+    returns one element; by default a synthetic review keyed by
+    (keys…, position).
+    """
+    elem = df.schema[array_col].dataType
+    gen = gen or (lambda ks, p: synthetic_review([*ks, p], salt))
+    key_cols = [F.col(k) for k in keys]
+    arr = F.coalesce(F.col(array_col), F.array().cast(elem))
+    n = F.size(arr)
+    todo = F.filter(F.sequence(F.lit(0), F.lit(min_count - 1)), lambda p: p >= n)
+    pad = F.transform(todo, lambda p: gen(key_cols, p)).cast(elem)
+    return df.withColumn(array_col, F.concat(arr, pad))
+
+
 def generate_hospitals(cities: DataFrame, city: str = "city", per_city: int = K.SYNTHETIC_HOSPITALS_PER_CITY,
                        reviews_per_hospital: int = K.MIN_REVIEWS_PER_HOSPITAL, salt: str = "hospital") -> DataFrame:
     """``per_city`` synthetic hospitals per city, each with ``reviews_per_hospital`` reviews.

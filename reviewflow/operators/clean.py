@@ -25,6 +25,20 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
+def with_element_defaults(df: DataFrame, array_col: str, defaults: dict) -> DataFrame:
+    """P8 inside an array<struct>: fill NULL fields of every element (no explode)."""
+    fields = set(df.schema[array_col].dataType.elementType.fieldNames())
+    todo = {k: v for k, v in defaults.items() if k in fields}
+    if not todo:
+        return df
+
+    def fill(x):
+        for k, v in todo.items():
+            x = x.withField(k, F.coalesce(x[k], F.lit(v)))
+        return x
+    return df.withColumn(array_col, F.transform(array_col, fill))
+
+
 def only_unlabelled(df: DataFrame, col: str = "sentiment") -> DataFrame:
     """P5: rows still to label — label NULL or empty.  Pushes into parquet/JDBC scans."""
     c = F.col(col)

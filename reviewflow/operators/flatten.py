@@ -88,7 +88,8 @@ def flatten_reviews(docs: DataFrame, keep: list | None = None, with_extras: bool
 # ------------------------------------------------------------------ nest
 
 def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_name: str = "children",
-                  chunk_size: int = DEFAULT_CHUNK, chunk_col: str = "chunk", carry: list | None = None) -> DataFrame:
+                  chunk_size: int = DEFAULT_CHUNK, chunk_col: str = "chunk", carry: list | None = None,
+                  spread: bool = True) -> DataFrame:
     """Flat children → one row per (parent keys, chunk) holding an ordered array<struct>.
 
     ``pos`` must be unique within its parent: the child's 0-based position
@@ -98,15 +99,19 @@ def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_
     (parent, chunk) keys, which spreads a hot parent over many tasks.
     Arrays are sorted by position (``collect_list`` alone has no order).
     ``carry`` names parent attributes that depend on the keys only; they ride
-    along as ``any_value`` instead of widening the shuffle key.
+    along as ``any_value`` instead of widening the shuffle key.  ``spread``
+    forces the shuffle on (parent, chunk) even when the input is already
+    partitioned by the parent; pass False when every parent is known to be
+    small (e.g. after a top-n), to reuse that partitioning.
     """
     carry = list(carry or [])
     # Shuffle on (parent, chunk) explicitly: an input already hash-partitioned
     # by the parent alone would otherwise "satisfy" the grouping and keep a
     # hot parent in one task.
-    grouped = (df.withColumn(chunk_col, F.floor(F.col(pos) / F.lit(chunk_size)).cast("int"))
-                 .repartition(*keys, chunk_col)
-                 .groupBy(*keys, chunk_col)
+    chunked = df.withColumn(chunk_col, F.floor(F.col(pos) / F.lit(chunk_size)).cast("int"))
+    if spread:
+        chunked = chunked.repartition(*keys, chunk_col)
+    grouped = (chunked.groupBy(*keys, chunk_col)
                  .agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("__pos"), *[F.col(f) for f in fields])))
                       .alias("__arr"), *[F.any_value(c).alias(c) for c in carry]))
     return grouped.select(*keys, *carry, chunk_col,

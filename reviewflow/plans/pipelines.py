@@ -124,50 +124,42 @@ REVIEW_CHILD_COLUMNS = ["author_name", "author_url", "language", "original_langu
                         "relative_time_description", "text", "time", "translated", "review_type", "date"]
 
 
-HOSPITAL_PARENT_COLUMNS = ["name", "formatted_address", "hospital_rating", "user_ratings_total"]
-
-
 def land_reviews_frame(places: DataFrame, details: DataFrame, key: str = "place_id",
                        limit: int = K.REAL_REVIEWS_LIMIT, min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
-                       salt: str = "land", parent_cols: list | None = None) -> DataFrame:
-    """Flow B landing side, flat: one row per (place, review position).
-
-    Successful details are attached (failed or missing ones drop the place),
-    the first ``limit`` reviews kept, missing fields defaulted, and every
-    place padded to ``min_count`` reviews with generated ones.  Place-level
-    columns (``parent_cols``; by default those of HOSPITAL_PARENT_COLUMNS and
-    ``city`` present on ``places``) are repeated on every row; the place's
-    rating is called ``hospital_rating`` so it cannot clash with a review's.
+                       salt: str = "land") -> DataFrame:
+    """Flow B landing side: one row per place with its padded ``reviews`` array.
+
+    Successful details are attached (failed or missing ones drop the place)
+    and their first ``limit`` reviews kept; missing fields get defaults; each
+    place's array is padded in place to ``min_count`` with generated reviews.
+    After the attach join everything is a per-row expression on a bounded
+    array — no further shuffle.  The place's own columns are kept as they
+    are (its rating should be called ``hospital_rating``).
     """
     from reviewflow.operators import assemble as AS
     from reviewflow.operators import augment as AU
 
-    if parent_cols is None:
-        parent_cols = [c for c in ["city", *HOSPITAL_PARENT_COLUMNS] if c in places.columns]
     places = C.with_defaults(places, {k: v for k, v in review_defaults().items() if k in places.columns})
     attached = AS.attach_details(places, details, key=key, limit=limit)
-    kept = FL.explode_children(attached, "reviews", [key, *parent_cols], pos="pos")
-    kept = C.with_defaults(kept, {k: v for k, v in child_defaults().items() if k in kept.columns})
-    return AU.top_up_groups(kept, attached, key, "pos", min_count=min_count, salt=salt, parent_cols=parent_cols)
+    attached = C.with_element_defaults(attached, "reviews", child_defaults())
+    return AU.top_up_nested(attached, "reviews", [key], min_count=min_count, salt=salt)
 
 
-def review_documents_frame(flat: DataFrame, city: str = "city", key: str = "place_id",
-                           chunk_size: int = FL.DEFAULT_CHUNK, disclaimer: str = K.DEFAULT_DISCLAIMER) -> DataFrame:
-    """Nest flat reviews (``land_reviews_frame`` output) into landed review documents,
-    one per (place, chunk): ``{"disclaimer":…, "data":[hospital]}`` plus ``city_slug``."""
+def review_documents_frame(places: DataFrame, city: str = "city", key: str = "place_id",
+                           disclaimer: str = K.DEFAULT_DISCLAIMER) -> DataFrame:
+    """Landed review documents from ``land_reviews_frame`` rows, one per place:
+    ``{"disclaimer":…, "data":[hospital]}`` plus ``city_slug`` (no grouping)."""
     from reviewflow.functions import exprs as X
 
-    fields = [c for c in REVIEW_CHILD_COLUMNS if c in flat.columns]
-    carry = [c for c in [city, *HOSPITAL_PARENT_COLUMNS] if c in flat.columns]
-    nested = FL.nest_children(flat, [key], "pos", fields, array_name="reviews", chunk_size=chunk_size, carry=carry)
-    parts = [F.col(c) for c in ("name", "formatted_address") if c in carry] + [F.col(key)]
-    if "hospital_rating" in carry:
+    cols = places.columns
+    parts = [F.col(c) for c in ("name", "formatted_address") if c in cols] + [F.col(key)]
+    if "hospital_rating" in cols:
         parts.append(F.col("hospital_rating").alias("rating"))
-    if "user_ratings_total" in carry:
+    if "user_ratings_total" in cols:
         parts.append(F.col("user_ratings_total"))
     hospital = F.struct(*parts, F.col("reviews"))
-    slug = X.slug(city) if city in carry else F.lit(None).cast("string")
-    return nested.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
+    slug = X.slug(city) if city in cols else F.lit(None).cast("string")
+    return places.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
                          F.array(hospital).alias("data"))
 
 
@@ -197,8 +189,7 @@ def land_reviews(spark: SparkSession, places: DataFrame, details: DataFrame, out
     """Extract job: attach details, pad, nest and write review documents (JSON Lines, folder per city)."""
     from reviewflow.sinks.envelope import write_envelope
 
-    flat = land_reviews_frame(places, details, **kw)
-    docs = review_documents_frame(flat, city=city)
+    docs = review_documents_frame(land_reviews_frame(places, details, **kw), city=city)
     write_envelope(docs, out_path, partition_col="city_slug", root="data",
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER})
 

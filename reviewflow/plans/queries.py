@@ -682,9 +682,9 @@ def q_land_reviews(spark, sf_dir):
     A6 pad each hospital to 100 reviews with generated ones (flat rows, ready to nest and land)."""
     conv = _t(spark, sf_dir, "conversations")
     places = D.conversation_hospitals(conv).drop("name")
-    flat = PL.land_reviews_frame(places, D.conversation_details(conv), key="place_id",
-                                 limit=K.REAL_REVIEWS_LIMIT, min_count=K.MIN_REVIEWS_PER_HOSPITAL, salt="land",
-                                 parent_cols=["formatted_address"])
+    padded = PL.land_reviews_frame(places, D.conversation_details(conv), key="place_id",
+                                   limit=K.REAL_REVIEWS_LIMIT, min_count=K.MIN_REVIEWS_PER_HOSPITAL, salt="land")
+    flat = FL.explode_children(padded, "reviews", ["place_id", "formatted_address"], pos="pos")
     cols = ["author_name", "rating", "text", "time", "translated", "original_language", "review_type", "date"]
     return flat.select("place_id", "formatted_address", "pos", *cols)
 

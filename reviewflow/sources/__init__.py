@@ -1,2 +1,2 @@
-from reviewflow.sources.jdbc import jdbc_table_exists, read_table  # noqa: F401
+from reviewflow.sources.jdbc import jdbc_bounds, jdbc_table_exists, read_table, read_table_partitioned  # noqa: F401
 from reviewflow.sources.landing import NoLandedFiles, landed_file_count, scan_landing  # noqa: F401

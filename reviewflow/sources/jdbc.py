@@ -41,6 +41,28 @@ def read_table(spark: SparkSession, table: str, columns: list | None = None, url
     return df.select(*columns) if columns else df
 
 
+def jdbc_bounds(spark: SparkSession, table: str, column: str, url: str, *, user=None, password=None,
+                driver=None) -> tuple:
+    """(min, max) of a numeric/date column, computed by the database (one row back),
+    to size a partitioned ``read_table``."""
+    opts = jdbc_options(url, None, user, password, driver)
+    opts["query"] = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    row = spark.read.format("jdbc").options(**opts).load().first()
+    return row["lo"], row["hi"]
+
+
+def read_table_partitioned(spark: SparkSession, table: str, column: str, columns: list | None = None,
+                           url: str = "", *, num_partitions: int = 64, user=None, password=None, driver=None,
+                           fetch_size: int | None = 10_000) -> DataFrame:
+    """S3 at scale: ``num_partitions`` parallel range queries over ``column``'s [min, max]."""
+    lo, hi = jdbc_bounds(spark, table, column, url, user=user, password=password, driver=driver)
+    if lo is None:
+        return read_table(spark, table, columns, url, user=user, password=password, driver=driver)
+    return read_table(spark, table, columns, url, user=user, password=password, driver=driver,
+                      partition_column=column, lower_bound=lo, upper_bound=hi, num_partitions=num_partitions,
+                      fetch_size=fetch_size)
+
+
 def _quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

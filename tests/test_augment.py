@@ -62,3 +62,29 @@ def test_generate_hospitals_counts(spark):
         assert "\n" not in r.formatted_address and 1.0 <= r.hospital_rating <= 5.0
         assert 50 <= r.user_ratings_total <= 5000
     assert df.filter(F.col("place_id").isNotNull()).count() == 0
+
+
+def test_top_up_nested_pads_in_place_and_is_idempotent(spark):
+    from reviewflow import schemas as S
+    rev = {"author_name": "Ann", "rating": 5, "text": "great", "time": 1}
+    df = spark.createDataFrame([("a", [rev] * 3), ("b", None), ("c", [rev] * 12)],
+                               S.T.StructType([S.T.StructField("k", S.T.StringType()),
+                                               S.T.StructField("reviews", S.T.ArrayType(S.REVIEW))]))
+    once = AU.top_up_nested(df, "reviews", ["k"], min_count=10)
+    sizes = {r.k: len(r.reviews) for r in once.collect()}
+    assert sizes == {"a": 10, "b": 10, "c": 12}
+    a = [r for r in once.collect() if r.k == "a"][0].reviews
+    assert [x.author_name for x in a[:3]] == ["Ann"] * 3 and all(x.review_type == "fake" for x in a[3:])
+    twice = AU.top_up_nested(once, "reviews", ["k"], min_count=10)
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_with_element_defaults(spark):
+    from reviewflow import schemas as S
+    from reviewflow.operators.clean import with_element_defaults
+    df = spark.createDataFrame([([{"author_name": "x", "translated": None, "original_language": None}],)],
+                               S.T.StructType([S.T.StructField("reviews", S.T.ArrayType(S.REVIEW))]))
+    r = with_element_defaults(df, "reviews", {"translated": False, "original_language": "en", "nope": 1}).first()
+    assert r.reviews[0].translated is False and r.reviews[0].original_language == "en"
