@@ -45,14 +45,20 @@ def get_session(master: str | None = None, app_name: str = "reviewflow",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting a local one only if unset."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="reviewflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+    """Return the shared checkpoint directory, choosing a local one only if none is set.
+
+    The cluster's ``spark.checkpoint.dir`` (applied by SparkContext at start)
+    wins.  Only when it is absent — a laptop or a test run — do we create a
+    local folder and register it with ``setCheckpointDir`` (the config key
+    itself cannot be changed on a running session).
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="reviewflow-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
