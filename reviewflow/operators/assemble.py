@@ -111,9 +111,19 @@ def attach_details(places: DataFrame, details: DataFrame, key: str = "place_id",
     return base.join(good, key, "inner")
 
 
-def batch_totals(docs: DataFrame, data: str = "data", reviews: str = "reviews") -> DataFrame:
-    """Number of parents and total nested children of a batch of documents."""
-    h = docs.select(F.explode(data).alias("h"))
-    return h.agg(F.count(F.lit(1)).alias("total_hospitals"),
-                 F.coalesce(F.sum(F.coalesce(F.size(f"h.{reviews}"), F.lit(0))), F.lit(0)).cast("long")
-                 .alias("total_reviews"))
+def batch_totals(docs: DataFrame, data: str = "data", reviews: str = "reviews", by: list | None = None,
+                 chunk_col: str | None = None) -> DataFrame:
+    """Number of parents and total nested children per batch (``by`` columns).
+
+    With chunked documents (``chunk_col``), a parent is counted once — on its
+    chunk 0 — while children are summed over all chunks.  Both are partial
+    aggregates: a hot batch costs one partial row per map task.
+    """
+    by = list(by or [])
+    keep = by + ([chunk_col] if chunk_col else [])
+    h = docs.select(*keep, F.explode(data).alias("h"))
+    parents = F.count(F.lit(1)) if not chunk_col else F.sum(F.when(F.col(chunk_col) == 0, 1).otherwise(0))
+    aggs = [parents.cast("long").alias("total_hospitals"),
+            F.coalesce(F.sum(F.coalesce(F.size(f"h.{reviews}"), F.lit(0))), F.lit(0)).cast("long")
+            .alias("total_reviews")]
+    return h.groupBy(*by).agg(*aggs) if by else h.agg(*aggs)

@@ -10,7 +10,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reviewflow.schemas import TableSpec
 
@@ -100,7 +99,7 @@ def _check(c: Column, col) -> tuple[Column, Column]:
         v = d.cast("float")
         bad = (c.isNotNull() & d.isNull()) | F.coalesce(~F.isnan(d) & (F.abs(d) > F.lit(_FLOAT_MAX)), F.lit(False))
     elif base == "datetime":
-        v = c if isinstance(target, T.TimestampType) and False else c.try_cast("timestamp")
+        v = c.try_cast("timestamp")
         bad = c.isNotNull() & v.isNull()
     else:
         v = c.try_cast(target)

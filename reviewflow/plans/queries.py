@@ -107,10 +107,7 @@ FROM conversations GROUP BY 1
 def q_batch_totals(spark, sf_dir):
     """Hospitals and nested reviews per landed city batch."""
     docs = D.review_documents(_t(spark, sf_dir, "conversations"))
-    h = docs.select("city", "chunk", F.explode("data").alias("h"))
-    return h.groupBy("city").agg(
-        F.sum(F.when(F.col("chunk") == 0, 1).otherwise(0)).cast("long").alias("total_hospitals"),
-        F.sum(F.coalesce(F.size("h.reviews"), F.lit(0))).cast("long").alias("total_reviews"))
+    return AS.batch_totals(docs, by=["city"], chunk_col="chunk")
 
 
 # ------------------------------------------------------------ flows A and B

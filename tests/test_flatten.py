@@ -73,3 +73,10 @@ def test_to_json_keeps_unicode_and_nulls(spark):
     df = spark.createDataFrame([("é", None)], "a string, b string")
     s = df.select(FL.to_json_text(F.struct("a", "b"))).first()[0]
     assert s == '{"a":"é","b":null}'
+
+
+def test_project_dotted_paths_in_order(spark):
+    df = spark.createDataFrame([{"h": {"name": "A", "loc": {"lat": 1.5}}, "x": 2}],
+                               "h struct<name:string, loc:struct<lat:double>>, x long")
+    out = FL.project(df, {"lat": "h.loc.lat", "hospital_name": "h.name", "twice": F.col("x") * 2})
+    assert out.columns == ["lat", "hospital_name", "twice"] and tuple(out.first()) == (1.5, "A", 4)
