@@ -19,21 +19,30 @@ TEMPLATES = {"positive": K.POSITIVE_TEMPLATES, "neutral": K.NEUTRAL_TEMPLATES, "
 ADJECTIVES = {"positive": K.ADJECTIVES_POSITIVE, "neutral": K.ADJECTIVES_NEUTRAL, "negative": K.ADJECTIVES_NEGATIVE}
 
 
-def _by_class(cls: Column, table: dict, idx_for) -> Column:
-    """Pick from the list of the rating class: positive / neutral / negative."""
-    out = None
-    for name in ("positive", "neutral", "negative"):
-        v = X.pick_from(table[name], idx_for(len(table[name])))
-        out = F.when(cls == name, v) if out is None else out.when(cls == name, v)
-    return out
+CLASS_ORDER = ("positive", "neutral", "negative")
+ALL_TEMPLATES = [t for c in CLASS_ORDER for t in TEMPLATES[c]]
+ALL_ADJECTIVES = [w for c in CLASS_ORDER for w in ADJECTIVES[c]]
+_PER_CLASS = len(K.POSITIVE_TEMPLATES)
+assert all(len(TEMPLATES[c]) == _PER_CLASS and len(ADJECTIVES[c]) == _PER_CLASS for c in CLASS_ORDER)
+
+
+def _class_offset(cls: Column) -> Column:
+    """Start of the rating class's block in the concatenated lists (every class has 20 entries)."""
+    return (F.when(cls == "positive", 0).when(cls == "neutral", _PER_CLASS).otherwise(2 * _PER_CLASS))
 
 
 def review_text(rating, keys, salt: str = "review") -> Column:
-    """template of the rating's class filled with four adjectives of that class."""
-    cls = X.rating_class(rating)
+    """template of the rating's class filled with four adjectives of that class.
+
+    Each pick is the hash pick within the class's 20 entries, looked up at the
+    class's offset in one concatenated list — one lookup per pick, no CASE per
+    class (expressions inside a CASE branch are not shared, so nested
+    per-class CASEs would recompute the rating many times).
+    """
     keys = keys if isinstance(keys, (list, tuple)) else [keys]
-    template = _by_class(cls, TEMPLATES, lambda n: X.hash_pick(f"{salt}:template", keys, n))
-    words = [_by_class(cls, ADJECTIVES, lambda n, i=i: X.hash_pick(f"{salt}:adjective{i}", keys, n))
+    off = _class_offset(X.rating_class(rating))
+    template = X.pick_from(ALL_TEMPLATES, off + X.hash_pick(f"{salt}:template", keys, _PER_CLASS))
+    words = [X.pick_from(ALL_ADJECTIVES, off + X.hash_pick(f"{salt}:adjective{i}", keys, _PER_CLASS))
              for i in range(1, 5)]
     return X.fill_template(template, words)
 
@@ -93,26 +102,44 @@ def top_up_groups(children: DataFrame, parents: DataFrame, key: str, pos: str =
     return children.unionByName(added, allowMissingColumns=True)
 
 
-def top_up_nested(df: DataFrame, array_col: str, keys: list, min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
-                  gen=None, salt: str = "topup") -> DataFrame:
-    """A6 on nested records: pad each row's array to ``min_count`` elements in place.
+def pad_children(df: DataFrame, array_col: str, keys: list, keep: list | None = None,
+                 min_count: int = K.MIN_REVIEWS_PER_HOSPITAL, gen=None, salt: str = "topup",
+                 pos: str = "pos", fanout_partitions: int | None = None) -> DataFrame:
+    """A6 for parents that hold their children as a bounded array: flat, padded rows.
 
-    Like ``top_up_groups`` but for a parent that already holds its children
-    as a bounded array (a hospital with its reviews): existing elements are
-    kept in order, generated ones take positions n..min_count-1, and a row at
-    or above the minimum is unchanged (idempotent).  A narrow, per-row
-    expression — no aggregate, no join, no shuffle.  ``gen(key_cols, pos)``
-    returns one element; by default a synthetic review keyed by
-    (keys…, position).
+    Each parent yields its existing children at positions 0..n-1 and
+    generated ones at n..min_count-1 (``gen(key_cols, pos)``; by default a
+    synthetic review keyed by (keys…, position)).  Parents at or above the
+    minimum are only flattened; padding again adds nothing.  One generator
+    over small (position, existing?, child) slots and one projection — the
+    input is read once, with no aggregate and no join.
+
+    ``fanout_partitions``: the padding fans rows out up to ``min_count``-fold,
+    but a preceding shuffle was sized (and AQE-coalesced) for the small
+    input; a count re-spreads the input by key first (dropped by the
+    optimizer when the input is already partitioned that way).
     """
-    elem = df.schema[array_col].dataType
-    gen = gen or (lambda ks, p: synthetic_review([*ks, p], salt))
-    key_cols = [F.col(k) for k in keys]
-    arr = F.coalesce(F.col(array_col), F.array().cast(elem))
+    keep = list(dict.fromkeys([*keys, *(keep or [])]))
+    if fanout_partitions:
+        df = df.repartition(fanout_partitions, *keys)
+    elem = df.schema[array_col].dataType.elementType
+    arr = F.coalesce(F.col(array_col), F.array().cast(df.schema[array_col].dataType))
     n = F.size(arr)
-    todo = F.filter(F.sequence(F.lit(0), F.lit(min_count - 1)), lambda p: p >= n)
-    pad = F.transform(todo, lambda p: gen(key_cols, p)).cast(elem)
-    return df.withColumn(array_col, F.concat(arr, pad))
+    real = F.transform(arr, lambda c, i: F.struct(i.alias("p"), F.lit(True).alias("real"), c.alias("c")))
+    extra = F.transform(F.filter(F.sequence(F.lit(0), F.lit(min_count - 1)), lambda p: p >= n),
+                        lambda p: F.struct(p.alias("p"), F.lit(False).alias("real"), F.lit(None).cast(elem).alias("c")))
+    slots = df.select(*keep, F.explode(F.concat(real, extra)).alias("__s")) \
+        .select(*keep, F.col("__s.p").alias(pos), F.col("__s.real").alias("__real"), F.col("__s.c").alias("__c0"))
+    key_cols = [F.col(k) for k in keys]
+    if gen is None:
+        # the rating is drawn once, outside the CASE below (CASE branches share nothing)
+        slots = slots.withColumn("__rating", X.hash_int(f"{salt}:rating", [*key_cols, F.col(pos)],
+                                                        *K.SYNTHETIC_REVIEW_RATING))
+        made = synthetic_review([*key_cols, F.col(pos)], salt, rating=F.col("__rating"))
+    else:
+        made = gen(key_cols, F.col(pos))
+    child = F.when(F.col("__real"), F.col("__c0")).otherwise(made.cast(elem))
+    return slots.select(*keep, pos, child.alias("__c")).select(*keep, pos, "__c.*")
 
 
 def generate_hospitals(cities: DataFrame, city: str = "city", per_city: int = K.SYNTHETIC_HOSPITALS_PER_CITY,

@@ -61,6 +61,20 @@ def lexicon_score(df: DataFrame, text: str, positive: list = K.ADJECTIVES_POSITI
     return df.withColumn(f"{prefix}score", score).withColumn(f"{prefix}label", X.score_label(f"{prefix}score"))
 
 
+def lexicon_classify(df: DataFrame, text: str, lexicons=(K.ADJECTIVES_NEGATIVE, K.ADJECTIVES_NEUTRAL,
+                                                        K.ADJECTIVES_POSITIVE),
+                     id2label: dict | None = None, label_col: str = "sentiment") -> DataFrame:
+    """U1 in Catalyst: logits = word counts per lexicon, argmax → label; blank → ''.
+
+    Same rule as ``LexiconClassifier`` through ``label_text``, without a
+    Python worker.
+    """
+    id2label = id2label or dict(enumerate(K.RATING_CLASSES))
+    logits = F.array(*[lexicon_count(text, lex).cast("double") for lex in lexicons])
+    name = X.lookup(id2label, X.argmax(logits))
+    return df.withColumn(label_col, F.when(X.is_blank(text), F.lit("")).otherwise(name))
+
+
 # --------------------------------------------------------- pluggable scorers
 
 class LexiconScorer:

@@ -87,12 +87,14 @@ def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_label
     rows by default.  ``native=True`` scores with the Catalyst lexicon (no
     Python worker); otherwise ``scorer`` runs as an Arrow-batched pandas UDF.
     ``variant="model"``: a classifier's argmax label (blank text → ''), over
-    every row unless ``skip_labelled``; ``scorer`` is the classifier.
+    every row unless ``skip_labelled``; ``scorer`` is the classifier (a
+    pandas UDF), or the native lexicon classifier when none is given.
     """
     todo = C.only_unlabelled(reviews, "sentiment") if skip_labelled else reviews
     todo = todo.drop("sentiment")
     if variant == "model":
-        scored = SE.label_text(todo, "review", scorer)
+        scored = SE.lexicon_classify(todo, "review") if (native and scorer is None) \
+            else SE.label_text(todo, "review", scorer)
     elif native and scorer is None:
         scored = SE.lexicon_score(todo, "review", prefix="__")
         scored = scored.withColumns({"sentiment": F.col("__label"),
@@ -127,39 +129,53 @@ REVIEW_CHILD_COLUMNS = ["author_name", "author_url", "language", "original_langu
 def land_reviews_frame(places: DataFrame, details: DataFrame, key: str = "place_id",
                        limit: int = K.REAL_REVIEWS_LIMIT, min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
                        salt: str = "land") -> DataFrame:
-    """Flow B landing side: one row per place with its padded ``reviews`` array.
-
-    Successful details are attached (failed or missing ones drop the place)
-    and their first ``limit`` reviews kept; missing fields get defaults; each
-    place's array is padded in place to ``min_count`` with generated reviews.
-    After the attach join everything is a per-row expression on a bounded
-    array — no further shuffle.  The place's own columns are kept as they
-    are (its rating should be called ``hospital_rating``).
+    """Flow B landing side, flat: one row per (place, review position).
+
+    Successful details are attached (failed or missing ones drop the place),
+    the first ``limit`` reviews kept, every place padded to ``min_count``
+    reviews with generated ones, and missing fields defaulted.  After the
+    attach join (one shuffle on the key) everything is a generator and a
+    projection, and the rows stay partitioned by the key.  The place's own
+    columns are repeated on every row (its rating should be called
+    ``hospital_rating``).
     """
     from reviewflow.operators import assemble as AS
     from reviewflow.operators import augment as AU
 
     places = C.with_defaults(places, {k: v for k, v in review_defaults().items() if k in places.columns})
     attached = AS.attach_details(places, details, key=key, limit=limit)
-    attached = C.with_element_defaults(attached, "reviews", child_defaults())
-    return AU.top_up_nested(attached, "reviews", [key], min_count=min_count, salt=salt)
+    parent_cols = [c for c in attached.columns if c not in (key, "reviews")]
+    fanout = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flat = AU.pad_children(attached, "reviews", [key], keep=parent_cols, min_count=min_count, salt=salt,
+                           fanout_partitions=fanout)
+    return C.with_defaults(flat, {k: v for k, v in child_defaults().items() if k in flat.columns})
 
 
-def review_documents_frame(places: DataFrame, city: str = "city", key: str = "place_id",
+def review_documents_frame(flat: DataFrame, city: str = "city", key: str = "place_id",
+                           min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
                            disclaimer: str = K.DEFAULT_DISCLAIMER) -> DataFrame:
-    """Landed review documents from ``land_reviews_frame`` rows, one per place:
-    ``{"disclaimer":…, "data":[hospital]}`` plus ``city_slug`` (no grouping)."""
+    """Nest ``land_reviews_frame`` rows back into landed review documents, one per place:
+    ``{"disclaimer":…, "data":[hospital]}`` plus ``city_slug``.
+
+    The rows are already partitioned by the key and each place holds a
+    bounded number of reviews, so the nesting reuses that partitioning
+    (``spread=False``) instead of shuffling again.
+    """
     from reviewflow.functions import exprs as X
 
-    cols = places.columns
-    parts = [F.col(c) for c in ("name", "formatted_address") if c in cols] + [F.col(key)]
-    if "hospital_rating" in cols:
+    fields = [c for c in REVIEW_CHILD_COLUMNS if c in flat.columns]
+    carry = [c for c in (city, "name", "formatted_address", "hospital_rating", "user_ratings_total")
+             if c in flat.columns]
+    nested = FL.nest_children(flat, [key], "pos", fields, array_name="reviews",
+                              chunk_size=max(min_count, FL.DEFAULT_CHUNK), carry=carry, spread=False)
+    parts = [F.col(c) for c in ("name", "formatted_address") if c in carry] + [F.col(key)]
+    if "hospital_rating" in carry:
         parts.append(F.col("hospital_rating").alias("rating"))
-    if "user_ratings_total" in cols:
+    if "user_ratings_total" in carry:
         parts.append(F.col("user_ratings_total"))
     hospital = F.struct(*parts, F.col("reviews"))
-    slug = X.slug(city) if city in cols else F.lit(None).cast("string")
-    return places.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
+    slug = X.slug(city) if city in carry else F.lit(None).cast("string")
+    return nested.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
                          F.array(hospital).alias("data"))
 
 

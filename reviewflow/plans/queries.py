@@ -282,7 +282,7 @@ def q_attach_details(spark, sf_dir):
     """Places ⋈ successful details, first 5 reviews kept; failed/missing details drop the place."""
     places = _t(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("place_id"), "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    details = D.lineitem_details(_t(spark, sf_dir, "lineitem"), K.REAL_REVIEWS_LIMIT)
+    details = D.lineitem_details(_t(spark, sf_dir, "lineitem", spread_rows=True), K.REAL_REVIEWS_LIMIT)
     joined = AS.attach_details(places, details, key="place_id", limit=K.REAL_REVIEWS_LIMIT)
     flat = FL.explode_children(joined, "reviews",
                                ["place_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
@@ -565,7 +565,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1
 """)
 def q_dedup_key(spark, sf_dir):
     """K1/K2: one row per key (latest, then lowest id); NULL keys dropped."""
-    ev = C.require(_t(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value"), ["user_id"])
+    ev = C.require(_t(spark, sf_dir, "events", spread_rows=True).select("user_id", "event_id", "ts", "value"),
+                   ["user_id"])
     return C.dedup_on_key(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").asc()])
 
 
@@ -679,9 +680,8 @@ def q_land_reviews(spark, sf_dir):
     A6 pad each hospital to 100 reviews with generated ones (flat rows, ready to nest and land)."""
     conv = _t(spark, sf_dir, "conversations")
     places = D.conversation_hospitals(conv).drop("name")
-    padded = PL.land_reviews_frame(places, D.conversation_details(conv), key="place_id",
-                                   limit=K.REAL_REVIEWS_LIMIT, min_count=K.MIN_REVIEWS_PER_HOSPITAL, salt="land")
-    flat = FL.explode_children(padded, "reviews", ["place_id", "formatted_address"], pos="pos")
+    flat = PL.land_reviews_frame(places, D.conversation_details(conv), key="place_id",
+                                 limit=K.REAL_REVIEWS_LIMIT, min_count=K.MIN_REVIEWS_PER_HOSPITAL, salt="land")
     cols = ["author_name", "rating", "text", "time", "translated", "original_language", "review_type", "date"]
     return flat.select("place_id", "formatted_address", "pos", *cols)
 

@@ -64,21 +64,24 @@ def test_generate_hospitals_counts(spark):
     assert df.filter(F.col("place_id").isNotNull()).count() == 0
 
 
-def test_top_up_nested_pads_in_place_and_is_idempotent(spark):
+def test_pad_children_flat_and_idempotent(spark):
     from reviewflow import schemas as S
     rev = {"author_name": "Ann", "rating": 5, "text": "great", "time": 1}
     df = spark.createDataFrame([("a", [rev] * 3), ("b", None), ("c", [rev] * 12)],
                                S.T.StructType([S.T.StructField("k", S.T.StringType()),
                                                S.T.StructField("reviews", S.T.ArrayType(S.REVIEW))]))
-    once = AU.top_up_nested(df, "reviews", ["k"], min_count=10)
-    sizes = {r.k: len(r.reviews) for r in once.collect()}
+    flat = AU.pad_children(df, "reviews", ["k"], min_count=10)
+    sizes = {r.k: r.n for r in flat.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert sizes == {"a": 10, "b": 10, "c": 12}
-    a = [r for r in once.collect() if r.k == "a"][0].reviews
+    a = flat.filter("k = 'a'").orderBy("pos").collect()
     assert [x.author_name for x in a[:3]] == ["Ann"] * 3 and all(x.review_type == "fake" for x in a[3:])
-    twice = AU.top_up_nested(once, "reviews", ["k"], min_count=10)
-    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
-    plan = once._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert [x.pos for x in a] == list(range(10))
+    assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
+    # padding the re-nested rows again adds nothing
+    from reviewflow.operators.flatten import nest_children
+    again = nest_children(flat, ["k"], "pos", list(S.REVIEW.fieldNames()), array_name="reviews", chunk_size=100)
+    flat2 = AU.pad_children(again.drop("chunk"), "reviews", ["k"], min_count=10)
+    assert flat2.count() == flat.count() and flat2.exceptAll(flat.select(flat2.columns)).count() == 0
 
 
 def test_with_element_defaults(spark):

@@ -44,3 +44,12 @@ def test_train_scorer_runs(spark):
     rows = out.collect()
     assert {r.sentiment for r in rows} <= {"Negative", "Positive"} and all(0 <= r.sentiment_score <= 1 for r in rows)
     assert F is not None
+
+
+def test_native_classifier_equals_pandas_classifier(spark):
+    texts = ["superb and outstanding", "   \n", None, "mediocre", "nothing", "poor poor fine great", "okay fine"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    a = {r.id: r.sentiment for r in SE.label_text(df, "t").collect()}
+    b = {r.id: r.sentiment for r in SE.lexicon_classify(df, "t").collect()}
+    assert a == b
+    assert "ArrowEvalPython" not in SE.lexicon_classify(df, "t")._jdf.queryExecution().executedPlan().toString()
