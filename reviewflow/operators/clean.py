@@ -10,13 +10,28 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewflow.schemas import TableSpec
 
 
 def require(df: DataFrame, cols: list) -> DataFrame:
-    """Drop rows where any required column is NULL (or NaN for floating types)."""
-    return df.dropna(how="any", subset=list(cols))
+    """Drop rows where any required column is NULL (or NaN for floating types).
+
+    Same rows as ``dropna(how="any", subset=cols)``, written as plain
+    ``IS NOT NULL`` / ``NOT isnan`` predicates: Catalyst folds them away for
+    columns that can never be NULL, and pushes the rest to the scan.
+    (``dropna``'s AtLeastNNonNulls is opaque: pushed below a projection it
+    drags the projected expressions along and evaluates them twice.)
+    """
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    cond = None
+    for c in cols:
+        ok = F.col(c).isNotNull()
+        if isinstance(types.get(c), (T.FloatType, T.DoubleType)):
+            ok = ok & ~F.isnan(F.col(c))
+        cond = ok if cond is None else cond & ok
+    return df if cond is None else df.filter(cond)
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:

@@ -40,9 +40,14 @@ def tokens(text) -> Column:
     return F.split(F.lower(F.col(text) if isinstance(text, str) else text), TOKEN_SPLIT)
 
 
-def lexicon_count(text, words: list) -> Column:
+def count_in(toks, words: list) -> Column:
+    """Number of tokens (an array column) that are in ``words``."""
     lit = F.array(*[F.lit(w) for w in sorted(set(words))])
-    return F.size(F.filter(tokens(text), lambda t: F.array_contains(lit, t)))
+    return F.size(F.filter(F.col(toks) if isinstance(toks, str) else toks, lambda t: F.array_contains(lit, t)))
+
+
+def lexicon_count(text, words: list) -> Column:
+    return count_in(tokens(text), words)
 
 
 def lexicon_score(df: DataFrame, text: str, positive: list = K.ADJECTIVES_POSITIVE,
@@ -51,9 +56,9 @@ def lexicon_score(df: DataFrame, text: str, positive: list = K.ADJECTIVES_POSITI
 
     NULL text scores NULL.
     """
-    p = lexicon_count(text, positive)
-    n = lexicon_count(text, negative)
-    df = df.withColumns({f"{prefix}n_pos": p, f"{prefix}n_neg": n})
+    df = df.withColumn("__tok", tokens(text))          # split once, count per lexicon
+    df = df.withColumns({f"{prefix}n_pos": count_in("__tok", positive),
+                         f"{prefix}n_neg": count_in("__tok", negative)}).drop("__tok")
     pc, nc = F.col(f"{prefix}n_pos"), F.col(f"{prefix}n_neg")
     score = F.when(F.col(text).isNull(), F.lit(None).cast("double")) \
         .when(pc + nc == 0, F.lit(0.0)) \
@@ -70,9 +75,14 @@ def lexicon_classify(df: DataFrame, text: str, lexicons=(K.ADJECTIVES_NEGATIVE,
     Python worker.
     """
     id2label = id2label or dict(enumerate(K.RATING_CLASSES))
-    logits = F.array(*[lexicon_count(text, lex).cast("double") for lex in lexicons])
-    name = X.lookup(id2label, X.argmax(logits))
-    return df.withColumn(label_col, F.when(X.is_blank(text), F.lit("")).otherwise(name))
+    # tokens and logits get their own projections: each is read several times,
+    # and nothing inside a CASE branch is shared, so inlined they would be
+    # recomputed per reference
+    out = df.withColumn("__tok", tokens(text))
+    logits = F.array(*[count_in("__tok", lex).cast("double") for lex in lexicons])
+    out = out.withColumn("__logits", F.when(~X.is_blank(text), logits)).drop("__tok")
+    name = X.lookup(id2label, X.argmax(F.col("__logits")))
+    return out.withColumn(label_col, F.when(X.is_blank(text), F.lit("")).otherwise(name)).drop("__logits")
 
 
 # --------------------------------------------------------- pluggable scorers
