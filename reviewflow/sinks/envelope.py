@@ -27,18 +27,27 @@ def landing_name(city, ts, folder: str | None = None, kind: str = "reviews") ->
 
 
 def write_envelope(docs: DataFrame, path: str, partition_col: str | None = "city_slug",
-                   root: str = "data", constants: dict | None = None, mode: str = "append") -> None:
+                   root: str = "data", constants: dict | None = None, mode: str = "append",
+                   rebalance: bool = True) -> None:
     """Write documents (one row each, holding the ``root`` array) to any Hadoop path.
 
     ``constants`` become top-level document fields (e.g. a disclaimer).
     NULL fields are written as ``null`` so the shape of every record is
     complete.  The path can be local (``file:``) or any shared file system.
+
+    ``rebalance``: documents arrive scattered by place, so every task would
+    write a file into every city folder.  A REBALANCE on the city groups a
+    city's documents into few, advisory-sized files, and AQE splits a city
+    that is too big for one task instead of funnelling it into one.
     """
     fields = [F.lit(v).alias(k) for k, v in (constants or {}).items()]
     cols = fields + [F.col(root)]
     if partition_col:
         cols.append(F.col(partition_col))
-    w = docs.select(*cols).write.mode(mode).option("ignoreNullFields", "false")
+    out = docs.select(*cols)
+    if partition_col and rebalance:
+        out = out.hint("rebalance", partition_col)
+    w = out.write.mode(mode).option("ignoreNullFields", "false")
     if partition_col:
         w = w.partitionBy(partition_col)
     w.json(path)

@@ -131,3 +131,15 @@ def test_jdbc_options_are_assembled_without_connecting():
     assert o == {"url": "jdbc:mysql://h/db", "dbtable": "t", "user": "u", "password": "p", "driver": "drv",
                  "batchsize": "1000"}
     assert _quote("it's") == "'it''s'"
+
+
+def test_envelope_rebalance_keeps_few_files_per_city(spark, tmp_path):
+    conv = D.table(spark, SF_SMALL, "conversations").repartition(6)
+    docs = D.review_documents(conv).withColumn("city_slug", F.col("city"))
+    out = str(tmp_path / "rebalanced")
+    EN.write_envelope(docs, out, root="data", constants={"disclaimer": "x"}, mode="overwrite")
+    cities = [d for d in os.listdir(out) if d.startswith("city_slug=")]
+    files = sum(len([f for f in os.listdir(os.path.join(out, c)) if f.endswith(".json")]) for c in cities)
+    assert files <= 2 * len(cities)
+    back = scan_landing(spark, out, S.REVIEWS_DOCUMENT)
+    assert PL.reviews_frame(back, "2025-01-01 00:00:00").count() == conv.count()
