@@ -93,11 +93,13 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``reviewflow`` importable in executor Python workers (pandas UDFs).
 
     Zips the package once per SparkContext into the shared checkpoint folder
-    and registers it with ``addPyFile``; Spark then puts it on every Python
-    worker's path.  Nothing to do when the package is installed on the
-    executors already — the zip only shadows an identical copy.
+    (through the Hadoop FileSystem API, so any shared file system works) and
+    registers it with ``addPyFile``; Spark then puts it on every Python
+    worker's path.  Harmless when the package is installed on the executors
+    already.
     """
     import hashlib
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -110,26 +112,26 @@ def ship_package(spark: SparkSession) -> None:
         if "__pycache__" in root:
             continue
         files += [os.path.join(root, n) for n in sorted(names) if n.endswith(".py")]
+    files.sort()
     digest = hashlib.sha1()
-    for f in sorted(files):
-        with open(f, "rb") as fh:
-            digest.update(f.encode() + fh.read())
-    target_dir = os.path.join(checkpoint_root(spark), "pyfiles")
-    target = os.path.join(target_dir, f"reviewflow-{digest.hexdigest()[:12]}.zip")
-    local = target[len("file:"):] if target.startswith("file:") else target
-    if "://" not in local:
-        os.makedirs(os.path.dirname(local), exist_ok=True)
-        if not os.path.exists(local):
-            with zipfile.ZipFile(local + ".part", "w", zipfile.ZIP_DEFLATED) as z:
-                for f in files:
-                    z.write(f, os.path.relpath(f, os.path.dirname(pkg_dir)))
-            os.replace(local + ".part", local)
-        sc.addPyFile(local)
-    else:  # remote shared file system: build locally on the driver, Spark ships it
-        import tempfile
-        tmp = os.path.join(tempfile.mkdtemp(prefix="reviewflow-pyfiles-"), os.path.basename(local))
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
-            for f in files:
-                z.write(f, os.path.relpath(f, os.path.dirname(pkg_dir)))
-        sc.addPyFile(tmp)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in files:
+            with open(f, "rb") as fh:
+                data = fh.read()
+            digest.update(f.encode() + data)
+            info = zipfile.ZipInfo(os.path.relpath(f, os.path.dirname(pkg_dir)), date_time=(2020, 1, 1, 0, 0, 0))
+            z.writestr(info, data, zipfile.ZIP_DEFLATED)
+    target = f"{checkpoint_root(spark).rstrip('/')}/pyfiles/reviewflow-{digest.hexdigest()[:12]}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        tmp = jvm.org.apache.hadoop.fs.Path(target + f".{uuid.uuid4().hex[:8]}.part")
+        out = fs.create(tmp, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+        if not fs.rename(tmp, path) and not fs.exists(path):
+            raise OSError(f"could not publish {target}")
+    sc.addPyFile(target)
     _SHIPPED.add(key)
