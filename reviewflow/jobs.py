@@ -58,6 +58,8 @@ def main(argv: list | None = None) -> dict:
     lr.add_argument("--places", required=True)
     lr.add_argument("--details", required=True)
     lr.add_argument("--out", required=True)
+    for name in ("load-places", "load-reviews", "label-reviews"):
+        sub.choices[name].add_argument("--rejects", help="parquet path for rows that do not fit the target")
     for j in sub.choices.values():
         j.add_argument("--jdbc-url")
         j.add_argument("--user")
@@ -71,13 +73,13 @@ def main(argv: list | None = None) -> dict:
     url = jdbc.pop("url", None)
     if args.job == "load-places":
         out = PL.load_places(spark, args.landing, load_ts, table=args.table or PL.S.HOSPITAL_LISTS.name,
-                             url=url, multi_line=args.multi_line, **jdbc)
+                             url=url, multi_line=args.multi_line, rejects_path=args.rejects, **jdbc)
     elif args.job == "load-reviews":
         out = PL.load_reviews(spark, args.landing, load_ts, table=args.table or PL.S.HOSPITAL_REVIEWS.name,
-                              url=url, multi_line=args.multi_line, **jdbc)
+                              url=url, multi_line=args.multi_line, rejects_path=args.rejects, **jdbc)
     elif args.job == "label-reviews":
         out = PL.label_reviews(spark, args.source_table, args.target_table, scorer=_scorer(args.scorer), url=url,
-                               variant=args.variant, **jdbc)
+                               variant=args.variant, rejects_path=args.rejects, **jdbc)
     elif args.job == "land-places":
         PL.land_places(spark, spark.read.parquet(args.pages), args.out)
         out = {"written": True}

@@ -21,7 +21,7 @@ from reviewflow import schemas as S
 from reviewflow.operators import clean as C
 from reviewflow.operators import flatten as FL
 from reviewflow.operators import sentiment as SE
-from reviewflow.sinks.tables import guarded_append
+from reviewflow.sinks.tables import guarded_append_rows, observed
 from reviewflow.sources.landing import landed_file_count, scan_landing
 
 PLACE_REQUIRED = ["name", "rating", "address", "latitude", "longitude"]
@@ -36,12 +36,29 @@ def places_frame(docs: DataFrame, load_ts) -> DataFrame:
     return C.conform_to_schema(flat, S.HOSPITAL_LISTS)
 
 
+def _append_with_rejects(conformed: DataFrame, table: str, url, rejects_path: str | None, jdbc: dict) -> dict:
+    """Append the conforming rows; write the others to ``rejects_path`` (parquet) when given.
+
+    Nothing is dropped silently: the returned counts cover both parts.
+    """
+    good, bad = C.split_conformed(conformed)
+    rows = guarded_append_rows(good, table, url, **jdbc)
+    out = {"written": rows is not None, "rows": rows or 0}
+    if rejects_path:
+        bad_obs, obs = observed(bad)
+        bad_obs.write.mode("append").parquet(rejects_path)
+        out["rejected"] = obs.get["rows"]
+    return out
+
+
 def load_places(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL_LISTS.name,
-                url: str | None = None, multi_line: bool = True, **jdbc) -> dict:
+                url: str | None = None, multi_line: bool = False, rejects_path: str | None = None,
+                **jdbc) -> dict:
+    """Flow A job.  ``multi_line=True`` for pretty-printed single documents per file
+    (the source's landing); the default reads JSON Lines (this library's landing)."""
     docs = scan_landing(spark, path, S.PLACES_DOCUMENT, multi_line=multi_line)
-    good, bad = C.split_conformed(places_frame(docs, load_ts))
-    written = guarded_append(good, table, url, **jdbc)
-    return {"files": landed_file_count(docs), "written": written}
+    out = _append_with_rejects(places_frame(docs, load_ts), table, url, rejects_path, jdbc)
+    return {"files": landed_file_count(docs), **out}
 
 
 # ------------------------------------------------------------------ flow B
@@ -61,11 +78,12 @@ def reviews_frame(docs: DataFrame, load_ts) -> DataFrame:
 
 
 def load_reviews(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL_REVIEWS.name,
-                 url: str | None = None, multi_line: bool = True, **jdbc) -> dict:
+                 url: str | None = None, multi_line: bool = False, rejects_path: str | None = None,
+                 **jdbc) -> dict:
+    """Flow B job (see ``load_places`` for ``multi_line``)."""
     docs = scan_landing(spark, path, REVIEW_READ_SCHEMA, multi_line=multi_line)
-    good, bad = C.split_conformed(reviews_frame(docs, load_ts))
-    written = guarded_append(good, table, url, **jdbc)
-    return {"files": landed_file_count(docs), "written": written}
+    out = _append_with_rejects(reviews_frame(docs, load_ts), table, url, rejects_path, jdbc)
+    return {"files": landed_file_count(docs), **out}
 
 
 def review_defaults() -> dict:
@@ -109,15 +127,14 @@ def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_label
 
 
 def label_reviews(spark: SparkSession, source_table: str, target_table: str | None = None,
-                  scorer=None, url: str | None = None, variant: str = "score", **jdbc) -> dict:
+                  scorer=None, url: str | None = None, variant: str = "score", rejects_path: str | None = None,
+                  **jdbc) -> dict:
     """Flow C job: read the reviews table, label, append to the sentiment table if it exists."""
     spec = S.MODEL_SENTIMENT if variant == "model" else S.SCORE_SENTIMENT
     reviews = spark.table(source_table)
     frame = label_frame(reviews, scorer, native=scorer is None, skip_labelled=variant != "model",
                         spec=spec, variant=variant)
-    good, bad = C.split_conformed(frame)
-    written = guarded_append(good, target_table or spec.name, url, **jdbc)
-    return {"written": written}
+    return _append_with_rejects(frame, target_table or spec.name, url, rejects_path, jdbc)
 
 
 # ------------------------------------------------------ landing (extraction)

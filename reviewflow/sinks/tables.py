@@ -39,8 +39,8 @@ def append_catalog_table(df: DataFrame, table: str) -> int:
     return obs.get["rows"]
 
 
-def guarded_append(df: DataFrame, table: str, url: str | None = None, **jdbc) -> bool:
-    """Append only if the target exists; otherwise skip with a notice.
+def guarded_append_rows(df: DataFrame, table: str, url: str | None = None, **jdbc) -> int | None:
+    """Append only if the target exists; rows written, or None when skipped (with a notice).
 
     With ``url`` the check runs against the database catalog (exact name);
     without it, against the session catalog.
@@ -50,9 +50,12 @@ def guarded_append(df: DataFrame, table: str, url: str | None = None, **jdbc) ->
         if url else spark.catalog.tableExists(table)
     if not exists:
         print(f"target table {table} does not exist; load skipped")
-        return False
+        return None
     if url:
-        append_table(df, table, url, **jdbc)
-    else:
-        append_catalog_table(df, table)
-    return True
+        return append_table(df, table, url, **jdbc)
+    return append_catalog_table(df, table)
+
+
+def guarded_append(df: DataFrame, table: str, url: str | None = None, **jdbc) -> bool:
+    """As ``guarded_append_rows``; True when the target existed and the rows were appended."""
+    return guarded_append_rows(df, table, url, **jdbc) is not None

@@ -76,3 +76,22 @@ def test_jobs_entry_point(spark, tmp_path):
     res = jobs.main(["label-reviews", "--source-table", "rf_jobs.hospitals_reviews_ingestion",
                      "--target-table", "rf_jobs.gcp_hospital_sentiment"])
     assert res["written"] and spark.table("rf_jobs.gcp_hospital_sentiment").count() > 0
+
+
+def test_load_with_rejects_counts_every_row(spark, tmp_path):
+    """Over-long place_id (VARCHAR(100)) rows go to the rejects path, the rest to the table."""
+    places = spark.createDataFrame([("p" * 150, "Long", "a", 4.0, 1, "Pune"), ("ok", "Short", "b", 3.0, 1, "Pune")],
+                                   "place_id string, name string, formatted_address string, hospital_rating double, "
+                                   "user_ratings_total long, city string")
+    details = spark.createDataFrame([{"place_id": "p" * 150, "ok": True, "fetched_at": datetime(2024, 1, 1),
+                                      "reviews": []},
+                                     {"place_id": "ok", "ok": True, "fetched_at": datetime(2024, 1, 1),
+                                      "reviews": []}], S.DETAIL)
+    land, rej = str(tmp_path / "land"), str(tmp_path / "rej")
+    PL.land_reviews(spark, places, details, land, min_count=3)
+    spark.sql("CREATE DATABASE IF NOT EXISTS rf_rej")
+    S.create_target_tables(spark, "rf_rej")
+    res = PL.load_reviews(spark, land, "2025-01-01 00:00:00", table="rf_rej.hospitals_reviews_ingestion",
+                          rejects_path=rej)
+    assert res == {"files": res["files"], "written": True, "rows": 3, "rejected": 3}
+    assert spark.read.parquet(rej).filter("_errors = 'place_id'").count() == 3
