@@ -453,7 +453,7 @@ def _generate_hospitals_sql() -> str:
     review_cols = ",\n       ".join(f"{v} AS {k}" for k, v in r.items())
     return f"""
 WITH h AS (
-  SELECT n_name AS city, CAST(unnest(generate_series(0, 4)) AS INTEGER) AS hospital_no FROM nation),
+  SELECT s_name AS city, CAST(unnest(generate_series(0, 4)) AS INTEGER) AS hospital_no FROM supplier),
 r AS (SELECT *, CAST(unnest(generate_series(0, 99)) AS INTEGER) AS review_no FROM h)
 SELECT city, hospital_no,
        city || ' ' || {types}[{O.pick(O.key_text('hospital:type', hk), 5)} + 1] AS name,
@@ -470,8 +470,9 @@ FROM r
 
 @register("q_generate_hospitals", _generate_hospitals_sql())
 def q_generate_hospitals(spark, sf_dir):
-    """5 synthetic hospitals × 100 generated reviews per city (nation names as cities)."""
-    cities = _t(spark, sf_dir, "nation").select(F.col("n_name").alias("city"))
+    """5 synthetic hospitals × 100 generated reviews per city (supplier names as the city list,
+    which grows with the scale factor)."""
+    cities = _t(spark, sf_dir, "supplier").select(F.col("s_name").alias("city"))
     return AU.generate_hospitals(cities, "city")
 
 
