@@ -71,3 +71,19 @@ def landed_file_count(df: DataFrame) -> int:
     """Number of input files of a scan (from the planner's file index; no data read,
     and only the count crosses into Python)."""
     return len(df._jdf.inputFiles())          # a JVM array reference; only its length is fetched
+
+
+def compact_landing(spark: SparkSession, path, out_path: str, schema: T.StructType, fmt: str = "parquet",
+                    multi_line: bool = True, suffix: str = ".json", mode: str = "append") -> int:
+    """Rewrite landed documents into a splittable format, once.
+
+    Pretty-printed single documents (the source's landing) can only be read
+    one file per task; later loads of the compacted copy (Parquet, or JSON
+    Lines with ``fmt="json"``) split by size and read only the columns they
+    need.  Returns the number of documents written.
+    """
+    from reviewflow.sinks.tables import observed
+
+    docs, obs = observed(scan_landing(spark, path, schema, multi_line=multi_line, suffix=suffix, with_file=True))
+    docs.write.mode(mode).format(fmt).save(out_path)
+    return obs.get["rows"]

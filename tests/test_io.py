@@ -143,3 +143,15 @@ def test_envelope_rebalance_keeps_few_files_per_city(spark, tmp_path):
     assert files <= 2 * len(cities)
     back = scan_landing(spark, out, S.REVIEWS_DOCUMENT)
     assert PL.reviews_frame(back, "2025-01-01 00:00:00").count() == conv.count()
+
+
+def test_compact_landing_to_parquet(spark, landing, tmp_path):
+    from reviewflow.sources.landing import compact_landing
+    out = str(tmp_path / "compact")
+    n = compact_landing(spark, landing, out, S.PLACES_DOCUMENT)
+    assert n == 3
+    docs = spark.read.parquet(out)
+    assert "source_file" in docs.columns
+    good, _ = __import__("reviewflow.operators.clean", fromlist=["x"]).split_conformed(
+        PL.places_frame(docs.drop("source_file"), "2025-01-01 00:00:00"))
+    assert good.count() == 5
