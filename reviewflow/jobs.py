@@ -1,10 +1,15 @@
-"""Batch job entry point for spark-submit.
+"""Batch job entry point.
 
-    spark-submit -m reviewflow.jobs load-places  --landing PATH [--table T | --jdbc-url URL ...]
-    spark-submit -m reviewflow.jobs load-reviews --landing PATH [--table T | --jdbc-url URL ...]
-    spark-submit -m reviewflow.jobs label-reviews --source-table T [--target-table T2] [--scorer module:Class]
-    spark-submit -m reviewflow.jobs land-places  --pages PARQUET --out PATH
-    spark-submit -m reviewflow.jobs land-reviews --places PARQUET --details PARQUET --out PATH
+    python -m reviewflow.jobs load-places   --landing PATH [--table T | --jdbc-url URL ...] [--multi-line] [--rejects P]
+    python -m reviewflow.jobs load-reviews  --landing PATH [--table T | --jdbc-url URL ...] [--multi-line] [--rejects P]
+    python -m reviewflow.jobs label-reviews --source-table T [--target-table T2] [--variant score|model]
+                                             [--scorer module:Class]
+    python -m reviewflow.jobs land-places   --pages PARQUET --out PATH
+    python -m reviewflow.jobs land-reviews  --places PARQUET --details PARQUET --out PATH
+
+On a cluster: ``spark-submit --py-files reviewflow.zip reviewflow/jobs.py <job> …``
+(the master and resources come from spark-submit; executors get the package
+from the zip, and pandas-UDF paths also ship it themselves).
 
 The JDBC password is read from the environment variable named by
 ``--password-env``; no credential is accepted on the command line or kept

@@ -21,3 +21,19 @@ def test_stream_reviews_available_now_is_incremental(spark, tmp_path):
     total = spark.read.parquet(out)
     assert n1 == conv.filter(F.col("conv_id") % 2 == 0).count()
     assert total.count() == conv.count()
+
+
+def test_stream_places_available_now(spark, tmp_path):
+    import json
+    import os
+
+    from reviewflow.streaming import stream_places
+    land, out, ckpt = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    os.makedirs(land)
+    place = {"name": "A", "formatted_address": "x", "geometry": {"location": {"lat": 1.0, "lng": 2.0}},
+             "rating": 4.0, "types": ["hospital"], "place_id": "a"}
+    with open(os.path.join(land, "one.json"), "w") as f:
+        f.write(json.dumps({"results": [place, {**place, "name": "NoGeo", "geometry": None}]}) + "\n")
+    q = stream_places(spark, land, out, "2025-01-01 00:00:00", checkpoint=ckpt, rejects_path=str(tmp_path / "rej"))
+    q.awaitTermination(120)
+    assert [r.name for r in spark.read.parquet(out).collect()] == ["A"]
