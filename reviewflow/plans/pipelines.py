@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewflow import constants as K
 from reviewflow import schemas as S
+from reviewflow.functions import exprs as X
 from reviewflow.operators import clean as C
 from reviewflow.operators import flatten as FL
 from reviewflow.operators import sentiment as SE
@@ -165,7 +166,14 @@ def land_reviews_frame(places: DataFrame, details: DataFrame, key: str = "place_
     fanout = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flat = AU.pad_children(attached, "reviews", [key], keep=parent_cols, min_count=min_count, salt=salt,
                            fanout_partitions=fanout)
-    return C.with_defaults(flat, {k: v for k, v in child_defaults().items() if k in flat.columns})
+    flat = C.with_defaults(flat, {k: v for k, v in child_defaults().items() if k in flat.columns})
+    # fetched reviews are tagged 'real' and dated from their epoch ('N/A' when NULL or 0)
+    tags = {}
+    if "review_type" in flat.columns:
+        tags["review_type"] = F.coalesce(F.col("review_type"), F.lit(K.REAL_REVIEW_TYPE))
+    if "date" in flat.columns and "time" in flat.columns:
+        tags["date"] = F.coalesce(F.col("date"), X.epoch_date("time"))
+    return flat.withColumns(tags) if tags else flat
 
 
 def review_documents_frame(flat: DataFrame, city: str = "city", key: str = "place_id",

@@ -53,6 +53,8 @@ def test_land_reviews_then_load(spark, tmp_path):
     assert counts == {"p1": 20, "p2": 20} and bad.count() == 0
     real = good.filter("place_id = 'p1' and author_name = 'Ann'").collect()
     assert len(real) == 5 and all(r.original_language == "en" and r.translated == 0 for r in real)
+    flat = PL.land_reviews_frame(places, details, min_count=20).filter("author_name = 'Ann'").collect()
+    assert {(r.review_type, r.date) for r in flat} == {("real", "2023-11-14")}
     assert good.filter("place_id = 'p1'").select("address").distinct().first()[0] == "N/A"
     import os
     assert sorted(d for d in os.listdir(out) if d.startswith("city_slug=")) == ["city_slug=new_delhi", "city_slug=pune"]
