@@ -218,21 +218,26 @@ def train_scorer(train: DataFrame, text: str, label: str, num_features: int = 1
     it carries no training summary (which holds the session and must not be
     shipped with the scoring UDFs).
     """
-    from pyspark.ml import Pipeline, PipelineModel
-
-    from reviewflow.session import scratch_path
+    from pyspark import StorageLevel
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="__tok", pattern=TOKEN_SPLIT, toLowercase=True),
-        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
-        IDF(inputCol="__tf", outputCol="__features"),
-        LogisticRegression(featuresCol="__features", labelCol=label, maxIter=max_iter,
-                           predictionCol="__prediction", probabilityCol="__probability",
-                           rawPredictionCol="__raw"),
-    ]
-    model = Pipeline(stages=stages).fit(train)
+    from reviewflow.session import scratch_path
+
+    tok = RegexTokenizer(inputCol=text, outputCol="__tok", pattern=TOKEN_SPLIT, toLowercase=True)
+    htf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
+    # term frequencies are read by the IDF pass and by every optimizer
+    # iteration: tokenise once and keep them (memory, spilling to disk)
+    tf = htf.transform(tok.transform(train)).select(label, "__tf").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        idf = IDF(inputCol="__tf", outputCol="__features").fit(tf)
+        lr = LogisticRegression(featuresCol="__features", labelCol=label, maxIter=max_iter,
+                                predictionCol="__prediction", probabilityCol="__probability",
+                                rawPredictionCol="__raw").fit(idf.transform(tf))
+    finally:
+        tf.unpersist()
+    model = PipelineModel(stages=[tok, htf, idf, lr])
     path = save_path or scratch_path(train.sparkSession, "scorer-model")
     model.write().overwrite().save(path)
     return PipelineModel.load(path)
