@@ -227,12 +227,13 @@ def land_places_frame(pages: DataFrame, city: str = "city", request: str = "requ
 
 def land_reviews(spark: SparkSession, places: DataFrame, details: DataFrame, out_path: str,
                  city: str = "city", **kw) -> None:
-    """Extract job: attach details, pad, nest and write review documents (JSON Lines, folder per city)."""
+    """Extract job: attach details, pad, nest and write review documents (JSON Lines, folder per city).
+    Re-running replaces the cities it writes (dynamic partition overwrite)."""
     from reviewflow.sinks.envelope import write_envelope
 
     docs = review_documents_frame(land_reviews_frame(places, details, **kw), city=city)
     write_envelope(docs, out_path, partition_col="city_slug", root="data",
-                   constants={"disclaimer": K.DEFAULT_DISCLAIMER})
+                   constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
 
 
 def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city") -> None:
@@ -240,5 +241,5 @@ def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str
     from reviewflow.sinks.envelope import write_envelope
 
     docs = land_places_frame(pages, city=city)
-    write_envelope(docs, out_path, partition_col="city_slug" if "city_slug" in docs.columns else None,
-                   root="results")
+    part = "city_slug" if "city_slug" in docs.columns else None
+    write_envelope(docs, out_path, partition_col=part, root="results", mode="overwrite" if part else "append")

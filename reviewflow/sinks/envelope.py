@@ -35,6 +35,10 @@ def write_envelope(docs: DataFrame, path: str, partition_col: str | None = "city
     NULL fields are written as ``null`` so the shape of every record is
     complete.  The path can be local (``file:``) or any shared file system.
 
+    ``mode="overwrite"`` with a partition column replaces only the cities
+    being written (dynamic partition overwrite), so re-running a landing job
+    is idempotent; a failed job commits nothing.
+
     ``rebalance``: documents arrive scattered by place, so every task would
     write a file into every city folder.  A REBALANCE on the city groups a
     city's documents into few, advisory-sized files, and AQE splits a city
@@ -48,6 +52,8 @@ def write_envelope(docs: DataFrame, path: str, partition_col: str | None = "city
     if partition_col and rebalance:
         out = out.hint("rebalance", partition_col)
     w = out.write.mode(mode).option("ignoreNullFields", "false")
+    if partition_col and mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_col:
         w = w.partitionBy(partition_col)
     w.json(path)

@@ -97,3 +97,18 @@ def test_load_with_rejects_counts_every_row(spark, tmp_path):
                           rejects_path=rej)
     assert res == {"files": res["files"], "written": True, "rows": 3, "rejected": 3}
     assert spark.read.parquet(rej).filter("_errors = 'place_id'").count() == 3
+
+
+def test_land_reviews_rerun_is_idempotent(spark, tmp_path):
+    places = spark.createDataFrame([("p1", "H1", "a", 4.0, 1, "Pune"), ("p2", "H2", "b", 3.0, 1, "Goa")],
+                                   "place_id string, name string, formatted_address string, hospital_rating double, "
+                                   "user_ratings_total long, city string")
+    details = spark.createDataFrame([{"place_id": p, "ok": True, "fetched_at": datetime(2024, 1, 1), "reviews": []}
+                                     for p in ("p1", "p2")], S.DETAIL)
+    out = str(tmp_path / "land")
+    PL.land_reviews(spark, places, details, out, min_count=4)
+    PL.land_reviews(spark, places.filter("city = 'Pune'"), details, out, min_count=4)   # re-run one city
+    docs = scan_landing(spark, out, PL.REVIEW_READ_SCHEMA)
+    counts = {r.place_id: r.n for r in PL.reviews_frame(docs, "2025-01-01 00:00:00")
+              .groupBy("place_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"p1": 4, "p2": 4}
