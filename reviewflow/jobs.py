@@ -24,7 +24,7 @@ import json
 import os
 from datetime import datetime
 
-from reviewflow.plans import pipelines as PL
+from reviewflow.plans import flows as PL
 from reviewflow.session import get_session
 
 

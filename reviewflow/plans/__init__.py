@@ -1 +1 @@
-"""Flows (pipelines), stand-in derivations and the registered query catalogue."""
+"""Flows, stand-in derivations and the registered query catalogue."""

@@ -20,7 +20,7 @@ from reviewflow.operators import flatten as FL
 from reviewflow.operators import sentiment as SE
 from reviewflow.plans import derive as D
 from reviewflow.plans import oracle_sql as O
-from reviewflow.plans import pipelines as PL
+from reviewflow.plans import flows as PL
 from reviewflow.plans.registry import register
 
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewflow import schemas as S
 from reviewflow.operators.clean import split_conformed
-from reviewflow.plans import pipelines as PL
+from reviewflow.plans import flows as PL
 from reviewflow.session import checkpoint_root
 
 

@@ -63,7 +63,7 @@ def test_nest_chunks_are_bounded(spark):
 
 
 def test_narrow_schema_keeps_only_named_fields():
-    from reviewflow.plans.pipelines import REVIEW_READ_SCHEMA
+    from reviewflow.plans.flows import REVIEW_READ_SCHEMA
     rev = REVIEW_READ_SCHEMA["data"].dataType.elementType["reviews"].dataType.elementType
     assert "review_type" not in rev.fieldNames() and "text" in rev.fieldNames()
     assert "disclaimer" not in REVIEW_READ_SCHEMA.fieldNames()

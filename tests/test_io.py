@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewflow import schemas as S
 from reviewflow.plans import derive as D
-from reviewflow.plans import pipelines as PL
+from reviewflow.plans import flows as PL
 from reviewflow.sinks import envelope as EN
 from reviewflow.sinks import tables as TB
 from reviewflow.sources.landing import NoLandedFiles, has_landed_file, landed_file_count, scan_landing

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewflow import schemas as S
 from reviewflow.operators.clean import split_conformed
-from reviewflow.plans import pipelines as PL
+from reviewflow.plans import flows as PL
 from reviewflow.sources.landing import scan_landing
 
 
