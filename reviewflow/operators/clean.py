@@ -124,14 +124,15 @@ def _check(c: Column, col) -> tuple[Column, Column]:
     return v, bad
 
 
-def conform_to_schema(df: DataFrame, spec: TableSpec, errors_col: str = "_errors") -> DataFrame:
+def conform_to_schema(df: DataFrame, spec: TableSpec, errors_col: str = "_errors",
+                      keep: list | None = None) -> DataFrame:
     """K3: cast every column to the target type and flag rows that would not fit.
 
     Returns the target columns (converted) plus ``_errors``: the names of the
     violating columns, in table order ('' when the row fits).  Over-long
     VARCHAR, integer overflow (TINYINT/INT), float overflow, unparseable
     DATETIME and NULL in a NOT NULL column are violations.  Missing source
-    columns are NULL.
+    columns are NULL.  ``keep`` columns pass through unchanged (e.g. lineage).
     """
     have = set(df.columns)
     vals, flags = [], []
@@ -140,7 +141,7 @@ def conform_to_schema(df: DataFrame, spec: TableSpec, errors_col: str = "_errors
         v, bad = _check(src, col)
         vals.append(v.alias(col.name))
         flags.append(F.when(bad, F.lit(col.name)))
-    return df.select(*vals, F.concat_ws(",", *flags).alias(errors_col))
+    return df.select(*vals, F.concat_ws(",", *flags).alias(errors_col), *(keep or []))
 
 
 def split_conformed(conformed: DataFrame, errors_col: str = "_errors") -> tuple[DataFrame, DataFrame]:

@@ -204,3 +204,25 @@ def conversation_details(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> Da
     first = nested.filter(F.col("chunk") == 0)
     return first.select("place_id", (F.size("reviews") >= 3).alias("ok"),
                         F.lit(None).cast("timestamp").alias("fetched_at"), "reviews")
+
+
+def conversation_place_pages(conv: DataFrame) -> DataFrame:
+    """Raw search pages whose results are place records: every line of a turn is a place
+    (name = the line, place_id = 'c<conv>-p<page>-<i>', types from the role)."""
+    pages = conversation_pages(conv)
+
+    def place(line, i):
+        return F.struct(
+            line.alias("name"),
+            F.lit("OPERATIONAL").alias("business_status"),
+            F.concat(F.lit("line "), (i + 1).cast("string")).alias("formatted_address"),
+            F.struct(F.struct(F.col("page_no").cast("double").alias("lat"), i.cast("double").alias("lng"))
+                     .alias("location")).alias("geometry"),
+            F.struct(F.lit(True).alias("open_now")).alias("opening_hours"),
+            F.length(line).cast("double").alias("rating"),
+            F.lit(1).cast("long").alias("user_ratings_total"),
+            F.array(F.lit("hospital")).alias("types"),
+            F.concat(F.col("request_id"), F.lit("-p"), F.col("page_no").cast("string"), F.lit("-"),
+                     i.cast("string")).alias("place_id"))
+
+    return pages.withColumn("results", F.transform("results", place))

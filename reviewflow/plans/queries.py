@@ -717,3 +717,21 @@ def q_label_reviews_model(spark, sf_dir):
         "author_name", X.author_id("author_name").alias("author_id"), F.col("text").alias("review"),
         F.lit(None).cast("string").alias("sentiment"))
     return PL.label_frame(reviews, skip_labelled=False, spec=S.MODEL_SENTIMENT, variant="model")
+
+
+@register("q_land_places", f"""
+WITH {_PAGES_CTE}
+SELECT request_id, result AS name, 'OPERATIONAL' AS business_status, 'line ' || (pos + 1) AS address,
+       CAST(page_no AS DOUBLE) AS latitude, CAST(pos AS DOUBLE) AS longitude, 'true' AS open_now,
+       CAST(length(result) AS FLOAT) AS rating, 1 AS user_ratings_total, 'hospital' AS types,
+       request_id || '-p' || page_no || '-' || pos AS place_id,
+       TIMESTAMP '2025-01-01 00:00:00' AS loaddatetime, '' AS _errors
+FROM kept
+""")
+def q_land_places(spark, sf_dir):
+    """Flow A landing side: raw pages → J2 assembly → place documents per request (A8) → A1 load
+    with P4 required columns and K3 conformance (the loaded rows, tagged with their request)."""
+    pages = D.conversation_place_pages(_t(spark, sf_dir, "conversations"))
+    flat = FL.flatten_places(PL.land_places_frame(pages), keep=["request_id"])
+    flat = C.with_audit(C.require(flat, PL.PLACE_REQUIRED), D.FIXED_LOAD_TS)
+    return C.conform_to_schema(flat, S.HOSPITAL_LISTS, keep=["request_id"])
