@@ -33,27 +33,27 @@ def union_batches(*dfs: DataFrame) -> DataFrame:
 
 def page_cuts(pages: DataFrame, request: str = "request_id", page_no: str = "page_no",
               status: str = "status", token: str = "next_page_token", results: str = "results") -> DataFrame:
-    """Pages with a ``bad`` flag, and per request the first bad page (the cut).
+    """Per request, the first bad page (the cut); requests without a bad page have no row.
 
     Page 1 is bad if its status is not OK/ZERO_RESULTS or it has no results
     (the whole request yields nothing).  Page k > 1 is bad if page k-1 is
     missing, page k-1 carried no token, or its own status is not OK.  The
     previous page is found by an equi-join on (request, page_no - 1) — no
     window over a request, so a request with a huge number of pages still
-    spreads over many tasks.
+    spreads over many tasks — and only light columns (no result arrays) take
+    part in that join.
     """
-    p = pages.select(request, page_no, status, token, results).filter(F.col(page_no) >= 1)
-    prev = p.select(F.col(request), (F.col(page_no) + 1).alias(page_no), F.lit(True).alias("__has_prev"),
-                    F.col(token).alias("__prev_token"))
-    j = p.join(prev, [request, page_no], "left")
-    first_bad = (~F.coalesce(F.col(status).isin(*FIRST_PAGE_OK), F.lit(False))) | \
-        (F.coalesce(F.size(results), F.lit(0)) <= 0)
-    next_bad = F.col("__has_prev").isNull() | F.col("__prev_token").isNull() | \
+    light = pages.filter(F.col(page_no) >= 1).select(
+        request, page_no, status, F.col(token).isNotNull().alias("__has_token"),
+        F.coalesce(F.size(results), F.lit(0)).alias("__n"))
+    prev = light.select(F.col(request), (F.col(page_no) + 1).alias(page_no), F.lit(True).alias("__has_prev"),
+                        F.col("__has_token").alias("__prev_token"))
+    j = light.join(prev, [request, page_no], "left")
+    first_bad = (~F.coalesce(F.col(status).isin(*FIRST_PAGE_OK), F.lit(False))) | (F.col("__n") <= 0)
+    next_bad = F.col("__has_prev").isNull() | ~F.coalesce(F.col("__prev_token"), F.lit(False)) | \
         ~F.coalesce(F.col(status) == NEXT_PAGE_OK, F.lit(False))
-    flagged = j.withColumn("bad", F.when(F.col(page_no) == 1, first_bad).otherwise(next_bad)) \
-        .drop("__has_prev", "__prev_token")
-    cuts = flagged.filter("bad").groupBy(request).agg(F.min(page_no).alias("cut"))
-    return flagged, cuts
+    bad = F.when(F.col(page_no) == 1, first_bad).otherwise(next_bad)
+    return j.filter(bad).groupBy(request).agg(F.min(page_no).alias("cut"))
 
 
 def assemble_pages(pages: DataFrame, request: str = "request_id", page_no: str = "page_no",
@@ -61,13 +61,13 @@ def assemble_pages(pages: DataFrame, request: str = "request_id", page_no: str =
                    result_col: str = "result") -> DataFrame:
     """Results of pages 1..k-1 where k is the first bad page, one row per result.
 
-    Output: request, page_no, pos (position within the page), result.
-    ``cuts`` has one row per request with a bad page; AQE turns the join into
-    a broadcast when its measured size is small and splits skewed request
-    partitions otherwise.
+    Output: request, page_no, pos (position within the page), result.  The
+    pages (with their result arrays) are joined once to ``page_cuts`` — one
+    row per request with a bad page — so AQE can broadcast the cuts once
+    measured small, or split a skewed request partition otherwise.
     """
-    flagged, cuts = page_cuts(pages, request, page_no, status, token, results)
-    kept = flagged.join(cuts, request, "left") \
+    cuts = page_cuts(pages, request, page_no, status, token, results)
+    kept = pages.filter(F.col(page_no) >= 1).select(request, page_no, results).join(cuts, request, "left") \
         .filter(F.col(page_no) < F.coalesce(F.col("cut"), F.lit(_NO_CUT)))
     return kept.select(request, page_no, F.posexplode(results).alias("pos", result_col))
 
