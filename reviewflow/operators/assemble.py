@@ -75,20 +75,24 @@ def assemble_pages(pages: DataFrame, request: str = "request_id", page_no: str =
 def request_outcomes(pages: DataFrame, request: str = "request_id", page_no: str = "page_no",
                      status: str = "status", token: str = "next_page_token", results: str = "results") -> DataFrame:
     """Per request — 'failed' (page 1 missing or bad status), 'empty' (no results), or 'ok';
-    with the number of pages and results kept by ``assemble_pages``."""
-    first = pages.filter(F.col(page_no) == 1).select(
-        request,
-        F.when(~F.coalesce(F.col(status).isin(*FIRST_PAGE_OK), F.lit(False)), F.lit("failed"))
-         .when(F.coalesce(F.size(results), F.lit(0)) <= 0, F.lit("empty"))
-         .otherwise(F.lit("ok")).alias("outcome"))
-    kept = assemble_pages(pages, request, page_no, status, token, results) \
-        .groupBy(request).agg(F.count_distinct(page_no).alias("n_pages"), F.count(F.lit(1)).alias("n_results"))
-    everyone = pages.select(request).distinct()
-    return (everyone.join(first, request, "left").join(kept, request, "left")
-            .select(request,
-                    F.coalesce("outcome", F.lit("failed")).alias("outcome"),
-                    F.coalesce("n_pages", F.lit(0)).cast("long").alias("n_pages"),
-                    F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results")))
+    with the number of pages and results ``assemble_pages`` keeps.
+
+    One partially aggregated pass over the pages joined to their cut (no
+    explode: results are counted by array size).
+    """
+    cuts = page_cuts(pages, request, page_no, status, token, results)
+    j = pages.select(request, page_no, status, F.coalesce(F.size(results), F.lit(0)).alias("__n")) \
+        .join(cuts, request, "left")
+    kept = (F.col(page_no) >= 1) & (F.col(page_no) < F.coalesce(F.col("cut"), F.lit(_NO_CUT)))
+    # 2 failed, 1 empty, 0 ok — decided by page 1 (no page 1: failed)
+    code = F.when(~F.coalesce(F.col(status).isin(*FIRST_PAGE_OK), F.lit(False)), 2) \
+        .when(F.col("__n") <= 0, 1).otherwise(0)
+    agg = j.groupBy(request).agg(
+        F.max(F.when(F.col(page_no) == 1, code)).alias("__code"),
+        F.sum(F.when(kept, 1).otherwise(0)).cast("long").alias("n_pages"),
+        F.sum(F.when(kept, F.col("__n")).otherwise(0)).cast("long").alias("n_results"))
+    outcome = F.when(F.col("__code") == 0, "ok").when(F.col("__code") == 1, "empty").otherwise("failed")
+    return agg.select(request, outcome.alias("outcome"), "n_pages", "n_results")
 
 
 def attach_details(places: DataFrame, details: DataFrame, key: str = "place_id",
