@@ -136,6 +136,53 @@ class LexiconClassifier:
         return texts.map(one)
 
 
+class OnnxTextClassifier:
+    """A transformer text classifier exported to ONNX, run inside Python workers.
+
+    The executor-side form of a model-based labeller: ``load()`` opens the
+    tokenizer (``tokenizers`` JSON file) and the ONNX session once per worker;
+    ``logits(texts)`` tokenises a whole Arrow batch (truncated to
+    ``max_length``, padded), runs the model in chunks of ``batch_size`` and
+    returns one logit vector per text (NULL for blank text, which never
+    reaches the model).  Use with ``label_text(df, col, OnnxTextClassifier(…))``
+    or ``jobs label-reviews --variant model --scorer module:Class``.
+    Both libraries are optional; they are imported in ``load()``.
+    """
+
+    def __init__(self, model_path: str, tokenizer_path: str, id2label: dict, max_length: int = 512,
+                 batch_size: int = 32, input_names=("input_ids", "attention_mask")):
+        self.model_path, self.tokenizer_path = model_path, tokenizer_path
+        self.id2label = dict(id2label)
+        self.max_length, self.batch_size, self.input_names = max_length, batch_size, tuple(input_names)
+        self._tok = self._sess = None
+
+    def load(self) -> None:
+        import onnxruntime as ort
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(self.tokenizer_path)
+        tok.enable_truncation(max_length=self.max_length)
+        tok.enable_padding()
+        self._tok = tok
+        self._sess = ort.InferenceSession(self.model_path, providers=["CPUExecutionProvider"])
+
+    def logits(self, texts: pd.Series) -> pd.Series:
+        import numpy as np
+
+        keep = [i for i, t in enumerate(texts) if t is not None and t.strip()]
+        out = [None] * len(texts)
+        for start in range(0, len(keep), self.batch_size):
+            idx = keep[start:start + self.batch_size]
+            enc = self._tok.encode_batch([texts.iloc[i] for i in idx])
+            feeds = {self.input_names[0]: np.array([e.ids for e in enc], dtype=np.int64)}
+            if len(self.input_names) > 1:
+                feeds[self.input_names[1]] = np.array([e.attention_mask for e in enc], dtype=np.int64)
+            scores = self._sess.run(None, feeds)[0]
+            for i, row in zip(idx, scores):
+                out[i] = [float(x) for x in row]
+        return pd.Series(out, index=texts.index, dtype=object)
+
+
 _LOADED: dict = {}
 
 

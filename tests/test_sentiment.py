@@ -53,3 +53,34 @@ def test_native_classifier_equals_pandas_classifier(spark):
     b = {r.id: r.sentiment for r in SE.lexicon_classify(df, "t").collect()}
     assert a == b
     assert "ArrowEvalPython" not in SE.lexicon_classify(df, "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_onnx_classifier_batches_truncates_and_skips_blank():
+    import numpy as np
+    import pandas as pd
+
+    class Enc:
+        def __init__(self, ids):
+            self.ids, self.attention_mask = ids, [1] * len(ids)
+
+    class FakeTok:
+        def encode_batch(self, texts):
+            width = max(len(t.split()) for t in texts)
+            return [Enc([len(w) for w in t.split()][:4] + [0] * (min(width, 4) - min(len(t.split()), 4)))
+                    for t in texts]
+
+    class FakeSess:
+        calls = 0
+
+        def run(self, _, feeds):
+            FakeSess.calls += 1
+            ids = feeds["input_ids"]
+            assert ids.shape[1] <= 4 and "attention_mask" in feeds
+            return [np.stack([ids.sum(axis=1), -ids.sum(axis=1), np.zeros(len(ids))], axis=1)]
+
+    clf = SE.OnnxTextClassifier("m.onnx", "t.json", {0: "positive", 1: "negative", 2: "neutral"}, batch_size=2)
+    clf._tok, clf._sess = FakeTok(), FakeSess()
+    out = clf.logits(pd.Series(["good care here", "  ", None, "ok", "a b c d e f"]))
+    assert out[1] is None and out[2] is None
+    assert out[0] == [11.0, -11.0, 0.0] and out[3] == [2.0, -2.0, 0.0] and out[4] == [4.0, -4.0, 0.0]
+    assert FakeSess.calls == 2                       # 3 non-blank texts in batches of 2
