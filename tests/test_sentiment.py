@@ -82,5 +82,5 @@ def test_onnx_classifier_batches_truncates_and_skips_blank():
     clf._tok, clf._sess = FakeTok(), FakeSess()
     out = clf.logits(pd.Series(["good care here", "  ", None, "ok", "a b c d e f"]))
     assert out[1] is None and out[2] is None
-    assert out[0] == [11.0, -11.0, 0.0] and out[3] == [2.0, -2.0, 0.0] and out[4] == [4.0, -4.0, 0.0]
+    assert out[0] == [12.0, -12.0, 0.0] and out[3] == [2.0, -2.0, 0.0] and out[4] == [4.0, -4.0, 0.0]
     assert FakeSess.calls == 2                       # 3 non-blank texts in batches of 2
