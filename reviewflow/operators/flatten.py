@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reviewflow.functions import exprs as X
 
-DEFAULT_CHUNK = 10_000
+DEFAULT_CHUNK = 1_000
 
 
 def project(df: DataFrame, mapping: dict) -> DataFrame:

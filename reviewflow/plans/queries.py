@@ -60,10 +60,10 @@ def _t(spark, sf_dir, name, spread_rows=False):
 # ------------------------------------------------------------ nest / arrays
 
 @register("q_nest_children", """
-SELECT conv_id, CAST(turn // 10000 AS INTEGER) AS chunk,
+SELECT conv_id, CAST(turn // 1000 AS INTEGER) AS chunk,
        CAST(count(*) AS INTEGER) AS n_children,
        to_json(list({'turn': turn, 'role': role, 'text': text} ORDER BY turn)) AS children_json
-FROM conversations GROUP BY conv_id, turn // 10000
+FROM conversations GROUP BY conv_id, turn // 1000
 """)
 def q_nest_children(spark, sf_dir):
     """Children nested per (parent, bounded chunk) in position order, as JSON text."""
@@ -86,9 +86,9 @@ def q_first_n(spark, sf_dir):
 
 
 @register("q_concat_array", """
-SELECT conv_id, CAST(turn // 10000 AS INTEGER) AS chunk,
+SELECT conv_id, CAST(turn // 1000 AS INTEGER) AS chunk,
        string_agg(CASE WHEN role <> 'system' THEN role END, ',' ORDER BY turn) AS types
-FROM conversations GROUP BY conv_id, turn // 10000
+FROM conversations GROUP BY conv_id, turn // 1000
 """)
 def q_concat_array(spark, sf_dir):
     """A3: array<string> → comma text; NULL elements skipped (system roles become NULL items)."""
