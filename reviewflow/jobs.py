@@ -56,6 +56,7 @@ def main(argv: list | None = None) -> dict:
     lab.add_argument("--scorer", help="module:Class with load() and score(pd.Series) or logits(pd.Series) "
                                       "(default: lexicon)")
     lab.add_argument("--variant", choices=("score", "model"), default="score")
+    lab.add_argument("--partition-column", help="numeric/date column to split a JDBC source read on")
     lp = sub.add_parser("land-places")
     lp.add_argument("--pages", required=True)
     lp.add_argument("--out", required=True)
@@ -84,7 +85,8 @@ def main(argv: list | None = None) -> dict:
                               url=url, multi_line=args.multi_line, rejects_path=args.rejects, **jdbc)
     elif args.job == "label-reviews":
         out = PL.label_reviews(spark, args.source_table, args.target_table, scorer=_scorer(args.scorer), url=url,
-                               variant=args.variant, rejects_path=args.rejects, **jdbc)
+                               variant=args.variant, rejects_path=args.rejects,
+                               partition_column=args.partition_column, **jdbc)
     elif args.job == "land-places":
         PL.land_places(spark, spark.read.parquet(args.pages), args.out)
         out = {"written": True}

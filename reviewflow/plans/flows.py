@@ -127,12 +127,31 @@ def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_label
     return C.conform_to_schema(scored, spec)
 
 
+REVIEW_SOURCE_COLUMNS = ["hospital_name", "address", "place_id", "hospital_rating", "author_name", "author_id",
+                         "review", "sentiment"]
+
+
 def label_reviews(spark: SparkSession, source_table: str, target_table: str | None = None,
                   scorer=None, url: str | None = None, variant: str = "score", rejects_path: str | None = None,
-                  **jdbc) -> dict:
-    """Flow C job: read the reviews table, label, append to the sentiment table if it exists."""
+                  partition_column: str | None = None, num_partitions: int = 64, **jdbc) -> dict:
+    """Flow C job: read the reviews table, label, append to the sentiment table if it exists.
+
+    With ``url`` both tables are JDBC tables; the source read is projected to
+    the needed columns, the unlabelled filter is pushed into the database,
+    and ``partition_column`` (numeric or date) splits the read into
+    ``num_partitions`` range queries instead of one.
+    """
+    from reviewflow.sources.jdbc import read_table, read_table_partitioned
+
     spec = S.MODEL_SENTIMENT if variant == "model" else S.SCORE_SENTIMENT
-    reviews = spark.table(source_table)
+    creds = {k: jdbc.get(k) for k in ("user", "password", "driver")}
+    if url and partition_column:
+        reviews = read_table_partitioned(spark, source_table, partition_column, REVIEW_SOURCE_COLUMNS, url,
+                                         num_partitions=num_partitions, **creds)
+    elif url:
+        reviews = read_table(spark, source_table, REVIEW_SOURCE_COLUMNS, url, **creds)
+    else:
+        reviews = spark.table(source_table)
     frame = label_frame(reviews, scorer, native=scorer is None, skip_labelled=variant != "model",
                         spec=spec, variant=variant)
     return _append_with_rejects(frame, target_table or spec.name, url, rejects_path, jdbc)
