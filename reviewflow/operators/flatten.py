@@ -95,8 +95,9 @@ def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_
     ``pos`` must be unique within its parent: the child's 0-based position
     (what ``posexplode`` yields or ``top_up_groups`` generates) or any unique
     integer key.  Chunk ``k`` holds positions ``[k*chunk_size,
-    (k+1)*chunk_size)``, so every array is bounded whatever the parent's size; the grouping shuffles
-    (parent, chunk) keys, which spreads a hot parent over many tasks.
+    (k+1)*chunk_size)``, so every array is bounded whatever the parent's
+    size; the grouping shuffles (parent, chunk) keys, which spreads a hot
+    parent over many tasks.
     Arrays are sorted by position (``collect_list`` alone has no order).
     ``carry`` names parent attributes that depend on the keys only; they ride
     along as ``any_value`` instead of widening the shuffle key.  ``spread``
@@ -121,7 +122,8 @@ def nest_children(df: DataFrame, keys: list, pos: str, fields: list[str], array_
 
 def unnest_children(df: DataFrame, keys: list, array_name: str, chunk_col: str = "chunk",
                     chunk_size: int = DEFAULT_CHUNK, pos: str = "pos") -> DataFrame:
-    """Inverse of ``nest_children``: posexplode and restore the parent-level position."""
+    """Inverse of ``nest_children`` for dense 0-based positions: posexplode and restore
+    the parent-level position (chunk * chunk_size + index within the chunk)."""
     out = df.select(*keys, chunk_col, F.posexplode(array_name).alias("__i", "__c"))
     return out.select(*keys, (F.col(chunk_col) * F.lit(chunk_size) + F.col("__i")).cast("long").alias(pos), "__c.*")
 
