@@ -64,3 +64,31 @@ def stream_places(spark: SparkSession, landing: str, out_path: str, load_ts=None
     w = frame.writeStream.foreachBatch(_writer(out_path, rejects_path)).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def stream_labels(spark: SparkSession, reviews_path: str, out_path: str, variant: str = "score",
+                  checkpoint: str | None = None, rejects_path: str | None = None,
+                  available_now: bool = True) -> StreamingQuery:
+    """Flow C as a stream over the reviews written by ``stream_reviews``.
+
+    Each micro-batch of new review rows is labelled with the batch
+    ``label_frame`` (scoring, one row per author id within the batch,
+    conformance) and written to its own ``batch_id=`` folder.  Authors
+    repeated across batches are not merged here; the keyed target's loader
+    (``dedup_on_key`` + append) decides that, as in the batch flow.
+    """
+    spec = S.MODEL_SENTIMENT if variant == "model" else S.SCORE_SENTIMENT
+    schema = spark.read.parquet(reviews_path).schema
+    src = spark.readStream.schema(schema).parquet(reviews_path)
+
+    def write_batch(batch, batch_id: int) -> None:
+        frame = PL.label_frame(batch, skip_labelled=variant != "model", spec=spec, variant=variant)
+        good, bad = split_conformed(frame)
+        good.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
+        if rejects_path:
+            bad.write.mode("overwrite").parquet(os.path.join(rejects_path, f"batch_id={batch_id}"))
+
+    ckpt = checkpoint or os.path.join(checkpoint_root(spark), "streams", "labels")
+    w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

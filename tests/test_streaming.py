@@ -37,3 +37,18 @@ def test_stream_places_available_now(spark, tmp_path):
     q = stream_places(spark, land, out, "2025-01-01 00:00:00", checkpoint=ckpt, rejects_path=str(tmp_path / "rej"))
     q.awaitTermination(120)
     assert [r.name for r in spark.read.parquet(out).collect()] == ["A"]
+
+
+def test_stream_reviews_then_labels(spark, tmp_path):
+    from reviewflow.streaming import stream_labels
+    conv = D.table(spark, SF_SMALL, "conversations")
+    docs = D.review_documents(conv).withColumn("city_slug", F.col("city"))
+    land, rev, lab = str(tmp_path / "land"), str(tmp_path / "rev"), str(tmp_path / "lab")
+    EN.write_envelope(docs, land, constants={"disclaimer": "x"})
+    stream_reviews(spark, land, rev, "2025-01-01 00:00:00", checkpoint=str(tmp_path / "c1")).awaitTermination(120)
+    q = stream_labels(spark, rev, lab, checkpoint=str(tmp_path / "c2"))
+    q.awaitTermination(120)
+    out = spark.read.parquet(lab)
+    # every review had sentiment '' (still to label); one row per author id per batch
+    assert out.count() == spark.read.parquet(rev).select("author_id").distinct().count()
+    assert set(r.sentiment for r in out.select("sentiment").distinct().collect()) <= {"Positive", "Negative", "Mixed"}
