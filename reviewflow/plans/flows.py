@@ -37,14 +37,31 @@ def places_frame(docs: DataFrame, load_ts) -> DataFrame:
     return C.conform_to_schema(flat, S.HOSPITAL_LISTS)
 
 
-def _append_with_rejects(conformed: DataFrame, table: str, url, rejects_path: str | None, jdbc: dict) -> dict:
+CORRUPT_COL = "_corrupt_record"
+
+
+def _scan_counted(spark: SparkSession, path, schema, multi_line: bool):
+    """Landed documents plus an observation counting malformed ones (read on the writing job)."""
+    from pyspark.sql import Observation
+
+    docs = scan_landing(spark, path, schema, multi_line=multi_line, corrupt_col=CORRUPT_COL)
+    obs = Observation("landing")
+    docs = docs.observe(obs, F.count(F.col(CORRUPT_COL)).alias("corrupt"))
+    return docs.drop(CORRUPT_COL), obs
+
+
+def _append_with_rejects(conformed: DataFrame, table: str, url, rejects_path: str | None, jdbc: dict,
+                         scan_obs=None) -> dict:
     """Append the conforming rows; write the others to ``rejects_path`` (parquet) when given.
 
-    Nothing is dropped silently: the returned counts cover both parts.
+    Nothing is dropped silently: the returned counts cover both parts, and
+    malformed landed documents are counted when the scan is observed.
     """
     good, bad = C.split_conformed(conformed)
     rows = guarded_append_rows(good, table, url, **jdbc)
     out = {"written": rows is not None, "rows": rows or 0}
+    if scan_obs is not None and rows is not None:      # .get blocks unless an action ran
+        out["corrupt_documents"] = scan_obs.get["corrupt"]
     if rejects_path:
         bad_obs, obs = observed(bad)
         bad_obs.write.mode("append").parquet(rejects_path)
@@ -57,8 +74,8 @@ def load_places(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL
                 **jdbc) -> dict:
     """Flow A job.  ``multi_line=True`` for pretty-printed single documents per file
     (the source's landing); the default reads JSON Lines (this library's landing)."""
-    docs = scan_landing(spark, path, S.PLACES_DOCUMENT, multi_line=multi_line)
-    out = _append_with_rejects(places_frame(docs, load_ts), table, url, rejects_path, jdbc)
+    docs, obs = _scan_counted(spark, path, S.PLACES_DOCUMENT, multi_line)
+    out = _append_with_rejects(places_frame(docs, load_ts), table, url, rejects_path, jdbc, obs)
     return {"files": landed_file_count(docs), **out}
 
 
@@ -82,8 +99,8 @@ def load_reviews(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITA
                  url: str | None = None, multi_line: bool = False, rejects_path: str | None = None,
                  **jdbc) -> dict:
     """Flow B job (see ``load_places`` for ``multi_line``)."""
-    docs = scan_landing(spark, path, REVIEW_READ_SCHEMA, multi_line=multi_line)
-    out = _append_with_rejects(reviews_frame(docs, load_ts), table, url, rejects_path, jdbc)
+    docs, obs = _scan_counted(spark, path, REVIEW_READ_SCHEMA, multi_line)
+    out = _append_with_rejects(reviews_frame(docs, load_ts), table, url, rejects_path, jdbc, obs)
     return {"files": landed_file_count(docs), **out}
 
 

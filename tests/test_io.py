@@ -155,3 +155,16 @@ def test_compact_landing_to_parquet(spark, landing, tmp_path):
     good, _ = __import__("reviewflow.operators.clean", fromlist=["x"]).split_conformed(
         PL.places_frame(docs.drop("source_file"), "2025-01-01 00:00:00"))
     assert good.count() == 5
+
+
+def test_loader_counts_malformed_documents(spark, tmp_path):
+    root = str(tmp_path / "lists")
+    _write(f"{root}/a.json", {"results": [_place("A"), _place("B")]})
+    _write(f"{root}/bad.json", "{not json")
+    spark.sql("CREATE DATABASE IF NOT EXISTS rf_corrupt")
+    S.create_target_tables(spark, "rf_corrupt")
+    res = PL.load_places(spark, root, "2025-01-01 00:00:00", table="rf_corrupt.hospital_lists_ingestion",
+                         multi_line=True)
+    assert res["rows"] == 2 and res["corrupt_documents"] == 1 and res["files"] == 2
+    skipped = PL.load_places(spark, root, "2025-01-01 00:00:00", table="rf_corrupt.no_such_table", multi_line=True)
+    assert skipped["written"] is False and "corrupt_documents" not in skipped
