@@ -6,6 +6,7 @@
                                              [--scorer module:Class]
     python -m reviewflow.jobs land-places   --pages PARQUET --out PATH
     python -m reviewflow.jobs land-reviews  --places PARQUET --details PARQUET --out PATH
+    python -m reviewflow.jobs land-synthetic (--cities "Pune,New Delhi" | --cities-table PARQUET) --out PATH
 
 On a cluster: ``spark-submit --py-files reviewflow.zip reviewflow/jobs.py <job> …``
 (the master and resources come from spark-submit; executors get the package
@@ -66,6 +67,10 @@ def main(argv: list | None = None) -> dict:
     lr.add_argument("--out", required=True)
     for name in ("load-places", "load-reviews", "label-reviews"):
         sub.choices[name].add_argument("--rejects", help="parquet path for rows that do not fit the target")
+    ls = sub.add_parser("land-synthetic")
+    ls.add_argument("--cities", help="comma-separated city names")
+    ls.add_argument("--cities-table", help="parquet with a `city` column")
+    ls.add_argument("--out", required=True)
     for j in sub.choices.values():
         j.add_argument("--jdbc-url")
         j.add_argument("--user")
@@ -87,6 +92,16 @@ def main(argv: list | None = None) -> dict:
         out = PL.label_reviews(spark, args.source_table, args.target_table, scorer=_scorer(args.scorer), url=url,
                                variant=args.variant, rejects_path=args.rejects,
                                partition_column=args.partition_column, **jdbc)
+    elif args.job == "land-synthetic":
+        if args.cities_table:
+            cities = spark.read.parquet(args.cities_table).select("city")
+        else:
+            names = [c.strip() for c in (args.cities or "").split(",") if c.strip()]
+            if not names:
+                raise SystemExit("land-synthetic needs --cities or --cities-table")
+            cities = spark.createDataFrame([(c,) for c in names], "city string")
+        PL.land_synthetic(spark, cities, args.out)
+        out = {"written": True}
     elif args.job == "land-places":
         PL.land_places(spark, spark.read.parquet(args.pages), args.out)
         out = {"written": True}

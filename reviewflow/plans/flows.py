@@ -212,9 +212,9 @@ def land_reviews_frame(places: DataFrame, details: DataFrame, key: str = "place_
     return flat.withColumns(tags) if tags else flat
 
 
-def review_documents_frame(flat: DataFrame, city: str = "city", key: str = "place_id",
+def review_documents_frame(flat: DataFrame, city: str = "city", key="place_id",
                            min_count: int = K.MIN_REVIEWS_PER_HOSPITAL,
-                           disclaimer: str = K.DEFAULT_DISCLAIMER) -> DataFrame:
+                           disclaimer: str = K.DEFAULT_DISCLAIMER, spread: bool = False) -> DataFrame:
     """Nest ``land_reviews_frame`` rows back into landed review documents, one per place:
     ``{"disclaimer":…, "data":[hospital]}`` plus ``city_slug``.
 
@@ -224,18 +224,20 @@ def review_documents_frame(flat: DataFrame, city: str = "city", key: str = "plac
     """
     from reviewflow.functions import exprs as X
 
+    keys = [key] if isinstance(key, str) else list(key)
     fields = [c for c in REVIEW_CHILD_COLUMNS if c in flat.columns]
-    carry = [c for c in (city, "name", "formatted_address", "hospital_rating", "user_ratings_total")
-             if c in flat.columns]
-    nested = FL.nest_children(flat, [key], "pos", fields, array_name="reviews",
-                              chunk_size=max(min_count, FL.DEFAULT_CHUNK), carry=carry, spread=False)
-    parts = [F.col(c) for c in ("name", "formatted_address") if c in carry] + [F.col(key)]
-    if "hospital_rating" in carry:
+    carry = [c for c in (city, "name", "formatted_address", "place_id", "hospital_rating", "user_ratings_total")
+             if c in flat.columns and c not in keys]
+    nested = FL.nest_children(flat, keys, "pos", fields, array_name="reviews",
+                              chunk_size=max(min_count, FL.DEFAULT_CHUNK), carry=carry, spread=spread)
+    cols = set(nested.columns)
+    parts = [F.col(c) for c in ("name", "formatted_address", "place_id") if c in cols]
+    if "hospital_rating" in cols:
         parts.append(F.col("hospital_rating").alias("rating"))
-    if "user_ratings_total" in carry:
+    if "user_ratings_total" in cols:
         parts.append(F.col("user_ratings_total"))
     hospital = F.struct(*parts, F.col("reviews"))
-    slug = X.slug(city) if city in carry else F.lit(None).cast("string")
+    slug = X.slug(city) if city in cols else F.lit(None).cast("string")
     return nested.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
                          F.array(hospital).alias("data"))
 
@@ -272,6 +274,25 @@ def land_reviews(spark: SparkSession, places: DataFrame, details: DataFrame, out
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
 
 
+def land_synthetic(spark: SparkSession, cities: DataFrame, out_path: str, city: str = "city",
+                   per_city: int = K.SYNTHETIC_HOSPITALS_PER_CITY,
+                   reviews_per_hospital: int = K.MIN_REVIEWS_PER_HOSPITAL) -> None:
+    """Extract job without an API: synthetic hospitals per city, landed as review documents.
+
+    Synthetic hospitals have no place id, so documents are keyed by (city,
+    hospital number); generation is spread over the cluster before the
+    ``reviews_per_hospital``-fold fan-out.
+    """
+    from reviewflow.operators import augment as AU
+    from reviewflow.sinks.envelope import write_envelope
+
+    flat = AU.generate_hospitals(cities, city, per_city, reviews_per_hospital).withColumnRenamed("review_no", "pos")
+    docs = review_documents_frame(flat, city=city, key=[city, "hospital_no"], min_count=reviews_per_hospital,
+                                  spread=True)
+    write_envelope(docs, out_path, partition_col="city_slug", root="data",
+                   constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
+
+
 def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city") -> None:
     """Extract job: assemble raw pages and write place documents (JSON Lines, folder per city)."""
     from reviewflow.sinks.envelope import write_envelope

@@ -112,3 +112,18 @@ def test_land_reviews_rerun_is_idempotent(spark, tmp_path):
     counts = {r.place_id: r.n for r in PL.reviews_frame(docs, "2025-01-01 00:00:00")
               .groupBy("place_id").agg(F.count("*").alias("n")).collect()}
     assert counts == {"p1": 4, "p2": 4}
+
+
+def test_land_synthetic_then_load(spark, tmp_path):
+    from reviewflow import jobs
+    out = str(tmp_path / "synthetic")
+    jobs.main(["land-synthetic", "--cities", "Pune, New Delhi", "--out", out])
+    docs = scan_landing(spark, out, PL.REVIEW_READ_SCHEMA)
+    flat = PL.reviews_frame(docs, "2025-01-01 00:00:00")
+    good, bad = split_conformed(flat)
+    assert good.count() == 2 * 5 * 100 and bad.count() == 0
+    per = {r.hospital_name: r.n for r in good.groupBy("hospital_name").agg(F.count("*").alias("n")).collect()}
+    assert len(per) <= 10 and sum(per.values()) == 1000
+    assert good.filter(F.col("place_id").isNotNull()).count() == 0
+    import os
+    assert sorted(d for d in os.listdir(out) if d.startswith("city_slug=")) == ["city_slug=new_delhi", "city_slug=pune"]
