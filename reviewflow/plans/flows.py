@@ -55,12 +55,21 @@ def _append_with_rejects(conformed: DataFrame, table: str, url, rejects_path: st
     """Append the conforming rows; write the others to ``rejects_path`` (parquet) when given.
 
     Nothing is dropped silently: the returned counts cover both parts, and
-    malformed landed documents are counted when the scan is observed.
+    malformed landed documents are counted when the scan is observed.  With
+    a rejects path the conformed rows are staged once as Parquet below the
+    shared checkpoint folder, and both outputs read the stage: the landed
+    JSON is parsed once, and a failed table append can be retried from it.
     """
+    if rejects_path:
+        from reviewflow.session import scratch_path
+
+        stage = scratch_path(conformed.sparkSession, "conformed-stage")
+        conformed.write.mode("overwrite").parquet(stage)
+        conformed = conformed.sparkSession.read.parquet(stage)
     good, bad = C.split_conformed(conformed)
     rows = guarded_append_rows(good, table, url, **jdbc)
     out = {"written": rows is not None, "rows": rows or 0}
-    if scan_obs is not None and rows is not None:      # .get blocks unless an action ran
+    if scan_obs is not None and (rows is not None or rejects_path):   # .get blocks unless an action ran
         out["corrupt_documents"] = scan_obs.get["corrupt"]
     if rejects_path:
         bad_obs, obs = observed(bad)
