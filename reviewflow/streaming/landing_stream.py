@@ -33,12 +33,28 @@ def landing_stream(spark: SparkSession, path: str, schema: S.T.StructType, multi
     return reader.json(path)
 
 
-def _writer(out_path: str, rejects_path: str | None):
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_conformed(batch)
+def _write_split(frame: DataFrame, batch_id: int, out_path: str, rejects_path: str | None) -> None:
+    """Good rows (and rejects) of one micro-batch, each to its own batch folder.
+
+    Written twice only with a rejects path; the batch is then persisted for
+    the two writes (the documented way to write a micro-batch to several
+    places) so its files are parsed once.
+    """
+    if rejects_path:
+        frame = frame.persist()
+    try:
+        good, bad = split_conformed(frame)
         good.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
         if rejects_path:
             bad.write.mode("overwrite").parquet(os.path.join(rejects_path, f"batch_id={batch_id}"))
+    finally:
+        if rejects_path:
+            frame.unpersist()
+
+
+def _writer(out_path: str, rejects_path: str | None):
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        _write_split(batch, batch_id, out_path, rejects_path)
     return write_batch
 
 
@@ -83,10 +99,7 @@ def stream_labels(spark: SparkSession, reviews_path: str, out_path: str, variant
 
     def write_batch(batch, batch_id: int) -> None:
         frame = PL.label_frame(batch, skip_labelled=variant != "model", spec=spec, variant=variant)
-        good, bad = split_conformed(frame)
-        good.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
-        if rejects_path:
-            bad.write.mode("overwrite").parquet(os.path.join(rejects_path, f"batch_id={batch_id}"))
+        _write_split(frame, batch_id, out_path, rejects_path)
 
     ckpt = checkpoint or os.path.join(checkpoint_root(spark), "streams", "labels")
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
