@@ -159,13 +159,18 @@ REVIEW_SOURCE_COLUMNS = ["hospital_name", "address", "place_id", "hospital_ratin
 
 def label_reviews(spark: SparkSession, source_table: str, target_table: str | None = None,
                   scorer=None, url: str | None = None, variant: str = "score", rejects_path: str | None = None,
-                  partition_column: str | None = None, num_partitions: int = 64, **jdbc) -> dict:
+                  partition_column: str | None = None, num_partitions: int = 64, only_new_keys: bool = True,
+                  **jdbc) -> dict:
     """Flow C job: read the reviews table, label, append to the sentiment table if it exists.
 
     With ``url`` both tables are JDBC tables; the source read is projected to
     the needed columns, the unlabelled filter is pushed into the database,
     and ``partition_column`` (numeric or date) splits the read into
     ``num_partitions`` range queries instead of one.
+
+    ``only_new_keys``: the target is keyed by author id, so rows whose key is
+    already there are left out (a left-anti join on the key column only),
+    which makes a re-run append nothing twice.
     """
     from reviewflow.sources.jdbc import read_table, read_table_partitioned
 
@@ -180,7 +185,18 @@ def label_reviews(spark: SparkSession, source_table: str, target_table: str | No
         reviews = spark.table(source_table)
     frame = label_frame(reviews, scorer, native=scorer is None, skip_labelled=variant != "model",
                         spec=spec, variant=variant)
-    return _append_with_rejects(frame, target_table or spec.name, url, rejects_path, jdbc)
+    target = target_table or spec.name
+    if only_new_keys and spec.primary_key:
+        existing = None
+        if url:
+            from reviewflow.sources.jdbc import jdbc_table_exists
+            if jdbc_table_exists(spark, target, url, **creds):
+                existing = read_table(spark, target, list(spec.primary_key), url, **creds)
+        elif spark.catalog.tableExists(target):
+            existing = spark.table(target).select(*spec.primary_key)
+        if existing is not None:
+            frame = frame.join(existing, list(spec.primary_key), "left_anti")
+    return _append_with_rejects(frame, target, url, rejects_path, jdbc)
 
 
 # ------------------------------------------------------ landing (extraction)

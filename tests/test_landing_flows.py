@@ -127,3 +127,21 @@ def test_land_synthetic_then_load(spark, tmp_path):
     assert good.filter(F.col("place_id").isNotNull()).count() == 0
     import os
     assert sorted(d for d in os.listdir(out) if d.startswith("city_slug=")) == ["city_slug=new_delhi", "city_slug=pune"]
+
+
+def test_label_rerun_appends_only_new_keys(spark, tmp_path):
+    places = spark.createDataFrame([("p1", "H1", "a", 4.0, 1, "Pune")],
+                                   "place_id string, name string, formatted_address string, hospital_rating double, "
+                                   "user_ratings_total long, city string")
+    details = spark.createDataFrame([{"place_id": "p1", "ok": True, "fetched_at": datetime(2024, 1, 1),
+                                      "reviews": [{"author_name": "Ann", "text": "superb", "time": 1}]}], S.DETAIL)
+    land = str(tmp_path / "land")
+    PL.land_reviews(spark, places, details, land, min_count=30)
+    spark.sql("CREATE DATABASE IF NOT EXISTS rf_rerun")
+    S.create_target_tables(spark, "rf_rerun")
+    PL.load_reviews(spark, land, "2025-01-01 00:00:00", table="rf_rerun.hospitals_reviews_ingestion")
+    first = PL.label_reviews(spark, "rf_rerun.hospitals_reviews_ingestion", "rf_rerun.gcp_hospital_sentiment")
+    again = PL.label_reviews(spark, "rf_rerun.hospitals_reviews_ingestion", "rf_rerun.gcp_hospital_sentiment")
+    t = spark.table("rf_rerun.gcp_hospital_sentiment")
+    assert first["rows"] > 0 and again["rows"] == 0
+    assert t.count() == t.select("author_id").distinct().count() == first["rows"]
