@@ -116,3 +116,37 @@ def test_top_up_matches_while_loop(spark, sizes, minimum):
     padded = AU.pad_children(nested, "reviews", ["k"], min_count=minimum)
     counts = {r.k: r.n for r in padded.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert counts == {f"g{i}": max(n, minimum) for i, n in enumerate(sizes)}
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=0, max_value=40), min_size=1, max_size=15), st.integers(1, 9))
+def test_nest_then_unnest_is_identity(spark, sizes, chunk):
+    from reviewflow.operators import flatten as FL
+    rows = [(k, p, f"{k}:{p}") for k, n in enumerate(sizes) for p in range(n)]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "k int, pos long, v string")
+    nested = FL.nest_children(df, ["k"], "pos", ["v"], array_name="c", chunk_size=chunk)
+    assert all(len(r.c) <= chunk for r in nested.collect())
+    back = FL.unnest_children(nested, ["k"], "c", chunk_size=chunk).select("k", "pos", "v")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet="xyz", max_size=6)),
+                          st.one_of(st.none(), st.integers(min_value=-300, max_value=300))), min_size=1, max_size=40))
+def test_conform_flags_exactly_what_does_not_fit(spark, rows):
+    from reviewflow import schemas as SC
+    from reviewflow.operators import clean as C
+    spec = SC.TableSpec("t", (SC.Column("name", "varchar(3)"), SC.Column("small", "tinyint")))
+    df = spark.createDataFrame(rows, "name string, small int")
+    out = C.conform_to_schema(df, spec)
+    got = [(r.name, r.small, r._errors) for r in out.collect()]
+    want = []
+    for name, small in rows:
+        errs = [c for c, bad in (("name", name is not None and len(name) > 3),
+                                 ("small", small is not None and not -128 <= small <= 127)) if bad]
+        want.append((name, small if small is None or -128 <= small <= 127 else None, ",".join(errs)))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    good, bad = C.split_conformed(out)
+    assert good.count() + bad.count() == len(rows)
