@@ -145,3 +145,24 @@ def test_label_rerun_appends_only_new_keys(spark, tmp_path):
     t = spark.table("rf_rerun.gcp_hospital_sentiment")
     assert first["rows"] > 0 and again["rows"] == 0
     assert t.count() == t.select("author_id").distinct().count() == first["rows"]
+
+
+def test_jobs_load_places_from_pretty_documents_with_rejects(spark, tmp_path):
+    import json
+    import os
+
+    from reviewflow import jobs
+    root = tmp_path / "hospital_lists"
+    os.makedirs(root / "2025")
+    long_status = "X" * 120                                   # business_status is VARCHAR(100)
+    doc = {"results": [_place("a", "Alpha"), {**_place("b", "Beta"), "business_status": long_status},
+                       {**_place("c", "NoGeo"), "geometry": None}]}
+    (root / "2025" / "hospitals_in_Pune_20250101_000000.json").write_text(json.dumps(doc, indent=4))
+    (root / "notes.txt").write_text("ignore me")
+    spark.sql("CREATE DATABASE IF NOT EXISTS rf_cli")
+    S.create_target_tables(spark, "rf_cli")
+    res = jobs.main(["load-places", "--landing", str(root), "--multi-line", "--table", "rf_cli.hospital_lists_ingestion",
+                     "--rejects", str(tmp_path / "rej")])
+    assert res["files"] == 1 and res["rows"] == 1 and res["rejected"] == 1 and res["corrupt_documents"] == 0
+    assert [r.name for r in spark.table("rf_cli.hospital_lists_ingestion").collect()] == ["Alpha"]
+    assert spark.read.parquet(str(tmp_path / "rej")).first()._errors == "business_status"
