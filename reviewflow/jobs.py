@@ -100,14 +100,13 @@ def main(argv: list | None = None) -> dict:
             if not names:
                 raise SystemExit("land-synthetic needs --cities or --cities-table")
             cities = spark.createDataFrame([(c,) for c in names], "city string")
-        PL.land_synthetic(spark, cities, args.out)
-        out = {"written": True}
+        out = {"written": True, **PL.land_synthetic(spark, cities, args.out)}
     elif args.job == "land-places":
         PL.land_places(spark, spark.read.parquet(args.pages), args.out)
         out = {"written": True}
     else:
-        PL.land_reviews(spark, spark.read.parquet(args.places), spark.read.parquet(args.details), args.out)
-        out = {"written": True}
+        out = {"written": True, **PL.land_reviews(spark, spark.read.parquet(args.places),
+                                                   spark.read.parquet(args.details), args.out)}
     print(json.dumps({"job": args.job, **out}))
     return out
 

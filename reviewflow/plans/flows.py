@@ -288,20 +288,31 @@ def land_places_frame(pages: DataFrame, city: str = "city", request: str = "requ
     return docs
 
 
+def _observe_totals(flat: DataFrame):
+    """G2 on the writing job: reviews = flat rows, hospitals = rows at position 0."""
+    from pyspark.sql import Observation
+
+    obs = Observation("totals")
+    return flat.observe(obs, F.count(F.lit(1)).alias("total_reviews"),
+                        F.sum(F.when(F.col("pos") == 0, 1).otherwise(0)).alias("total_hospitals")), obs
+
+
 def land_reviews(spark: SparkSession, places: DataFrame, details: DataFrame, out_path: str,
-                 city: str = "city", **kw) -> None:
+                 city: str = "city", **kw) -> dict:
     """Extract job: attach details, pad, nest and write review documents (JSON Lines, folder per city).
     Re-running replaces the cities it writes (dynamic partition overwrite)."""
     from reviewflow.sinks.envelope import write_envelope
 
-    docs = review_documents_frame(land_reviews_frame(places, details, **kw), city=city)
+    flat, obs = _observe_totals(land_reviews_frame(places, details, **kw))
+    docs = review_documents_frame(flat, city=city)
     write_envelope(docs, out_path, partition_col="city_slug", root="data",
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
+    return {k: int(v or 0) for k, v in obs.get.items()}
 
 
 def land_synthetic(spark: SparkSession, cities: DataFrame, out_path: str, city: str = "city",
                    per_city: int = K.SYNTHETIC_HOSPITALS_PER_CITY,
-                   reviews_per_hospital: int = K.MIN_REVIEWS_PER_HOSPITAL) -> None:
+                   reviews_per_hospital: int = K.MIN_REVIEWS_PER_HOSPITAL) -> dict:
     """Extract job without an API: synthetic hospitals per city, landed as review documents.
 
     Synthetic hospitals have no place id, so documents are keyed by (city,
@@ -312,10 +323,12 @@ def land_synthetic(spark: SparkSession, cities: DataFrame, out_path: str, city:
     from reviewflow.sinks.envelope import write_envelope
 
     flat = AU.generate_hospitals(cities, city, per_city, reviews_per_hospital).withColumnRenamed("review_no", "pos")
+    flat, obs = _observe_totals(flat)
     docs = review_documents_frame(flat, city=city, key=[city, "hospital_no"], min_count=reviews_per_hospital,
                                   spread=True)
     write_envelope(docs, out_path, partition_col="city_slug", root="data",
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
+    return {k: int(v or 0) for k, v in obs.get.items()}
 
 
 def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city") -> None:

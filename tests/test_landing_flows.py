@@ -46,7 +46,8 @@ def test_land_reviews_then_load(spark, tmp_path):
         {"place_id": "p3", "ok": False, "fetched_at": datetime(2024, 1, 1), "reviews": [rev]},
     ], S.DETAIL)
     out = str(tmp_path / "reviews")
-    PL.land_reviews(spark, places, details, out, min_count=20)
+    totals = PL.land_reviews(spark, places, details, out, min_count=20)
+    assert totals == {"total_reviews": 40, "total_hospitals": 2}
     docs = scan_landing(spark, out, PL.REVIEW_READ_SCHEMA)
     good, bad = split_conformed(PL.reviews_frame(docs, "2025-01-01 00:00:00"))
     counts = {r.place_id: r.n for r in good.groupBy("place_id").agg(F.count("*").alias("n")).collect()}
@@ -117,7 +118,8 @@ def test_land_reviews_rerun_is_idempotent(spark, tmp_path):
 def test_land_synthetic_then_load(spark, tmp_path):
     from reviewflow import jobs
     out = str(tmp_path / "synthetic")
-    jobs.main(["land-synthetic", "--cities", "Pune, New Delhi", "--out", out])
+    res = jobs.main(["land-synthetic", "--cities", "Pune, New Delhi", "--out", out])
+    assert (res["total_hospitals"], res["total_reviews"]) == (10, 1000)
     docs = scan_landing(spark, out, PL.REVIEW_READ_SCHEMA)
     flat = PL.reviews_frame(docs, "2025-01-01 00:00:00")
     good, bad = split_conformed(flat)
