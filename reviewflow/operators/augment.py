@@ -77,7 +77,7 @@ def synthetic_review(keys, salt: str = "review", rating: Column | None = None) -
 
 def top_up_groups(children: DataFrame, parents: DataFrame, key: str, pos: str = "pos",
                   min_count: int = K.MIN_REVIEWS_PER_HOSPITAL, gen=None, salt: str = "topup",
-                  parent_cols: list | None = None) -> DataFrame:
+                  parent_cols: list | None = None, fanout_partitions: int | None = None) -> DataFrame:
     """Pad every parent to ``min_count`` children with generated ones.
 
     Existing children are untouched; parents at or above the minimum are
@@ -94,6 +94,8 @@ def top_up_groups(children: DataFrame, parents: DataFrame, key: str, pos: str =
     need = parents.select(key, *parent_cols).join(counts, key, "left") \
         .withColumn("__n", F.coalesce("__n", F.lit(0)).cast("int")) \
         .filter(F.col("__n") < F.lit(min_count))
+    if fanout_partitions:
+        need = need.repartition(fanout_partitions, key)
     added = need.select(key, *parent_cols, F.explode(F.sequence(F.col("__n"), F.lit(min_count - 1))).alias(pos))
     gen = gen or (lambda k, p: synthetic_review([k, p], salt))
     child = gen(F.col(key), F.col(pos))
