@@ -31,6 +31,9 @@ PLACE_REQUIRED = ["name", "rating", "address", "latitude", "longitude"]
 # ------------------------------------------------------------------ flow A
 
 def places_frame(docs: DataFrame, load_ts) -> DataFrame:
+    """Flow A plan: place documents → one row per place (A1, P2, A3) → rows with name, rating,
+    address and coordinates present, NaN counting as missing (P4) → load time (P6) → the list
+    table's types, with an ``_errors`` column (K3)."""
     flat = FL.flatten_places(docs)
     flat = C.require(flat, PLACE_REQUIRED)
     flat = C.with_audit(flat, load_ts)
@@ -99,6 +102,9 @@ REVIEW_READ_SCHEMA = S.narrow(S.REVIEWS_DOCUMENT, {"data": {
 
 
 def reviews_frame(docs: DataFrame, load_ts) -> DataFrame:
+    """Flow B plan: review documents → one row per review with its hospital's columns (A2),
+    author id (F1), timestamp and 0/1 flag (F2, F3) → load time and an empty sentiment (P6)
+    → the reviews table's types, with an ``_errors`` column (K3)."""
     flat = FL.flatten_reviews(docs)
     flat = C.with_audit(flat, load_ts, constants={"sentiment": ""})
     return C.conform_to_schema(flat, S.HOSPITAL_REVIEWS)
