@@ -693,7 +693,7 @@ def _label_reviews_model_sql() -> str:
     pos = O.lexicon_count("review", K.ADJECTIVES_POSITIVE)
     return f"""
 WITH l AS ({_land_reviews_sql()}),
-r AS (SELECT 'Hospital ' || substr(place_id, 7) AS hospital_name, formatted_address AS address,
+r AS (SELECT 'Hospital ' || regexp_replace(place_id, '^place-', '') AS hospital_name, formatted_address AS address,
              CAST(NULL AS DOUBLE) AS hospital_rating, author_name,
              CAST({O.murmur3('author_name')} AS VARCHAR) AS author_id, text AS review FROM l),
 c AS (SELECT *, {neg} AS a, {neu} AS b, {pos} AS c FROM r)
@@ -712,7 +712,7 @@ def q_label_reviews_model(spark, sf_dir):
     K1 one row per author id (real authors repeat; hash key) → K3 conform to the model table."""
     flat = q_land_reviews(spark, sf_dir)
     reviews = flat.select(
-        F.concat(F.lit("Hospital "), F.substring("place_id", 7, 100)).alias("hospital_name"),
+        F.concat(F.lit("Hospital "), F.regexp_replace("place_id", "^place-", "")).alias("hospital_name"),
         F.col("formatted_address").alias("address"), F.lit(None).cast("double").alias("hospital_rating"),
         "author_name", X.author_id("author_name").alias("author_id"), F.col("text").alias("review"),
         F.lit(None).cast("string").alias("sentiment"))
