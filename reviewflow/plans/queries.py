@@ -81,6 +81,7 @@ def q_first_n(spark, sf_dir):
     """L1/A4: first 5 children of each nested parent (slice), back to rows."""
     conv = _t(spark, sf_dir, "conversations")
     n = FL.nest_children(conv, ["conv_id"], "turn", ["role", "text"], array_name="reviews")
+    # chunk 0 holds positions 0..chunk_size-1, i.e. every parent's first five
     n = n.filter(F.col("chunk") == 0).select("conv_id", AS.first_n("reviews", K.REAL_REVIEWS_LIMIT).alias("reviews"))
     return FL.explode_children(n, "reviews", ["conv_id"], pos="pos")
 
