@@ -7,6 +7,7 @@
     python -m reviewflow.jobs land-places   --pages PARQUET --out PATH
     python -m reviewflow.jobs land-reviews  --places PARQUET --details PARQUET --out PATH
     python -m reviewflow.jobs land-synthetic (--cities "Pune,New Delhi" | --cities-table PARQUET) --out PATH
+    python -m reviewflow.jobs create-tables  [--database DB] [--buckets N]
 
 On a cluster: ``spark-submit --py-files reviewflow.zip reviewflow/jobs.py <job> …``
 (the master and resources come from spark-submit; executors get the package
@@ -67,6 +68,9 @@ def main(argv: list | None = None) -> dict:
     lr.add_argument("--out", required=True)
     for name in ("load-places", "load-reviews", "label-reviews"):
         sub.choices[name].add_argument("--rejects", help="parquet path for rows that do not fit the target")
+    ct = sub.add_parser("create-tables")
+    ct.add_argument("--database")
+    ct.add_argument("--buckets", type=int, help="bucket author-keyed tables by author_id into N buckets")
     ls = sub.add_parser("land-synthetic")
     ls.add_argument("--cities", help="comma-separated city names")
     ls.add_argument("--cities-table", help="parquet with a `city` column")
@@ -92,6 +96,10 @@ def main(argv: list | None = None) -> dict:
         out = PL.label_reviews(spark, args.source_table, args.target_table, scorer=_scorer(args.scorer), url=url,
                                variant=args.variant, rejects_path=args.rejects,
                                partition_column=args.partition_column, **jdbc)
+    elif args.job == "create-tables":
+        if args.database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+        out = {"created": PL.S.create_target_tables(spark, args.database, buckets=args.buckets)}
     elif args.job == "land-synthetic":
         if args.cities_table:
             cities = spark.read.parquet(args.cities_table).select("city")

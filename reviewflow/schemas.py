@@ -194,17 +194,27 @@ SCORE_SENTIMENT = TableSpec("gcp_hospital_sentiment",
 TARGET_TABLES = (HOSPITAL_LISTS, HOSPITAL_REVIEWS, MODEL_SENTIMENT, SCORE_SENTIMENT)
 
 
-def create_target_tables(spark: SparkSession, database: str | None = None, fmt: str = "parquet") -> list:
+BUCKET_KEY = "author_id"
+
+
+def create_target_tables(spark: SparkSession, database: str | None = None, fmt: str = "parquet",
+                         buckets: int | None = None) -> list:
     """Create the four target tables in the session catalog if missing.
 
     Catalog tables enforce neither the primary key nor NOT NULL on insert;
     ``dedup_on_key``, ``require`` and ``conform_to_schema`` do that before
-    every append.
+    every append.  ``buckets``: tables carrying ``author_id`` (the reviews
+    table and the two keyed sentiment tables) are bucketed by it into that
+    many buckets, so the label flow's per-author dedup and its anti-join
+    against keys already stored read co-located buckets instead of shuffling.
     """
     created = []
     for spec in TARGET_TABLES:
         name = f"{database}.{spec.name}" if database else spec.name
         if not spark.catalog.tableExists(name):
-            spark.sql(f"CREATE TABLE {name} ({spec.ddl()}) USING {fmt}")
+            clustered = ""
+            if buckets and BUCKET_KEY in spec.column_names:
+                clustered = f" CLUSTERED BY ({BUCKET_KEY}) INTO {int(buckets)} BUCKETS"
+            spark.sql(f"CREATE TABLE {name} ({spec.ddl()}) USING {fmt}{clustered}")
             created.append(name)
     return created

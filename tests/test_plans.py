@@ -46,3 +46,25 @@ def test_no_explicit_broadcast_hints_in_library():
     src = "\n".join(p.read_text() for p in pathlib.Path(__file__).resolve().parents[1].joinpath("reviewflow")
                     .rglob("*.py"))
     assert "F.broadcast(" not in src and ".hint(\"broadcast\"" not in src and "localCheckpoint" not in src
+
+
+def test_bucketed_tables_make_label_dedup_and_key_antijoin_shuffle_free(spark, tmp_path):
+    from reviewflow import jobs
+    from reviewflow.plans import flows as PL
+    from reviewflow.sinks import envelope as EN
+    conv = D.table(spark, SF_SMALL, "conversations")
+    land = str(tmp_path / "land")
+    EN.write_envelope(D.review_documents(conv).withColumn("city_slug", F.col("city")), land,
+                      constants={"disclaimer": "x"}, mode="overwrite")
+    jobs.main(["create-tables", "--database", "rf_bucketed", "--buckets", "4"])
+    PL.load_reviews(spark, land, "2025-01-01 00:00:00", table="rf_bucketed.hospitals_reviews_ingestion")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = PL.label_frame(spark.table("rf_bucketed.hospitals_reviews_ingestion"))
+        keys = spark.table("rf_bucketed.gcp_hospital_sentiment").select("author_id")
+        plan = _plan(frame.join(keys, ["author_id"], "left_anti"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in plan
+    res = PL.label_reviews(spark, "rf_bucketed.hospitals_reviews_ingestion", "rf_bucketed.gcp_hospital_sentiment")
+    assert res["written"] and res["rows"] == spark.table("rf_bucketed.gcp_hospital_sentiment").count()
