@@ -338,7 +338,12 @@ def land_synthetic(spark: SparkSession, cities: DataFrame, out_path: str, city:
 
 
 def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city") -> None:
-    """Extract job: assemble raw pages and write place documents (JSON Lines, folder per city)."""
+    """Extract job: assemble raw pages and write place documents (JSON Lines, folder per city).
+
+    With a ``city`` column a re-run replaces the cities it writes (dynamic
+    partition overwrite); without one the documents are appended to
+    ``out_path``, so give each run its own folder.
+    """
     from reviewflow.sinks.envelope import write_envelope
 
     docs = land_places_frame(pages, city=city)
