@@ -150,3 +150,24 @@ def test_conform_flags_exactly_what_does_not_fit(spark, rows):
     assert sorted(got, key=repr) == sorted(want, key=repr)
     good, bad = C.split_conformed(out)
     assert good.count() + bad.count() == len(rows)
+
+
+WORDS = ["superb", "top-notch", "bad", "mediocre", "fine", "Awful", "ÉTÉ", "run-of-the-mill", "great", "x"]
+text = st.lists(st.one_of(st.sampled_from(WORDS), st.text(alphabet="ab -,.!éÜ\n\t", max_size=5)), max_size=12) \
+    .map(" ".join)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), text), min_size=1, max_size=30))
+def test_native_and_pandas_scorers_agree(spark, texts):
+    from reviewflow.operators import sentiment as SE
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    native = {r.id: (r.label, r.score) for r in SE.lexicon_score(df, "t").collect()}
+    pandas = {r.id: (r.sentiment, r.sentiment_score) for r in SE.score_text(df, "t").collect()}
+    for i in native:
+        (la, sa), (lb, sb) = native[i], pandas[i]
+        assert la == lb, (texts[i], native[i], pandas[i])
+        assert (sa is None and sb is None) or abs(sa - sb) < 1e-6
+    a = {r.id: r.sentiment for r in SE.label_text(df, "t").collect()}
+    b = {r.id: r.sentiment for r in SE.lexicon_classify(df, "t").collect()}
+    assert a == b
