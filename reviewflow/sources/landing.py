@@ -18,7 +18,16 @@ class NoLandedFiles(FileNotFoundError):
     pass
 
 
-def has_landed_file(spark: SparkSession, path: str, suffix: str = ".json") -> bool:
+def _suffixes(suffix) -> tuple:
+    return (suffix,) if isinstance(suffix, str) else tuple(suffix)
+
+
+def _glob(suffix) -> str:
+    sfx = _suffixes(suffix)
+    return f"*{sfx[0]}" if len(sfx) == 1 else "*{" + ",".join(sfx) + "}"
+
+
+def has_landed_file(spark: SparkSession, path: str, suffix=".json") -> bool:
     """True as soon as one visible ``*<suffix>`` file exists below ``path``.
 
     Walks the file system lazily (Hadoop ``listFiles`` iterator) and stops at
@@ -34,26 +43,28 @@ def has_landed_file(spark: SparkSession, path: str, suffix: str = ".json") -> bo
     it = fs.listFiles(p, True)
     while it.hasNext():
         name = it.next().getPath().getName()
-        if name.endswith(suffix) and not name.startswith(("_", ".")):
+        if name.endswith(_suffixes(suffix)) and not name.startswith(("_", ".")):
             return True
     return False
 
 
 def scan_landing(spark: SparkSession, path, schema: T.StructType, multi_line: bool = False,
-                 suffix: str = ".json", corrupt_col: str | None = None, with_file: bool = False) -> DataFrame:
+                 suffix=".json", corrupt_col: str | None = None, with_file: bool = False) -> DataFrame:
     """Every ``*<suffix>`` file below ``path`` (recursively) as one relation.
 
     Raises ``NoLandedFiles`` when nothing matches: with an explicit schema
     Spark would otherwise return an empty frame silently.  Malformed records
     become NULL rows (PERMISSIVE); pass ``corrupt_col`` to keep their text.
     ``with_file`` adds the source file path (from the hidden ``_metadata``
-    column, read at no extra cost).
+    column, read at no extra cost).  ``suffix`` may be a tuple, e.g.
+    ``(".json", ".json.gz")`` — compressed files are decompressed by Spark
+    (one task per compressed file).
     """
     if corrupt_col:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
     reader = (spark.read.schema(schema)
               .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", f"*{suffix}")
+              .option("pathGlobFilter", _glob(suffix))
               .option("multiLine", "true" if multi_line else "false")
               .option("mode", "PERMISSIVE"))
     if corrupt_col:

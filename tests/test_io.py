@@ -168,3 +168,16 @@ def test_loader_counts_malformed_documents(spark, tmp_path):
     assert res["rows"] == 2 and res["corrupt_documents"] == 1 and res["files"] == 2
     skipped = PL.load_places(spark, root, "2025-01-01 00:00:00", table="rf_corrupt.no_such_table", multi_line=True)
     assert skipped["written"] is False and "corrupt_documents" not in skipped
+
+
+def test_scan_landing_reads_gzip_documents_too(spark, tmp_path):
+    import gzip
+    root = tmp_path / "gz"
+    root.mkdir()
+    (root / "a.json").write_text(json.dumps({"results": [_place("A")]}) + "\n")
+    with gzip.open(root / "b.json.gz", "wt", encoding="utf-8") as f:
+        f.write(json.dumps({"results": [_place("B")]}) + "\n")
+    only_json = scan_landing(spark, str(root), S.PLACES_DOCUMENT)
+    both = scan_landing(spark, str(root), S.PLACES_DOCUMENT, suffix=(".json", ".json.gz"))
+    assert only_json.count() == 1 and both.count() == 2
+    assert sorted(r.name for r in both.selectExpr("inline(results)").collect()) == ["A", "B"]
