@@ -1,0 +1,76 @@
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from reviewflow.llm import mixing as op
+
+
+def brute_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, open_, target = sum(sizes.values()), set(order), {}
+    while open_:
+        rest = total - sum(target.values())
+        share = {s: rest * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > 3 * sizes[s]}
+        target |= {s: 3 * sizes[s] for s in over} if over else share
+        open_ -= over or open_
+    return target
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 12), st.integers(1, 3)), min_size=1, max_size=5, unique_by=lambda x: x[0]), st.integers(0, 60))
+def test_fit_is_best_bounded_subset_sum(items, budget):
+    lengths, free = (np.array(x) for x in zip(*items))
+    taken = op.fit(lengths, free, budget)
+    sums = {0}
+    for size, n in items:
+        sums = {s + size * k for s in sums for k in range(n + 1)}
+    assert (taken <= free).all() and int((taken * lengths).sum()) == max(s for s in sums if s <= budget)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 400), st.integers(1, 9)), min_size=1, max_size=20, unique_by=lambda x: x[0]), st.floats(0, 3))
+def test_plan_stays_within_counts_and_near_target(items, times):
+    lengths, counts = (np.array(x) for x in zip(*items))
+    total = int((lengths * counts).sum())
+    whole, extra = op.plan_source(lengths, counts, total * times, fit_words=64)
+    got = whole * total + int((extra * lengths).sum())
+    assert (extra >= 0).all() and (extra <= counts).all() and whole + (extra.max() > 0) <= 3
+    assert 0 <= int(total * times) - got < lengths.max()
+
+
+def test_mix_against_brute_force(spark, docs):
+    rows = [(i, "w " * (i * 7 % 23), ["b", "a", "Z", None, "é", "c"][i % 6]) for i in range(300)]
+    rows += [(1000 + i, "w " * 10, "a") for i in range(200)] + [(5000, None, "n"), (5001, "", "n"), (None, "x y", "b"), (None, "x y", "b"),
+                                                                (6000, "v " * 30_000, "b")]
+    df = docs(rows, extra=("size", "target", "taken", "copies", "doc"))
+    got = op.mix(df).collect()
+    again = op.mix(df.repartition(7)).collect()
+    key = lambda x: (x.doc_id is None, x.doc_id, x.taken)
+    assert sorted((key(x) for x in got), key=repr) == sorted((key(x) for x in again), key=repr)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    target, took = brute_targets(sizes), dict.fromkeys(sizes, 0)
+    assert len(got) == len(rows)
+    for x in got:
+        s = x.doc.source
+        assert x.size == size(x.doc.text) and x.source_size == sizes[s] and abs(x.target - target[s]) < 1e-6 * max(1, target[s])
+        assert x.taken == x.copies * x.size <= 3 * x.size
+        took[s] += x.taken
+    for s in sizes:
+        longest = max(size(t) for _, t, x in rows if x == s)
+        assert -1e-6 <= target[s] - took[s] <= max(1, 0.01 * target[s], longest if s == "b" else 0), (s, target[s], took[s])
+
+
+def test_take_repeats_rows_and_keeps_columns(docs):
+    df = docs([(1, "a b", "p"), (2, "c d e f", "q"), (3, "", "q")], extra=("copies",))
+    mixed = {r.doc_id: r.copies for r in op.mix(df).select("doc_id", "copies").collect()}
+    got = op.take(df)
+    assert got.columns == df.columns
+    assert {i: n for i, n in mixed.items() if n} == {r[0]: r[1] for r in got.groupBy("doc_id").count().collect()}
+    assert op.take(df.where("false")).collect() == []
