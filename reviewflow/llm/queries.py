@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, exact_dedup, line_dedup, mixing, simhash
+from reviewflow.llm import bpe, exact_dedup, line_dedup, mixing, simhash, toxicity
 from reviewflow.llm.common import load, prepare
 from reviewflow.llm.oracle import ORACLE
 
@@ -55,6 +55,14 @@ def op4(spark, sf_dir):
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@register("op5_toxicity")
+def op5(spark, sf_dir):
+    """Every document's probabilities along the chain, and whether it is rejected."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+    return scored.select("doc.doc_id", "scores.*")
+
+
 @register("op7_byte_bpe")
 def op7(spark, sf_dir):
     """Digests of every document's token ids and of the bytes they decode to."""
