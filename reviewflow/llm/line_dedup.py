@@ -64,18 +64,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row for each input row: doc (its columns, if ``carry``), doc_id, n_lines, n_removed, text."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("string")
     rows = docs.select(own.alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # the lines are cut here, before the join: below it each of them would be looked up in a text cut anew
     rows = rows.select("doc", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(rows.schema["doc_id"].dataType)).alias("doc_id"),
                        F.xxhash64("text", F.length("text")).alias("body"), "text")
     covered = repeated_starts(stage(windows(rows, window), "windows"))
-    joined = rows.join(covered, ["none", "doc_id", "body"], "left")
+    joined = rows.withColumn("lines", F.split("text", "\n")).drop("text").join(covered, ["none", "doc_id", "body"], "left")
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1)))))
-    lines = joined.select("doc", F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "text", gone.alias("gone"))
-    n = F.size(F.split("text", "\n"))
-    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(F.split("text", "\n"), i)), "\n"))
-    return lines.select("doc", "doc_id", F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
-                        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), text.alias("text"))
+    lines = joined.select("doc", F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "lines", gone.alias("gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    left = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(kept, lambda i: F.get("lines", i)))
+    return lines.select("doc", "doc_id", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+                        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(left, "\n").alias("text"))
 
 
 def clean(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars", **options) -> DataFrame:

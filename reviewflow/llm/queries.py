@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, exact_dedup, line_dedup, mixing, simhash, toxicity
+from reviewflow.llm import bpe, embedding_dedup, exact_dedup, licenses, line_dedup, mixing, pii, secrets, simhash, toxicity
 from reviewflow.llm.common import load, prepare
 from reviewflow.llm.oracle import ORACLE
 
@@ -41,6 +41,14 @@ def op1(spark, sf_dir):
     return line_dedup.dedup_lines(load(spark, sf_dir, "documents"), carry=False).select("doc_id", "n_lines", "n_removed", "text")
 
 
+@register("op2_secret_scan")
+def op2(spark, sf_dir):
+    """Secrets in every document: counts, digest of the base spans, all spans."""
+    found = secrets.scan(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[secrets.counted("all", k).alias(f"n_{kind}") for k, kind in enumerate(secrets.kinds())],
+                        F.sha2(secrets.joined("base"), 256).alias("base_sha256"), secrets.joined("all").alias("spans"))
+
+
 @register("op3_source_mixing")
 def op3(spark, sf_dir):
     """How many words of every document the mix takes."""
@@ -63,6 +71,12 @@ def op5(spark, sf_dir):
     return scored.select("doc.doc_id", "scores.*")
 
 
+@register("op6_license_scan")
+def op6(spark, sf_dir):
+    """Every document's best license template and all that match."""
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
 @register("op7_byte_bpe")
 def op7(spark, sf_dir):
     """Digests of every document's token ids and of the bytes they decode to."""
@@ -73,8 +87,26 @@ def op7(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op8_pii")
+def op8(spark, sf_dir):
+    """Personal data in every document: counts, digest of the base spans, all spans."""
+    found = pii.scan(load(spark, sf_dir, "documents"))
+
+    def count(k):
+        return F.size(F.filter("spans", lambda x: x["k"] == k)).cast("long")
+    base = F.filter("spans", lambda x: x["k"] < pii.CRF_SPANS)
+    return found.select("doc_id", *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+                        F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 @register("op9_simhash")
 def op9(spark, sf_dir):
     """Every document with its fingerprint and near-duplicate component."""
     return simhash.near_duplicates(load(spark, sf_dir, "documents"), carry=False).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op10_embedding_dedup")
+def op10(spark, sf_dir):
+    """Every vector with its number of links and its component."""
+    return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))

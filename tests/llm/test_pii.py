@@ -1,0 +1,103 @@
+import hashlib
+import itertools
+import re
+import time
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from reviewflow.llm import pii as op
+from reviewflow.llm.queries import QUERIES
+
+CRF = op.Crf()
+PLAIN = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+",
+         r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * 2, 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def brute(text):
+    out = []
+    for k, p in enumerate(PLAIN):
+        for m in re.finditer(p, text):
+            digits = re.sub(r"[^0-9]", "", m[0])
+            ok = [True, all(int(x) <= 255 for x in m[0].split(".")) if k == 1 else 0, 14 <= len(digits) <= 19 and luhn(digits or "0"), 10 <= len(digits) <= 15][k]
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("ab1209.@-+ %_()é\n"), max_size=60))
+def test_base_spans_are_those_of_the_plain_patterns(text):
+    assert op.base_spans(text) == brute(text)
+
+
+def test_base_cases():
+    for t in ["a@b.cd_x@y.z", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (409) 555-0134x", "+1 +2 3333333333", "x@y", "0001.2.3.255", "1.2.3.256"]:
+        assert op.base_spans(t) == brute(t), t
+
+
+def test_stretches_are_the_trigger_tokens():
+    text = "a1 b2\n c d3  @ e　f4 g"
+    assert [(left, [text[a:b] for a, b in run]) for left, run in op.stretches(text)] == [("", ["a1", "b2"]), ("c", ["d3", "@"]), ("e", ["f4"])]
+
+
+def test_viterbi_finds_the_best_of_all_paths():
+    rng = np.random.default_rng(0)
+    scores = [rng.normal(size=(n, len(op.LABELS))) * 3 for n in (1, 2, 3, 3, 4, 1)]
+    for s, path in zip(scores, CRF.decode(scores)):
+        def value(p):
+            return sum(s[i, y] for i, y in enumerate(p)) + sum(CRF.move[a, b] for a, b in zip([0, *p], [*p, 0]))
+        best = max(itertools.product(range(len(op.LABELS)), repeat=len(s)), key=value)
+        assert value(tuple(path)) == value(best)
+
+
+def test_crf_learns_held_out_sentences():
+    every = op.LABELLED
+    right = total = 0
+    for fold in range(5):
+        crf = op.Crf([s for i, s in enumerate(every) if i % 5 != fold])
+        for s in every[fold::5]:
+            tokens = op.parse(s)
+            text, want = " ".join(t for t, _ in tokens), [y for t, y in tokens if op.TRIGGER.fullmatch(t)]
+            runs = op.stretches(text)
+            got = [op.LABELS[y] for p in crf.decode([crf.score([text[a:b] for a, b in run], left) for left, run in runs]) for y in p]
+            right, total = right + sum(a == b for a, b in zip(got, want)), total + len(want)
+    assert right / total > 0.75
+
+
+def test_crf_adds_spans_beside_the_base_ones():
+    text = "please call 555-0142 or mail jane@example now, card 4111 1111 1111 1111 and +1 (409) 555-0134 of 1999"
+    spans = op.scan_batch([text], CRF)[0]
+    names = [(op.span_kinds()[k], text[a:b]) for a, k, b in spans]
+    assert ("crf_phone", "555-0142") in names and ("crf_email", "jane@example") in names
+    assert ("card", "4111 1111 1111 1111") in names and ("phone", "+1 (409) 555-0134") in names and "1999" not in [t for _, t in names]
+
+
+def test_long_texts_take_linear_time():
+    start = time.time()
+    op.scan_batch(["a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 100_000, "+1" * 150_000, "1 " * 50_000, "+1(" + "(" * 300_000], CRF)
+    assert time.time() - start < 60
+
+
+def test_query_against_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op8_pii"](spark, path).collect()}
+    table = spark.read.parquet(f"{path}/documents.parquet").collect()
+    assert len(got) == len(table)
+    for r in table:
+        base = brute(r.text or "")
+        text = ",".join(f"{op.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        g = got[r.doc_id]
+        assert [g.n_email, g.n_ip, g.n_card, g.n_phone] == [sum(k == x for _, k, _ in base) for x in range(4)]
+        assert g.base_sha256 == hashlib.sha256(text.encode()).hexdigest() and set(text.split(",")) - {""} <= set(g.spans.split(","))
+
+
+def test_nulls_repeats_and_empty_table(docs):
+    df = docs([(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "a@b.c")], extra=("spans", "s"))
+    assert sorted((r.doc_id or 0, len(r.spans)) for r in op.scan(df, CRF).collect()) == [(0, 1), (1, 0), (2, 0), (3, 1), (3, 1)]
+    assert op.scan(df.where("false"), CRF).collect() == []
