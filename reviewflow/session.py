@@ -8,7 +8,10 @@ laptop or a test run — do we pick a local folder ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -51,16 +54,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, choosing a local one only if none is set.
 
     The cluster's ``spark.checkpoint.dir`` (applied by SparkContext at start)
-    wins.  Only when it is absent — a laptop or a test run — do we create a
-    local folder and register it with ``setCheckpointDir`` (the config key
-    itself cannot be changed on a running session).
+    wins.  Only when it is absent and Spark runs in one process (``local``
+    master: a laptop or a test run) do we create a local folder; it is
+    removed when the process ends.  On a cluster the executors would not see
+    such a folder, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="reviewflow-ckpt-"))
+    if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="reviewflow-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
@@ -82,13 +91,33 @@ def spread(df, min_partitions: int | None = None):
     fills) then runs on one core.  When the input already has at least
     ``min_partitions`` splits — the normal case for large tables — this is
     a no-op and adds no shuffle.
+
+    For frames that only scan files: the splits are estimated from the file
+    index (files, and bytes per split), which plans nothing and runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per_split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if max(len(df._jdf.inputFiles()), size // per_split) >= target:
         return df
     return df.repartition(target)
 
 
+def clear_scratch(spark: SparkSession, name: str | None = None) -> None:
+    """Delete this application's intermediate tables (all, or those whose name starts with ``name``).
+
+    For the end of a job: frames that still read such a table stop working.
+    """
+    jvm, root = spark.sparkContext._jvm, checkpoint_root(spark)
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        own = status.getPath().getName()
+        if own != "pyfiles" and own.startswith(name or ""):
+            fs.delete(status.getPath(), True)
+
+
 _SHIPPED: set = set()
 
 

@@ -6,7 +6,8 @@ micro-batch holds only files not seen before (tracked in the checkpoint),
 and ``availableNow`` drains what is there and stops — a restartable batch
 job.  Every micro-batch is written to its own ``batch_id=<n>`` folder with
 overwrite, so a batch replayed after a lost executor or driver replaces its
-own output instead of appending twice.
+own output instead of appending twice.  The checkpoint lies with the output
+unless named, so a restarted stream goes on where the last one stopped.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 from reviewflow import schemas as S
 from reviewflow.operators.clean import split_conformed
 from reviewflow.plans import flows as PL
-from reviewflow.session import checkpoint_root
 
 
 def landing_stream(spark: SparkSession, path: str, schema: S.T.StructType, multi_line: bool = False,
@@ -33,23 +33,30 @@ def landing_stream(spark: SparkSession, path: str, schema: S.T.StructType, multi
     return reader.json(path)
 
 
+def _checkpoint_of(out_path: str) -> str:
+    """A stream's checkpoint belongs to its output: the same folder on every start, beside the batch folders
+    (hidden from readers of the output by its underscore)."""
+    return os.path.join(out_path, "_checkpoint")
+
+
 def _write_split(frame: DataFrame, batch_id: int, out_path: str, rejects_path: str | None) -> None:
-    """Good rows (and rejects) of one micro-batch, each to its own batch folder.
+    """Good rows and rejects of one micro-batch, each to its own batch folder.
 
-    Written twice only with a rejects path; the batch is then persisted for
-    the two writes (the documented way to write a micro-batch to several
-    places) so its files are parsed once.
+    The batch is persisted for its outputs (the documented way to write a
+    micro-batch to several places), so its files are parsed once.  Rows that
+    do not fit fail the batch when no rejects path takes them: it is not
+    committed, and runs again once there is one.
     """
-    if rejects_path:
-        frame = frame.persist()
+    frame = frame.persist()
     try:
         good, bad = split_conformed(frame)
-        good.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
         if rejects_path:
             bad.write.mode("overwrite").parquet(os.path.join(rejects_path, f"batch_id={batch_id}"))
+        elif n := bad.count():
+            raise PL.RejectedRows({"batch": batch_id, "rejected": n})
+        good.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
     finally:
-        if rejects_path:
-            frame.unpersist()
+        frame.unpersist()
 
 
 def _writer(out_path: str, rejects_path: str | None):
@@ -64,7 +71,7 @@ def stream_reviews(spark: SparkSession, landing: str, out_path: str, load_ts=Non
     """Flow B as a stream: new review documents → flatten → conform → parquet table."""
     src = landing_stream(spark, landing, PL.REVIEW_READ_SCHEMA, multi_line=multi_line)
     frame = PL.reviews_frame(src, load_ts)
-    ckpt = checkpoint or os.path.join(checkpoint_root(spark), "streams", "reviews")
+    ckpt = checkpoint or _checkpoint_of(out_path)
     w = frame.writeStream.foreachBatch(_writer(out_path, rejects_path)).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
@@ -76,7 +83,7 @@ def stream_places(spark: SparkSession, landing: str, out_path: str, load_ts=None
     """Flow A as a stream: new place documents → flatten → required columns → conform → parquet."""
     src = landing_stream(spark, landing, S.PLACES_DOCUMENT, multi_line=multi_line)
     frame = PL.places_frame(src, load_ts)
-    ckpt = checkpoint or os.path.join(checkpoint_root(spark), "streams", "places")
+    ckpt = checkpoint or _checkpoint_of(out_path)
     w = frame.writeStream.foreachBatch(_writer(out_path, rejects_path)).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
@@ -101,7 +108,7 @@ def stream_labels(spark: SparkSession, reviews_path: str, out_path: str, variant
         frame = PL.label_frame(batch, skip_labelled=variant != "model", spec=spec, variant=variant)
         _write_split(frame, batch_id, out_path, rejects_path)
 
-    ckpt = checkpoint or os.path.join(checkpoint_root(spark), "streams", "labels")
+    ckpt = checkpoint or _checkpoint_of(out_path)
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
