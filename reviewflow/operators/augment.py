@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from reviewflow import constants as K
 from reviewflow.functions import exprs as X
-from reviewflow.session import spread
 
 TEMPLATES = {"positive": K.POSITIVE_TEMPLATES, "neutral": K.NEUTRAL_TEMPLATES, "negative": K.NEGATIVE_TEMPLATES}
 ADJECTIVES = {"positive": K.ADJECTIVES_POSITIVE, "neutral": K.ADJECTIVES_NEUTRAL, "negative": K.ADJECTIVES_NEGATIVE}
@@ -47,6 +46,11 @@ def review_text(rating, keys, salt: str = "review") -> Column:
     return X.fill_template(template, words)
 
 
+def _upto(n: int) -> Column:
+    """Array 0..n-1; empty for n <= 0 (a sequence from 0 to -1 would run downwards)."""
+    return F.sequence(F.lit(0), F.lit(n - 1)) if n > 0 else F.array().cast("array<int>")
+
+
 def synthetic_review(keys, salt: str = "review", rating: Column | None = None) -> Column:
     """One generated review struct, shaped like a landed review (review_type 'fake').
 
@@ -128,7 +132,7 @@ def pad_children(df: DataFrame, array_col: str, keys: list, keep: list | None =
     arr = F.coalesce(F.col(array_col), F.array().cast(df.schema[array_col].dataType))
     n = F.size(arr)
     real = F.transform(arr, lambda c, i: F.struct(i.alias("p"), F.lit(True).alias("real"), c.alias("c")))
-    extra = F.transform(F.filter(F.sequence(F.lit(0), F.lit(min_count - 1)), lambda p: p >= n),
+    extra = F.transform(F.filter(_upto(min_count), lambda p: p >= n),
                         lambda p: F.struct(p.alias("p"), F.lit(False).alias("real"), F.lit(None).cast(elem).alias("c")))
     slots = df.select(*keep, F.explode(F.concat(real, extra)).alias("__s")) \
         .select(*keep, F.col("__s.p").alias(pos), F.col("__s.real").alias("__real"), F.col("__s.c").alias("__c0"))
@@ -155,7 +159,7 @@ def generate_hospitals(cities: DataFrame, city: str = "city", per_city: int = K.
     Rows come from ``sequence`` explodes on each city row — narrow, so the
     work spreads with the city table's partitions.
     """
-    h = cities.select(F.col(city), F.explode(F.sequence(F.lit(0), F.lit(per_city - 1))).alias("hospital_no"))
+    h = cities.select(F.col(city), F.explode(_upto(per_city)).alias("hospital_no"))
     hk = [F.col(city), F.col("hospital_no")]
     h = h.select(
         city, "hospital_no",
@@ -168,8 +172,7 @@ def generate_hospitals(cities: DataFrame, city: str = "city", per_city: int = K.
         X.hash_tenths(f"{salt}:rating", hk, *K.SYNTHETIC_HOSPITAL_RATING).alias("hospital_rating"),
         X.hash_int(f"{salt}:total", hk, *K.SYNTHETIC_RATINGS_TOTAL).cast("long").alias("user_ratings_total"),
     )
-    h = spread(h)        # each hospital row fans out to reviews_per_hospital generated rows
-    r = h.select("*", F.explode(F.sequence(F.lit(0), F.lit(reviews_per_hospital - 1))).alias("review_no"))
+    r = h.select("*", F.explode(_upto(reviews_per_hospital)).alias("review_no"))
     rk = [F.col(city), F.col("hospital_no"), F.col("review_no")]
     return r.select("*", synthetic_review(rk, f"{salt}:review").alias("review")).select(
         *[c for c in r.columns], "review.*")

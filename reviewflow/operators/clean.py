@@ -98,6 +98,7 @@ def first_n_per_key(df: DataFrame, key: list, order: list, n: int, rank_col: str
 # -------------------------------------------------------------- conformance
 
 _FLOAT_MAX = 3.4028234663852886e38
+_TEXT_BYTES = 65_535
 
 
 def _check(c: Column, col) -> tuple[Column, Column]:
@@ -109,10 +110,15 @@ def _check(c: Column, col) -> tuple[Column, Column]:
         bad = F.lit(False)
         if col.max_length is not None:
             bad = F.coalesce(F.length(v) > F.lit(col.max_length), F.lit(False))
+        else:
+            bad = F.coalesce(F.octet_length(v) > F.lit(_TEXT_BYTES), F.lit(False))
     elif base == "float":
         d = c.try_cast("double")
         v = d.cast("float")
-        bad = (c.isNotNull() & d.isNull()) | F.coalesce(~F.isnan(d) & (F.abs(d) > F.lit(_FLOAT_MAX)), F.lit(False))
+        bad = (c.isNotNull() & d.isNull()) | F.coalesce(F.isnan(d) | (F.abs(d) > F.lit(_FLOAT_MAX)), F.lit(False))
+    elif base == "double":
+        v = c.try_cast("double")
+        bad = (c.isNotNull() & v.isNull()) | F.coalesce(F.isnan(v), F.lit(False))
     elif base == "datetime":
         v = c.try_cast("timestamp")
         bad = c.isNotNull() & v.isNull()
@@ -130,8 +136,9 @@ def conform_to_schema(df: DataFrame, spec: TableSpec, errors_col: str = "_errors
 
     Returns the target columns (converted) plus ``_errors``: the names of the
     violating columns, in table order ('' when the row fits).  Over-long
-    VARCHAR, integer overflow (TINYINT/INT), float overflow, unparseable
-    DATETIME and NULL in a NOT NULL column are violations.  Missing source
+    VARCHAR, TEXT beyond 65,535 bytes, integer overflow (TINYINT/INT), float
+    overflow, NaN, unparseable DATETIME and NULL in a NOT NULL column are
+    violations.  Missing source
     columns are NULL.  ``keep`` columns pass through unchanged (e.g. lineage).
     """
     have = set(df.columns)
@@ -149,3 +156,10 @@ def split_conformed(conformed: DataFrame, errors_col: str = "_errors") -> tuple[
     good = conformed.filter(F.col(errors_col) == "").drop(errors_col)
     bad = conformed.filter(F.col(errors_col) != "")
     return good, bad
+
+
+def reject_reasons(conformed: DataFrame, errors_col: str = "_errors") -> DataFrame:
+    """G1/K3: rows per violated column, and rows that fit (reason 'fits'); partially aggregated."""
+    reason = F.explode(F.split(F.col(errors_col), ",")).alias("reason")
+    return conformed.select(reason).groupBy(F.when(F.col("reason") == "", F.lit("fits")).otherwise(F.col("reason")).alias("reason")) \
+        .agg(F.count(F.lit(1)).alias("n_rows"))

@@ -61,7 +61,7 @@ def review_columns(with_extras: bool = False, with_position: bool = False) -> di
         "language": "r.language",
         "original_language": "r.original_language",
         "profile_photo_url": "r.profile_photo_url",
-        "review_rating": F.col("r.rating").cast("int"),
+        "review_rating": "r.rating",                           # narrowed by the conformance step, which flags what does not fit
         "relative_time_description": "r.relative_time_description",
         "review": "r.text",                                  # D1: the table column is `review`
         "time": X.epoch_to_timestamp("r.time"),
@@ -75,12 +75,18 @@ def review_columns(with_extras: bool = False, with_position: bool = False) -> di
     return cols
 
 
+FIRST_CHILD = "first_review"        # a landed document's field: the position of its first review in the whole hospital
+
+
 def flatten_reviews(docs: DataFrame, keep: list | None = None, with_extras: bool = False,
                     with_position: bool = False, columns: dict | None = None) -> DataFrame:
     """A2: two-level inner explode data[] → reviews[], keeping hospital columns."""
     keep = keep or []
-    hospitals = docs.select(*keep, F.posexplode("data").alias("hpos", "h"))
-    reviews = hospitals.select(*keep, "hpos", "h", F.posexplode("h.reviews").alias("rpos", "r"))
+    # a hospital that is landed in several documents goes on counting where the one before stopped
+    first = F.coalesce(F.col(FIRST_CHILD), F.lit(0)) if FIRST_CHILD in docs.columns else F.lit(0)
+    hospitals = docs.select(*keep, first.cast("int").alias("__first"), F.posexplode("data").alias("hpos", "h"))
+    reviews = hospitals.select(*keep, "hpos", "h", "__first", F.posexplode("h.reviews").alias("__rpos", "r"))
+    reviews = reviews.withColumn("rpos", F.col("__first") + F.col("__rpos"))
     cols = columns or review_columns(with_extras, with_position)
     return reviews.select(*keep, *[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in cols.items()])
 

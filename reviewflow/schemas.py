@@ -59,6 +59,7 @@ HOSPITAL = T.StructType([
 
 REVIEWS_DOCUMENT = T.StructType([
     T.StructField("disclaimer", T.StringType()),
+    T.StructField("first_review", T.IntegerType()),
     T.StructField("data", T.ArrayType(HOSPITAL)),
 ])
 
@@ -174,7 +175,7 @@ HOSPITAL_REVIEWS = TableSpec("hospitals_reviews_ingestion", (
     Column("time", "datetime"),
     Column("translated", "tinyint"),
     Column("loaddatetime", "datetime"),
-    Column("sentiment", "text"),
+    Column("sentiments", "text"),
 ))
 
 _SENTIMENT_COLUMNS = (
