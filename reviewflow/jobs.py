@@ -28,13 +28,15 @@ from datetime import datetime
 
 from reviewflow.plans import flows as PL
 from reviewflow.session import get_session
+from reviewflow.sinks.tables import MAX_CONNECTIONS
 
 
 def _jdbc(args) -> dict:
     if not args.jdbc_url:
         return {}
     return {"url": args.jdbc_url, "user": args.user, "driver": args.driver,
-            "password": os.environ.get(args.password_env) if args.password_env else None}
+            "password": os.environ.get(args.password_env) if args.password_env else None,
+            "batchsize": args.jdbc_batch_size, "num_partitions": args.jdbc_connections}
 
 
 def _scorer(spec: str | None):
@@ -80,6 +82,8 @@ def main(argv: list | None = None) -> dict:
         j.add_argument("--user")
         j.add_argument("--driver")
         j.add_argument("--password-env")
+        j.add_argument("--jdbc-batch-size", type=int, default=PL.K.JDBC_BATCH_SIZE, help="rows per insert batch")
+        j.add_argument("--jdbc-connections", type=int, default=MAX_CONNECTIONS, help="connections an append opens at most")
     args = p.parse_args(argv)
 
     spark = get_session(app_name=f"reviewflow-{args.job}")
@@ -95,7 +99,7 @@ def main(argv: list | None = None) -> dict:
     elif args.job == "label-reviews":
         out = PL.label_reviews(spark, args.source_table, args.target_table, scorer=_scorer(args.scorer), url=url,
                                variant=args.variant, rejects_path=args.rejects,
-                               partition_column=args.partition_column, **jdbc)
+                               partition_column=args.partition_column, load_ts=load_ts, **jdbc)
     elif args.job == "create-tables":
         if args.database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
@@ -110,8 +114,8 @@ def main(argv: list | None = None) -> dict:
             cities = spark.createDataFrame([(c,) for c in names], "city string")
         out = {"written": True, **PL.land_synthetic(spark, cities, args.out)}
     elif args.job == "land-places":
-        PL.land_places(spark, spark.read.parquet(args.pages), args.out)
-        out = {"written": True}
+        out = PL.land_places(spark, spark.read.parquet(args.pages), args.out, load_ts=load_ts)
+        out["written"] = out["documents"] > 0
     else:
         out = {"written": True, **PL.land_reviews(spark, spark.read.parquet(args.places),
                                                    spark.read.parquet(args.details), args.out)}

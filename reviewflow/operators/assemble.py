@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from reviewflow import constants as K
 from reviewflow.operators.clean import dedup_on_key
+from reviewflow.operators.flatten import FIRST_CHILD
 
 FIRST_PAGE_OK = ("OK", "ZERO_RESULTS")
 NEXT_PAGE_OK = "OK"
 _NO_CUT = 2 ** 31 - 1
+_SLICES = 16
 
 
 def first_n(arr, n: int = K.REAL_REVIEWS_LIMIT):
@@ -66,23 +68,34 @@ def assemble_pages(pages: DataFrame, request: str = "request_id", page_no: str =
     row per request with a bad page — so AQE can broadcast the cuts once
     measured small, or split a skewed request partition otherwise.
     """
-    cuts = page_cuts(pages, request, page_no, status, token, results)
-    kept = pages.filter(F.col(page_no) >= 1).select(request, page_no, results).join(cuts, request, "left") \
-        .filter(F.col(page_no) < F.coalesce(F.col("cut"), F.lit(_NO_CUT)))
+    kept = kept_pages(pages, request, page_no, status, token, results)
     return kept.select(request, page_no, F.posexplode(results).alias("pos", result_col))
 
 
+def kept_pages(pages: DataFrame, request: str = "request_id", page_no: str = "page_no", status: str = "status",
+               token: str = "next_page_token", results: str = "results", carry: list | None = None) -> DataFrame:
+    """J2 by page: request, page_no, results (and ``carry`` columns) of pages 1..k-1 before the first bad page k."""
+    cuts = page_cuts(pages, request, page_no, status, token, results)
+    return pages.filter(F.col(page_no) >= 1).select(request, page_no, results, *(carry or [])) \
+        .join(cuts, request, "left").filter(F.col(page_no) < F.coalesce(F.col("cut"), F.lit(_NO_CUT))).drop("cut")
+
+
 def request_outcomes(pages: DataFrame, request: str = "request_id", page_no: str = "page_no",
                      status: str = "status", token: str = "next_page_token", results: str = "results") -> DataFrame:
     """Per request — 'failed' (page 1 missing or bad status), 'empty' (no results), or 'ok';
     with the number of pages and results ``assemble_pages`` keeps.
 
     One partially aggregated pass over the pages joined to their cut (no
-    explode: results are counted by array size).
+    explode: results are counted by array size).  The join is on (request,
+    slice of pages), the cuts being repeated for the slices, so a request
+    with a large part of all pages meets its cut in ``_SLICES`` tasks, and
+    each of them hands one partial row to the final aggregate.
     """
-    cuts = page_cuts(pages, request, page_no, status, token, results)
-    j = pages.select(request, page_no, status, F.coalesce(F.size(results), F.lit(0)).alias("__n")) \
-        .join(cuts, request, "left")
+    cuts = page_cuts(pages, request, page_no, status, token, results) \
+        .withColumn("__slice", F.explode(F.sequence(F.lit(0), F.lit(_SLICES - 1))))
+    j = pages.select(request, page_no, status, F.coalesce(F.size(results), F.lit(0)).alias("__n"),
+                     F.pmod(F.coalesce(page_no, F.lit(0)), F.lit(_SLICES)).alias("__slice")) \
+        .join(cuts, [request, "__slice"], "left")
     kept = (F.col(page_no) >= 1) & (F.col(page_no) < F.coalesce(F.col("cut"), F.lit(_NO_CUT)))
     # 2 failed, 1 empty, 0 ok — decided by page 1 (no page 1: failed)
     code = F.when(~F.coalesce(F.col(status).isin(*FIRST_PAGE_OK), F.lit(False)), 2) \
@@ -100,17 +113,17 @@ def attach_details(places: DataFrame, details: DataFrame, key: str = "place_id",
                    fetched_at: str | None = "fetched_at") -> DataFrame:
     """Place ⋈ its detail; failed or missing detail drops the place; first ``limit`` reviews.
 
-    Duplicate detail rows are reduced to one per key first (successful
-    before failed, then latest), so the join cannot multiply places.  NULL
-    keys never match.  A successful detail without reviews keeps the place
-    with an empty array.
+    Failed details go and arrays are cut before anything is shuffled; then
+    duplicates are reduced to one per key (the latest; of equally late ones
+    that with the smallest hash of its kept reviews), so the join cannot
+    multiply places.  NULL keys never match.  A successful detail without
+    reviews keeps the place with an empty array.
     """
-    order = [F.col(ok).desc_nulls_last()]
-    if fetched_at and fetched_at in details.columns:
-        order.append(F.col(fetched_at).desc_nulls_last())
-    one = dedup_on_key(details.filter(F.col(key).isNotNull()), [key], order)
-    good = one.filter(F.coalesce(F.col(ok), F.lit(False))).select(
-        key, F.slice(F.coalesce(F.col(reviews), F.array()), 1, limit).alias(reviews))
+    good = details.filter(F.col(key).isNotNull() & F.coalesce(F.col(ok), F.lit(False))).select(
+        key, F.slice(F.coalesce(F.col(reviews), F.array()), 1, limit).alias(reviews),
+        *([fetched_at] if fetched_at and fetched_at in details.columns else []))
+    order = [F.col(fetched_at).desc_nulls_last()] if fetched_at in good.columns else []
+    good = dedup_on_key(good, [key], [*order, F.xxhash64(reviews)]).select(key, reviews)
     base = places.drop(reviews) if reviews in places.columns else places
     return base.join(good, key, "inner")
 
@@ -119,15 +132,29 @@ def batch_totals(docs: DataFrame, data: str = "data", reviews: str = "reviews",
                  chunk_col: str | None = None) -> DataFrame:
     """Number of parents and total nested children per batch (``by`` columns).
 
-    With chunked documents (``chunk_col``), a parent is counted once — on its
-    chunk 0 — while children are summed over all chunks.  Both are partial
-    aggregates: a hot batch costs one partial row per map task.
+    A parent landed in several documents is counted once, on the one that
+    holds its first child (``chunk_col`` 0; landed documents carry
+    ``first_review``), while children are summed over all.  Only array sizes
+    are read, and both totals are partial aggregates: a hot batch costs one
+    partial row per map task.
     """
     by = list(by or [])
+    chunk_col = chunk_col or (FIRST_CHILD if FIRST_CHILD in docs.columns else None)
     keep = by + ([chunk_col] if chunk_col else [])
     h = docs.select(*keep, F.explode(data).alias("h"))
-    parents = F.count(F.lit(1)) if not chunk_col else F.sum(F.when(F.col(chunk_col) == 0, 1).otherwise(0))
+    parents = F.count(F.lit(1)) if not chunk_col else \
+        F.coalesce(F.sum(F.when(F.coalesce(F.col(chunk_col), F.lit(0)) == 0, 1).otherwise(0)), F.lit(0))
     aggs = [parents.cast("long").alias("total_hospitals"),
             F.coalesce(F.sum(F.coalesce(F.size(f"h.{reviews}"), F.lit(0))), F.lit(0)).cast("long")
             .alias("total_reviews")]
     return h.groupBy(*by).agg(*aggs) if by else h.agg(*aggs)
+
+
+def child_totals(children: DataFrame, parent: str, by: list) -> DataFrame:
+    """G2/G3 over flat children: distinct parents and children per batch, without nesting anything.
+
+    Children are counted per (batch, parent) first, partially before the
+    shuffle, then parents per batch: no text moves and no parent is held.
+    """
+    each = children.groupBy(*by, parent).agg(F.count(F.lit(1)).alias("__n"))
+    return each.groupBy(*by).agg(F.count(F.lit(1)).alias("total_hospitals"), F.sum("__n").cast("long").alias("total_reviews"))

@@ -22,7 +22,7 @@ from reviewflow.functions import exprs as X
 from reviewflow.operators import clean as C
 from reviewflow.operators import flatten as FL
 from reviewflow.operators import sentiment as SE
-from reviewflow.sinks.tables import guarded_append_rows, observed
+from reviewflow.sinks.tables import guarded_append_rows, observed, target_exists
 from reviewflow.sources.landing import landed_file_count, scan_landing
 
 PLACE_REQUIRED = ["name", "rating", "address", "latitude", "longitude"]
@@ -30,11 +30,11 @@ PLACE_REQUIRED = ["name", "rating", "address", "latitude", "longitude"]
 
 # ------------------------------------------------------------------ flow A
 
-def places_frame(docs: DataFrame, load_ts) -> DataFrame:
+def places_frame(docs: DataFrame, load_ts, counts: dict | None = None) -> DataFrame:
     """Flow A plan: place documents → one row per place (A1, P2, A3) → rows with name, rating,
     address and coordinates present, NaN counting as missing (P4) → load time (P6) → the list
     table's types, with an ``_errors`` column (K3)."""
-    flat = FL.flatten_places(docs)
+    flat = _counted(FL.flatten_places(docs), counts, "read")
     flat = C.require(flat, PLACE_REQUIRED)
     flat = C.with_audit(flat, load_ts)
     return C.conform_to_schema(flat, S.HOSPITAL_LISTS)
@@ -49,36 +49,61 @@ def _scan_counted(spark: SparkSession, path, schema, multi_line: bool):
 
     docs = scan_landing(spark, path, schema, multi_line=multi_line, corrupt_col=CORRUPT_COL)
     obs = Observation("landing")
-    docs = docs.observe(obs, F.count(F.col(CORRUPT_COL)).alias("corrupt"))
-    return docs.drop(CORRUPT_COL), obs
+    docs = docs.observe(obs, F.count(F.col(CORRUPT_COL)).alias("corrupt_documents"))
+    return docs.drop(CORRUPT_COL), {"landing": obs}
+
+
+class RejectedRows(ValueError):
+    """Rows do not fit the target and no ``rejects_path`` says where they go; nothing was appended."""
+
+    def __init__(self, counts: dict):
+        super().__init__(f"{counts['rejected']} rows do not fit the target; give a rejects_path, nothing was appended: {counts}")
+        self.counts = counts
+
+
+def _counted(df: DataFrame, counts: dict | None, name: str) -> DataFrame:
+    """``df``, its rows counted by the job that reads it; the observation goes to ``counts``."""
+    if counts is None:
+        return df
+    from pyspark.sql import Observation
+
+    counts[name] = Observation(name)
+    return df.observe(counts[name], F.count(F.lit(1)).alias(name))
 
 
 def _append_with_rejects(conformed: DataFrame, table: str, url, rejects_path: str | None, jdbc: dict,
-                         scan_obs=None) -> dict:
-    """Append the conforming rows; write the others to ``rejects_path`` (parquet) when given.
-
-    Nothing is dropped silently: the returned counts cover both parts, and
-    malformed landed documents are counted when the scan is observed.  With
-    a rejects path the conformed rows are staged once as Parquet below the
-    shared checkpoint folder, and both outputs read the stage: the landed
-    JSON is parsed once, and a failed table append can be retried from it.
+                         counts: dict | None = None) -> dict:
+    """Append the conforming rows; write the others to ``rejects_path`` (parquet).
+
+    Every row read is accounted for.  The conformed rows are staged once as
+    Parquet below the shared checkpoint folder: that job counts what was
+    read, dropped and kept (``counts``: observations by name), both outputs
+    read the stage, and a failed append can be retried from it.  Rows that do
+    not fit fail the load before anything is appended unless there is a
+    rejects path.  Without the target table nothing is read.
     """
-    if rejects_path:
-        from reviewflow.session import scratch_path
+    from reviewflow.session import scratch_path
 
-        stage = scratch_path(conformed.sparkSession, "conformed-stage")
-        conformed.write.mode("overwrite").parquet(stage)
-        conformed = conformed.sparkSession.read.parquet(stage)
-    good, bad = C.split_conformed(conformed)
-    rows = guarded_append_rows(good, table, url, **jdbc)
-    out = {"written": rows is not None, "rows": rows or 0}
-    if scan_obs is not None and (rows is not None or rejects_path):   # .get blocks unless an action ran
-        out["corrupt_documents"] = scan_obs.get["corrupt"]
+    spark = conformed.sparkSession
+    if not target_exists(spark, table, url, **jdbc):
+        print(f"target table {table} does not exist; load skipped")
+        return {"written": False, "rows": 0}
+    from pyspark.sql import Observation
+
+    stage, seen = scratch_path(spark, "conformed-stage"), Observation("conformed")
+    bad = F.col("_errors") != ""
+    conformed.observe(seen, F.count(F.lit(1)).alias("conformed"), F.count(F.when(bad, 1)).alias("rejected")) \
+        .write.mode("overwrite").parquet(stage)
+    out = {k: int(v or 0) for k, v in seen.get.items()}
+    for obs in (counts or {}).values():
+        out |= {k: int(v or 0) for k, v in obs.get.items()}
+    if out["rejected"] and not rejects_path:
+        raise RejectedRows(out)
+    good, rejects = C.split_conformed(spark.read.schema(conformed.schema).parquet(stage))
     if rejects_path:
-        bad_obs, obs = observed(bad)
-        bad_obs.write.mode("append").parquet(rejects_path)
-        out["rejected"] = obs.get["rows"]
-    return out
+        rejects.write.mode("append").parquet(rejects_path)
+    rows = guarded_append_rows(good, table, url, **jdbc)
+    return {"written": rows is not None, "rows": rows or 0, **out}
 
 
 def load_places(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL_LISTS.name,
@@ -86,27 +111,29 @@ def load_places(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITAL
                 **jdbc) -> dict:
     """Flow A job.  ``multi_line=True`` for pretty-printed single documents per file
     (the source's landing); the default reads JSON Lines (this library's landing)."""
-    docs, obs = _scan_counted(spark, path, S.PLACES_DOCUMENT, multi_line)
-    out = _append_with_rejects(places_frame(docs, load_ts), table, url, rejects_path, jdbc, obs)
+    docs, counts = _scan_counted(spark, path, S.PLACES_DOCUMENT, multi_line)
+    out = _append_with_rejects(places_frame(docs, load_ts, counts), table, url, rejects_path, jdbc, counts)
+    if out["written"]:
+        out["missing_required"] = out["read"] - out["conformed"]
     return {"files": landed_file_count(docs), **out}
 
 
 # ------------------------------------------------------------------ flow B
 
 # Narrow read schema for the review loader: the fields the table needs.
-REVIEW_READ_SCHEMA = S.narrow(S.REVIEWS_DOCUMENT, {"data": {
+REVIEW_READ_SCHEMA = S.narrow(S.REVIEWS_DOCUMENT, {"first_review": True, "data": {
     "name": True, "formatted_address": True, "place_id": True, "rating": True,
     "reviews": {k: True for k in ("author_name", "author_url", "language", "original_language",
                                   "profile_photo_url", "rating", "relative_time_description", "text",
                                   "time", "translated")}}})
 
 
-def reviews_frame(docs: DataFrame, load_ts) -> DataFrame:
+def reviews_frame(docs: DataFrame, load_ts, counts: dict | None = None) -> DataFrame:
     """Flow B plan: review documents → one row per review with its hospital's columns (A2),
     author id (F1), timestamp and 0/1 flag (F2, F3) → load time and an empty sentiment (P6)
     → the reviews table's types, with an ``_errors`` column (K3)."""
-    flat = FL.flatten_reviews(docs)
-    flat = C.with_audit(flat, load_ts, constants={"sentiment": ""})
+    flat = _counted(FL.flatten_reviews(docs), counts, "read")
+    flat = C.with_audit(flat, load_ts, constants={"sentiments": ""})
     return C.conform_to_schema(flat, S.HOSPITAL_REVIEWS)
 
 
@@ -114,8 +141,8 @@ def load_reviews(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITA
                  url: str | None = None, multi_line: bool = False, rejects_path: str | None = None,
                  **jdbc) -> dict:
     """Flow B job (see ``load_places`` for ``multi_line``)."""
-    docs, obs = _scan_counted(spark, path, REVIEW_READ_SCHEMA, multi_line)
-    out = _append_with_rejects(reviews_frame(docs, load_ts), table, url, rejects_path, jdbc, obs)
+    docs, counts = _scan_counted(spark, path, REVIEW_READ_SCHEMA, multi_line)
+    out = _append_with_rejects(reviews_frame(docs, load_ts, counts), table, url, rejects_path, jdbc, counts)
     return {"files": landed_file_count(docs), **out}
 
 
@@ -130,9 +157,18 @@ def child_defaults() -> dict:
 
 # ------------------------------------------------------------------ flow C
 
+# Columns a labelled row carries beside the target's own; appended where the target has them.
+LINEAGE = ["place_id", "method", "loaddatetime"]
+
+
 def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_labelled: bool = True,
-                spec: S.TableSpec = S.SCORE_SENTIMENT, variant: str = "score") -> DataFrame:
-    """Label reviews; one row per author id (first by review text), conformed to ``spec``.
+                spec: S.TableSpec = S.SCORE_SENTIMENT, variant: str = "score", load_ts=None,
+                existing: DataFrame | None = None, counts: dict | None = None) -> DataFrame:
+    """Label reviews; one row per author id, conformed to ``spec`` (with ``_errors`` and ``LINEAGE``).
+
+    Rows to label are found first — still unlabelled, with a key, the first
+    per key by review text and then all other columns, the key not among
+    ``existing`` — and only those are scored.
 
     ``variant="score"``: score → (label at ±0.25, score); only still-unlabelled
     rows by default.  ``native=True`` scores with the Catalyst lexicon (no
@@ -140,39 +176,53 @@ def label_frame(reviews: DataFrame, scorer=None, native: bool = True, skip_label
     ``variant="model"``: a classifier's argmax label (blank text → ''), over
     every row unless ``skip_labelled``; ``scorer`` is the classifier (a
     pandas UDF), or the native lexicon classifier when none is given.
+    ``counts`` receives the observations read, with_key, authors and new.
     """
+    key = ["author_id"]
+    if "sentiments" in reviews.columns:         # the reviews table's own name for it
+        reviews = reviews.withColumnRenamed("sentiments", "sentiment")
     todo = C.only_unlabelled(reviews, "sentiment") if skip_labelled else reviews
-    todo = todo.drop("sentiment")
+    todo = _counted(todo.drop("sentiment", "loaddatetime", "method"), counts, "read")
+    todo = _counted(C.require(todo, key), counts, "with_key")
+    rest = [c for c in ("review", "author_name", "hospital_name", "address", "place_id", "hospital_rating") if c in todo.columns]
+    todo = todo.select(*key, *rest)
+    todo = _counted(C.dedup_on_key(todo, key, [F.col(c).asc_nulls_last() for c in rest]), counts, "authors")
+    if existing is not None:
+        todo = todo.join(existing, key, "left_anti")
+    todo = _counted(todo, counts, "new")
+    native = native and scorer is None
     if variant == "model":
-        scored = SE.lexicon_classify(todo, "review") if (native and scorer is None) \
-            else SE.label_text(todo, "review", scorer)
-    elif native and scorer is None:
+        scored = SE.lexicon_classify(todo, "review") if native else SE.label_text(todo, "review", scorer)
+    elif native:
         scored = SE.lexicon_score(todo, "review", prefix="__")
         scored = scored.withColumns({"sentiment": F.col("__label"),
                                      "sentiment_score": F.col("__score").cast("float")})
         scored = scored.drop("__n_pos", "__n_neg", "__score", "__label")
     else:
         scored = SE.score_text(todo, "review", scorer)
-    scored = C.require(scored, ["author_id"])
-    scored = C.dedup_on_key(scored, ["author_id"], [F.col("review").asc_nulls_last(),
-                                                     F.col("author_name").asc_nulls_last()])
-    return C.conform_to_schema(scored, spec)
+    if "place_id" not in scored.columns:
+        scored = scored.withColumn("place_id", F.lit(None).cast("string"))
+    scored = C.with_audit(scored, load_ts, constants={"method": "lexicon" if native else type(scorer).__name__})
+    return C.conform_to_schema(scored, spec, keep=LINEAGE)
 
 
 REVIEW_SOURCE_COLUMNS = ["hospital_name", "address", "place_id", "hospital_rating", "author_name", "author_id",
-                         "review", "sentiment"]
+                             "review", "sentiments"]
 
 
 def label_reviews(spark: SparkSession, source_table: str, target_table: str | None = None,
                   scorer=None, url: str | None = None, variant: str = "score", rejects_path: str | None = None,
-                  partition_column: str | None = None, num_partitions: int = 64, only_new_keys: bool = True,
-                  **jdbc) -> dict:
+                  partition_column: str | None = None, read_partitions: int = 64, only_new_keys: bool = True,
+                  load_ts=None, **jdbc) -> dict:
     """Flow C job: read the reviews table, label, append to the sentiment table if it exists.
 
     With ``url`` both tables are JDBC tables; the source read is projected to
     the needed columns, the unlabelled filter is pushed into the database,
     and ``partition_column`` (numeric or date) splits the read into
-    ``num_partitions`` range queries instead of one.
+    ``read_partitions`` range queries instead of one.
+
+    Returns the run's counts: rows read, without key, repeated keys, keys
+    already stored, rejected and appended; they add up.
 
     ``only_new_keys``: the target is keyed by author id, so rows whose key is
     already there are left out (a left-anti join on the key column only),
@@ -184,25 +234,29 @@ def label_reviews(spark: SparkSession, source_table: str, target_table: str | No
     creds = {k: jdbc.get(k) for k in ("user", "password", "driver")}
     if url and partition_column:
         reviews = read_table_partitioned(spark, source_table, partition_column, REVIEW_SOURCE_COLUMNS, url,
-                                         num_partitions=num_partitions, **creds)
+                                         num_partitions=read_partitions, **creds)
     elif url:
         reviews = read_table(spark, source_table, REVIEW_SOURCE_COLUMNS, url, **creds)
     else:
         reviews = spark.table(source_table)
-    frame = label_frame(reviews, scorer, native=scorer is None, skip_labelled=variant != "model",
-                        spec=spec, variant=variant)
     target = target_table or spec.name
+    existing, counts = None, {}
     if only_new_keys and spec.primary_key:
-        existing = None
         if url:
             from reviewflow.sources.jdbc import jdbc_table_exists
             if jdbc_table_exists(spark, target, url, **creds):
                 existing = read_table(spark, target, list(spec.primary_key), url, **creds)
         elif spark.catalog.tableExists(target):
             existing = spark.table(target).select(*spec.primary_key)
-        if existing is not None:
-            frame = frame.join(existing, list(spec.primary_key), "left_anti")
-    return _append_with_rejects(frame, target, url, rejects_path, jdbc)
+    frame = label_frame(reviews, scorer, native=scorer is None, skip_labelled=variant != "model", spec=spec,
+                        variant=variant, load_ts=load_ts, existing=existing, counts=counts)
+    if url:         # a database table refuses columns it does not have
+        frame = frame.select(*spec.column_names, "_errors")
+    out = _append_with_rejects(frame, target, url, rejects_path, jdbc, counts)
+    if out["written"]:
+        out |= {"null_keys": out["read"] - out["with_key"], "repeated_keys": out["with_key"] - out["authors"],
+                "already_stored": out["authors"] - out["new"]}
+    return out
 
 
 # ------------------------------------------------------ landing (extraction)
@@ -259,8 +313,8 @@ def review_documents_frame(flat: DataFrame, city: str = "city", key="place_id",
     fields = [c for c in REVIEW_CHILD_COLUMNS if c in flat.columns]
     carry = [c for c in (city, "name", "formatted_address", "place_id", "hospital_rating", "user_ratings_total")
              if c in flat.columns and c not in keys]
-    nested = FL.nest_children(flat, keys, "pos", fields, array_name="reviews",
-                              chunk_size=max(min_count, FL.DEFAULT_CHUNK), carry=carry, spread=spread)
+    size = max(min_count, FL.DEFAULT_CHUNK)
+    nested = FL.nest_children(flat, keys, "pos", fields, array_name="reviews", chunk_size=size, carry=carry, spread=spread)
     cols = set(nested.columns)
     parts = [F.col(c) for c in ("name", "formatted_address", "place_id") if c in cols]
     if "hospital_rating" in cols:
@@ -270,28 +324,22 @@ def review_documents_frame(flat: DataFrame, city: str = "city", key="place_id",
     hospital = F.struct(*parts, F.col("reviews"))
     slug = X.slug(city) if city in cols else F.lit(None).cast("string")
     return nested.select(slug.alias("city_slug"), F.lit(disclaimer).alias("disclaimer"),
-                         F.array(hospital).alias("data"))
+                         (F.col("chunk") * F.lit(size)).cast("int").alias(FL.FIRST_CHILD), F.array(hospital).alias("data"))
 
 
-def land_places_frame(pages: DataFrame, city: str = "city", request: str = "request_id",
-                      chunk_size: int = FL.DEFAULT_CHUNK) -> DataFrame:
+def land_places_frame(pages: DataFrame, city: str = "city", request: str = "request_id") -> DataFrame:
     """Flow A landing side: assemble raw pages (follow tokens, stop at the first
-    bad page) into ``{"results":[…]}`` documents, one per (request, chunk)."""
+    bad page) into ``{"results":[…]}`` documents, one per kept page with results.
+
+    A page's array is landed as it is, so its order needs no position and
+    nothing is exploded, nested or shuffled for it; the city rides on the page.
+    """
     from reviewflow.functions import exprs as X
     from reviewflow.operators import assemble as AS
 
     keep_city = [city] if city in pages.columns else []
-    if keep_city:
-        cities = pages.select(request, city).dropDuplicates([request])
-    flat = AS.assemble_pages(pages, request=request)
-    # position inside the request: pages hold at most a page of results, so
-    # page_no * 10_000 + pos is unique and ordered
-    flat = flat.withColumn("__pos", F.col("page_no").cast("long") * 10_000 + F.col("pos"))
-    nested = FL.nest_children(flat, [request], "__pos", ["result"], array_name="__r", chunk_size=chunk_size)
-    docs = nested.select(request, F.transform("__r", lambda x: x["result"]).alias("results"))
-    if keep_city:
-        docs = docs.join(cities, request, "left").withColumn("city_slug", X.slug(city))
-    return docs
+    docs = AS.kept_pages(pages, request=request, carry=keep_city).filter(F.size("results") > 0)
+    return docs.withColumn("city_slug", X.slug(city)) if keep_city else docs
 
 
 def _observe_totals(flat: DataFrame):
@@ -311,7 +359,7 @@ def land_reviews(spark: SparkSession, places: DataFrame, details: DataFrame, out
 
     flat, obs = _observe_totals(land_reviews_frame(places, details, **kw))
     docs = review_documents_frame(flat, city=city)
-    write_envelope(docs, out_path, partition_col="city_slug", root="data",
+    write_envelope(docs, out_path, partition_col="city_slug", root="data", keep=[FL.FIRST_CHILD],
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
     return {k: int(v or 0) for k, v in obs.get.items()}
 
@@ -332,20 +380,32 @@ def land_synthetic(spark: SparkSession, cities: DataFrame, out_path: str, city:
     flat, obs = _observe_totals(flat)
     docs = review_documents_frame(flat, city=city, key=[city, "hospital_no"], min_count=reviews_per_hospital,
                                   spread=True)
-    write_envelope(docs, out_path, partition_col="city_slug", root="data",
+    write_envelope(docs, out_path, partition_col="city_slug", root="data", keep=[FL.FIRST_CHILD],
                    constants={"disclaimer": K.DEFAULT_DISCLAIMER}, mode="overwrite")
     return {k: int(v or 0) for k, v in obs.get.items()}
 
 
-def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city") -> None:
-    """Extract job: assemble raw pages and write place documents (JSON Lines, folder per city).
+def land_places(spark: SparkSession, pages: DataFrame, out_path: str, city: str = "city", load_ts=None,
+                request: str = "request_id") -> dict:
+    """Extract job: assemble raw pages and write place documents (JSON Lines), one folder per landing.
 
-    With a ``city`` column a re-run replaces the cities it writes (dynamic
-    partition overwrite); without one the documents are appended to
-    ``out_path``, so give each run its own folder.
+    The folder is named by the landing's time, below it one folder per city,
+    so earlier landings stay; a re-run with the same ``load_ts`` replaces its
+    own landing.  Returns the number of requests by outcome (ok, empty,
+    failed) and of documents and places written.
     """
-    from reviewflow.sinks.envelope import write_envelope
+    from pyspark.sql import Observation
+
+    from reviewflow.operators import assemble as AS
+    from reviewflow.sinks.envelope import landing_folder, write_envelope
 
-    docs = land_places_frame(pages, city=city)
+    outcomes = {r["outcome"]: r["n"] for r in AS.request_outcomes(pages, request=request)
+                .groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}         # three rows
+    seen = Observation("landing")
+    docs = land_places_frame(pages, city=city, request=request)
     part = "city_slug" if "city_slug" in docs.columns else None
-    write_envelope(docs, out_path, partition_col=part, root="results", mode="overwrite" if part else "append")
+    docs = docs.observe(seen, F.count(F.lit(1)).alias("documents"), F.sum(F.size("results")).alias("places"))
+    folder = landing_folder(out_path, load_ts)
+    write_envelope(docs, folder, partition_col=part, root="results", mode="overwrite")
+    return {"path": folder, **{f"requests_{k}": int(outcomes.get(k, 0)) for k in ("ok", "empty", "failed")},
+            **{k: int(v or 0) for k, v in seen.get.items()}}

@@ -9,6 +9,8 @@ tasks; a city is a folder, not one unbounded document.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,22 @@ def landing_name(city, ts, folder: str | None = None, kind: str = "reviews") ->
     return F.concat(F.lit(folder.rstrip("/") + "/"), name) if folder else name
 
 
+def landing_folder(path: str, ts=None) -> str:
+    """Folder of one landing below ``path``, named by its time as the list objects are (yyyyMMdd_HHmmss)."""
+    if ts is None:
+        ts = datetime.now()
+    if isinstance(ts, str):
+        ts = datetime.fromisoformat(ts)
+    return f"{path.rstrip('/')}/landed_{ts.strftime('%Y%m%d_%H%M%S')}"
+
+
 def write_envelope(docs: DataFrame, path: str, partition_col: str | None = "city_slug",
                    root: str = "data", constants: dict | None = None, mode: str = "append",
-                   rebalance: bool = True) -> None:
+                   rebalance: bool = True, keep: list | None = None) -> None:
     """Write documents (one row each, holding the ``root`` array) to any Hadoop path.
 
-    ``constants`` become top-level document fields (e.g. a disclaimer).
+    ``constants`` become top-level document fields (e.g. a disclaimer), and
+    so do the ``keep`` columns.
     NULL fields are written as ``null`` so the shape of every record is
     complete.  The path can be local (``file:``) or any shared file system.
 
@@ -45,7 +57,7 @@ def write_envelope(docs: DataFrame, path: str, partition_col: str | None = "city
     that is too big for one task instead of funnelling it into one.
     """
     fields = [F.lit(v).alias(k) for k, v in (constants or {}).items()]
-    cols = fields + [F.col(root)]
+    cols = fields + [F.col(c) for c in keep or [] if c in docs.columns] + [F.col(root)]
     if partition_col:
         cols.append(F.col(partition_col))
     out = docs.select(*cols)

@@ -14,6 +14,10 @@ from reviewflow import constants as K
 from reviewflow.sources.jdbc import jdbc_options, jdbc_table_exists
 
 
+# Connections that one append opens at most, unless told otherwise.
+MAX_CONNECTIONS = 16
+
+
 def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """G1: count rows on the action that writes them — no second job, and the
     scorer UDF is not pruned away as it is under a separate ``count()``."""
@@ -22,8 +26,9 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
 
 
 def append_table(df: DataFrame, table: str, url: str, *, user=None, password=None, driver=None,
-                 batchsize: int = K.JDBC_BATCH_SIZE, num_partitions: int | None = None) -> int:
-    """Append over JDBC in batches; ``num_partitions`` caps concurrent connections."""
+                 batchsize: int = K.JDBC_BATCH_SIZE, num_partitions: int = MAX_CONNECTIONS) -> int:
+    """Append over JDBC in batches; ``num_partitions`` caps concurrent connections
+    (rows are coalesced to that many tasks before the write)."""
     opts = jdbc_options(url, table, user, password, driver, batchsize=batchsize, numPartitions=num_partitions)
     out, obs = observed(df)
     out.write.format("jdbc").options(**opts).mode("append").save()
@@ -39,6 +44,13 @@ def append_catalog_table(df: DataFrame, table: str) -> int:
     return obs.get["rows"]
 
 
+def target_exists(spark, table: str, url: str | None = None, **jdbc) -> bool:
+    """Is the target there? With ``url``: in the database catalog (exact name), else in the session catalog."""
+    if url:
+        return jdbc_table_exists(spark, table, url, **{k: jdbc.get(k) for k in ("user", "password", "driver")})
+    return spark.catalog.tableExists(table)
+
+
 def guarded_append_rows(df: DataFrame, table: str, url: str | None = None, **jdbc) -> int | None:
     """Append only if the target exists; rows written, or None when skipped (with a notice).
 
@@ -46,9 +58,7 @@ def guarded_append_rows(df: DataFrame, table: str, url: str | None = None, **jdb
     without it, against the session catalog.
     """
     spark = df.sparkSession
-    exists = jdbc_table_exists(spark, table, url, **{k: jdbc.get(k) for k in ("user", "password", "driver")}) \
-        if url else spark.catalog.tableExists(table)
-    if not exists:
+    if not target_exists(spark, table, url, **jdbc):
         print(f"target table {table} does not exist; load skipped")
         return None
     if url:
