@@ -123,6 +123,11 @@ def lookup(mapping: dict, key) -> Column:
     return F.element_at(F.create_map(*kv), _c(key))
 
 
+def numbered_label(idx, prefix: str = "LABEL_") -> Column:
+    """J3 for generated label names: any index has its name; NULL → NULL."""
+    return F.concat(F.lit(prefix), _c(idx).cast("string"))
+
+
 # ------------------------------------------------------ repeatable "random"
 
 def hash_pick(salt: str, keys, n) -> Column:

@@ -20,11 +20,13 @@ whole batch per call.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +44,8 @@ def tokens(text) -> Column:
 
 def count_in(toks, words: list) -> Column:
     """Number of tokens (an array column) that are in ``words``."""
-    lit = F.array(*[F.lit(w) for w in sorted(set(words))])
-    return F.size(F.filter(F.col(toks) if isinstance(toks, str) else toks, lambda t: F.array_contains(lit, t)))
+    own = sorted(set(words))        # a set predicate: one hash lookup per token
+    return F.size(F.filter(F.col(toks) if isinstance(toks, str) else toks, lambda t: t.isin(*own)))
 
 
 def lexicon_count(text, words: list) -> Column:
@@ -183,16 +185,26 @@ class OnnxTextClassifier:
         return pd.Series(out, index=texts.index, dtype=object)
 
 
-_LOADED: dict = {}
+_LOADED: tuple | None = None
 
 
-def _loaded(scorer):
-    """One loaded scorer per Python worker process (model weights load once, not per batch)."""
-    key = id(scorer), type(scorer).__name__
-    if key not in _LOADED:
+def _token(scorer) -> str:
+    """What a scorer is, by content: tasks unpickle copies, and copies of one scorer share a token."""
+    return hashlib.sha256(cloudpickle.dumps(scorer)).hexdigest()
+
+
+def _loaded(scorer, token: str):
+    """The loaded scorer of a Python worker process: loaded once for all its tasks and batches.
+
+    One entry is held; another scorer takes its place, so workers that live
+    through many queries do not grow.
+    """
+    global _LOADED
+    if _LOADED is None or _LOADED[0] != token:
+        _LOADED = None          # let the old weights go before the new ones come
         scorer.load()
-        _LOADED[key] = scorer
-    return _LOADED[key]
+        _LOADED = (token, scorer)
+    return _LOADED[1]
 
 
 def _ship() -> None:
@@ -206,11 +218,12 @@ def _ship() -> None:
 
 def score_udf(scorer):
     _ship()
+    token = _token(scorer)
     schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.pandas_udf(schema)
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        s = _loaded(scorer)
+        s = _loaded(scorer, token)
         for texts in batches:
             yield s.score(texts)
     return _score
@@ -218,10 +231,11 @@ def score_udf(scorer):
 
 def logits_udf(classifier):
     _ship()
+    token = _token(classifier)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = _loaded(classifier)
+        c = _loaded(classifier, token)
         for texts in batches:
             yield c.logits(texts)
     return _logits
@@ -302,3 +316,42 @@ def apply_trained(model, df: DataFrame, id2label: dict, label_col: str = "sentim
         score_col: F.element_at(prob, -1).cast("float"),
     })
     return out.drop("__tok", "__tf", "__features", "__raw", "__probability", "__prediction")
+
+
+# ------------------------------------------------------- naive Bayes by counts
+
+MICRO = 1_000_000       # weights are whole millionths of a natural log, so sums are exact in any order
+
+
+def train_counts(train: DataFrame, text: str, label: str, vocabulary: int = 2000) -> DataFrame:
+    """U4: multinomial naive Bayes as one aggregate: (token, weight), the prior under the empty token.
+
+    ``label`` is 0/1 (NULL rows are left out).  The model is the
+    ``vocabulary`` most frequent tokens of the labelled rows (ties by token)
+    with add-one smoothing; a weight is the log odds of class 1 in millionths.
+    """
+    known = train.filter(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), text)
+    hits = known.select("y", F.explode(tokens(text)).alias("token")).filter("token <> ''")
+    counts = hits.groupBy("token").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
+    top = counts.orderBy((F.col("p") + F.col("n")).desc(), "token").limit(vocabulary)
+    whole = Window.partitionBy(F.lit(0))            # over the vocabulary only, a bounded number of rows
+
+    def share(c):
+        return F.log((F.col(c) + 1) / (F.sum(c).over(whole) + vocabulary).cast("double"))
+    weights = top.select("token", F.round((share("p") - share("n")) * MICRO).cast("long").alias("weight"))
+    prior = known.agg(F.round((F.log(F.sum("y") + 1) - F.log(F.sum(1 - F.col("y")) + 1)) * MICRO).cast("long").alias("weight"))
+    return weights.union(prior.select(F.lit("").alias("token"), F.coalesce("weight", F.lit(0))))
+
+
+def apply_counts(model: DataFrame, df: DataFrame, key: str, text: str, id2label: dict, label_col: str = "sentiment") -> DataFrame:
+    """Score with ``train_counts``: key, log_odds (millionths), label name.
+
+    Every text has the empty token once, which brings the prior.  The model's
+    size is bounded by its limit, which the planner knows, so it broadcasts
+    it: tokens are weighed where they are read and one partial sum per text
+    is shuffled.
+    """
+    own = F.concat(F.array(F.lit("")), F.array_remove(F.coalesce(tokens(text), F.array().cast("array<string>")), ""))
+    weighed = df.select(key, F.explode(own).alias("token")).join(model, "token")
+    out = weighed.groupBy(key).agg(F.sum("weight").alias("log_odds"))
+    return out.withColumn(label_col, F.when(F.col("log_odds") > 0, F.lit(id2label[1])).otherwise(F.lit(id2label[0])))

@@ -10,7 +10,7 @@ the work of each query grows with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow import constants as K
@@ -63,6 +63,10 @@ def conversation_reviews(conv: DataFrame) -> DataFrame:
     )
 
 
+def conversation_city() -> Column:
+    return F.concat(F.lit("city_"), (F.col("conv_id") / 10).cast("long").cast("string"))
+
+
 def review_documents(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK, disclaimer: str = K.DEFAULT_DISCLAIMER) -> DataFrame:
     """Landed review documents built from conversations (A8 nest).
 
@@ -75,8 +79,8 @@ def review_documents(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK, disclaime
     hospital = F.struct(F.col("name"), F.col("formatted_address"), F.col("place_id"),
                         F.col("hospital_rating").alias("rating"), F.col("user_ratings_total"), F.col("reviews"))
     return nested.select(
-        F.concat(F.lit("city_"), (F.col("conv_id") / 10).cast("long").cast("string")).alias("city"),
-        F.col("conv_id"), F.col("chunk"),
+        conversation_city().alias("city"),
+        F.col("conv_id"), F.col("chunk"), (F.col("chunk") * F.lit(chunk_size)).cast("int").alias("first_review"),
         F.lit(disclaimer).alias("disclaimer"),
         F.array(hospital).alias("data"),
     )
@@ -184,9 +188,9 @@ def document_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
 # --------------------------------------------------- hospitals and details
 
 def conversation_hospitals(conv: DataFrame) -> DataFrame:
-    """Search results (places): one per conversation, from its first turn.
+    """Search results (places): one per conversation, whichever turns it has.
     The address is missing when the first turn is a system turn."""
-    first = conv.filter(F.col("turn") == 0)
+    first = conv.groupBy("conv_id").agg(F.min_by("role", "turn").alias("role"))
     return first.select(
         F.concat(F.lit("place-"), F.col("conv_id").cast("string")).alias("place_id"),
         F.concat(F.lit("Hospital "), F.col("conv_id").cast("string")).alias("name"),
@@ -194,15 +198,16 @@ def conversation_hospitals(conv: DataFrame) -> DataFrame:
          .alias("formatted_address"))
 
 
-def conversation_details(conv: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """Place-detail rows: all of a conversation's turns as reviews, in turn order;
+def conversation_details(conv: DataFrame, limit: int = K.REAL_REVIEWS_LIMIT) -> DataFrame:
+    """Place-detail rows: a conversation's first ``limit`` turns (3 at least) as reviews, in turn order;
     the fetch counts as failed when fewer than 3 reviews came back."""
-    flat = conversation_reviews(conv)
-    nested = nest_children(flat, ["place_id"], "pos", REVIEW_FIELDS, array_name="reviews",
-                           chunk_size=max(chunk_size, 3))
-    # chunk 0 holds the first chunk_size (>= 3) reviews, so "at least 3" is decided there
-    first = nested.filter(F.col("chunk") == 0)
-    return first.select("place_id", (F.size("reviews") >= 3).alias("ok"),
+    from reviewflow.operators.clean import first_n_per_key
+
+    limit = max(limit, 3)
+    flat = first_n_per_key(conversation_reviews(conv), ["place_id"], [F.col("pos")], limit, rank_col="__rank")
+    nested = nest_children(flat, ["place_id"], "__rank", REVIEW_FIELDS, array_name="reviews", chunk_size=limit,
+                           spread=False)          # at most `limit` turns per place: reuse the window's partitioning
+    return nested.select("place_id", (F.size("reviews") >= 3).alias("ok"),
                         F.lit(None).cast("timestamp").alias("fetched_at"), "reviews")
 
 

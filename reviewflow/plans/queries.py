@@ -36,7 +36,7 @@ SELECT 'Hospital ' || conv_id AS hospital_name,
        'en' AS language,
        CASE WHEN role <> 'system' THEN 'en' END AS original_language,
        CAST(NULL AS VARCHAR) AS profile_photo_url,
-       CAST(length(text) % 5 + 1 AS INTEGER) AS review_rating,
+       CAST(length(text) % 5 + 1 AS BIGINT) AS review_rating,
        (turn + 1) || ' months ago' AS relative_time_description,
        text AS review,
        make_timestamp((1700000000 + conv_id * 3600 + turn * 60) * 1000000) AS time,
@@ -78,26 +78,23 @@ SELECT conv_id, CAST(turn AS INTEGER) AS pos, role, text
 FROM conversations WHERE turn < 5
 """)
 def q_first_n(spark, sf_dir):
-    """L1/A4: first 5 children of each nested parent (slice), back to rows."""
-    conv = _t(spark, sf_dir, "conversations")
-    n = FL.nest_children(conv, ["conv_id"], "turn", ["role", "text"], array_name="reviews")
-    # chunk 0 holds positions 0..chunk_size-1, i.e. every parent's first five
-    n = n.filter(F.col("chunk") == 0).select("conv_id", AS.first_n("reviews", K.REAL_REVIEWS_LIMIT).alias("reviews"))
+    """L1/A4: first 5 children of each parent, cut before the shuffle, nested, sliced, and back to rows."""
+    conv = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    top = C.first_n_per_key(conv, ["conv_id"], [F.col("turn")], K.REAL_REVIEWS_LIMIT, rank_col="pos")
+    n = FL.nest_children(top, ["conv_id"], "pos", ["role", "text"], array_name="reviews", chunk_size=K.REAL_REVIEWS_LIMIT,
+                         spread=False)        # at most five per parent: the window's partitioning is kept
+    n = n.select("conv_id", AS.first_n("reviews", K.REAL_REVIEWS_LIMIT).alias("reviews"))
     return FL.explode_children(n, "reviews", ["conv_id"], pos="pos")
 
 
 @register("q_concat_array", """
-SELECT conv_id, CAST(turn // 1000 AS INTEGER) AS chunk,
-       string_agg(CASE WHEN role <> 'system' THEN role END, ',' ORDER BY turn) AS types
-FROM conversations GROUP BY conv_id, turn // 1000
+SELECT conv_id, turn, array_to_string(list_filter(string_split(text, ' '), lambda w: length(w) % 3 <> 0), ',') AS types
+FROM conversations
 """)
 def q_concat_array(spark, sf_dir):
-    """A3: array<string> → comma text; NULL elements skipped (system roles become NULL items)."""
-    conv = _t(spark, sf_dir, "conversations").withColumn(
-        "r", F.when(F.col("role") != "system", F.col("role")))
-    n = FL.nest_children(conv, ["conv_id"], "turn", ["r"], array_name="items")
-    return n.select("conv_id", "chunk",
-                    F.concat_ws(",", F.transform("items", lambda x: x["r"])).alias("types"))
+    """A3: array<string> → comma text, NULL elements skipped (here the words whose length is a multiple of three)."""
+    words = F.transform(F.split("text", " "), lambda w: F.when(F.length(w) % 3 != 0, w))
+    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws(",", words).alias("types"))
 
 
 @register("q_batch_totals", """
@@ -106,9 +103,19 @@ SELECT 'city_' || CAST(conv_id // 10 AS VARCHAR) AS city,
 FROM conversations GROUP BY 1
 """)
 def q_batch_totals(spark, sf_dir):
-    """Hospitals and nested reviews per landed city batch."""
-    docs = D.review_documents(_t(spark, sf_dir, "conversations"))
-    return AS.batch_totals(docs, by=["city"], chunk_col="chunk")
+    """Hospitals and reviews per city batch, counted from the flat children."""
+    conv = _t(spark, sf_dir, "conversations").select(D.conversation_city().alias("city"), "conv_id")
+    return AS.child_totals(conv, "conv_id", ["city"])
+
+
+@register("q_landed_totals", """
+SELECT 'city_' || CAST(conv_id // 10 AS VARCHAR) AS city,
+       count(DISTINCT conv_id) AS total_hospitals, count(*) AS total_reviews
+FROM conversations GROUP BY 1
+""")
+def q_landed_totals(spark, sf_dir):
+    """The same totals from landed documents of three reviews each, so that hospitals span several."""
+    return AS.batch_totals(D.review_documents(_t(spark, sf_dir, "conversations"), chunk_size=3), by=["city"])
 
 
 # ------------------------------------------------------------ flows A and B
@@ -162,16 +169,17 @@ def q_require_columns(spark, sf_dir):
 def _flat_reviews_author_sql() -> str:
     return f"""
 SELECT f.*, CAST({O.murmur3('f.author_name')} AS VARCHAR) AS author_id,
-       TIMESTAMP '2025-01-01 00:00:00' AS loaddatetime, '' AS sentiment
+       TIMESTAMP '2025-01-01 00:00:00' AS loaddatetime, '' AS sentiments
 FROM ({_FLAT_REVIEWS_SQL}) f
 """
 
 
 @register("q_load_reviews", f"""
 SELECT hospital_name, address, place_id, CAST(hospital_rating AS FLOAT) AS hospital_rating, author_name,
-       author_id, author_url, language, original_language, profile_photo_url, review_rating,
-       relative_time_description, review, time, CAST(translated AS TINYINT) AS translated, loaddatetime,
-       sentiment, '' AS _errors
+       author_id, author_url, language, original_language, profile_photo_url,
+       CAST(review_rating AS INTEGER) AS review_rating, relative_time_description, review, time,
+       CAST(translated AS TINYINT) AS translated, loaddatetime, sentiments,
+       CASE WHEN octet_length(encode(review)) > 65535 THEN 'review' ELSE '' END AS _errors
 FROM ({_flat_reviews_author_sql()})
 """)
 def q_load_reviews(spark, sf_dir):
@@ -283,7 +291,7 @@ def q_attach_details(spark, sf_dir):
     """Places ⋈ successful details, first 5 reviews kept; failed/missing details drop the place."""
     places = _t(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("place_id"), "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    details = D.lineitem_details(_t(spark, sf_dir, "lineitem", spread_rows=True), K.REAL_REVIEWS_LIMIT)
+    details = D.lineitem_details(_t(spark, sf_dir, "lineitem"), K.REAL_REVIEWS_LIMIT)
     joined = AS.attach_details(places, details, key="place_id", limit=K.REAL_REVIEWS_LIMIT)
     flat = FL.explode_children(joined, "reviews",
                                ["place_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
@@ -442,7 +450,7 @@ def q_top_up(spark, sf_dir):
     children = conv.select("conv_id", F.col("turn").alias("pos"), F.col("role").alias("author_name"),
                            (F.pmod(F.length("text"), F.lit(5)) + 1).cast("long").alias("rating"), "text",
                            F.lit(K.REAL_REVIEW_TYPE).alias("review_type"))
-    parents = conv.filter(F.col("turn") == 0).select("conv_id")      # a conversation's first turn is its header
+    parents = conv.select("conv_id").distinct()
     out = AU.top_up_groups(children, parents, "conv_id", "pos", min_count=5, salt="topup")
     return out.select("conv_id", "pos", "author_name", "rating", "text", "review_type")
 
@@ -543,13 +551,39 @@ FROM embeddings
 def q_argmax(spark, sf_dir):
     """First maximum of a score vector and its label name."""
     e = _t(spark, sf_dir, "embeddings")
-    id2label = {i: f"LABEL_{i}" for i in range(64)}
     e = e.select("vec_id", X.argmax("embedding").cast("int").alias("idx"))
-    return e.select("vec_id", "idx", X.lookup(id2label, F.col("idx")).alias("label"))
+    return e.select("vec_id", "idx", X.numbered_label(F.col("idx")).alias("label"))
+
+
+_WEIGHTS_SQL = """
+WITH t AS (SELECT d.doc_id, l.quality AS y, unnest(regexp_split_to_array(lower(d.text), '[^a-z-]+')) AS w
+           FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL),
+c AS (SELECT w, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM t WHERE w <> '' GROUP BY w),
+v AS (SELECT * FROM c ORDER BY p + n DESC, w LIMIT 2000),
+s AS (SELECT sum(p) + 2000 AS sp, sum(n) + 2000 AS sn FROM v),
+weights AS (SELECT w, CAST(round(1000000 * (ln((p + 1) / sp::DOUBLE) - ln((n + 1) / sn::DOUBLE))) AS BIGINT) AS weight FROM v, s),
+prior AS (SELECT CAST(round(1000000 * (ln(count(*) FILTER (quality = 1) + 1) - ln(count(*) FILTER (quality = 0) + 1))) AS BIGINT) AS b
+          FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL)
+"""
 
 
-@register("q_train_scorer")
+@register("q_train_scorer", f"""{_WEIGHTS_SQL}, scored AS (
+  SELECT doc_id, sum(weight) AS x FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z-]+')) AS w FROM documents)
+  JOIN weights USING (w) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(x, 0) + b AS BIGINT) AS log_odds,
+       CASE WHEN coalesce(x, 0) + b > 0 THEN 'Positive' ELSE 'Negative' END AS sentiment
+FROM documents LEFT JOIN scored USING (doc_id), prior
+""")
 def q_train_scorer(spark, sf_dir):
+    """U4: naive Bayes trained by aggregates on the labelled documents, applied to all."""
+    docs = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
+    labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    model = SE.train_counts(docs.join(labels, "doc_id"), "text", "y", vocabulary=2000)
+    return SE.apply_counts(model, docs, "doc_id", "text", {0: "Negative", 1: "Positive"})
+
+
+@register("q_train_logistic")
+def q_train_logistic(spark, sf_dir):
     """U4: logistic regression on hashed TF-IDF, trained on labelled documents, applied to all."""
     docs = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
     labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("y"))
@@ -567,7 +601,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1
 """)
 def q_dedup_key(spark, sf_dir):
     """K1/K2: one row per key (latest, then lowest id); NULL keys dropped."""
-    ev = C.require(_t(spark, sf_dir, "events", spread_rows=True).select("user_id", "event_id", "ts", "value"),
+    ev = C.require(_t(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value"),
                    ["user_id"])
     return C.dedup_on_key(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").asc()])
 
@@ -579,29 +613,51 @@ CONFORM_SPEC = S.TableSpec("doc_target", (
     S.Column("n_chars", "int"),
     S.Column("n_small", "tinyint"),
     S.Column("weight", "float"),
+    S.Column("body", "text"),
+    S.Column("big", "int"),
 ))
 
 
 @register("q_conform", """
 SELECT TRY_CAST(doc_id AS INTEGER) AS doc_id, lang, source, TRY_CAST(n_chars AS INTEGER) AS n_chars,
-       CAST(n_chars / 7.0::DOUBLE AS FLOAT) AS weight,
+       CAST(CASE WHEN doc_id % 5 = 0 THEN 'NaN'::DOUBLE ELSE n_chars / 7.0::DOUBLE END AS FLOAT) AS weight,
+       length(repeat(text, 40)) AS n_body,
        concat_ws(',', CASE WHEN doc_id IS NULL OR TRY_CAST(doc_id AS INTEGER) IS NULL THEN 'doc_id' END,
                  CASE WHEN length(lang) > 2 THEN 'lang' END,
                  CASE WHEN length(source) > 4 THEN 'source' END,
                  CASE WHEN n_chars IS NOT NULL AND TRY_CAST(n_chars AS INTEGER) IS NULL THEN 'n_chars' END,
-                 CASE WHEN n_chars IS NOT NULL AND TRY_CAST(n_chars AS TINYINT) IS NULL THEN 'n_small' END) AS _errors
+                 CASE WHEN n_chars IS NOT NULL AND TRY_CAST(n_chars AS TINYINT) IS NULL THEN 'n_small' END,
+                 CASE WHEN doc_id % 5 = 0 THEN 'weight' END,
+                 CASE WHEN octet_length(encode(repeat(text, 40))) > 65535 THEN 'body' END,
+                 CASE WHEN n_chars IS NOT NULL AND TRY_CAST(n_chars * 200000 AS INTEGER) IS NULL THEN 'big' END) AS _errors
 FROM documents
 """)
 def q_conform(spark, sf_dir):
-    """K3: typed conformance — VARCHAR(n) length, INT/TINYINT range, FLOAT, NOT NULL — with reasons.
+    """K3: typed conformance — VARCHAR(n) and TEXT length, INT/TINYINT range, FLOAT, NaN, NOT NULL — with reasons.
 
-    The TINYINT column's verdict is in ``_errors``; its converted value (NULL
-    on overflow) is not part of the compared output.
+    The verdicts on the TINYINT column and on ``big`` are in ``_errors``; their
+    converted values (NULL on overflow) are not part of the compared output.
     """
     d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars",
                                               F.col("n_chars").alias("n_small"),
-                                              (F.col("n_chars") / 7.0).alias("weight"))
-    return C.conform_to_schema(d, CONFORM_SPEC).drop("n_small")
+                                              F.when(F.col("doc_id") % 5 == 0, F.lit(float("nan")))
+                                              .otherwise(F.col("n_chars") / 7.0).alias("weight"),
+                                              F.repeat("text", 40).alias("body"), (F.col("n_chars") * 200000).alias("big"))
+    return C.conform_to_schema(d, CONFORM_SPEC).withColumn("n_body", F.length("body").cast("long")).drop("n_small", "body", "big")
+
+
+@register("q_reject_accounting", """
+WITH r AS (SELECT unnest(string_split(concat_ws(',', CASE WHEN length(lang) > 2 THEN 'lang' END,
+                 CASE WHEN length(source) > 4 THEN 'source' END,
+                 CASE WHEN n_chars IS NOT NULL AND TRY_CAST(n_chars AS TINYINT) IS NULL THEN 'n_small' END), ',')) AS reason
+           FROM documents)
+SELECT CASE WHEN reason = '' THEN 'fits' ELSE reason END AS reason, count(*) AS n_rows FROM r GROUP BY 1
+""")
+def q_reject_accounting(spark, sf_dir):
+    """K3/G1: rows that fit and rows per reason why not (a row with two reasons counts under both)."""
+    spec = S.TableSpec("doc_reasons", tuple(c for c in CONFORM_SPEC.columns if c.name in ("lang", "source", "n_small")))
+    d = _t(spark, sf_dir, "documents").select("lang", "source", F.col("n_chars").alias("n_small"))
+    return C.reject_reasons(C.conform_to_schema(d, spec))
 
 
 # ------------------------------------------------------------ flow C, sinks
@@ -612,24 +668,27 @@ def _label_reviews_sql() -> str:
     return f"""
 WITH r AS (
   SELECT 'Hospital ' || d.source AS hospital_name, d.source || ' Main Street' AS address,
-         (d.n_chars % 50) / 10.0::DOUBLE AS hospital_rating, 'author ' || d.doc_id AS author_name,
-         d.text AS review, CASE WHEN l.quality = 1 THEN 'Positive' WHEN l.quality = 0 THEN '' END AS sentiment
+         'place-' || d.source AS place_id, (d.n_chars % 50) / 10.0::DOUBLE AS hospital_rating,
+         'author ' || d.doc_id AS author_name, d.text AS review, CASE WHEN l.quality = 1 THEN 'Positive' WHEN l.quality = 0 THEN '' END AS sentiment
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 t AS (SELECT *, CAST({O.murmur3('author_name')} AS VARCHAR) AS author_id, {p} AS np, {n} AS nn
       FROM r WHERE sentiment IS NULL OR sentiment = ''),
 s AS (SELECT *, CASE WHEN np + nn = 0 THEN 0.0::DOUBLE ELSE (np - nn) / (np + nn)::DOUBLE END AS sc FROM t)
 SELECT hospital_name, address, CAST(hospital_rating AS FLOAT) AS hospital_rating, author_name, author_id, review,
-       {O.score_label('sc')} AS sentiment, CAST(sc AS FLOAT) AS sentiment_score, '' AS _errors
+       {O.score_label('sc')} AS sentiment, CAST(sc AS FLOAT) AS sentiment_score,
+       CASE WHEN octet_length(encode(review)) > 65535 THEN 'review' ELSE '' END AS _errors,
+       place_id, 'lexicon' AS method, TIMESTAMP '2025-01-01 00:00:00' AS loaddatetime
 FROM s
-QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY review, author_name) = 1
+QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY review, author_name, hospital_name, address, place_id,
+                           hospital_rating) = 1
 """
 
 
 @register("q_label_reviews", _label_reviews_sql())
 def q_label_reviews(spark, sf_dir):
-    """Flow C: reviews table → P5 unlabelled → U3 score → K1 one row per author id → K3 conform."""
+    """Flow C: reviews table → P5 unlabelled → K1 one row per author id → U3 score → K3 conform, P6 load time."""
     reviews = D.document_reviews(_t(spark, sf_dir, "documents", spread_rows=True), _t(spark, sf_dir, "labels"))
-    return PL.label_frame(reviews)
+    return PL.label_frame(reviews, load_ts=D.FIXED_LOAD_TS)
 
 
 @register("q_envelope_round_trip", _FLAT_REVIEWS_SQL)
@@ -696,14 +755,15 @@ def _label_reviews_model_sql() -> str:
 WITH l AS ({_land_reviews_sql()}),
 r AS (SELECT 'Hospital ' || regexp_replace(place_id, '^place-', '') AS hospital_name, formatted_address AS address,
              CAST(NULL AS DOUBLE) AS hospital_rating, author_name,
-             CAST({O.murmur3('author_name')} AS VARCHAR) AS author_id, text AS review FROM l),
+             CAST({O.murmur3('author_name')} AS VARCHAR) AS author_id, text AS review, place_id FROM l),
 c AS (SELECT *, {neg} AS a, {neu} AS b, {pos} AS c FROM r)
 SELECT hospital_name, address, CAST(hospital_rating AS FLOAT) AS hospital_rating, author_name, author_id, review,
        CASE WHEN review IS NULL OR regexp_replace(review, '^\\s+|\\s+$', '', 'g') = '' THEN ''
             WHEN a >= b AND a >= c THEN 'negative' WHEN b >= c THEN 'neutral' ELSE 'positive' END AS sentiment,
-       '' AS _errors
+       CASE WHEN octet_length(encode(review)) > 65535 THEN 'review' ELSE '' END AS _errors,
+       place_id, 'lexicon' AS method, TIMESTAMP '2025-01-01 00:00:00' AS loaddatetime
 FROM c
-QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY review, author_name) = 1
+QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY review, author_name, hospital_name, address, place_id) = 1
 """
 
 
@@ -716,8 +776,8 @@ def q_label_reviews_model(spark, sf_dir):
         F.concat(F.lit("Hospital "), F.regexp_replace("place_id", "^place-", "")).alias("hospital_name"),
         F.col("formatted_address").alias("address"), F.lit(None).cast("double").alias("hospital_rating"),
         "author_name", X.author_id("author_name").alias("author_id"), F.col("text").alias("review"),
-        F.lit(None).cast("string").alias("sentiment"))
-    return PL.label_frame(reviews, skip_labelled=False, spec=S.MODEL_SENTIMENT, variant="model")
+        F.lit(None).cast("string").alias("sentiment"), "place_id")
+    return PL.label_frame(reviews, skip_labelled=False, spec=S.MODEL_SENTIMENT, variant="model", load_ts=D.FIXED_LOAD_TS)
 
 
 @register("q_land_places", f"""

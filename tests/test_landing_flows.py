@@ -96,7 +96,7 @@ def test_load_with_rejects_counts_every_row(spark, tmp_path):
     S.create_target_tables(spark, "rf_rej")
     res = PL.load_reviews(spark, land, "2025-01-01 00:00:00", table="rf_rej.hospitals_reviews_ingestion",
                           rejects_path=rej)
-    assert res == {"files": res["files"], "written": True, "rows": 3, "rejected": 3, "corrupt_documents": 0}
+    assert res == {"files": res["files"], "written": True, "rows": 3, "rejected": 3, "corrupt_documents": 0, "read": 6, "conformed": 6}
     assert spark.read.parquet(rej).filter("_errors = 'place_id'").count() == 3
 
 
