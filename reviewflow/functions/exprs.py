@@ -6,6 +6,8 @@ whole-stage codegen; none calls back into Python.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -141,6 +143,17 @@ def hash_pick(salt: str, keys, n) -> Column:
     return F.pmod(h, n if isinstance(n, Column) else F.lit(n))
 
 
+def digest(salt: str, keys) -> Column:
+    """32 hex digits of the row's key and a salt: several ``part`` picks from one hash."""
+    parts = [F.lit(salt)] + [_c(k).cast("string") for k in (keys if isinstance(keys, (list, tuple)) else [keys])]
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def part(digest_col, start: int, length: int, n) -> Column:
+    """pick in [0, n) from ``length`` hex digits of a digest; picks from separate digits are independent."""
+    return F.pmod(F.conv(F.substring(_c(digest_col), start, length), 16, 10).cast("bigint"), F.lit(n))
+
+
 def hash_int(salt: str, keys, lo: int, hi: int) -> Column:
     """repeatable integer in [lo, hi]."""
     return F.lit(lo) + hash_pick(salt, keys, hi - lo + 1)
@@ -154,8 +167,12 @@ def hash_tenths(salt: str, keys, lo: float, hi: float) -> Column:
 
 def hash_date(salt: str, keys, first: str = K.SYNTHETIC_DATE_FIRST, last: str = K.SYNTHETIC_DATE_LAST) -> Column:
     """repeatable date in [first, last]."""
-    span = F.datediff(F.to_date(F.lit(last)), F.to_date(F.lit(first))) + 1
-    return F.date_add(F.to_date(F.lit(first)), hash_pick(salt, keys, span).cast("int"))
+    return F.date_add(F.to_date(F.lit(first)), hash_pick(salt, keys, date_span(first, last)).cast("int"))
+
+
+def date_span(first: str = K.SYNTHETIC_DATE_FIRST, last: str = K.SYNTHETIC_DATE_LAST) -> int:
+    """Days in [first, last]."""
+    return (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
 
 
 def pick_from(values: list, idx) -> Column:

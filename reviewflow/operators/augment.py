@@ -30,19 +30,33 @@ def _class_offset(cls: Column) -> Column:
     return (F.when(cls == "positive", 0).when(cls == "neutral", _PER_CLASS).otherwise(2 * _PER_CLASS))
 
 
-def review_text(rating, keys, salt: str = "review") -> Column:
+def text_digest(keys, salt: str = "review") -> Column:
+    """Digits 1-4 pick the template, 5-20 the four adjectives."""
+    return X.digest(f"{salt}:text", keys)
+
+
+def review_digest(keys, salt: str = "review") -> Column:
+    """Digits 1-12 name the author, 13-20 pick the date, 21-24 the rating, 25-28 the months."""
+    return X.digest(salt, keys)
+
+
+def drawn_rating(digest) -> Column:
+    lo, hi = K.SYNTHETIC_REVIEW_RATING
+    return F.lit(lo) + X.part(digest, 21, 4, hi - lo + 1)
+
+
+def review_text(rating, keys, salt: str = "review", digest: Column | None = None) -> Column:
     """template of the rating's class filled with four adjectives of that class.
 
-    Each pick is the hash pick within the class's 20 entries, looked up at the
-    class's offset in one concatenated list — one lookup per pick, no CASE per
-    class (expressions inside a CASE branch are not shared, so nested
-    per-class CASEs would recompute the rating many times).
+    The five picks come from separate digits of one digest (``text_digest``),
+    each looked up at the class's offset in one concatenated list — one
+    lookup per pick, no CASE per class (expressions inside a CASE branch are
+    not shared, so nested per-class CASEs would recompute the rating).
     """
-    keys = keys if isinstance(keys, (list, tuple)) else [keys]
+    digest = text_digest(keys, salt) if digest is None else digest
     off = _class_offset(X.rating_class(rating))
-    template = X.pick_from(ALL_TEMPLATES, off + X.hash_pick(f"{salt}:template", keys, _PER_CLASS))
-    words = [X.pick_from(ALL_ADJECTIVES, off + X.hash_pick(f"{salt}:adjective{i}", keys, _PER_CLASS))
-             for i in range(1, 5)]
+    template = X.pick_from(ALL_TEMPLATES, off + X.part(digest, 1, 4, _PER_CLASS))
+    words = [X.pick_from(ALL_ADJECTIVES, off + X.part(digest, 1 + 4 * i, 4, _PER_CLASS)) for i in range(1, 5)]
     return X.fill_template(template, words)
 
 
@@ -51,18 +65,20 @@ def _upto(n: int) -> Column:
     return F.sequence(F.lit(0), F.lit(n - 1)) if n > 0 else F.array().cast("array<int>")
 
 
-def synthetic_review(keys, salt: str = "review", rating: Column | None = None) -> Column:
+def synthetic_review(keys, salt: str = "review", own: Column | None = None, text: Column | None = None) -> Column:
     """One generated review struct, shaped like a landed review (review_type 'fake').
 
-    Fields drawn per key: rating 1-5 (unless given), months-ago 1-12, a date
-    in 2020-01-01..2024-12-31 (its epoch is midnight UTC), the text.  Name
-    and URLs are placeholders derived from the key.
+    Fields drawn per key: rating 1-5, months-ago 1-12, a date in
+    2020-01-01..2024-12-31 (its epoch is midnight UTC), the text.  Name and
+    URLs are placeholders derived from the key.  Two digests carry all picks;
+    ``own`` and ``text`` hand them in where they are already columns.
     """
-    keys = keys if isinstance(keys, (list, tuple)) else [keys]
-    r = rating if rating is not None else X.hash_int(f"{salt}:rating", keys, *K.SYNTHETIC_REVIEW_RATING)
-    day = X.hash_date(f"{salt}:date", keys)
-    tag = F.substring(F.md5(F.concat_ws(":", F.lit(salt), *[F.col(k).cast("string") if isinstance(k, str) else
-                                                            k.cast("string") for k in keys])), 1, 12)
+    own = review_digest(keys, salt) if own is None else own
+    text = text_digest(keys, salt) if text is None else text
+    r = drawn_rating(own)
+    day = F.date_add(F.to_date(F.lit(K.SYNTHETIC_DATE_FIRST)), X.part(own, 13, 8, X.date_span()).cast("int"))
+    lo, hi = K.SYNTHETIC_MONTHS_AGO
+    tag = F.substring(own, 1, 12)
     return F.struct(
         F.concat(F.lit("Reviewer "), tag).alias("author_name"),
         F.concat(F.lit("https://reviews.invalid/a/"), tag).alias("author_url"),
@@ -70,8 +86,8 @@ def synthetic_review(keys, salt: str = "review", rating: Column | None = None) -
         F.lit(K.SYNTHETIC_LANGUAGE).alias("original_language"),
         F.lit(None).cast("string").alias("profile_photo_url"),
         r.cast("long").alias("rating"),
-        X.months_ago_text(X.hash_int(f"{salt}:months", keys, *K.SYNTHETIC_MONTHS_AGO)).alias("relative_time_description"),
-        review_text(r, keys, salt).alias("text"),
+        X.months_ago_text(F.lit(lo) + X.part(own, 25, 4, hi - lo + 1)).alias("relative_time_description"),
+        review_text(r, keys, salt, text).alias("text"),
         F.unix_timestamp(day.cast("timestamp")).alias("time"),
         F.lit(False).alias("translated"),
         F.lit(K.FAKE_REVIEW_TYPE).alias("review_type"),
@@ -138,10 +154,10 @@ def pad_children(df: DataFrame, array_col: str, keys: list, keep: list | None =
         .select(*keep, F.col("__s.p").alias(pos), F.col("__s.real").alias("__real"), F.col("__s.c").alias("__c0"))
     key_cols = [F.col(k) for k in keys]
     if gen is None:
-        # the rating is drawn once, outside the CASE below (CASE branches share nothing)
-        slots = slots.withColumn("__rating", X.hash_int(f"{salt}:rating", [*key_cols, F.col(pos)],
-                                                        *K.SYNTHETIC_REVIEW_RATING))
-        made = synthetic_review([*key_cols, F.col(pos)], salt, rating=F.col("__rating"))
+        # the digests are made once, outside the CASE below (CASE branches share nothing)
+        at = [*key_cols, F.col(pos)]
+        slots = slots.withColumns({"__own": review_digest(at, salt), "__text": text_digest(at, salt)})
+        made = synthetic_review(at, salt, own=F.col("__own"), text=F.col("__text"))
     else:
         made = gen(key_cols, F.col(pos))
     child = F.when(F.col("__real"), F.col("__c0")).otherwise(made.cast(elem))
@@ -174,5 +190,6 @@ def generate_hospitals(cities: DataFrame, city: str = "city", per_city: int = K.
     )
     r = h.select("*", F.explode(_upto(reviews_per_hospital)).alias("review_no"))
     rk = [F.col(city), F.col("hospital_no"), F.col("review_no")]
-    return r.select("*", synthetic_review(rk, f"{salt}:review").alias("review")).select(
-        *[c for c in r.columns], "review.*")
+    drawn = r.withColumns({"__own": review_digest(rk, f"{salt}:review"), "__text": text_digest(rk, f"{salt}:review")})
+    made = synthetic_review(rk, own=F.col("__own"), text=F.col("__text"))
+    return drawn.select(*r.columns, made.alias("review")).select(*r.columns, "review.*")

@@ -38,17 +38,17 @@ def review_text(rating: str, keys: list[str], salt: str) -> str:
              "neutral": (K.NEUTRAL_TEMPLATES, K.ADJECTIVES_NEUTRAL),
              "negative": (K.NEGATIVE_TEMPLATES, K.ADJECTIVES_NEGATIVE)}
 
-    def by_class(which: int, salt_suffix: str) -> str:
+    def by_class(which: int, salt_suffix: int) -> str:
         arms = []
         for name, pair in lists.items():
             vals = pair[which]
-            idx = pick(key_text(f"{salt}:{salt_suffix}", keys), len(vals))
+            idx = digits(key_text(f"{salt}:text", keys), 1 + 4 * salt_suffix, 4, len(vals))
             arms.append(f"WHEN {q(name)} THEN {sql_list(vals)}[{idx} + 1]")
         return f"(CASE {cls} " + " ".join(arms) + " END)"
 
-    out = by_class(0, "template")
+    out = by_class(0, 0)
     for i, ph in enumerate(K.PLACEHOLDERS, start=1):
-        out = f"replace({out}, {q(ph)}, {by_class(1, f'adjective{i}')})"
+        out = f"replace({out}, {q(ph)}, {by_class(1, i)})"
     return out
 
 
@@ -60,10 +60,16 @@ def hash_date(salt: str, keys: list[str]) -> str:
     return f"(DATE '2020-01-01' + CAST({pick(key_text(salt, keys), 1827)} AS INTEGER))"
 
 
-def synthetic_review_cols(keys: list[str], salt: str, rating: str | None = None) -> dict:
+def digits(salt_expr: str, start: int, length: int, n: int) -> str:
+    """Some hex digits of md5(<salt text>) as an unsigned integer, mod n."""
+    return f"(('0x' || substr(md5({salt_expr}), {start}, {length}))::BIGINT % {n})"
+
+
+def synthetic_review_cols(keys: list[str], salt: str) -> dict:
     """Columns of one generated review (mirrors the landed review shape)."""
-    r = rating or hash_int(f"{salt}:rating", keys, 1, 5)
-    day = hash_date(f"{salt}:date", keys)
+    own = key_text(salt, keys)
+    r = f"(1 + {digits(own, 21, 4, 5)})"
+    day = f"(DATE '2020-01-01' + CAST({digits(own, 13, 8, 1827)} AS INTEGER))"
     tag = f"substr(md5({key_text(salt, keys)}), 1, 12)"
     return {
         "author_name": f"'Reviewer ' || {tag}",
@@ -72,7 +78,7 @@ def synthetic_review_cols(keys: list[str], salt: str, rating: str | None = None)
         "original_language": "'en'",
         "profile_photo_url": "CAST(NULL AS VARCHAR)",
         "rating": f"CAST({r} AS BIGINT)",
-        "relative_time_description": f"{hash_int(f'{salt}:months', keys, 1, 12)} || ' months ago'",
+        "relative_time_description": f"(1 + {digits(own, 25, 4, 12)}) || ' months ago'",
         "text": review_text(r, keys, salt),
         "time": f"CAST(epoch({day}::TIMESTAMP) AS BIGINT)",
         "translated": "false",
