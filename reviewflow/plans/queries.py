@@ -706,6 +706,35 @@ def q_envelope_round_trip(spark, sf_dir):
     return FL.flatten_reviews(back).drop("author_id")
 
 
+@register("q_multiline_scan", _FLAT_REVIEWS_SQL)
+def q_multiline_scan(spark, sf_dir):
+    """One indented document per city, one file each, scanned back as multi-line JSON → A2 flatten."""
+    from reviewflow.session import scratch_path
+    from reviewflow.sinks.envelope import write_single_documents
+    from reviewflow.sources.landing import scan_landing
+
+    # a city of the stand-in tables holds ten hospitals of one document each
+    docs = D.review_documents(_t(spark, sf_dir, "conversations")).select("city", F.explode("data").alias("h"))
+    city = docs.groupBy("city").agg(F.array_sort(F.collect_list("h")).alias("data"))
+    path = scratch_path(spark, "landing-single")
+    write_single_documents(city, path, F.struct(F.lit(K.DEFAULT_DISCLAIMER).alias("disclaimer"), "data"))
+    back = scan_landing(spark, path, PL.REVIEW_READ_SCHEMA, multi_line=True, suffix=".txt")
+    return FL.flatten_reviews(back).drop("author_id")
+
+
+@register("q_json_pretty", """
+SELECT conv_id, turn, '{' || chr(10) || '  "turn" : ' || turn || ',' || chr(10) || '  "role" : "' || role || '",' || chr(10)
+       || '  "none" : null,' || chr(10) || '  "size" : [ ' || length(text) || ', ' || turn || ' ]' || chr(10) || '}' AS document
+FROM conversations
+""")
+def q_json_pretty(spark, sf_dir):
+    """struct → indented JSON text, nulls written."""
+    conv = _t(spark, sf_dir, "conversations")
+    doc = F.struct("turn", "role", F.lit(None).cast("string").alias("none"),
+                   F.array(F.length("text").cast("long"), F.col("turn")).alias("size"))
+    return conv.select("conv_id", "turn", FL.to_json_text(doc, pretty=True).alias("document"))
+
+
 def _land_reviews_sql(min_count: int = K.MIN_REVIEWS_PER_HOSPITAL) -> str:
     g = O.synthetic_review_cols(["place_id", "pos"], "land")
     child = ("author_name, rating, text, time, translated, original_language, review_type, date")

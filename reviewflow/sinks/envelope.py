@@ -69,3 +69,16 @@ def write_envelope(docs: DataFrame, path: str, partition_col: str | None = "city
     if partition_col:
         w = w.partitionBy(partition_col)
     w.json(path)
+
+
+def write_single_documents(docs: DataFrame, path: str, document, partition_col: str | None = None, mode: str = "overwrite") -> None:
+    """S8 in the source's form: every row one indented JSON document in a file of its own (read back with ``multi_line=True``).
+
+    ``document``: the struct column to write.  For documents of bounded size
+    and a bounded number of files; landings at scale use ``write_envelope``.
+    """
+    from reviewflow.operators.flatten import to_json_text
+
+    keep = [partition_col] if partition_col else []
+    out = docs.select(to_json_text(document, pretty=True).alias("value"), *keep).write.mode(mode).option("maxRecordsPerFile", 1)
+    (out.partitionBy(*keep) if keep else out).text(path)
