@@ -61,14 +61,19 @@ def repeated_starts(found: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                 carry: bool = True) -> DataFrame:
-    """One row for each input row: doc (its columns, if ``carry``), doc_id, n_lines, n_removed, text."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("string")
+    """One row for each input row: doc (its columns but the text, if ``carry``), doc_id, n_lines, n_removed, text.
+
+    The join with what is to go is always by sort and merge: broadcast while
+    the repeats are few, the plan and its cost would change with the input.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    own = F.struct(*others) if carry and others else F.lit(None).cast("string")
     rows = docs.select(own.alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # the lines are cut here, before the join: below it each of them would be looked up in a text cut anew
     rows = rows.select("doc", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(rows.schema["doc_id"].dataType)).alias("doc_id"),
                        F.xxhash64("text", F.length("text")).alias("body"), "text")
     covered = repeated_starts(stage(windows(rows, window), "windows"))
-    joined = rows.withColumn("lines", F.split("text", "\n")).drop("text").join(covered, ["none", "doc_id", "body"], "left")
+    joined = rows.withColumn("lines", F.split("text", "\n")).drop("text").join(covered.hint("merge"), ["none", "doc_id", "body"], "left")
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1)))))
     lines = joined.select("doc", F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "lines", gone.alias("gone"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
@@ -82,6 +87,9 @@ def clean(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars", *
     which nothing but blank lines is left goes, one that was empty before stays."""
     out = dedup_lines(docs, text_col=text_col, **options)
     left = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
-    changed = {text_col: F.col("text"), count_col: F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(f"doc.`{count_col}`"))
-               } if count_col in docs.columns else {text_col: F.col("text")}
-    return left.select(*[changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    def column(c):
+        if c == text_col:
+            return F.col("text")
+        old = F.col(f"doc.`{c}`")
+        return F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(old) if c == count_col else old
+    return left.select(*[column(c).alias(c) for c in docs.columns])
