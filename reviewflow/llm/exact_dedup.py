@@ -33,6 +33,8 @@ class DigestIndex:
     def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS, name: str | None = None):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = name or f"digest_index_{uuid.uuid4().hex[:12]}"
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
         spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet
                       CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS LOCATION '{path}'""")
 

@@ -1,6 +1,35 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from reviewflow.llm.licenses import TEMPLATES, THRESHOLD
+
+
+def _grams(text: str) -> str:
+    """Word list of a text column, as a DuckDB expression."""
+    return f"string_split(trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+
+
+def _license_sql() -> str:
+    rows = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
+    pairs = "list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])"
+    return f"""
+WITH t(name, text) AS (VALUES {rows}),
+tg AS (SELECT name, {pairs} AS g FROM (SELECT name, {_grams('text')} AS w FROM t)),
+u AS (SELECT DISTINCT doc_id, {_grams('u')} AS w FROM (
+        SELECT doc_id, unnest(string_split(text, chr(10)) || regexp_split_to_array(text, '\n[ \t\r]*\n') || [text]) AS u
+        FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))),
+ug AS (SELECT doc_id, w, {pairs} AS g FROM u WHERE len(w) > 1),
+m AS (SELECT doc_id, w, name, 2.0::DOUBLE * len(list_intersect(ug.g, tg.g)) / (len(ug.g) + len(tg.g)) AS score
+      FROM ug JOIN tg ON len(ug.g) <= 2 * len(tg.g) AND len(tg.g) <= 2 * len(ug.g)),
+k AS (SELECT * FROM m WHERE score >= {THRESHOLD}),
+a AS (SELECT doc_id, max(score) AS score, array_to_string(list_sort(list_distinct(list(name))), ',') AS licenses,
+             count(DISTINCT w) AS n_units FROM k GROUP BY doc_id),
+b AS (SELECT k.doc_id, min(name) AS license FROM k JOIN a USING (doc_id) WHERE k.score = a.score GROUP BY k.doc_id)
+SELECT doc_id, license, score, coalesce(licenses, '') AS licenses, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units
+FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)"""
+
+
 ORACLE = {
+    "op6_license_scan": _license_sql(),
     "op1_line_dedup": r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 w AS (SELECT doc_id, i - 1 AS pos, l[i] || chr(10) || l[i + 1] || chr(10) || l[i + 2] AS t

@@ -1,0 +1,92 @@
+import hashlib
+
+import corpus_pipeline as P
+from pyspark.sql import functions as F
+
+from reviewflow.llm import toxicity
+from reviewflow.llm.common import load, prepare, stage
+
+from . import test_line_dedup, test_mixing, test_simhash
+from .test_bpe import THEIRS
+
+DIR = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
+def test_stages_in_order():
+    assert [n for n, _ in P.STAGES] == ["toxicity", "line dedup", "SimHash near-dedup", "mixing sources", "byte-level BPE"]
+
+
+def test_every_stage_against_brute_force(spark):
+    prepare(spark)
+    docs = load(spark, DIR, "documents")
+    steps = dict(P.STAGES)
+
+    # the labels of a larger table, so that there is something to learn
+    wide = "/root/testdata/sf0.01"
+    more = load(spark, wide, "documents")
+    chain = toxicity.fit(more, load(spark, wide, "labels"))
+    clean = stage(steps["toxicity"](spark, more, wide), "test")
+    want = [r.doc_id for r in more.collect() if not chain.predict(r.text)[1] >= chain.threshold]
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(want) and clean.columns == COLUMNS and 0 < len(want) < more.count()
+
+    lines = stage(steps["line dedup"](spark, docs, DIR), "test")
+    brute = {(i, t) for i, _, n, t in test_line_dedup.brute(pairs(docs)) if not n or t.strip()}
+    assert set(pairs(lines)) == brute and lines.columns == COLUMNS
+    assert lines.where("n_chars <> length(text)").count() == 0
+
+    near = stage(steps["SimHash near-dedup"](spark, lines, DIR), "test")
+    assert sorted(r.doc_id for r in near.collect()) == sorted(i for i, _, c in test_simhash.brute(pairs(lines)) if i == c)
+    assert near.columns == COLUMNS
+
+    mixed = stage(steps["mixing sources"](spark, near, DIR), "test")
+    size = F.size(F.split(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), " "))
+    own = near.withColumn("size", F.when(F.length(F.trim("text")) > 0, size).otherwise(0))
+    sizes = {r.source: r.n for r in own.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    aims = test_mixing.brute_targets(sizes)
+    took = {r.source: r.n for r in mixed.withColumn("size", size).groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    assert mixed.columns == COLUMNS and mixed.groupBy("doc_id").count().where("count > 3").count() == 0
+    each = {}
+    for r in own.select("source", "size").collect():
+        each.setdefault(r.source, []).append(r.size)
+    for s, n in sizes.items():      # whole passes, then a subset of documents, at most a few words short of the best one
+        whole, sums = int(aims[s] // n) if n else 0, {0}
+        for one in each[s]:
+            sums |= {x + one for x in sums}
+        best = whole * n + max(x for x in sums if x <= int(aims[s]) - whole * n)
+        assert 0 <= best - took.get(s, 0) <= 2 + 0.001 * aims[s]
+
+    coded = steps["byte-level BPE"](spark, mixed, DIR).collect()
+    texts = dict(pairs(mixed))
+    assert len(coded) == mixed.count()
+    for r in coded:
+        assert list(r.ids) == THEIRS.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids)
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_run_is_the_stages_one_after_another(spark):
+    docs = load(spark, DIR, "documents")
+    for _, step in P.STAGES:
+        docs = stage(step(spark, docs, DIR), "test")
+    got = P.run(spark, DIR)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+
+
+def test_odd_documents_pass_through(spark):
+    prepare(spark)
+    rows = [(None, None, None, None, None), (1, "", "en", None, 0), (2, "a\nb\nc\nd", "en", "s", 7), (3, "a\nb\nc\nd", "en", "s", 7),
+            (4, "x " * 50_000, "en", "s", 100_000), (4, "x " * 50_000, "en", "s", 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("fp", F.lit(1))
+    for some in (docs, docs.where("false")):
+        frame = some
+        for _, step in P.STAGES:
+            assert "fp" in frame.columns
+            frame = stage(step(spark, frame, DIR), "test")
+            if "text" not in frame.columns:
+                break
+        assert frame.count() >= (some.count() > 0)
