@@ -143,15 +143,15 @@ class OnnxTextClassifier:
 
     The executor-side form of a model-based labeller: ``load()`` opens the
     tokenizer (``tokenizers`` JSON file) and the ONNX session once per worker;
-    ``logits(texts)`` tokenises a whole Arrow batch (truncated to
-    ``max_length``, padded), runs the model in chunks of ``batch_size`` and
+    ``logits(texts)`` tokenises a whole Arrow batch (padded; cut
+    only at ``max_length``, the model's own limit, when given), runs the model in chunks of ``batch_size`` and
     returns one logit vector per text (NULL for blank text, which never
     reaches the model).  Use with ``label_text(df, col, OnnxTextClassifier(…))``
     or ``jobs label-reviews --variant model --scorer module:Class``.
     Both libraries are optional; they are imported in ``load()``.
     """
 
-    def __init__(self, model_path: str, tokenizer_path: str, id2label: dict, max_length: int = 512,
+    def __init__(self, model_path: str, tokenizer_path: str, id2label: dict, max_length: int | None = None,
                  batch_size: int = 32, input_names=("input_ids", "attention_mask")):
         self.model_path, self.tokenizer_path = model_path, tokenizer_path
         self.id2label = dict(id2label)
@@ -163,7 +163,8 @@ class OnnxTextClassifier:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(self.tokenizer_path)
-        tok.enable_truncation(max_length=self.max_length)
+        if self.max_length:
+            tok.enable_truncation(max_length=self.max_length)
         tok.enable_padding()
         self._tok = tok
         self._sess = ort.InferenceSession(self.model_path, providers=["CPUExecutionProvider"])
