@@ -203,8 +203,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, id_col: str =
     def feature_list(texts: pa.Array) -> pa.Array:
         return pa.array([features(t or "") for t in texts.to_pylist()], pa.list_(pa.int32()))
 
-    # at most max_rows ids and a few numbers each: broadcast, so that no text is shuffled but the sample's
-    own = (docs.select(F.col(id_col).alias("row_id"), whole_text(text_col).alias("text")).join(F.broadcast(known), "row_id")
+    # at most max_rows ids and a few numbers each, which the planner knows by the limit: it broadcasts them, so that no
+    # text is shuffled but the sample's
+    own = (docs.select(F.col(id_col).alias("row_id"), whole_text(text_col).alias("text")).join(known, "row_id")
            .groupBy("row_id").agg(F.max("text").alias("text"), *[F.max(f"y{k}").alias(f"y{k}") for k in range(len(categories))]))
     sample = stage(own.select("row_id", *[f"y{k}" for k in range(len(categories))], F.array().cast("array<double>").alias("previous"),
                               F.pmod(F.xxhash64(F.lit(SEED + 1), "row_id"), F.lit(FOLDS)).cast("int").alias("fold"),
