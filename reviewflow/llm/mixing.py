@@ -39,7 +39,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) ->
     target is min(cap, level * weight) where the level makes the targets add
     up to all words: the level that resharing the excess again and again ends
     at.  Sources are sorted by cap per weight; the level is that at the first
-    source which stays under its cap.
+    source which stays under its cap, the highest of all that do.
     """
     every = Window.partitionBy(F.lit(0))
     rank = F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -52,7 +52,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) ->
         F.sum(F.col("source_size").cast("double")).over(every)
         - F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
         / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
-    level = level.withColumn("level", F.min(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))).over(every))
+    level = level.withColumn("level", F.max(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))).over(every))
     return level.select("source", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -42,6 +43,15 @@ def test_plan_stays_within_counts_and_near_target(items, times):
     assert 0 <= int(total * times) - got < lengths.max()
 
 
+def test_targets_against_resharing(spark):
+    r = random.Random(6)
+    for n in (1, 2, 3, 5, 12, 40, 40):
+        sizes = {None if i == 0 else f"s{r.randint(0, 10**6)}": r.choice([0, 1, r.randint(1, 50), r.randint(1, 5000), 100]) for i in range(n)}
+        got = {x.source: x.target for x in op.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+        want = brute_targets(sizes)
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in want), (sizes, got, want)
+
+
 def test_mix_against_brute_force(spark, docs):
     rows = [(i, "w " * (i * 7 % 23), ["b", "a", "Z", None, "é", "c"][i % 6]) for i in range(300)]
     rows += [(1000 + i, "w " * 10, "a") for i in range(200)] + [(5000, None, "n"), (5001, "", "n"), (None, "x y", "b"), (None, "x y", "b"),
