@@ -4,7 +4,7 @@ For every prefix of a piece's bytes there is exactly one token that ends the
 prefix's encoding.  ``Prefixes`` stores it: at each byte, of the tokens that
 end there, it is the one that may follow the last token of the prefix before
 it.  Two tokens may follow each other if encoding their joined bytes gives
-just those two.  As an entry depends on its prefix alone, appended bytes
+just those two, which their merges, run side by side, show.  As an entry depends on its prefix alone, appended bytes
 extend the table exactly, and after an edit only the entries from the edit
 on, up to where they fall in with the old ones, are computed anew.
 
@@ -19,6 +19,8 @@ import base64
 from array import array
 from itertools import chain
 
+import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +28,10 @@ from pyspark.sql import functions as F
 
 from reviewflow.llm.common import whole_text
 
-# What a worker remembers, at most; it begins anew when one is full.
-PIECES_KEPT = 300_000       # encodings of short pieces, and of short stretches of text between spaces
-PREFIXES_KEPT = 500_000
+# What a worker remembers, at most.
+PIECES_KEPT = 300_000       # encodings of short pieces, and of short stretches of text between spaces; twice that while old ones go
 PAIRS_KEPT = 1_000_000
+NEVER = 1 << 60
 SHORT = 64                  # characters or bytes
 LONG_TEXT = 1 << 20         # beyond it pieces are walked one by one, not listed
 
@@ -41,25 +43,73 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
+        self.matcher = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self.matcher.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.matcher.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int]] = {}
+        self._edges: dict[tuple[int, int], list[tuple[bytes, float]]] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """The definition itself, for the few bytes of one or two tokens: merge the lowest rank, leftmost first."""
+    def merged(self, data: bytes, until: int = 1) -> list[int]:
+        """The definition itself, for the bytes of a token: merge the lowest rank, leftmost first."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 60), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 60:
+        while len(parts) > until:
+            rank, at = min((self.ranks.get(a + b, NEVER), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank == NEVER:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def ending(self, data: bytes, end: int):
-        """(start, token) of the tokens that end at ``end``, longest first."""
-        for start in range(max(0, end - self.longest), end):
-            token = self.ranks.get(data[start:end])
-            if token is not None:
-                yield start, token
+    def edge(self, token: int, side: int) -> list[tuple[bytes, float]]:
+        """What stands at one end of a token (side -1: right, 0: left) while it is merged: from the single byte to
+        the whole token, each with the rank at which the next one takes its place."""
+        found = self._edges.get((token, side))
+        if found is None:
+            found, t = [(self.tokens[token], NEVER)], token
+            while len(self.tokens[t]) > 1:
+                if t not in self._halves:
+                    self._halves[t] = tuple(self.merged(self.tokens[t], 2))
+                t, rank = self._halves[t][side], t
+                found.append((self.tokens[t], rank))
+            found = self._edges[token, side] = found[::-1]
+        return found
+
+    def extend(self, last: list[int], data: bytes) -> None:
+        """The prefix program: append the last token of every prefix of ``data`` that ``last`` lacks.
+
+        An automaton over the tokens names those that end at each byte, the
+        longest first; the one that may follow the last token of what is left
+        of it is the prefix's own.
+        """
+        known, pairs = len(last) - 1, self.pairs
+        begin = max(0, known - self.longest + 1)
+        last += [-1] * (len(data) - known)
+        for at, (token, size) in self.matcher.iter(data[begin:].decode("latin-1")):
+            end = begin + at + 1
+            if end <= known or last[end] >= 0 or size > end:
+                continue
+            start = end - size
+            if start:
+                left = last[start]
+                ok = pairs.get((left, token))
+                if ok is None:
+                    ok = self.follows(left, token)
+            else:
+                ok = self.whole(token)
+            if ok:
+                last[end] = token
+        if -1 in last[known + 1:]:
+            raise ValueError("a byte has no token: the vocabulary lacks single bytes")
+
+    def traced(self, last: list[int]) -> list[int]:
+        """The encoding that ``last`` stands for, from its end to its start and turned round."""
+        out, at = [], len(last) - 1
+        while at:
+            out.append(last[at])
+            at -= len(self.tokens[last[at]])
+        return out[::-1]
 
     def whole(self, token: int) -> bool:
         """Does merging ever make this token of its own bytes?"""
@@ -68,73 +118,79 @@ class Vocabulary:
         return self._whole[token]
 
     def follows(self, left: int, right: int) -> bool:
-        key = (left, right)
-        ok = self.pairs.get(key)
+        """May ``right`` stand behind ``left``?  Both are merged side by side: if the pieces that touch ever have a
+        joint rank below the next merge on either side, BPE would have joined them (leftmost first at equal ranks)."""
+        ok = self.pairs.get((left, right))
         if ok is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            both = self.tokens[left] + self.tokens[right]
-            ok = self.pairs[key] = both not in self.ranks and self.merged(both) == [left, right]
+            ok = self.pairs[left, right] = self.whole(right) and self._apart(self.edge(left, -1), self.edge(right, 0))
         return ok
 
+    def _apart(self, a: list[tuple[bytes, float]], b: list[tuple[bytes, float]]) -> bool:
+        i = j = 0
+        while True:
+            (x, next_a), (y, next_b) = a[i], b[j]
+            joint = self.ranks.get(x + y, NEVER)
+            if joint < next_a and joint <= next_b:
+                return False
+            if next_a == next_b == NEVER:
+                return True
+            if next_a <= next_b:
+                i += 1
+            else:
+                j += 1
+
 
 class Prefixes:
-    """The last token of every prefix of one piece."""
+    """The last token of every prefix of one piece; the empty prefix has none (-1)."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", array("i", [-1])
+        self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self._last(end))
-
-    def _last(self, end: int) -> int:
-        v, last = self.vocabulary, self.last
-        for start, token in v.ending(self.data, end):
-            if v.follows(last[start], token) if start else v.whole(token):
-                return token
-        raise ValueError(f"no token ends at byte {end}: the vocabulary lacks single bytes")
+        self.vocabulary.extend(self.last, self.data)
 
     def edit(self, start: int, end: int, new: bytes) -> None:
-        """Replace bytes start:end.  Entries before the edit stay; those behind it are computed until as many in
-        a row as the longest token equal the old ones, from where the rest must be equal too."""
-        old, tail = self.last, self.data[end:]
+        """Replace bytes start:end.  Entries before the edit stay; those behind it are computed a stretch at a time
+        until as many in a row as the longest token equal the old ones, from where the rest must be equal too."""
+        old, tail, longest = self.last, self.data[end:], self.vocabulary.longest
         shift = len(new) - (end - start)
         self.data = self.data[:start] + new + tail
-        self.last, same = old[:start + 1], 0
-        for at in range(start + 1, len(self.data) + 1):
-            token = self._last(at)
-            self.last.append(token)
-            same = same + 1 if at > start + len(new) and old[at - shift] == token else 0
-            if same >= self.vocabulary.longest:
-                self.last.extend(old[at + 1 - shift:])
-                break
+        self.last = old[:start + 1]
+        at = start + len(new)
+        while at < len(self.data):
+            at = min(len(self.data), at + 2 * longest)
+            self.vocabulary.extend(self.last, self.data[:at])
+            if at - longest >= start + len(new) and self.last[at - longest + 1:] == old[at - longest + 1 - shift:at + 1 - shift]:
+                self.last += old[at + 1 - shift:]
+                return
+        self.vocabulary.extend(self.last, self.data)
 
     def ids(self) -> list[int]:
         """Trace back from the last entry.  A piece that is itself a token is that token."""
         if self.data in self.vocabulary.ranks:
             return [self.vocabulary.ranks[self.data]]
-        out, at = [], len(self.data)
-        while at:
-            out.append(self.last[at])
-            at -= len(self.vocabulary.tokens[out[-1]])
-        return out[::-1]
+        return self.vocabulary.traced(self.last)
 
 
 class Memo(dict):
-    """Encodings already worked out, by text; emptied when it holds ``most``."""
+    """Encodings already worked out, by text.  When it holds ``most``, they become the old ones, of which only those
+    still in use come back."""
 
     def __init__(self, work, most: int = PIECES_KEPT):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.most, self.old = work, most, {}
 
     def __missing__(self, text: str) -> tuple[int, ...]:
-        ids = self.work(text)
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.work(text)
         if len(text) <= SHORT:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -155,7 +211,6 @@ class Tokenizer:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cut: bool = True):
         self.vocabulary, self.pattern, self.cut = Vocabulary(ranks), regex.compile(pattern), cut
-        self.last: dict[bytes, int] = {}
         self.pieces, self.stretches = Memo(self._piece), Memo(self._stretch)
 
     def _stretch(self, stretch: str) -> tuple[int, ...]:
@@ -168,39 +223,11 @@ class Tokenizer:
         return tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        """Prefix program over prefixes that all short pieces share: a new piece starts at its longest known prefix."""
-        data, v, last = piece.encode("utf-8"), self.vocabulary, self.last
-        if data in v.ranks:
-            return (v.ranks[data],)
-        if len(data) > SHORT:
-            return tuple(Prefixes(v, data).ids())
-        if len(last) > PREFIXES_KEPT:
-            last.clear()
-        n = known = len(data)
-        while known and data[:known] not in last:
-            known -= 1
-        ranks, pairs, longest = v.ranks, v.pairs, v.longest
-        for end in range(known + 1, n + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = ranks.get(data[start:end])
-                if token is None:
-                    continue
-                if start:
-                    left = last[data[:start]]
-                    ok = pairs.get((left, token))
-                    if ok is None:
-                        ok = v.follows(left, token)
-                else:
-                    ok = v.whole(token)
-                if ok:
-                    last[data[:end]] = token
-                    break
-        out, tokens = [], v.tokens
-        while n:
-            token = last[data[:n]]
-            out.append(token)
-            n -= len(tokens[token])
-        return tuple(out[::-1])
+        data, last = piece.encode("utf-8"), [-1]
+        if data in self.vocabulary.ranks:
+            return (self.vocabulary.ranks[data],)
+        self.vocabulary.extend(last, data)
+        return tuple(self.vocabulary.traced(last))
 
     def encode(self, text: str) -> list[int]:
         if not self.cut or " " not in text:
@@ -284,8 +311,11 @@ class Coder:
 
         @F.arrow_udf("array<int>")
         def encoded(texts: pa.Array) -> pa.Array:
-            t = _tokenizer(key, data)
-            return pa.array((array("i", t.encode(x or "")) for x in texts.to_pylist()), pa.list_(pa.int32()))
+            t, ids, ends = _tokenizer(key, data), array("i"), [0]
+            for x in texts.to_pylist():
+                ids.extend(t.encode(x or ""))
+                ends.append(len(ids))
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
 
         return docs.withColumn(into, encoded(whole_text(text_col)))
 
@@ -294,7 +324,8 @@ class Coder:
 
         @F.arrow_udf("binary")
         def decoded(ids: pa.Array) -> pa.Array:
-            t = _tokenizer(key, data)
-            return pa.array((t.decode(x or []) for x in ids.to_pylist()), pa.binary())
+            t, flat = _tokenizer(key, data), ids.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()])
+            return pa.array((t.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])), pa.binary())
 
         return frame.withColumn(into, decoded(F.col(ids_col)))

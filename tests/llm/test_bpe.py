@@ -59,7 +59,6 @@ def test_long_piece_and_long_text():
 
 
 def test_small_memories_give_the_same(monkeypatch):
-    monkeypatch.setattr(op, "PREFIXES_KEPT", 5)
     monkeypatch.setattr(op, "PAIRS_KEPT", 3)
     t = op.Tokenizer(RANKS, PATTERN)
     t.pieces.most = t.stretches.most = 2
@@ -83,3 +82,12 @@ def test_nulls_empty_tables_and_clashing_names(spark, docs):
     got = coder.decode(coder.encode(df)).collect()
     assert sorted((r.doc_id or 0, len(r.ids), bytes(r.decoded)) for r in got) == [(0, 2, b"a b"), (1, 0, b""), (2, 0, b"")]
     assert coder.encode(df.where("false")).collect() == []
+
+
+def test_which_tokens_may_touch_is_what_merging_their_bytes_gives():
+    v, r = OURS.vocabulary, random.Random(4)
+    short = sorted(i for t, i in RANKS.items() if len(t) < 6)
+    whole = [i for i in short if v.whole(i)]
+    pairs = [(r.choice(whole), r.choice(short)) for _ in range(20_000)]
+    pairs += [(a, b) for a in whole[:60] for b in whole[200:400]]
+    assert all(v.follows(a, b) == (v.merged(v.tokens[a] + v.tokens[b]) == [a, b]) for a, b in pairs)
