@@ -5,7 +5,9 @@ Documents are counted by exact length in words.  A source whose target is
 the rest of its budget takes the same share of every length, rounded down,
 then single documents by largest remainder, and the last stretch of the
 budget is fitted by a bounded-knapsack dynamic program over the documents of
-each length that are still free.  Which documents of a length are taken is
+each length that are still free.  Where that misses the budget, the longest
+documents are chosen anew by their subset sums over the whole of it and the
+others fill what they leave; the closer plan is kept.  Which documents of a length are taken is
 decided by a seeded hash.
 
 Cases: null and blank texts have size 0 and are never taken; a null source is
@@ -28,6 +30,8 @@ MAX_REPEAT = 3
 SEED = 11
 # Longest stretch of words that the dynamic program fits; it bounds its memory, not the documents it may use below it.
 FIT_WORDS = 1 << 16
+# So many documents (in powers of two of each length) have their subset sums taken over the whole budget at full resolution.
+STEPS = 4096
 # Documents of one source and length are told apart by hash in so many slices; only one slice is ranked.
 SLICES = 4096
 
@@ -87,12 +91,9 @@ def fit(lengths: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
     return taken
 
 
-def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float, fit_words: int = FIT_WORDS) -> tuple[int, np.ndarray]:
-    """(times every document is taken, how many of each length once more) for lengths > 0."""
-    total = int((lengths * counts).sum())
-    times = int(target // total)
-    budget = int(target) - times * total
-    share = counts * (budget / total)
+def spread(lengths: np.ndarray, counts: np.ndarray, budget: int, fit_words: int) -> np.ndarray:
+    """The same share of every length, then by largest remainder, then longest first, the last stretch by ``fit``."""
+    share = counts * (budget / int((lengths * counts).sum()))
     extra = np.minimum(np.floor(share).astype(np.int64), counts)
     left = budget - int((extra * lengths).sum())
     for i in np.lexsort((lengths, extra - share)):      # largest remainder first
@@ -107,9 +108,78 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float, fit_word
         more = min(int(counts[i] - extra[i]), left // int(lengths[i]))
         extra[i] += more
         left -= more * int(lengths[i])
-    near = np.flatnonzero((lengths <= left) & (extra < counts))
+    return extra + _fill(lengths, counts - extra, left, fit_words)
+
+
+def _fill(lengths: np.ndarray, free: np.ndarray, left: int, fit_words: int) -> np.ndarray:
+    more, near = np.zeros(len(lengths), np.int64), np.flatnonzero((lengths <= left) & (free > 0))
     if 0 < left <= fit_words and len(near):
-        extra[near] += fit(lengths[near], (counts - extra)[near], left)
+        more[near] = fit(lengths[near], free[near], left)
+    return more
+
+
+def long_first(lengths: np.ndarray, counts: np.ndarray, budget: int, fit_words: int, steps: int = STEPS) -> np.ndarray:
+    """A plan whose longest documents are chosen before the others, over the whole budget.
+
+    Subset sums of the long documents at a resolution of ``fit_words`` steps
+    (fewer, if there are many documents; each word a step, if the budget is
+    no longer): a step keeps one exact sum.  Of the sums that the short
+    documents can fill up to the budget, or come closest to it with, the one
+    nearest to the long documents' share is taken; the short ones then get
+    the rest.  All documents longer than ``fit_words`` are long, and as many
+    others as ``steps`` allows.
+    """
+    order, items = np.argsort(-lengths, kind="stable"), []
+    long = np.zeros(len(lengths), bool)
+    for i in order:
+        n, parts = int(counts[i]), []
+        while n:                                        # any number up to n is a sum of these parts
+            parts.append(min(1 << len(parts), n))
+            n -= parts[-1]
+        if lengths[i] <= fit_words and len(items) + len(parts) > steps:
+            break
+        long[i] = True
+        items += [(i, m) for m in parts]
+    bins = max(1, min(fit_words, budget, fit_words * steps // max(1, len(items))))
+    sums, by, prev = (np.full(bins + 1, -1, np.int64) for _ in range(3))
+    sums[0] = 0
+    for k, (i, m) in enumerate(items):
+        at = np.flatnonzero(sums >= 0)
+        value = sums[at] + int(lengths[i]) * m
+        at, value = at[value <= budget], value[value <= budget]
+        to, one = np.unique(value * bins // budget, return_index=True)
+        one = one[sums[to] < 0]
+        to = to[sums[to] < 0]
+        sums[to], by[to], prev[to] = value[one], k, at[one]
+    short = int((lengths * counts)[~long].sum())
+    share = budget * (1 - short / int((lengths * counts).sum()))
+    found = np.flatnonzero(sums >= 0)
+    v = found[np.lexsort((np.abs(sums[found] - share), np.maximum(budget - sums[found] - short, 0)))[0]]
+    extra = np.zeros(len(lengths), np.int64)
+    left = budget - int(sums[v])
+    while by[v] >= 0:
+        i, m = items[by[v]]
+        extra[i] += m
+        v = prev[v]
+    if short:
+        extra[~long] = counts[~long] if left >= short else spread(lengths[~long], counts[~long], left, fit_words)
+    return extra + _fill(lengths, counts - extra, budget - int((extra * lengths).sum()), fit_words)
+
+
+def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float, fit_words: int = FIT_WORDS) -> tuple[int, np.ndarray]:
+    """(times every document is taken, how many of each length once more) for lengths > 0.
+
+    ``spread`` never takes a document back; where it misses the budget
+    ``long_first`` is tried too, and the closer one is kept.
+    """
+    total = int((lengths * counts).sum())
+    times = int(target // total)
+    budget = int(target) - times * total
+    extra = spread(lengths, counts, budget, fit_words)
+    if int((extra * lengths).sum()) < budget:
+        other = long_first(lengths, counts, budget, fit_words)
+        if int((other * lengths).sum()) > int((extra * lengths).sum()):
+            extra = other
     return times, extra
 
 

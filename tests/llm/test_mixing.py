@@ -43,6 +43,29 @@ def test_plan_stays_within_counts_and_near_target(items, times):
     assert 0 <= int(total * times) - got < lengths.max()
 
 
+def test_long_documents_are_not_crowded_out():
+    # (documents of about 1,000 words and one of 900,000; long ones that only fit without the longest; all below FIT_WORDS)
+    short = [(950 + i, 1) for i in range(99)] + [(1049, 1)]
+    for items, target in ((short + [(900_000, 1)], 950_000), ([(300_000, 1), (250_000, 2), (70_000, 3)], 500_000), ([(100, 100), (60_000, 1)], 65_000),
+                          ([(60_000, 1), (50_000, 2)], 100_000), ([(90_000 + 7 * i, 2) for i in range(200)] + [(3, 40)], 20_000_000)):
+        lengths, counts = (np.array(x) for x in zip(*sorted(items)))
+        whole, extra = op.plan_source(lengths, counts, float(target))
+        assert whole == 0 and (extra >= 0).all() and (extra <= counts).all()
+        assert 0 <= target - int((extra * lengths).sum()) <= 0.0001 * target, (items[-1], target, int((extra * lengths).sum()))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 400), st.integers(1, 4)), min_size=1, max_size=6, unique_by=lambda x: x[0]), st.floats(0, 1))
+def test_plan_of_a_small_budget_is_the_best(items, share):
+    lengths, counts = (np.array(x) for x in zip(*items))
+    budget = int((lengths * counts).sum() * share)
+    whole, extra = op.plan_source(lengths, counts, float(budget))
+    sums = {0}
+    for size, n in items:
+        sums = {s + size * k for s in sums for k in range(n + 1)}
+    assert whole * int((lengths * counts).sum()) + int((extra * lengths).sum()) == max(s for s in sums if s <= budget)
+
+
 def test_targets_against_resharing(spark):
     r = random.Random(6)
     for n in (1, 2, 3, 5, 12, 40, 40):
