@@ -44,7 +44,7 @@ def op1(spark, sf_dir):
 @register("op2_secret_scan")
 def op2(spark, sf_dir):
     """Secrets in every document: counts, digest of the base spans, all spans."""
-    found = secrets.scan(load(spark, sf_dir, "documents"))
+    found = secrets.scan(load(spark, sf_dir, "documents"), by_run=False)
     return found.select("doc_id", *[secrets.counted("all", k).alias(f"n_{kind}") for k, kind in enumerate(secrets.kinds())],
                         F.sha2(secrets.joined("base"), 256).alias("base_sha256"), secrets.joined("all").alias("spans"))
 

@@ -4,9 +4,12 @@ Base spans come from fixed patterns.  Candidate strings, long runs of key
 characters, are then judged by Shannon entropy in a sliding window: the
 window's symbol counts and the sum of n log2 n change by the character that
 enters and the one that leaves.  A candidate belongs to the class hex or
-base64, each with its own threshold; an allow-list lets words, numbers and
-placeholders pass.  Windows above the threshold are merged into spans of kind
-``entropy``; one that overlaps a base span is left out.
+base64, each with its own threshold; an allow-list lets candidates pass that
+are words, numbers or a UUID as a whole.  Windows above the threshold are
+merged into spans of kind ``entropy``; one goes if all its windows meet a
+placeholder, counting or a long repeat, and what base spans cover is cut out
+of the others: the pieces left are spans of their own, however short
+(``by_run`` is coarser).
 
 Positions are found by cutting the text at the matches: pieces and matches in
 turn add up to every match's start, in code points.
@@ -37,9 +40,13 @@ SEARCH = {"hex": r"[0-9a-f]{32,}", "access": r"AKIA[A-Z0-9]{12,}"}
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 WIDTH = 20
 HEX, HEX_BITS, BASE64_BITS = r"^([0-9a-f]+|[0-9A-F]+)$", 2.85, 3.65
-# Candidates that are no secrets: words and paths, numbers, placeholders, counting, long repeats, UUIDs.
-ALLOWED = (r"^[A-Za-z/_+-]+$", r"^[0-9/_+-]+$", r"(?i)example|placeholder|sample|dummy|your_", r"(?i)x{6}|0123456|abcdefg",
-           r"(.)\1{7}", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+# Candidates that as a whole are no secrets: words and paths, numbers, UUIDs.
+AS_A_WHOLE = (r"^[A-Za-z/_+-]+$", r"^[0-9/_+-]+$", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+# The same and candidates with a placeholder, counting or a long repeat anywhere, which pass ``by_run``.
+ALLOWED = (*AS_A_WHOLE, r"(?i)example|placeholder|sample|dummy|your_", r"(?i)x{6}|0123456|abcdefg", r"(.)\1{7}")
+# Those stretches themselves: harmless where they stand, not in the rest of their candidate.
+HARMLESS = r"(?i:example|placeholder|sample|dummy|your_|x{6,}|0123456|abcdefg)|(.)\1{7,}"
+MASK = "."      # no character of a candidate
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 BLOCK = 512
 SPAN = "struct<s:int,e:int,m:string>"
@@ -69,43 +76,55 @@ def locate(rows: DataFrame, name: str, pattern: str) -> DataFrame:
 
 
 def _entropy_spans() -> str:
-    """SQL over a candidate c (s, e, m): spans of the windows whose entropy reaches its class's threshold."""
+    """SQL over a candidate c (s, e, m, mask): spans of the windows whose entropy reaches its class's threshold, if one of
+    them is free of masked characters."""
     steps = ", ".join(f"{n * math.log2(n) if n else 0.0!r}D" for n in range(WIDTH + 1))
     least = f"(CASE WHEN c.m RLIKE '{HEX}' THEN {HEX_BITS}D ELSE {BASE64_BITS}D END)"
     enter, leave = f"(instr('{SYMBOLS}', get(chars, i)) - 1)", f"(instr('{SYMBOLS}', get(chars, i - {WIDTH})) - 1)"
-    table, one = "sums", "array(named_struct('s', {0}, 'e', {1}))"
+    table, one = "sums", "array(named_struct('s', {0}, 'e', {1}, 'free', {2}))"
     # the counts after the leaving character went; then the entering one comes
     gone = f"CASE WHEN i >= {WIDTH} THEN transform(a.n, (x, k) -> x - IF(k = {leave}, 1, 0)) ELSE a.n END"
     less = f"CASE WHEN i >= {WIDTH} THEN get({table}, get(a.n, {leave}) - 1) - get({table}, get(a.n, {leave})) ELSE 0D END"
     return f"""
-      flatten(transform(array(split(c.m, '')), chars -> aggregate(sequence(0, size(chars) - 1),
-        named_struct('n', array_repeat(0, {len(SYMBOLS)}), 'sum', 0D, 'out', cast(array() AS array<struct<s:int,e:int>>)),
-        (a, i) -> transform(array(named_struct('n', {gone}, 'sum', a.sum + {less})), b -> transform(
+      flatten(transform(array(split(c.m, '')), chars -> transform(array(split(c.mask, '')), masks -> filter(aggregate(sequence(0, size(chars) - 1),
+        named_struct('n', array_repeat(0, {len(SYMBOLS)}), 'sum', 0D, 'out', cast(array() AS array<struct<s:int,e:int,free:boolean>>), 'masked', -1),
+        (a, i) -> transform(array(named_struct('n', {gone}, 'sum', a.sum + {less}, 'masked', IF(get(masks, i) = '{MASK}', i, a.masked))), b -> transform(
           array(named_struct('n', transform(b.n, (x, k) -> x + IF(k = {enter}, 1, 0)),
-                             'sum', b.sum + get({table}, get(b.n, {enter}) + 1) - get({table}, get(b.n, {enter})))),
+                             'sum', b.sum + get({table}, get(b.n, {enter}) + 1) - get({table}, get(b.n, {enter})),
+                             'free', b.masked <= i - {WIDTH}, 'masked', b.masked)),
           d -> named_struct('n', d.n, 'sum', d.sum, 'out',
             CASE WHEN i < {WIDTH - 1} OR {math.log2(WIDTH)!r}D - d.sum / {WIDTH} < {least} THEN a.out
                  WHEN size(a.out) > 0 AND element_at(a.out, -1).e >= c.s + i - {WIDTH - 1}
-                 THEN concat(slice(a.out, 1, size(a.out) - 1), {one.format('element_at(a.out, -1).s', 'c.s + i + 1')})
-                 ELSE concat(a.out, {one.format(f'c.s + i - {WIDTH - 1}', 'c.s + i + 1')}) END))[0])[0],
-        a -> a.out)))""".replace("get(sums,", f"get(array({steps}),")
+                 THEN concat(slice(a.out, 1, size(a.out) - 1), {one.format('element_at(a.out, -1).s', 'c.s + i + 1', 'element_at(a.out, -1).free OR d.free')})
+                 ELSE concat(a.out, {one.format(f'c.s + i - {WIDTH - 1}', 'c.s + i + 1', 'd.free')}) END,
+            'masked', d.masked))[0])[0],
+        a -> a.out), x -> x.free))[0]))""".replace("get(sums,", f"get(array({steps}),")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, base and all: arrays of (s, k, e), sorted; k is the kind's place in ``kinds()``."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_run: bool = True) -> DataFrame:
+    """One row per input row: doc_id, base and all: arrays of (s, k, e), sorted; k is the kind's place in ``kinds()``.
+
+    ``by_run``: a harmless stretch lets its whole candidate pass, a base span the whole entropy span that it overlaps;
+    secrets beside them are lost.  The query scans without it.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     for kind, pattern, _, _ in BASE:
         rows = locate(rows, f"_{kind}", SEARCH.get(kind, pattern))
     rows = locate(rows, "_runs", CANDIDATE)
     kept = {kind: F.filter(f"_{kind}", _longer(pattern, group, least)) for kind, pattern, group, least in BASE}
     base = F.array_sort(F.concat(*[F.transform(kept[kind], _as_span(k)) for k, (kind, *_) in enumerate(BASE)]))
-    suspects = F.filter("_runs", lambda c: ~_any(c["m"]))
+    suspects = F.transform(F.filter("_runs", lambda c: ~_any(c["m"], ALLOWED if by_run else AS_A_WHOLE)), lambda c: F.struct(c["s"], c["e"], c["m"], _masked(c["m"]).alias("mask")))
     found = rows.select("doc_id", base.alias("base"), suspects.alias("suspects"))
     extra = F.expr(f"flatten(transform(suspects, c -> {_entropy_spans()}))")
     found = found.select("doc_id", "base", F.when(F.size("suspects") > 0, extra).otherwise(F.expr(
-        "cast(array() AS array<struct<s:int,e:int>>)")).alias("extra"))
-    free = F.expr(f"transform(filter(extra, x -> NOT exists(base, b -> b.s < x.e AND x.s < b.e)), "
-                  f"x -> named_struct('s', x.s, 'k', {len(BASE)}, 'e', x.e))")
+        "cast(array() AS array<struct<s:int,e:int,free:boolean>>)")).alias("extra"))
+    spans = "filter(extra, x -> NOT exists(base, b -> b.s < x.e AND x.s < b.e))" if by_run else "extra"
+    free = F.expr(f"""
+        flatten(transform({spans}, x -> aggregate(filter(base, b -> b.s < x.e AND x.s < b.e),
+          named_struct('at', x.s, 'out', cast(array() AS array<struct<s:int,k:int,e:int>>)),
+          (a, b) -> named_struct('at', greatest(a.at, b.e), 'out',
+            IF(b.s > a.at, concat(a.out, array(named_struct('s', a.at, 'k', {len(BASE)}, 'e', b.s))), a.out)),
+          a -> IF(a.at < x.e, concat(a.out, array(named_struct('s', a.at, 'k', {len(BASE)}, 'e', x.e))), a.out))))""")
     return found.select("doc_id", "base", F.array_sort(F.concat("base", free)).alias("all"))
 
 
@@ -121,13 +140,20 @@ def _as_span(k: int):
     return span
 
 
-def _any(text: Column) -> Column:
+def _any(text: Column, patterns) -> Column:
     hit = F.lit(False)
-    for pattern in ALLOWED:
+    for pattern in patterns:
         hit = hit | text.rlike(pattern)
     return hit
 
 
+def _masked(text: Column) -> Column:
+    """The text with every character of a harmless stretch replaced by MASK."""
+    parts = F.zip_with(F.split(text, HARMLESS, -1), F.regexp_extract_all(text, F.lit(HARMLESS), F.lit(0)),
+                       lambda piece, hit: F.concat(piece, F.coalesce(F.repeat(F.lit(MASK), F.length(hit)), F.lit(""))))
+    return F.when(text.rlike(HARMLESS), F.array_join(parts, "")).otherwise(text)
+
+
 def kinds() -> list[str]:
     return [kind for kind, *_ in BASE] + ["entropy"]
 

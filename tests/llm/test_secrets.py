@@ -56,6 +56,22 @@ def test_against_brute_force(docs):
     assert any("entropy" in a for _, _, a in want)
 
 
+def test_harmless_stretches_and_base_spans_hide_only_themselves(docs):
+    key, pem = MIXED, "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
+    texts = {1: "net/samples/v2/" + key, 2: key + "a" * 40 + key, 3: pem, 4: "your_api_key_example_0123456789", 5: "sample/0123456789abcdefghij/x",
+             6: key + "G" + RANDOM[:32] + "G" + key, 7: "G" + key + RANDOM[:32], 8: "sample0Kx/" * 5000 + key}
+    got = {r.doc_id: r.a for r in op.scan(docs(list(texts.items())), by_run=False).select("doc_id", op.joined("all").alias("a")).collect()}
+    spans = {i: [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in t.split(",") if x)] for i, t in got.items()}
+
+    def hidden(i, word):
+        at = [m.start() for m in re.finditer(re.escape(word), texts[i])]
+        return [a for a in at if not any(s <= a and a + len(word) <= e for k, s, e in spans[i] if k == "entropy")]
+    assert not hidden(1, key) and spans[2] == [("entropy", 0, 32), ("hex", 32, 73), ("entropy", 73, 104)]
+    assert spans[3] and not spans[4] and not spans[5]
+    assert [k for k, *_ in spans[6]] == ["entropy", "hex", "entropy"] and spans[6][0][2] == spans[6][1][1] and spans[6][1][2] == spans[6][2][1]
+    assert not hidden(6, key) and not hidden(7, key) and not hidden(8, key)
+
+
 def test_query_against_brute_force(spark):
     path = "/root/testdata/sf0.001"
     got = {r.doc_id: r for r in QUERIES["op2_secret_scan"](spark, path).collect()}
