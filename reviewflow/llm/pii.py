@@ -2,8 +2,8 @@
 
 Base spans come from fixed patterns.  A linear-chain conditional random
 field, trained from a small labelled table, then tags the tokens that hold a
-digit or an at sign; its runs of one label become further spans where no base
-span lies.  All other tokens are bound to the label O.  A bound token cuts
+digit or an at sign; its runs of one label on a line become further spans; tokens
+that a base span touches are in none.  All other tokens are bound to the label O.  A bound token cuts
 the chain: what stands left and right of it is decoded on its own without
 changing the best path, so Viterbi runs over short stretches, many of equal
 length at once.
@@ -16,6 +16,8 @@ only where a match can start); other columns are never read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # A token with a digit or an at sign; possessive, so each character is looked at once.
 TRIGGER = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
+LINE_END = re.compile(r"[\r\n]")
 TRIM = "()[]{}<>\"'.,;:!?*#$%&|"
 CRF_SPANS = 4       # kinds of CRF spans start here
 
@@ -215,18 +218,29 @@ def stretches(text: str) -> list[tuple[str, list[tuple[int, int]]]]:
 
 
 def scan_batch(texts: list[str], crf: Crf) -> list[list[tuple[int, int, int]]]:
-    """All spans (start, kind, end) of every text, sorted: base kinds, then CRF kinds from CRF_SPANS on."""
+    """All spans (start, kind, end) of every text, sorted: base kinds, then CRF kinds from CRF_SPANS on.
+
+    Neighbouring tokens of one label on one line are a CRF span; tokens that a base span touches are in none.
+    """
     base = [base_spans(t) for t in texts]
+    starts = [[a for a, _, _ in own] for own in base]
+    ends = [list(accumulate((b for _, _, b in own), max)) for own in base]
+
+    def apart(k, token):
+        """No base span touches the token."""
+        n = bisect_left(starts[k], token[1])
+        return not n or ends[k][n - 1] <= token[0]
     places = [(k, left, run) for k, t in enumerate(texts) for left, run in stretches(t)]
     scores = [crf.score([texts[k][a:b] for a, b in run], left) for k, left, run in places]
     extra: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for (k, _, run), labels in zip(places, crf.decode(scores)):
         i = 0
         while i < len(run):
-            j = i
-            while j + 1 < len(run) and labels[j + 1] == labels[i]:
+            j, alone = i, apart(k, run[i])
+            while (j + 1 < len(run) and labels[j + 1] == labels[i] and apart(k, run[j + 1]) == alone
+                   and not LINE_END.search(texts[k], run[j][1], run[j + 1][0])):
                 j += 1
-            if labels[i]:
+            if labels[i] and alone:
                 a, b = run[i][0], run[j][1]
                 while a < b and texts[k][a] in TRIM and texts[k][a] != "(":
                     a += 1
@@ -235,16 +249,7 @@ def scan_batch(texts: list[str], crf: Crf) -> list[list[tuple[int, int, int]]]:
                 if a < b:
                     extra[k].append((a, CRF_SPANS + int(labels[i]) - 1, b))
             i = j + 1
-    out = []
-    for own, more in zip(base, extra):
-        edges, at = sorted((a, b) for a, _, b in own), 0
-        for a, kind, b in more:
-            while at < len(edges) and edges[at][1] <= a:
-                at += 1
-            if not any(x < b and a < y for x, y in edges[at:at + len(KINDS)]):
-                own = own if kind is None else [*own, (a, kind, b)]
-        out.append(sorted(own))
-    return out
+    return [sorted([*own, *more]) for own, more in zip(base, extra)]
 
 
 def span_kinds() -> list[str]:

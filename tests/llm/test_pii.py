@@ -78,6 +78,19 @@ def test_crf_adds_spans_beside_the_base_ones():
     assert ("card", "4111 1111 1111 1111") in names and ("phone", "+1 (409) 555-0134") in names and "1999" not in [t for _, t in names]
 
 
+def test_base_spans_hide_no_neighbours_of_their_label():
+    class Phones:       # labels every token phone
+        def score(self, tokens, left):
+            return tokens
+
+        def decode(self, scores):
+            return [[op.LABELS.index("phone")] * len(s) for s in scores]
+    text = "555-0142\n+1 (409) 555-0134, 555-0199\n555-0177\r\n555-0178 55"
+    names = [(op.span_kinds()[k], text[a:b]) for a, k, b in op.scan_batch([text], Phones())[0]]
+    assert names == [("crf_phone", "555-0142"), ("phone", "+1 (409) 555-0134"), ("crf_phone", "555-0199"), ("crf_phone", "555-0177"),
+                     ("crf_phone", "555-0178 55")]
+
+
 def test_long_texts_take_linear_time():
     start = time.time()
     op.scan_batch(["a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 100_000, "+1" * 150_000, "1 " * 50_000, "+1(" + "(" * 300_000], CRF)
