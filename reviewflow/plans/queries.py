@@ -708,16 +708,15 @@ def q_envelope_round_trip(spark, sf_dir):
 
 @register("q_multiline_scan", _FLAT_REVIEWS_SQL)
 def q_multiline_scan(spark, sf_dir):
-    """One indented document per city, one file each, scanned back as multi-line JSON → A2 flatten."""
+    """One indented document per (hospital, chunk), one file each, scanned back as multi-line JSON → A2 flatten."""
     from reviewflow.session import scratch_path
     from reviewflow.sinks.envelope import write_single_documents
     from reviewflow.sources.landing import scan_landing
 
-    # a city of the stand-in tables holds ten hospitals of one document each
-    docs = D.review_documents(_t(spark, sf_dir, "conversations")).select("city", F.explode("data").alias("h"))
-    city = docs.groupBy("city").agg(F.array_sort(F.collect_list("h")).alias("data"))
+    # as they come from the nesting, in chunks: no document holds a whole city or a whole hot hospital
+    docs = D.review_documents(_t(spark, sf_dir, "conversations"))
     path = scratch_path(spark, "landing-single")
-    write_single_documents(city, path, F.struct(F.lit(K.DEFAULT_DISCLAIMER).alias("disclaimer"), "data"))
+    write_single_documents(docs, path, F.struct("disclaimer", "first_review", "data"))
     back = scan_landing(spark, path, PL.REVIEW_READ_SCHEMA, multi_line=True, suffix=".txt")
     return FL.flatten_reviews(back).drop("author_id")
 

@@ -168,3 +168,12 @@ def test_jobs_load_places_from_pretty_documents_with_rejects(spark, tmp_path):
     assert res["files"] == 1 and res["rows"] == 1 and res["rejected"] == 1 and res["corrupt_documents"] == 0
     assert [r.name for r in spark.table("rf_cli.hospital_lists_ingestion").collect()] == ["Alpha"]
     assert spark.read.parquet(str(tmp_path / "rej")).first()._errors == "business_status"
+
+
+def test_multiline_scan_lands_a_hot_hospital_in_chunks(spark, tmp_path):
+    from reviewflow.plans.registry import QUERIES
+    turns = spark.range(2500).selectExpr("7L AS conv_id", "id AS turn", "'user' AS role", "concat('text ', id) AS text")
+    turns.union(spark.sql("SELECT 8L, 0L, 'system', 'other'")).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = QUERIES["q_multiline_scan"](spark, str(tmp_path))
+    assert len(got.inputFiles()) == 4           # three chunks and the other hospital of the same city
+    assert sorted(r.review for r in got.collect()) == sorted(["other", *(f"text {i}" for i in range(2500))])
