@@ -79,6 +79,19 @@ def test_small_blocks_count_every_pair_once(spark, monkeypatch):
     assert got == {i: n for i, n, _, _ in brute(rows) if n}
 
 
+def test_recall_with_a_sample_well_below_the_table(spark):
+    prepare(spark)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([groups(rng, 150, 8, 0.08), rng.normal(size=(300, 16))])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("vec_id AS class_id", "struct(label, 16 AS dim) AS label", "1L AS n", "embedding AS vector")
+    sample = op.sample_of(df, rows=150)
+    assert len(sample[0]) == 150
+    got = sum(r.n for r in op.link(df, op.fit(*sample)).where("b < 0").collect())
+    want = sum(n for _, n, _, _ in brute(rows))
+    assert 0.95 * want <= got <= want
+
+
 @pytest.mark.parametrize("table", ["sf0.01"])
 def test_recall_on_the_given_table(spark, table):
     prepare(spark)
