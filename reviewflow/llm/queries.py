@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import bpe, embedding_dedup, exact_dedup, licenses, line_dedup, mixing, pii, secrets, simhash, toxicity
+from reviewflow.llm import (
+    bpe, embedding_dedup, exact_dedup, licenses, line_dedup, merkle, mixing, onebit, pii, secrets, simhash, toxicity,
+)
 from reviewflow.llm.common import load, prepare
 from reviewflow.llm.oracle import ORACLE
 
@@ -110,3 +112,18 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Every vector with its number of links and its component."""
     return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+@register("op12_rotated_codes")
+def op12(spark, sf_dir):
+    """The 20 nearest rows of every row whose id is divisible by 20."""
+    return onebit.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20).select("query_id", "rank", "vec_id", "score")
+
+
+@register("op13_merkle_manifest")
+def op13(spark, sf_dir):
+    """Every document's leaf, subroot, root and proof, and what a leaf tampered with folds to."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.leaf_digest(n_chars=F.col("n_chars") + 1))
+    made = merkle.manifest(load(spark, sf_dir, "documents"), tampered=tampered)
+    checked = merkle.verify(merkle.proofs(made), "coalesce(tampered, leaf)")
+    return checked.selectExpr("doc_id", "leaf", "subroot", "root", "sha2(array_join(path.digest, ''), 256) AS proof_sha256", "folded_root", "verified")
