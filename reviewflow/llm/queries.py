@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.llm import (
-    bpe, embedding_dedup, exact_dedup, licenses, line_dedup, merkle, mixing, onebit, pii, secrets, simhash, toxicity,
+    bpe, embedding_dedup, exact_dedup, licenses, line_dedup, merkle, mixing, onebit, pii, secrets, simhash, toxicity, trie,
 )
 from reviewflow.llm.common import load, prepare
 from reviewflow.llm.oracle import ORACLE
@@ -114,6 +114,12 @@ def op10(spark, sf_dir):
     return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
 
 
+@register("op11_conversation_trie")
+def op11(spark, sf_dir):
+    """The prefix trie of the rebuilt conversations, one row per node."""
+    return trie.trie(trie.rebuilt(load(spark, sf_dir, "conversations"))).drop("turn_chars")
+
+
 @register("op12_rotated_codes")
 def op12(spark, sf_dir):
     """The 20 nearest rows of every row whose id is divisible by 20."""
