@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewflow.llm.common import stage
-from reviewflow.llm.order import runs_and_rows
+from reviewflow.llm.order import numbered, runs_and_rows
 
 WIDTH = 8           # turn columns of a block
 SPAN = 256          # blocks of a conversation whose keys one window makes
@@ -190,16 +190,15 @@ def trie(turns: DataFrame, width: int = WIDTH) -> DataFrame:
         F.col("saved_tokens").cast("long").alias("saved_tokens"), F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"), "turn_chars")
 
 
+def as_they_are(conversations: DataFrame) -> DataFrame:
+    """Turns of the conversations for ``trie``, nothing rebuilt."""
+    rows = conversations.where("conv_id IS NOT NULL").select(F.col("conv_id").cast("long"), "turn", turn_id(F.col("role"), F.col("text")).alias("id"))
+    return numbered(stage(rows, "trie-turns"), ["conv_id"], ["turn", "id"], "pos", "trie").selectExpr("conv_id", "pos", "id AS turn", "size AS total")
+
+
 def with_text(nodes: DataFrame, conversations: DataFrame) -> DataFrame:
     """``nodes`` of conversations taken as they are, with the role and text of each node's turn; the root has none."""
-    at = Window.partitionBy("conv_id").orderBy("turn", turn_id(F.col("role"), F.col("text")))
-    turns = conversations.where("conv_id IS NOT NULL").select("conv_id", "role", "text", F.row_number().over(at).cast("long").alias("depth"))
+    rows = conversations.where("conv_id IS NOT NULL").select(
+        F.col("conv_id").cast("long"), "turn", turn_id(F.col("role"), F.col("text")).alias("id"), "role", "text")
+    turns = numbered(rows, ["conv_id"], ["turn", "id"], "pos", "trie-texts").selectExpr("conv_id", "pos + 1 AS depth", "role", "text")
     return nodes.join(turns, ["conv_id", "depth"], "left")
-
-
-def as_they_are(conversations: DataFrame) -> DataFrame:
-    """Turns of the conversations for ``trie``, nothing rebuilt."""
-    rows = stage(conversations.where("conv_id IS NOT NULL").select(
-        F.col("conv_id").cast("long"), "turn", turn_id(F.col("role"), F.col("text")).alias("id")), "trie-turns")
-    runs, placed = runs_and_rows(rows, ["conv_id"], ["turn", "id"], "trie")
-    return placed.join(runs, ["conv_id", "run"]).selectExpr("conv_id", "before + at - first AS pos", "id AS turn", "size AS total")

@@ -1,0 +1,101 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reviewflow.llm import onebit as op
+from reviewflow.llm.common import prepare
+from reviewflow.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def brute(rows, k, every=20):
+    """Per query row: (query id, [(vec_id, score)]) with the k highest inner products, equal ones by id."""
+    sound = [(n, i, v) for n, (i, v) in enumerate(rows)
+             if v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
+    out = []
+    for n, i, v in sound:
+        if i is not None and i % every == 0:
+            found = [(j, float(np.einsum("ij,ij->i", np.array([v]), np.array([w]))[0])) for m, j, w in sound if m != n and len(w) == len(v)]
+            out.append((i, sorted(found, key=lambda x: (-x[1], x[0] is None, x[0]))[:k]))
+    return sorted(out, key=repr)
+
+
+def searched(spark, rows, k, extra=(), **how):
+    prepare(spark)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for c in extra:
+        df = df.withColumn(c, F.lit(1))
+    found = {}
+    for r in op.search(df, F.col("vec_id") % 20 == 0, k, **how).collect():
+        found.setdefault((r.query_row, r.query_id), []).append((r["rank"], r.vec_id, r.score))
+    return sorted(((q, [x[1:] for x in sorted(v, key=lambda x: x[0])]) for (_, q), v in found.items()), key=repr)
+
+
+def vectors(n, dim, seed=0):
+    rng = np.random.default_rng(seed)
+    return [(i, list(map(float, np.float32(v)))) for i, v in enumerate(rng.normal(size=(n, dim)) * rng.uniform(.2, 3, (n, 1)) + 1)]
+
+
+def test_the_estimate_lies_within_its_bound():
+    rng = np.random.default_rng(1)
+    for dim in (3, 64, 100, 200):
+        x, q = rng.normal(size=(400, dim)) + 2, rng.normal(size=(50, dim))
+        centre = x.mean(0)
+        codes, length, fit = op.encode(x, centre)
+        assert codes.shape == (400, -(-dim // 64)) and np.allclose(op.rotation(dim) @ op.rotation(dim).T, np.eye(dim))
+        guess, error = op.estimate(q, q @ centre, codes, length, fit, epsilon=3)
+        off = guess - q @ x.T
+        assert (np.abs(off) <= error).mean() > .98
+        assert abs(off.mean()) < .1 * np.abs(off).mean() + .05       # no side is favoured
+
+
+def test_recall_over_blocks_and_slices(spark):
+    rows = vectors(1500, 48)
+    got, want = searched(spark, rows, 10, slice_rows=200, block_rows=20, sample_rows=50), brute(rows, 10)
+    assert [q for q, _ in got] == [q for q, _ in want]
+    hits = sum(len({i for i, _ in a} & {i for i, _ in b}) for (_, a), (_, b) in zip(got, want))
+    assert hits >= .98 * 10 * len(want)
+    for q, found in got:
+        assert [s for _, s in found] == sorted((s for _, s in found), reverse=True)
+        assert all(s == float(np.einsum("ij,ij->i", np.array([rows[q][1]]), np.array([rows[i][1]]))[0]) for i, s in found)
+
+
+def test_an_endless_bound_gives_every_neighbour(spark):
+    rows = vectors(400, 16, 3)
+    assert searched(spark, rows, 5, epsilon=1e9, slice_rows=50, block_rows=7) == brute(rows, 5)
+
+
+def test_equal_vectors_and_ties(spark):
+    """A very common vector, and queries among its copies: the smallest other ids, whatever slice they lie in."""
+    common = [float(x) for x in np.eye(8)[0] * 2]
+    rows = [(i, common) for i in range(0, 300, 2)] + [(i, v) for i, v in vectors(300, 8, 4) if i % 2] + [(None, common)]
+    assert searched(spark, rows, 5, slice_rows=20, block_rows=10) == brute(rows, 5)
+
+
+def test_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, None), (20, []), (40, [0.0, 0.0]), (60, [1.0, None]), (80, [1.0, nan]), (100, [inf, 1.0]),
+            (120, [1.0, 2.0]), (120, [1.0, 2.0]), (1, [3.0, -1.0]), (None, [1.0, 2.0]), (2, [0.5, 0.5]),
+            (140, [4.0]), (3, [-2.0]), (160, [1.0, 0.0, 0.0])]
+    assert searched(spark, rows, 3, extra=("row_id", "dim", "vector", "code", "asks")) == [x for x in brute(rows, 3) if x[1]]
+    assert searched(spark, [], 3) == [] and searched(spark, [(1, [1.0])], 3) == []
+    assert searched(spark, [(20, [1.0, 1.0])], 3) == []
+
+
+@pytest.mark.parametrize("d", ["sf0.01", "sf0.1"])
+def test_query(spark, d):
+    """Recall of the whole query against brute force; scores are those of the original vectors."""
+    sf = f"/root/testdata/{d}"
+    got = QUERIES["op12_rotated_codes"](spark, sf).toPandas()
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    x, ids = np.array(table["embedding"].tolist(), np.float64), table["vec_id"].to_numpy()
+    hits, queries = 0, ids[ids % 20 == 0]
+    assert set(got["query_id"]) == set(queries) and (got.groupby("query_id")["rank"].max() == 20).all()
+    for q, rows in got.groupby("query_id"):
+        score = x @ x[ids == q][0]
+        score[ids == q] = -np.inf
+        hits += len(set(ids[np.lexsort((ids, -score))[:20]]) & set(rows["vec_id"]))
+        at = {i: n for n, i in enumerate(ids)}
+        assert np.allclose(rows["score"], [score[at[i]] for i in rows["vec_id"]], rtol=1e-12, atol=1e-12)
+    assert hits >= .97 * 20 * len(queries)

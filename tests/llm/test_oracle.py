@@ -23,4 +23,5 @@ def test_query_matches_oracle(spark, name):
 def test_one_query_for_each_operator():
     assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_line_dedup", "op2_secret_scan", "op3_source_mixing", "op4_exact_dedup", "op5_toxicity", "op6_license_scan",
-        "op7_byte_bpe", "op8_pii", "op9_simhash", "op10_embedding_dedup"]
+        "op7_byte_bpe", "op8_pii", "op9_simhash", "op10_embedding_dedup", "op11_conversation_trie", "op12_rotated_codes",
+        "op13_merkle_manifest"]
