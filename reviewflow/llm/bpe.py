@@ -16,7 +16,6 @@ of any length take memory in proportion to their bytes.
 from __future__ import annotations
 
 import base64
-from array import array
 from itertools import chain
 
 import ahocorasick
@@ -33,6 +32,8 @@ PIECES_KEPT = 300_000       # encodings of short pieces, and of short stretches
 PAIRS_KEPT = 1_000_000
 NEVER = 1 << 60
 SHORT = 64                  # characters or bytes
+BRIEF = 24                  # bytes of a piece up to which the prefix program runs for many pieces at once
+STORED = 4 << 20            # token ids that the store of stretches holds, at most, before it starts anew
 LONG_TEXT = 1 << 20         # beyond it pieces are walked one by one, not listed
 
 
@@ -142,6 +143,122 @@ class Vocabulary:
                 j += 1
 
 
+class OpenTable:
+    """Whole numbers by rows of 64-bit words, looked up for whole arrays: a hash table with open places."""
+
+    FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+    def __init__(self, width: int, room: int):
+        self.slots = 1 << (2 * room).bit_length()
+        self.keys, self.values, self.held = np.zeros((self.slots, width), np.uint64), np.full(self.slots, -1, np.int32), 0
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys[:, 0] * self.FACTORS[0]
+        for k in range(1, keys.shape[1]):
+            mixed ^= keys[:, k] * self.FACTORS[k]
+        mixed = (mixed ^ mixed >> np.uint64(29)) * self.FACTORS[-1]
+        return ((mixed ^ mixed >> np.uint64(32)) & np.uint64(self.slots - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Values of the keys, -1 where there is none."""
+        at, out, open_ = self.places(keys), np.full(len(keys), -1, np.int32), np.arange(len(keys))
+        while len(open_):
+            value = self.values[at]
+            same, held = value >= 0, self.keys[at]
+            for k in range(keys.shape[1]):
+                same &= held[:, k] == keys[:, k]
+            out[open_[same]] = value[same]
+            on = ~same & (value >= 0)
+            open_, keys, at = open_[on], keys[on], (at[on] + 1) & self.slots - 1
+        return out
+
+    def add(self, keys: np.ndarray, values) -> None:
+        """Add keys that the table lacks."""
+        if self.held + len(keys) > self.slots // 2:
+            self.values[:], self.held = -1, 0
+        for key, value, at in zip(keys, values, self.places(keys).tolist()):
+            while self.values[at] >= 0:
+                at = at + 1 & self.slots - 1
+            self.keys[at], self.values[at] = key, value
+        self.held += len(keys)
+
+
+class Together:
+    """The prefix program for many brief pieces at once, byte by byte: at each byte the parts that end there are looked
+    up for all pieces, the longest first, until one may follow the last token of the prefix before it."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        brief = {t: i for t, i in vocabulary.ranks.items() if len(t) <= BRIEF}
+        self.longest = max(map(len, brief), default=1)
+        self.tokens, self.pairs = OpenTable(4, len(brief)), OpenTable(1, PAIRS_KEPT)
+        ends = np.frombuffer(b"".join(t.rjust(BRIEF, b"\0") for t in brief), np.uint64).reshape(len(brief), -1)
+        self.tokens.add(np.column_stack([ends, np.array([len(t) for t in brief], np.uint64)]), brief.values())
+        # the sizes (as bits) of the tokens of three and more bytes that end like this, by a hash of the last bytes
+        self.sizes = {n: np.zeros(1 << 20, np.uint32) for n in (3, 4, 6)}
+        for n, table in self.sizes.items():
+            fit = np.array([len(t) for t in brief], np.uint32)
+            np.bitwise_or.at(table, self.ending(ends[fit >= n, -1], n), np.uint32(1) << fit[fit >= n])
+        kept = np.arange(BRIEF) >= BRIEF - np.arange(BRIEF + 1)[:, None]        # the last n bytes of a window
+        self.masks = (kept * np.uint8(255)).view(np.uint64)
+
+    @staticmethod
+    def ending(words: np.ndarray, n: int) -> np.ndarray:
+        """Hash of the last n bytes of each word."""
+        return ((words >> np.uint64(64 - 8 * n)) * OpenTable.FACTORS[0] >> np.uint64(44)).astype(np.int64)
+
+    def possible(self, words: np.ndarray) -> np.ndarray:
+        """Which sizes, as bits, a token can have that ends the windows with these last words; one and two always."""
+        three, four, six = (self.sizes[n][self.ending(words, n)] for n in (3, 4, 6))
+        return np.uint32(0b110) | three & np.uint32(0b1000) | four & np.uint32(0b110000) | six & np.uint32(0xFFFFFFC0)
+
+    def allowed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """May ``right`` follow ``left`` (-1: nothing is before it)?"""
+        keys = (left.astype(np.uint64) + np.uint64(1) << np.uint64(32) | right.astype(np.uint64))[:, None]
+        known = self.pairs.find(keys)
+        if (known < 0).any():
+            new = np.unique(keys[known < 0])
+            pairs = [(int(k >> np.uint64(32)) - 1, int(k & np.uint64(0xFFFFFFFF))) for k in new]
+            ok = [self.vocabulary.whole(b) if a < 0 else self.vocabulary.follows(a, b) for a, b in pairs]
+            known[known < 0] = np.array(ok, np.int32)[np.searchsorted(new, keys[known < 0, 0])]
+            self.pairs.add(new[:PAIRS_KEPT, None], ok[:PAIRS_KEPT])
+        return known == 1
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths): the encodings one behind the other, and how many ids each has."""
+        n, sizes = len(pieces), np.array([len(p) for p in pieces])
+        data = np.frombuffer(b"".join(p.ljust(BRIEF, b"\0") for p in pieces), np.uint8).reshape(n, BRIEF)
+        data = np.concatenate([np.zeros((n, BRIEF), np.uint8), data], axis=1)
+        longest = int(sizes.max(initial=0))
+        last, start = np.full((n, longest + 1), -1, np.int32), np.zeros((n, longest + 1), np.int8)
+        for end in range(1, longest + 1):
+            rows = np.flatnonzero(sizes >= end)
+            window = np.ascontiguousarray(data[rows, end:end + BRIEF]).view(np.uint64)
+            sizes_here, open_ = self.possible(window[:, -1]), np.ones(len(rows), bool)
+            for size in range(min(end, self.longest), 0, -1):
+                some = np.flatnonzero(open_ & (sizes_here >> np.uint32(size) & np.uint32(1)).astype(bool))
+                token = self.tokens.find(np.column_stack([window[some] & self.masks[size], np.full(len(some), size, np.uint64)]))
+                some, token = some[token >= 0], token[token >= 0]
+                fits = self.allowed(last[rows[some], end - size], token)
+                some, token = some[fits], token[fits]
+                last[rows[some], end], start[rows[some], end], open_[some] = token, end - size, False
+            if open_.any():
+                raise ValueError("a byte has no token: the vocabulary lacks single bytes")
+        # from the last entry back to the first
+        back, at, all_rows = [], sizes.copy(), np.arange(n)
+        while (at > 0).any():
+            back.append(np.where(at > 0, last[all_rows, at], -1))
+            at = np.where(at > 0, start[all_rows, at], 0)
+        table = np.array(back[::-1], np.int32).reshape(len(back), n).T
+        return table[table >= 0], (table >= 0).sum(1)
+
+
+def strung(index: np.ndarray, start: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The stretches ids[start:start + length] of every index, one behind the other."""
+    n = length[index]
+    return ids[np.repeat(start[index] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
 class Prefixes:
     """The last token of every prefix of one piece; the empty prefix has none (-1)."""
 
@@ -211,7 +328,8 @@ class Tokenizer:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cut: bool = True):
         self.vocabulary, self.pattern, self.cut = Vocabulary(ranks), regex.compile(pattern), cut
-        self.pieces, self.stretches = Memo(self._piece), Memo(self._stretch)
+        self.pieces, self.stretches, self.together = Memo(self._piece), Memo(self._stretch), Together(self.vocabulary)
+        self._forget()
 
     def _stretch(self, stretch: str) -> tuple[int, ...]:
         if not stretch or stretch[-1].isspace():
@@ -242,6 +360,74 @@ class Tokenizer:
             return list(self._matches(text))
         return [*self._matches(first), *between, *self._matches(" " + end)]
 
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the encodings of many texts one behind the other, and where each begins and the last one ends.
+
+        Different stretches between spaces are encoded once, all new ones of the batch together, and kept by number;
+        a text is then a list of numbers, from which the ids are gathered."""
+        if not self.cut:
+            return self._listed([list(self._matches(x)) for x in texts])
+        if len(self.numbers) > PIECES_KEPT or len(self.ids) > STORED:
+            self._forget()
+        cuts = [x.split(" ") if " " in x else None for x in texts]
+        seen = set()
+        for c in filter(None, cuts):
+            seen.update(c[1:-1])
+        self._learn([w for w in seen if w not in self.numbers])
+        number, own, base, parts, sizes = self.numbers.__getitem__, [], len(self.start), [], []
+        for x, c in zip(texts, cuts):
+            middle = None
+            if c and not c[0][-1:].isspace():
+                middle = np.fromiter(map(number, c[1:-1]), np.int64, len(c) - 2)
+            if middle is None or (middle < 0).any():
+                own.append(self._matches(x))
+                parts.append(np.array([base + len(own) - 1]))
+            else:
+                own += [self._matches(c[0]), self._matches(" " + c[-1])]
+                parts.append(np.concatenate([[base + len(own) - 2], middle, [base + len(own) - 1]]))
+        extra, ends = self._listed(own)
+        start, length = np.concatenate([self.start, ends[:-1] + len(self.ids)]), np.concatenate([self.length, np.diff(ends)])
+        index = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        sizes = np.array([len(p) for p in parts], np.int64)
+        words = np.concatenate([[0], np.cumsum(length[index])])
+        return (strung(index, start, length, np.concatenate([self.ids, extra])),
+                words[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)])
+
+    def _forget(self) -> None:
+        self.numbers, self.start, self.length, self.ids = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    @staticmethod
+    def _listed(encodings) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum([0, *map(len, encodings)]).astype(np.int64)
+        return np.fromiter(chain.from_iterable(encodings), np.int32, int(ends[-1])), ends
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Number new stretches and store their ids; -1 for one that is empty or ends with white space."""
+        fit = [w for w in stretches if w and not w[-1].isspace()]
+        if len(fit) < len(stretches):
+            self.numbers.update((w, -1) for w in stretches if not w or w[-1].isspace())
+        if not fit:
+            return
+        pieces = self.pattern.findall(" " + " ".join(fit))
+        order = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
+        data = [p.encode("utf-8") for p in order]
+        brief = [k for k, d in enumerate(data) if len(d) <= BRIEF and d not in self.vocabulary.ranks]
+        ids, length = self.together.encode([data[k] for k in brief])
+        rest = set(range(len(data))).difference(brief)
+        others, ends = self._listed([self._piece(p) for k, p in enumerate(order) if k in rest])
+        size, begin = np.zeros(len(data), np.int64), np.zeros(len(data), np.int64)
+        rest = sorted(rest)
+        size[brief], begin[brief] = length, np.cumsum(length) - length
+        size[rest], begin[rest] = np.diff(ends), ends[:-1] + len(ids)
+        index = np.fromiter(map(order.__getitem__, pieces), np.int64, len(pieces))
+        # a stretch holds no space, so its first piece is the one that starts with the space before it
+        first = np.flatnonzero(np.fromiter((p[0] == " " for p in pieces), bool, len(pieces)))
+        length = np.add.reduceat(size[index], first)
+        self.numbers.update(zip(fit, range(len(self.start), len(self.start) + len(fit))))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.ids = np.concatenate([self.ids, strung(index, begin, size, np.concatenate([ids, others]))])
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
@@ -311,11 +497,8 @@ class Coder:
 
         @F.arrow_udf("array<int>")
         def encoded(texts: pa.Array) -> pa.Array:
-            t, ids, ends = _tokenizer(key, data), array("i"), [0]
-            for x in texts.to_pylist():
-                ids.extend(t.encode(x or ""))
-                ends.append(len(ids))
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
+            ids, ends = _tokenizer(key, data).encode_all([x or "" for x in texts.to_pylist()])
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
         return docs.withColumn(into, encoded(whole_text(text_col)))
 
