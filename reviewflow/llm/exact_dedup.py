@@ -3,8 +3,14 @@
 The index is a Spark table bucketed and sorted by the SHA-256 digest of the
 normalised text, one row for each text ever kept.  An arriving batch is
 reduced to one row per digest, anti-joined with the index by sort-merge on
-the bucketed digest (the index side is neither shuffled nor sorted), and
-what is new is appended.
+the bucketed digest, and what is new is appended.  The index side is not
+shuffled; Spark sorts each of its buckets for the merge, as a bucket has one
+sorted file for every batch appended.
+
+Every indexed row carries the name of the batch that appended it.  A batch
+that is run again under its name, because its job ended after the append,
+takes its own rows as new again: it gives the same rows as before and appends
+what is missing.
 
 Cases: a null text counts as empty; among equal texts of one batch the row
 with the largest doc_id stays (a null doc_id is the smallest; of rows that
@@ -35,23 +41,32 @@ class DigestIndex:
         self.name = name or f"digest_index_{uuid.uuid4().hex[:12]}"
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
-        spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet
+        spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet
                       CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS LOCATION '{path}'""")
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def new_of(self, firsts: DataFrame) -> DataFrame:
-        """Rows of ``firsts`` (digest, ...) whose digest is not in the index."""
-        return firsts.hint(MERGE).join(self.table(), "digest", "left_anti")
+    def new_of(self, firsts: DataFrame, batch: str | None = None) -> DataFrame:
+        """Rows of ``firsts`` (digest, ...) whose digest is not in the index, or there from ``batch`` itself."""
+        held = self.table() if batch is None else self.table().where(F.col("batch") != batch)
+        return firsts.hint(MERGE).join(held, "digest", "left_anti")
+
+    def holds(self, batch: str) -> bool:
+        """Did ``batch`` append before?"""
+        return not self.table().where(F.col("batch") == batch).isEmpty()
+
+    def forget(self) -> None:
+        """Take the table out of the catalog; its files stay at ``path``."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
-    def append(self, rows: DataFrame) -> None:
-        """Append (digest, keep_id); the digests must be new.
+    def append(self, rows: DataFrame, batch: str) -> None:
+        """Append (digest, keep_id) under the batch's name; the digests must be new.
 
         One write task, and so one sorted file, per bucket; the write is
         committed as a whole, so a batch that fails half-way can run again.
         """
-        (rows.select("digest", "keep_id").repartition(self.buckets, "digest")
+        (rows.select("digest", "keep_id", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
          .write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
          .option("path", self.path).saveAsTable(self.name))
         self.spark.catalog.refreshTable(self.name)
@@ -64,29 +79,33 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                  "digests")
 
 
-def add_batch(rows: DataFrame, index: DigestIndex) -> DataFrame:
-    """Add staged ``digests`` to the index; the digests it appended: (digest, keep_id, keep_row)."""
+def add_batch(rows: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
+    """Add staged ``digests`` to the index; the digests that ``batch`` brought to it: (digest, keep_id, keep_row)."""
     # count and maximum are combined before the shuffle, so a text that a third of all rows share is one row per task
     firsts = (rows.groupBy("digest").agg(F.max(F.struct("doc_id", (-F.col("row_id")).alias("r"))).alias("top"))
               .select("digest", F.col("top.doc_id").alias("keep_id"), (-F.col("top.r")).alias("keep_row")))
-    new = stage(index.new_of(firsts), "new-digests")
-    index.append(new)
+    again = index.holds(batch)
+    new = stage(index.new_of(firsts, batch if again else None), "new-digests")
+    index.append(stage(index.new_of(new), "missing-digests") if again else new, batch)
     return new
 
 
-def dedup(batches: list[DataFrame], index: DigestIndex) -> DataFrame:
+def dedup(batches: list[DataFrame], index: DigestIndex, names: list[str] | None = None) -> DataFrame:
     """Run staged batches through the index in order; one row for each input row:
-    doc_id, keep_id, group_size (over these batches), kept, text_sha256."""
+    doc_id, keep_id, group_size (over these batches), kept, text_sha256.
+
+    ``names`` make a batch safe to run again; without one, a batch is always a new one.
+    """
     appended = None
     tagged = None
     for k, rows in enumerate(batches):
-        new = add_batch(rows, index).withColumn("batch", F.lit(k))
+        new = add_batch(rows, index, names[k] if names else uuid.uuid4().hex).withColumn("batch", F.lit(k))
         part = rows.withColumn("batch", F.lit(k))
         appended = new if appended is None else appended.union(new)
         tagged = part if tagged is None else tagged.union(part)
     sizes = tagged.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     # a text that was in the index before these batches has no row in appended: its keep_id comes from the index
-    groups = stage(sizes.join(index.table(), "digest").join(
+    groups = stage(sizes.join(index.table().drop("batch"), "digest").join(
         appended.select("digest", "keep_row", F.col("batch").alias("keep_batch")), "digest", "left"), "digest-groups")
     return tagged.join(groups, "digest").select(
         "doc_id", "keep_id", "group_size",
@@ -106,4 +125,6 @@ def dedup_documents(docs: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFram
     index = DigestIndex(spark, scratch_path(spark, "digest-index"), buckets)
     upper = F.coalesce(F.col("doc_id") > middle, F.lit(False))
     rows = digests(docs)
-    return dedup([rows.where(upper), rows.where(~upper)], index)
+    found = dedup([rows.where(upper), rows.where(~upper)], index, ["upper", "lower"])
+    index.forget()                  # the result reads staged tables only
+    return found

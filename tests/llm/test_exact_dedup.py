@@ -55,7 +55,29 @@ def test_index_outlives_its_registration_and_takes_batches(spark, docs):
 
 def test_anti_join_is_sort_merge_without_shuffle_of_the_index(spark, docs):
     index = op.DigestIndex(spark, scratch_path(spark, "index"), 3)
-    op.add_batch(op.digests(docs([(1, "a"), (2, "b")])), index)
+    op.add_batch(op.digests(docs([(1, "a"), (2, "b")])), index, "first")
     new = op.digests(docs([(3, "c")])).select("digest").repartition(3, "digest")
     plan = index.new_of(new)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Bucketed: true" in plan
+
+
+def test_a_batch_whose_job_ended_after_its_append_gives_the_same_rows(spark, docs):
+    index = op.DigestIndex(spark, scratch_path(spark, "index"), 3)
+    op.dedup([op.digests(docs([(1, "a"), (2, "old")]))], index, ["monday"]).collect()
+    rows = [(5, "a"), (6, "b"), (7, "B"), (8, "c"), (None, "d")]
+    op.add_batch(op.digests(docs(rows)), index, "tuesday")                  # the append is committed, its result never read
+    size = index.table().count()
+    again = op.dedup([op.digests(docs(rows))], index, ["tuesday"])
+    assert {r.doc_id: r.kept for r in again.collect()} == {5: False, 6: False, 7: True, 8: True, None: True}
+    assert index.table().count() == size
+    # run again with one row more: what is missing is appended
+    more = op.dedup([op.digests(docs([*rows, (9, "e")]))], index, ["tuesday"])
+    assert {r.doc_id for r in more.collect() if r.kept} == {7, 8, 9, None} and index.table().count() == size + 1
+    # the same texts as another batch are there already
+    assert not any(r.kept for r in op.dedup([op.digests(docs(rows))], index, ["wednesday"]).collect())
+
+
+def test_no_index_stays_in_the_catalog(spark, docs):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert op.dedup_documents(docs([(1, "a")]), 2).count() == 1
+    assert {t.name for t in spark.catalog.listTables()} == before
