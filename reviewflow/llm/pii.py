@@ -203,6 +203,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def token_before(text: str, at: int) -> str:
+    """The whole token to the left of ``at``, whatever white space lies between; '' where there is none."""
+    end = at
+    while end and text[end - 1].isspace():
+        end -= 1
+    start = end
+    while start and not text[start - 1].isspace():
+        start -= 1
+    return text[start:end]
+
+
 def stretches(text: str) -> list[tuple[str, list[tuple[int, int]]]]:
     """Runs of trigger tokens with nothing but white space between: (bound token before, places)."""
     out: list[tuple[str, list[tuple[int, int]]]] = []
@@ -211,8 +222,7 @@ def stretches(text: str) -> list[tuple[str, list[tuple[int, int]]]]:
         if out and text[last:m.start()].isspace():
             out[-1][1].append(m.span())
         else:
-            left = text[max(0, m.start() - 40):m.start()].split()      # the cue uses twelve letters of it
-            out.append((left[-1] if left else "", [m.span()]))
+            out.append((token_before(text, m.start()), [m.span()]))
         last = m.end()
     return out
 

@@ -114,3 +114,12 @@ def test_nulls_repeats_and_empty_table(docs):
     df = docs([(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "a@b.c")], extra=("spans", "s"))
     assert sorted((r.doc_id or 0, len(r.spans)) for r in op.scan(df, CRF).collect()) == [(0, 1), (1, 0), (2, 0), (3, 1), (3, 1)]
     assert op.scan(df.where("false"), CRF).collect() == []
+
+
+def test_the_token_to_the_left_is_the_real_one():
+    """However far it stands, and however long it is."""
+    assert op.token_before("phone   ", 8) == "phone" and op.token_before("  ", 2) == "" and op.token_before("", 0) == ""
+    assert op.token_before("a " + "x" * 200 + " \n\t", 205) == "x" * 200
+    crf = op.Crf()
+    near = [k for _, k, _ in op.scan_batch(["phone 555-0142"], crf)[0]]
+    assert near and near == [k for _, k, _ in op.scan_batch(["phone" + " " * 45 + "555-0142"], crf)[0]]
