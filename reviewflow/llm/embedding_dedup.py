@@ -114,8 +114,9 @@ def fit(sample: np.ndarray, labels: np.ndarray, cosine: float = COSINE, words: i
     probe = x[rng.permutation(len(x))[:500]]
     turn = rng.normal(size=probe.shape)
     turn -= (turn * probe).sum(1, keepdims=True) * probe
-    made = cosine * probe + np.sqrt(1 - cosine * cosine) * unit(turn)
-    pairs = [(probe, made)]
+    pairs = []
+    if x.shape[1] > 1:                      # one component has no other direction
+        pairs.append((probe, cosine * probe + np.sqrt(1 - cosine * cosine) * unit(turn)))
     near = []
     for value in np.unique(labels):
         rows = np.flatnonzero(labels == value)
@@ -217,7 +218,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, words: int = WOR
                     id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept (vec_id = component_id)."""
     v = F.col(vector_col).cast("array<double>")
-    sound = F.coalesce((F.size(v) > 1) & F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    sound = F.coalesce((F.size(v) > 0) & F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
                        & F.exists(v, lambda x: x != 0) & F.col(label_col).isNotNull(), F.lit(False))
     rows = stage(vectors.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("vec_id"),
                                 F.struct(F.col(label_col).alias("label"), F.size(v).alias("dim")).alias("label"), F.col(vector_col).alias("vector"),

@@ -11,7 +11,7 @@ def brute(rows, cosine=op.COSINE):
     """n_links and component of each row."""
     def sound(r):
         v = r[1]
-        return v is not None and r[2] is not None and len(v) > 1 and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        return v is not None and r[2] is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v)
     n = len(rows)
     links, root = [set() for _ in rows], list(range(n))
     good = [i for i in range(n) if sound(rows[i])]
@@ -108,3 +108,10 @@ def test_nothing_to_index(spark):
     df = spark.createDataFrame([(1, None, 1), (None, [1.0, 2.0], None)], SCHEMA)
     assert sorted((tuple(r) for r in op.near_duplicates(df).collect()), key=repr) == [(1, 0, 1, True), (None, 0, None, False)]
     assert op.near_duplicates(df.where("false")).collect() == []
+
+
+def test_vectors_of_one_component_link_by_their_sign(spark):
+    prepare(spark)
+    rows = [(i, [float(v)], i % 2) for i, v in enumerate([2, 3, 5, -1, -4, 0, 1e-300, 7])] + [(50, [1.0, 0.0], 0), (51, [], 0)]
+    got = op.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows))
