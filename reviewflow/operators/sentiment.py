@@ -21,17 +21,20 @@ whole batch per call.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewflow import constants as K
 from reviewflow.functions import exprs as X
+from reviewflow.session import scratch_path
 
 TOKEN_SPLIT = "[^a-z-]+"           # hyphen is a word character (top-notch, run-of-the-mill)
 
@@ -285,8 +288,6 @@ def train_scorer(train: DataFrame, text: str, label: str, num_features: int = 1
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
-    from reviewflow.session import scratch_path
-
     tok = RegexTokenizer(inputCol=text, outputCol="__tok", pattern=TOKEN_SPLIT, toLowercase=True)
     htf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
     # term frequencies are read by the IDF pass and by every optimizer
@@ -324,35 +325,53 @@ def apply_trained(model, df: DataFrame, id2label: dict, label_col: str = "sentim
 MICRO = 1_000_000       # weights are whole millionths of a natural log, so sums are exact in any order
 
 
-def train_counts(train: DataFrame, text: str, label: str, vocabulary: int = 2000) -> DataFrame:
-    """U4: multinomial naive Bayes as one aggregate: (token, weight), the prior under the empty token.
+@dataclass
+class CountsModel:
+    """Naive Bayes by counts: a staged table (token, weight) of any size, and the weight every text has."""
+
+    weights: DataFrame
+    prior: int
+
+
+def token_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, token, times): the tokens of each text, counted before they are shuffled by token."""
+    return (df.select(*keys, F.explode(tokens(text)).alias("token")).filter("token <> ''")
+            .groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("times")))
+
+
+def train_counts(train: DataFrame, text: str, label: str) -> CountsModel:
+    """U4: multinomial naive Bayes by aggregates over every token of the labelled rows.
 
-    ``label`` is 0/1 (NULL rows are left out).  The model is the
-    ``vocabulary`` most frequent tokens of the labelled rows (ties by token)
-    with add-one smoothing; a weight is the log odds of class 1 in millionths.
+    ``label`` is 0/1 (NULL rows are left out), with add-one smoothing over the
+    whole vocabulary; a weight is the log odds of class 1 in millionths.  The
+    counts are staged as a table and never come to the driver; only their
+    three sums and the two class sizes do.
     """
+    spark = train.sparkSession
     known = train.filter(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), text)
     hits = known.select("y", F.explode(tokens(text)).alias("token")).filter("token <> ''")
     counts = hits.groupBy("token").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
-    top = counts.orderBy((F.col("p") + F.col("n")).desc(), "token").limit(vocabulary)
-    whole = Window.partitionBy(F.lit(0))            # over the vocabulary only, a bounded number of rows
+    path = scratch_path(spark, "token-counts")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    total = counts.agg(F.sum("p").alias("p"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("size")).first()
+    rows = known.agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).first()
 
     def share(c):
-        return F.log((F.col(c) + 1) / (F.sum(c).over(whole) + vocabulary).cast("double"))
-    weights = top.select("token", F.round((share("p") - share("n")) * MICRO).cast("long").alias("weight"))
-    prior = known.agg(F.round((F.log(F.sum("y") + 1) - F.log(F.sum(1 - F.col("y")) + 1)) * MICRO).cast("long").alias("weight"))
-    return weights.union(prior.select(F.lit("").alias("token"), F.coalesce("weight", F.lit(0))))
+        return F.log((F.col(c) + 1) / F.lit(float((total[c] or 0) + total["size"])))
+    weights = counts.select("token", F.round((share("p") - share("n")) * MICRO).cast("long").alias("weight"))
+    prior = round((math.log((rows["p"] or 0) + 1) - math.log((rows["n"] or 0) + 1)) * MICRO)
+    return CountsModel(weights, prior)
 
 
-def apply_counts(model: DataFrame, df: DataFrame, key: str, text: str, id2label: dict, label_col: str = "sentiment") -> DataFrame:
-    """Score with ``train_counts``: key, log_odds (millionths), label name.
+def apply_counts(model: CountsModel, df: DataFrame, key: str, text: str, id2label: dict, label_col: str = "sentiment") -> DataFrame:
+    """Score with ``train_counts``: key, log_odds (millionths), label name; tokens the model lacks weigh nothing.
 
-    Every text has the empty token once, which brings the prior.  The model's
-    size is bounded by its limit, which the planner knows, so it broadcasts
-    it: tokens are weighed where they are read and one partial sum per text
-    is shuffled.
+    Each text sends one row per different token to the join; a token that a
+    large part of all texts have is split by AQE, as both sides may be large.
+    Every key has the prior, so texts without tokens are kept.
     """
-    own = F.concat(F.array(F.lit("")), F.array_remove(F.coalesce(tokens(text), F.array().cast("array<string>")), ""))
-    weighed = df.select(key, F.explode(own).alias("token")).join(model, "token")
-    out = weighed.groupBy(key).agg(F.sum("weight").alias("log_odds"))
+    weighed = token_counts(df, [key], text).join(model.weights, "token").select(key, (F.col("weight") * F.col("times")).alias("weight"))
+    every = df.select(key, F.lit(model.prior).cast("long").alias("weight"))
+    out = weighed.union(every).groupBy(key).agg(F.sum("weight").alias("log_odds"))
     return out.withColumn(label_col, F.when(F.col("log_odds") > 0, F.lit(id2label[1])).otherwise(F.lit(id2label[0])))

@@ -559,8 +559,8 @@ _WEIGHTS_SQL = """
 WITH t AS (SELECT d.doc_id, l.quality AS y, unnest(regexp_split_to_array(lower(d.text), '[^a-z-]+')) AS w
            FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL),
 c AS (SELECT w, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM t WHERE w <> '' GROUP BY w),
-v AS (SELECT * FROM c ORDER BY p + n DESC, w LIMIT 2000),
-s AS (SELECT sum(p) + 2000 AS sp, sum(n) + 2000 AS sn FROM v),
+v AS (SELECT * FROM c WHERE w <> ''),
+s AS (SELECT sum(p) + count(*) AS sp, sum(n) + count(*) AS sn FROM v),
 weights AS (SELECT w, CAST(round(1000000 * (ln((p + 1) / sp::DOUBLE) - ln((n + 1) / sn::DOUBLE))) AS BIGINT) AS weight FROM v, s),
 prior AS (SELECT CAST(round(1000000 * (ln(count(*) FILTER (quality = 1) + 1) - ln(count(*) FILTER (quality = 0) + 1))) AS BIGINT) AS b
           FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL)
@@ -578,7 +578,7 @@ def q_train_scorer(spark, sf_dir):
     """U4: naive Bayes trained by aggregates on the labelled documents, applied to all."""
     docs = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
     labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
-    model = SE.train_counts(docs.join(labels, "doc_id"), "text", "y", vocabulary=2000)
+    model = SE.train_counts(docs.join(labels, "doc_id"), "text", "y")
     return SE.apply_counts(model, docs, "doc_id", "text", {0: "Negative", 1: "Positive"})
 
 

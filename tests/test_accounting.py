@@ -168,16 +168,56 @@ def test_details_are_cut_before_the_shuffle_and_ties_are_settled(spark):
     assert len(got) == 1 and {len(x) for x in got} == {5}
 
 
-def test_counts_model_against_plain_python(spark):
+def _plain_naive_bayes(rows):
+    """Log odds per row from every token of the labelled rows, by loops."""
     import math
-    rows = [(1, "good good bad", 1), (2, "bad awful", 0), (3, "good", 1), (4, "", 0), (5, None, None)]
+    import re
+    words = [re.split("[^a-z-]+", (t or "").lower()) for _, t, _ in rows]
+    count = {1: {}, 0: {}}
+    for w, (_, _, y) in zip(words, rows):
+        for x in w:
+            if x and y is not None:
+                count[y][x] = count[y].get(x, 0) + 1
+    every = set(count[0]) | set(count[1])
+    total = {y: sum(count[y].values()) + len(every) for y in (0, 1)}
+
+    def share(x, y):
+        return math.log((count[y].get(x, 0) + 1) / total[y])
+    weight = {x: round((share(x, 1) - share(x, 0)) * 1e6) for x in every}
+    sizes = {y: sum(1 for r in rows if r[2] == y) for y in (0, 1)}
+    prior = round((math.log(sizes[1] + 1) - math.log(sizes[0] + 1)) * 1e6)
+    return {r[0]: prior + sum(weight.get(x, 0) for x in w if x) for w, r in zip(words, rows)}
+
+
+def test_counts_model_against_plain_python(spark):
+    rows = [(1, "good good bad", 1), (2, "bad awful", 0), (3, "good", 1), (4, "", 0), (5, None, None), (6, "Unseen words, bad", None), (7, None, 1)]
+    df = spark.createDataFrame(rows, "id long, text string, y int")
+    got = {r.id: r.log_odds for r in SE.apply_counts(SE.train_counts(df, "text", "y"), df, "id", "text", {0: "N", 1: "P"}).collect()}
+    assert got == _plain_naive_bayes(rows)
+    none = df.where("false")
+    assert SE.apply_counts(SE.train_counts(none, "text", "y"), none, "id", "text", {0: "N", 1: "P"}).collect() == []
+
+
+def test_counts_model_weighs_every_token(spark):
+    """A token that occurs once among tens of thousands of frequent ones decides, however large the vocabulary."""
+    rows = [(i, " ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}{'x' * (j // 26)}" for j in range(300)) + (" rare" if i == 7 else ""), i % 2) for i in range(200)]
+    rows += [(900, "rare", None), (901, "neverseen", None)]
     df = spark.createDataFrame(rows, "id long, text string, y int")
-    got = {r.id: r.log_odds for r in SE.apply_counts(SE.train_counts(df, "text", "y", 2), df, "id", "text", {0: "N", 1: "P"}).collect()}
-    # vocabulary: good (3 of class 1), bad (1 each)
-    weight = {"good": (math.log(4 / 6) - math.log(1 / 3)), "bad": (math.log(2 / 6) - math.log(2 / 3))}
-    for i, t, _ in rows:
-        want = sum(round(weight.get(w, 0) * 1e6) for w in (t or "").split())
-        assert got[i] == want, (i, got[i], want)
+    model = SE.train_counts(df, "text", "y")
+    got = {r.id: r.log_odds for r in SE.apply_counts(model, df, "id", "text", {0: "N", 1: "P"}).collect()}
+    assert got == _plain_naive_bayes(rows) and got[900] > got[901] == model.prior
+    assert model.weights.count() > 7000
+
+
+def test_counts_model_does_not_depend_on_a_broadcast(spark):
+    """Both sides of the join may be large: with broadcasts off it is a sort-merge join, and the plan has no limit."""
+    df = spark.createDataFrame([(1, "a b", 1), (2, "b c", 0)], "id long, text string, y int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = SE.apply_counts(SE.train_counts(df, "text", "y"), df, "id", "text", {0: "N", 1: "P"})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Limit" not in plan and "Broadcast" not in plan
 
 
 def test_streams_go_on_after_a_restart(spark, tmp_path):
