@@ -146,6 +146,63 @@ def load_reviews(spark: SparkSession, path, load_ts=None, table: str = S.HOSPITA
     return {"files": landed_file_count(docs), **out}
 
 
+# ------------------------------------------------------- loads by ledger
+
+def _load_new(spark: SparkSession, path, ledger, target: str, schema, frame_of, load_ts, multi_line: bool, rejects_path: str | None) -> dict:
+    """Load the landed files that no finished load took, each load exactly once.
+
+    A load that was begun and not finished comes first, with just its files.
+    The conformed rows, and with them the run's counts, are staged in the
+    ledger; rejects go to a folder named by the load, so a run again replaces
+    them.  Without the target nothing is taken.
+    """
+    import os
+
+    from pyspark.sql import Observation
+
+    if not target_exists(spark, target):
+        ledger.append_once(spark.createDataFrame([], "x int"), target, "none")
+        return {"loads": 0, "files": 0, "rows": 0}
+    fresh = ledger.take(ledger.new_files(path, target), target)
+    total = {"loads": 0, "files": 0, "rows": 0}
+    for load_id in [*[x for x in ledger.pending(target) if x != fresh], *([fresh] if fresh else [])]:
+        files = ledger.taken(load_id)
+        docs = scan_landing(spark, files, schema, multi_line=multi_line, corrupt_col=CORRUPT_COL)
+        seen, counts = Observation(), {}
+        docs = docs.observe(seen, F.count(F.col(CORRUPT_COL)).alias("corrupt_documents")).drop(CORRUPT_COL)
+        conformed = ledger.staged(frame_of(docs, load_ts, counts), load_id, f"{target}-conformed")
+        reasons = {f"rejected {r.reason}": r.n_rows for r in C.reject_reasons(conformed).collect() if r.reason != "fits"}   # one row a column
+        good, rejects = C.split_conformed(conformed)
+        n_rejected = conformed.where("_errors <> ''").count() if reasons else 0
+        first = ledger.state(load_id, target)
+        if first:                       # the run before this one counted while it staged
+            found = first["counts"]
+        else:
+            found = {"files": len(files), "rejected": n_rejected, **reasons}
+            if ledger.fresh_stage:      # this run staged, so its observations are filled
+                for obs in (seen, *counts.values()):
+                    found |= {k: int(v or 0) for k, v in obs.get.items()}
+        if n_rejected and not rejects_path:
+            raise RejectedRows(found)
+        if rejects_path and n_rejected:
+            rejects.write.mode("overwrite").parquet(os.path.join(rejects_path, f"load={load_id}"))
+        done = ledger.append_once(good, target, load_id, found, staged=True)
+        total = {"loads": total["loads"] + 1, "files": total["files"] + len(files), "rows": total["rows"] + done["rows"]}
+    return total
+
+
+def load_new_places(spark: SparkSession, path, ledger, load_ts=None, table: str = S.HOSPITAL_LISTS.name, multi_line: bool = False,
+                    rejects_path: str | None = None) -> dict:
+    """Flow A into a catalog table, by ledger: {loads, files, rows}; run again, it loads what came since, mostly nothing."""
+    return _load_new(spark, path, ledger, table, S.PLACES_DOCUMENT, places_frame, load_ts, multi_line, rejects_path)
+
+
+def load_new_reviews(spark: SparkSession, path, ledger, load_ts=None, table: str = S.HOSPITAL_REVIEWS.name, multi_line: bool = False,
+                     rejects_path: str | None = None) -> dict:
+    """Flow B into a catalog table, by ledger (see ``load_new_places``)."""
+    return _load_new(spark, path, ledger, table, REVIEW_READ_SCHEMA, reviews_frame, load_ts, multi_line, rejects_path)
+
+
 def review_defaults() -> dict:
     """Defaults the extraction applied to missing fields."""
     return {"formatted_address": K.DEFAULT_ADDRESS}

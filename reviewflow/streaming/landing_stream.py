@@ -15,11 +15,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewflow import schemas as S
 from reviewflow.operators.clean import split_conformed
 from reviewflow.plans import flows as PL
+from reviewflow.sinks.keyed import merge_by_key
 
 
 def landing_stream(spark: SparkSession, path: str, schema: S.T.StructType, multi_line: bool = False,
@@ -91,14 +93,16 @@ def stream_places(spark: SparkSession, landing: str, out_path: str, load_ts=None
 
 def stream_labels(spark: SparkSession, reviews_path: str, out_path: str, variant: str = "score",
                   checkpoint: str | None = None, rejects_path: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, buckets: int | None = None) -> StreamingQuery:
     """Flow C as a stream over the reviews written by ``stream_reviews``.
 
     Each micro-batch of new review rows is labelled with the batch
     ``label_frame`` (scoring, one row per author id within the batch,
-    conformance) and written to its own ``batch_id=`` folder.  Authors
-    repeated across batches are not merged here; the keyed target's loader
-    (``dedup_on_key`` + append) decides that, as in the batch flow.
+    conformance) and written to its own ``batch_id=`` folder.  With
+    ``buckets`` the output is a keyed table instead: every batch is merged
+    into it, so an author has one row over all batches (the first by review
+    text and then the other columns, as within a batch), and a batch that is
+    replayed changes nothing.
     """
     spec = S.MODEL_SENTIMENT if variant == "model" else S.SCORE_SENTIMENT
     schema = spark.read.parquet(reviews_path).schema
@@ -106,7 +110,15 @@ def stream_labels(spark: SparkSession, reviews_path: str, out_path: str, variant
 
     def write_batch(batch, batch_id: int) -> None:
         frame = PL.label_frame(batch, skip_labelled=variant != "model", spec=spec, variant=variant)
-        _write_split(frame, batch_id, out_path, rejects_path)
+        if not buckets:
+            return _write_split(frame, batch_id, out_path, rejects_path)
+        if rejects_path:
+            split_conformed(frame)[1].write.mode("overwrite").parquet(os.path.join(rejects_path, f"batch_id={batch_id}"))
+        elif n := split_conformed(frame)[1].count():
+            raise PL.RejectedRows({"batch": batch_id, "rejected": n})
+        good = split_conformed(frame)[0]
+        first = ["review", *[c for c in good.columns if c not in ("review", "author_id", "loaddatetime")], "loaddatetime"]
+        merge_by_key(good, out_path, ["author_id"], [F.col(c).asc_nulls_last() for c in first], buckets)
 
     ckpt = checkpoint or _checkpoint_of(out_path)
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
