@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from reviewflow import constants as K
 from reviewflow.operators.clean import dedup_on_key
 from reviewflow.operators.flatten import FIRST_CHILD
+from reviewflow.session import scratch_path
 
 FIRST_PAGE_OK = ("OK", "ZERO_RESULTS")
 NEXT_PAGE_OK = "OK"
@@ -80,6 +81,55 @@ def kept_pages(pages: DataFrame, request: str = "request_id", page_no: str = "pa
         .join(cuts, request, "left").filter(F.col(page_no) < F.coalesce(F.col("cut"), F.lit(_NO_CUT))).drop("cut")
 
 
+def follow_tokens(pages: DataFrame, request: str = "request_id", token: str = "page_token", status: str = "status",
+                  next_token: str = "next_page_token", results: str = "results", result_col: str = "result") -> DataFrame:
+    """J2 where pages carry no usable number: the pages that following the tokens from the first page reaches.
+
+    ``token`` is the token a page was asked for with, NULL for a request's
+    first page.  A page's successor is the one asked for with its
+    ``next_token``, if that page is there and OK; the walk of a request ends
+    where there is none, and a request whose first page is bad or empty yields
+    nothing.  A token that leads back to a page of the walk ends it as well;
+    pages that no walk reaches, in loops of their own or behind a gap, are
+    left out.  Of pages of one request and token the first by status, next
+    token and a hash of the results counts.
+
+    Output as ``assemble_pages``: request, page_no (place in the walk), pos, result.
+
+    The walks are not stepped along: pointers are doubled, so a walk of any
+    length takes a number of rounds logarithmic in it.  Each round joins
+    tables of two numbers per page by page, not by request.
+    """
+    spark = pages.sparkSession
+
+    def staged(df, name):
+        path = scratch_path(spark, f"walk-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    every = pages.select(F.col(request), F.col(token).alias("__token"), F.col(status).alias("__status"), F.col(next_token).alias("__next"),
+                         F.coalesce(results, F.array().cast(pages.schema[results].dataType)).alias("__results"))
+    unlike = [F.col("__status").asc_nulls_last(), F.col("__next").asc_nulls_last(), F.xxhash64("__results")]
+    one = staged(dedup_on_key(every, [request, "__token"], unlike).withColumn("page", F.monotonically_increasing_id()), "pages")
+    starts = (one.filter(F.col("__token").isNull() & F.col("__status").isin(*FIRST_PAGE_OK) & (F.size("__results") > 0))
+              .select("page", F.lit(0).cast("long").alias("at")))
+    goals = one.filter(F.col("__token").isNotNull() & (F.col("__status") == NEXT_PAGE_OK)).select(
+        request, F.col("__token").alias("__next"), F.col("page").alias("to"))
+    jump = staged(one.select(request, "__next", "page").join(goals, [request, "__next"]).select("page", "to"), "links")
+    reached, known, step = staged(starts, "start"), -1, 1
+    while True:
+        n = reached.count()
+        if n == known:
+            break
+        further = reached.join(jump, "page").select(F.col("to").alias("page"), (F.col("at") + step).alias("at"))
+        # a page met again, through a loop, keeps its first place
+        reached, known = staged(reached.union(further).groupBy("page").agg(F.min("at").alias("at")), f"reached{step}"), n
+        jump = staged(jump.join(jump.select(F.col("page").alias("to"), F.col("to").alias("beyond")), "to").select("page", F.col("beyond").alias("to")),
+                      f"links{step}")
+        step *= 2
+    return one.join(reached, "page").select(request, (F.col("at") + 1).cast("int").alias("page_no"),
+                                            F.posexplode("__results").alias("pos", result_col))
+
+
 def request_outcomes(pages: DataFrame, request: str = "request_id", page_no: str = "page_no",
                      status: str = "status", token: str = "next_page_token", results: str = "results") -> DataFrame:
     """Per request — 'failed' (page 1 missing or bad status), 'empty' (no results), or 'ok';

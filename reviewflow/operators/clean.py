@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewflow.functions import exprs as X
 from reviewflow.schemas import TableSpec
 
 
@@ -95,6 +96,24 @@ def first_n_per_key(df: DataFrame, key: list, order: list, n: int, rank_col: str
     return out.drop("__rn")
 
 
+def author_collisions(df: DataFrame, name: str = "author_name") -> DataFrame:
+    """F1 audit: author ids that unlike names share: author_id, n_rows, first_name, last_name, n_names >= 2.
+
+    The id has 32 bits, so among tens of thousands of authors some share one,
+    and K1 would take their reviews for repeats.  Every name has a 128-bit
+    shadow key; an id whose smallest and greatest shadow differ has unlike
+    names.  Both are combined before the shuffle; names are counted only for
+    the ids found.  A missing name is hashed as such and is a name of its own.
+    """
+    shadow = F.coalesce(F.md5(F.col(name)), F.lit(""))
+    rows = df.select(X.author_id(name).alias("author_id"), F.col(name).alias("__name"), shadow.alias("__shadow"))
+    shared = (rows.groupBy("author_id").agg(F.min("__shadow").alias("__lo"), F.max("__shadow").alias("__hi")).filter("__lo < __hi")
+              .select("author_id"))
+    names = rows.join(shared, "author_id").groupBy("author_id", "__shadow").agg(F.count(F.lit(1)).alias("n"), F.min("__name").alias("__name"))
+    return names.groupBy("author_id").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_names"),
+                                          F.min("__name").alias("first_name"), F.max("__name").alias("last_name"))
+
+
 # -------------------------------------------------------------- conformance
 
 _FLOAT_MAX = 3.4028234663852886e38

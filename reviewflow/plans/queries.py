@@ -261,6 +261,42 @@ def q_assemble_pages(spark, sf_dir):
     return AS.assemble_pages(D.conversation_pages(_t(spark, sf_dir, "conversations")))
 
 
+_WALK_CTE = """
+p AS (
+  SELECT 'req-' || conv_id AS request_id, CASE WHEN turn > 0 THEN 'tok-' || conv_id || '-' || turn END AS page_token,
+         CASE length(text) % 7 WHEN 0 THEN 'INVALID_REQUEST' WHEN 1 THEN 'ZERO_RESULTS' ELSE 'OK' END AS status,
+         CASE WHEN length(text) % 5 = 0 THEN NULL WHEN length(text) % 11 = 0 THEN 'tok-' || conv_id || '-' || (turn // 2)
+              ELSE 'tok-' || conv_id || '-' || (turn + 1) END AS next_page_token,
+         CASE WHEN role = 'system' THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END AS results
+  FROM conversations),
+walk AS (
+  SELECT request_id, 1 AS page_no, next_page_token, results, [coalesce(page_token, '')] AS seen
+  FROM p WHERE page_token IS NULL AND status IN ('OK', 'ZERO_RESULTS') AND len(results) > 0
+  UNION ALL
+  SELECT p.request_id, page_no + 1, p.next_page_token, p.results, list_append(seen, p.page_token)
+  FROM walk JOIN p ON p.request_id = walk.request_id AND p.page_token = walk.next_page_token
+  WHERE p.status = 'OK' AND NOT list_contains(seen, p.page_token))
+"""
+
+
+@register("q_follow_tokens", f"""WITH RECURSIVE {_WALK_CTE}
+SELECT request_id, CAST(page_no AS INTEGER) AS page_no, CAST(generate_subscripts(results, 1) - 1 AS INTEGER) AS pos, unnest(results) AS result FROM walk
+""")
+def q_follow_tokens(spark, sf_dir):
+    """J2 by the tokens alone: no page numbers; some tokens lead back to earlier pages, some nowhere."""
+    conv = _t(spark, sf_dir, "conversations")
+    n, turn = F.length("text"), F.col("turn")
+
+    def tok(at):
+        return F.concat(F.lit("tok-"), F.col("conv_id").cast("string"), F.lit("-"), at.cast("string"))
+    pages = conv.select(
+        F.concat(F.lit("req-"), F.col("conv_id").cast("string")).alias("request_id"), F.when(turn > 0, tok(turn)).alias("page_token"),
+        F.when(n % 7 == 0, "INVALID_REQUEST").when(n % 7 == 1, "ZERO_RESULTS").otherwise("OK").alias("status"),
+        F.when(n % 5 == 0, F.lit(None)).when(n % 11 == 0, tok(F.floor(turn / 2))).otherwise(tok(turn + 1)).alias("next_page_token"),
+        F.when(F.col("role") == "system", F.array().cast("array<string>")).otherwise(F.split("text", "\n")).alias("results"))
+    return AS.follow_tokens(pages)
+
+
 @register("q_request_outcomes", f"""
 WITH {_PAGES_CTE}
 SELECT r.request_id, coalesce(o.outcome, 'failed') AS outcome,
@@ -481,7 +517,7 @@ FROM r
 def q_generate_hospitals(spark, sf_dir):
     """5 synthetic hospitals × 100 generated reviews per city (supplier names as the city list,
     which grows with the scale factor)."""
-    cities = _t(spark, sf_dir, "supplier").select(F.col("s_name").alias("city"))
+    cities = _t(spark, sf_dir, "supplier", spread_rows=True).select(F.col("s_name").alias("city"))      # before the fan-out
     return AU.generate_hospitals(cities, "city")
 
 
@@ -638,7 +674,7 @@ def q_conform(spark, sf_dir):
     The verdicts on the TINYINT column and on ``big`` are in ``_errors``; their
     converted values (NULL on overflow) are not part of the compared output.
     """
-    d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars",
+    d = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "lang", "source", "n_chars",
                                               F.col("n_chars").alias("n_small"),
                                               F.when(F.col("doc_id") % 5 == 0, F.lit(float("nan")))
                                               .otherwise(F.col("n_chars") / 7.0).alias("weight"),
@@ -824,3 +860,22 @@ def q_land_places(spark, sf_dir):
     flat = FL.flatten_places(PL.land_places_frame(pages), keep=["request_id"])
     flat = C.with_audit(C.require(flat, PL.PLACE_REQUIRED), D.FIXED_LOAD_TS)
     return C.conform_to_schema(flat, S.HOSPITAL_LISTS, keep=["request_id"])
+
+
+# Two names that Murmur3 with seed 42 gives one 32-bit value.
+COLLIDING_NAMES = ("Reviewer 134944", "Reviewer 41889")
+
+
+@register("q_author_collisions", f"""
+WITH n AS (SELECT c_name AS name FROM customer UNION ALL SELECT '{COLLIDING_NAMES[0]}' FROM customer
+           UNION ALL SELECT '{COLLIDING_NAMES[1]}' FROM nation UNION ALL SELECT c_name FROM customer),
+h AS (SELECT CAST({O.murmur3('name')} AS VARCHAR) AS author_id, name FROM n)
+SELECT author_id, count(*) AS n_rows, count(DISTINCT name) AS n_names, min(name) AS first_name, max(name) AS last_name
+FROM h GROUP BY author_id HAVING count(DISTINCT name) > 1
+""")
+def q_author_collisions(spark, sf_dir):
+    """ids that unlike authors share, among the customers (each twice) and two names made to collide."""
+    names = _t(spark, sf_dir, "customer").select(F.col("c_name").alias("author_name"))
+    first = names.select(F.lit(COLLIDING_NAMES[0]).alias("author_name"))
+    second = _t(spark, sf_dir, "nation").select(F.lit(COLLIDING_NAMES[1]).alias("author_name"))
+    return C.author_collisions(names.union(first).union(second).union(names))
