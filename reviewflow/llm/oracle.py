@@ -1,5 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from reviewflow.llm import licenses
 from reviewflow.llm.licenses import TEMPLATES, THRESHOLD
 
 
@@ -9,23 +10,35 @@ def _grams(text: str) -> str:
 
 
 def _license_sql() -> str:
-    rows = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
-    pairs = "list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])"
+    rows = ", ".join("({}, '{}', '{}')".format(k, n, t.replace("'", "''")) for k, (n, t) in enumerate(TEMPLATES))
+    pairs = "[w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]"
+    tag, spdx, exception, suffix = licenses.TAG, licenses.SPDX_ID, licenses.EXCEPTION, licenses.SUFFIX
     return f"""
-WITH t(name, text) AS (VALUES {rows}),
-tg AS (SELECT name, {pairs} AS g FROM (SELECT name, {_grams('text')} AS w FROM t)),
-u AS (SELECT DISTINCT doc_id, {_grams('u')} AS w FROM (
-        SELECT doc_id, unnest(string_split(text, chr(10)) || regexp_split_to_array(text, '\n[ \t\r]*\n') || [text]) AS u
-        FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))),
-ug AS (SELECT doc_id, w, {pairs} AS g FROM u WHERE len(w) > 1),
-m AS (SELECT doc_id, w, name, 2.0::DOUBLE * len(list_intersect(ug.g, tg.g)) / (len(ug.g) + len(tg.g)) AS score
-      FROM ug JOIN tg ON len(ug.g) <= 2 * len(tg.g) AND len(tg.g) <= 2 * len(ug.g)),
-k AS (SELECT * FROM m WHERE score >= {THRESHOLD}),
-a AS (SELECT doc_id, max(score) AS score, array_to_string(list_sort(list_distinct(list(name))), ',') AS licenses,
-             count(DISTINCT w) AS n_units FROM k GROUP BY doc_id),
-b AS (SELECT k.doc_id, min(name) AS license FROM k JOIN a USING (doc_id) WHERE k.score = a.score GROUP BY k.doc_id)
-SELECT doc_id, license, score, coalesce(licenses, '') AS licenses, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units
-FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)"""
+WITH t(k, name, text) AS (VALUES {rows}),
+tg AS (SELECT k, name, g, len(g) AS n, np, CAST(ceil({THRESHOLD} * len(g) / (2 - {THRESHOLD}) - 1e-9) AS INT) AS need,
+              list_distinct([np, (5 * np + 3) // 4]) AS sizes
+       FROM (SELECT k, name, list_distinct({pairs}) AS g, len(w) - 1 AS np FROM (SELECT k, name, {_grams('text')} AS w FROM t))),
+d AS (SELECT doc_id, {pairs} AS g FROM (SELECT doc_id, {_grams("coalesce(text, '')")} AS w FROM documents)),
+h AS (SELECT doc_id, k, pos FROM (SELECT doc_id, unnest(g) AS x, generate_subscripts(g, 1) AS pos FROM d)
+      JOIN (SELECT k, unnest(g) AS x FROM tg) USING (x)),
+c AS (SELECT *, count(*) OVER (PARTITION BY doc_id, k ORDER BY pos RANGE BETWEEN CURRENT ROW AND 400 FOLLOWING) AS ahead FROM h),
+w AS (SELECT doc_id, k, name, n, pos AS s, least(pos + size, len(d.g) + 1) AS e, list_distinct(d.g[pos:pos + size - 1]) AS a, tg.g AS own
+      FROM c JOIN (SELECT *, unnest(sizes) AS size FROM tg) AS tg USING (k) JOIN d USING (doc_id) WHERE ahead >= need),
+m AS (SELECT doc_id, name, s, e, shared, 2.0::DOUBLE * shared / (size + n) AS score
+      FROM (SELECT *, len(list_intersect(a, own)) AS shared, len(a) AS size FROM w)),
+f AS (SELECT * FROM m WHERE score >= {THRESHOLD}),
+found AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM f AS o WHERE o.doc_id = f.doc_id AND o.name <> f.name
+            AND (o.shared > f.shared OR o.shared = f.shared AND o.score > f.score)
+            AND 2 * (least(o.e, f.e) - greatest(o.s, f.s)) >= f.e - f.s)),
+tags AS (SELECT doc_id, regexp_replace(id, '{suffix}', '') AS name FROM (SELECT doc_id, unnest(regexp_extract_all(
+           regexp_replace(tag, '{exception}', '', 'g'), '{spdx}')) AS id
+           FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{tag}', 1)) AS tag FROM documents)) WHERE id NOT IN ('AND', 'OR')),
+every AS (SELECT doc_id, name, shared, score, '' AS tag FROM found UNION ALL SELECT doc_id, name, 0, 1.0, name FROM tags),
+best AS (SELECT doc_id, name AS license, score FROM every QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, shared DESC, name) = 1),
+a AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list(name))), ',') AS licenses,
+             array_to_string(list_sort(list_distinct(list(tag) FILTER (tag <> ''))), ',') AS tags FROM every GROUP BY doc_id)
+SELECT doc_id, license, score, coalesce(licenses, '') AS licenses, coalesce(tags, '') AS tags
+FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 
 # Checksums of four bits: the CRC-32 polynomial 0xEDB88320 taken through four shifts.

@@ -75,8 +75,8 @@ def op5(spark, sf_dir):
 
 @register("op6_license_scan")
 def op6(spark, sf_dir):
-    """Every document's best license template and all that match."""
-    return licenses.scan(load(spark, sf_dir, "documents"))
+    """Every document's best license, all that its windows and tags name, and the tags."""
+    return licenses.scan(load(spark, sf_dir, "documents")).drop("places")
 
 
 @register("op7_byte_bpe")
