@@ -1,8 +1,12 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
+import pytest
+
 from reviewflow.llm import secrets as op
 from reviewflow.llm.queries import QUERIES
 
@@ -17,21 +21,26 @@ def brute(text):
     base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    taken = {i for a, _, b in base for i in range(a, b)}
     extra = []
     for c in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text):
-        if any(re.search(a, c[0]) for a in op.ALLOWED):
+        if any(re.search(a, c[0]) for a in op.AS_A_WHOLE):
             continue
+        harmless = {i for m in re.finditer(r"(?i:example|placeholder|sample|dummy|your_|x{6,}|0123456|abcdefg)|(.)\1{7,}", c[0]) for i in range(*m.span())}
         least = op.HEX_BITS if re.search(op.HEX, c[0]) else op.BASE64_BITS
         spans = []
         for i in range(len(c[0]) - 19):
             n = Counter(c[0][i:i + 20]).values()
             if -sum(k / 20 * math.log2(k / 20) for k in n) >= least:
-                a, b = c.start() + i, c.start() + i + 20
-                if spans and spans[-1][1] >= a:
-                    spans[-1][1] = b
+                free = harmless.isdisjoint(range(i, i + 20))
+                if spans and spans[-1][1] >= i:
+                    spans[-1][1:] = i + 20, spans[-1][2] or free
                 else:
-                    spans.append([a, b])
-        extra += [(a, 3, b) for a, b in spans if not any(x < b and a < y for x, _, y in base)]
+                    spans.append([i, i + 20, free])
+        for a, b, free in spans:
+            left = {i for i in range(c.start() + a, c.start() + b) if free and i not in taken}
+            starts = [i for i in sorted(left) if i - 1 not in left or i == c.start() + a]
+            extra += [(i, 3, next(j for j in range(i + 1, c.start() + b + 1) if j in taken or j == c.start() + b)) for i in starts]
     return sorted(base), sorted(base + extra)
 
 
@@ -56,11 +65,39 @@ def test_against_brute_force(docs):
     assert any("entropy" in a for _, _, a in want)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_odd_runs_against_brute_force(docs, seed):
+    r = random.Random(seed)
+    parts = ["sample", "a" * 9, "0123456789", MIXED, RANDOM, "AKIA" + "B7" * 8, "word", "-", "/", " ", "token=", "XXXXXXXX", "thatonion", "=", "Zz9"]
+    texts = ["".join(r.choice(parts)[:r.randint(1, 40)] for _ in range(r.choice([3, 20, 120]))) for _ in range(60)]
+    got = op.scan(docs(list(enumerate(texts)))).select("doc_id", op.joined("all").alias("a")).collect()
+    for g in got:
+        assert g.a == text_of(brute(texts[g.doc_id])[1]), texts[g.doc_id]
+
+
+def test_one_run_of_a_million_characters(docs):
+    r = random.Random(7)
+    text = "".join(r.choice(("aB3", "k9", "Qz7_", "the", "/", "xY0w", "ononon" * 6)) for _ in range(220_000))
+    assert len(text) > 1_000_000
+    rows, began = docs([(1, text)]).coalesce(1).cache(), time.time()
+    rows.count()
+    spans = op.scan(rows).select("all").collect()[0].all
+    assert time.time() - began < 60
+    # spans do not touch, and the windows around each border say why it is there
+    least = op.BASE64_BITS - 1e-9
+
+    def bits(i):
+        return -sum(k / 20 * math.log2(k / 20) for k in Counter(text[i:i + 20]).values())
+    assert len(spans) > 1000 and all(x.e < y.s for x, y in zip(spans, spans[1:]))
+    for x in spans[:400] + spans[-400:]:
+        assert bits(x.s) >= least and bits(x.e - 20) >= least and all(bits(i) < op.BASE64_BITS + 1e-9 for i in range(x.e - 19, min(x.e + 1, len(text) - 19)))
+
+
 def test_harmless_stretches_and_base_spans_hide_only_themselves(docs):
     key, pem = MIXED, "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
     texts = {1: "net/samples/v2/" + key, 2: key + "a" * 40 + key, 3: pem, 4: "your_api_key_example_0123456789", 5: "sample/0123456789abcdefghij/x",
              6: key + "G" + RANDOM[:32] + "G" + key, 7: "G" + key + RANDOM[:32], 8: "sample0Kx/" * 5000 + key}
-    got = {r.doc_id: r.a for r in op.scan(docs(list(texts.items())), by_run=False).select("doc_id", op.joined("all").alias("a")).collect()}
+    got = {r.doc_id: r.a for r in op.scan(docs(list(texts.items()))).select("doc_id", op.joined("all").alias("a")).collect()}
     spans = {i: [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in t.split(",") if x)] for i, t in got.items()}
 
     def hidden(i, word):
