@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from reviewflow import constants as K
 from reviewflow import schemas as S
 from reviewflow.functions import exprs as X
+from reviewflow.operators.flatten import flatten_reviews
 from reviewflow.plans import derive as D
 from reviewflow.plans import flows as PL
 from reviewflow.plans.registry import register
 from reviewflow.session import scratch_path
+from reviewflow.sinks import landings as LA
 from reviewflow.sinks.envelope import write_envelope
 from reviewflow.sinks.keyed import merge_by_key, read_keyed
 from reviewflow.sinks.ledger import BEGUN, Ledger
@@ -125,3 +127,24 @@ def q_run_ledger(spark, sf_dir):
         *[F.struct(F.lit(k).alias("name"), F.coalesce(F.col("counts")[k], F.lit(0)).cast("long").alias("n")) for k in ("read", "rejected")],
         F.struct(F.lit("rows").alias("name"), F.col("rows").alias("n"))))
     return done.select("target", "state", F.explode(counted).alias("c")).select("target", "state", F.col("c.name").alias("counted"), F.col("c.n").alias("n"))
+
+
+@register("q_landing_as_of", """
+WITH d AS (SELECT conv_id % 2 = 0 AS even, length(text) AS n FROM conversations)
+SELECT k AS reader, CAST(count(*) FILTER (k = 4 OR even) AS BIGINT) AS reviews, CAST(sum(n) FILTER (k = 4 OR even) AS BIGINT) AS chars
+FROM d, (VALUES (1), (2), (3), (4)) v(k) GROUP BY k
+""")
+def q_landing_as_of(spark, sf_dir):
+    """A landing of half the documents, one that was lost half-way, one of all; what readers of four times get."""
+    docs = D.review_documents(D.table(spark, sf_dir, "conversations")).withColumn("city_slug", X.slug("city"))
+    even = F.expr("cast(regexp_extract(data[0].place_id, '[0-9]+$', 0) AS long) % 2 = 0")
+    path, options = scratch_path(spark, "landings"), {"constants": {"disclaimer": K.DEFAULT_DISCLAIMER}}
+    LA.land(docs.where(even), path, "2024-03-01 10:00:00", **options)
+    LA.write_files(docs.where(~even), path, "2024-03-02 10:00:00", **options)       # ... and here the job is lost
+    LA.land(docs, path, "2024-03-03 10:00:00", **options)
+    out = None
+    for reader, at in ((1, "2024-03-01 10:00:00"), (2, "2024-03-02 12:00:00"), (3, "2024-03-03 09:59:59"), (4, None)):
+        reviews = flatten_reviews(LA.read_as_of(spark, path, PL.REVIEW_READ_SCHEMA, at))
+        row = reviews.agg(F.count(F.lit(1)).alias("reviews"), F.sum(F.length("review")).alias("chars")).select(F.lit(reader).alias("reader"), "reviews", "chars")
+        out = row if out is None else out.union(row)
+    return out
