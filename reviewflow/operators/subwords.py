@@ -6,10 +6,11 @@ word, with a space before it, is cut into the longest vocabulary entries from
 left to right, over its UTF-8 bytes; a byte at which no entry starts is a
 piece of its own, ``UNKNOWN``.
 
-For whole tables each distinct word is cut once, into a staged dictionary
-that the texts are joined with; a classifier that labels row by row cuts in
-its Python worker.  Both give the same pieces.  ``limit`` is the number of
-pieces that a model takes of one text (None: all of them).
+Texts are cut where they lie: no shuffle, and a Python worker cuts a word once
+as long as it remembers it.  (Cutting each distinct word of the table once, into
+a staged table that all word occurrences are joined with, gives the same pieces
+but shuffles eight times the input.)  ``limit`` is the number of pieces that a
+model takes of one text (None: all of them).
 
 The vocabulary is a public file with an entry a line, base64 of its bytes and
 its id.  It is read by the driver and sent to the workers, so its size is
@@ -32,11 +33,12 @@ from reviewflow.session import scratch_path
 
 WORD = r"[\p{L}\p{N}]+|[^\x00-\x20\p{L}\p{N}]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LOWER = str.maketrans(UPPER, UPPER.lower())
 UNKNOWN = -1
 # Entries of a vocabulary: what the driver and every Python worker hold.
 MAX_ENTRIES = 1 << 20
-# Words whose pieces a worker remembers; when it is full it starts anew.
-MEMO = 1 << 16
+# Words whose pieces a worker remembers, and their longest; when it is full it starts anew.
+MEMO, MEMO_CHARS = 1 << 16, 64
 
 
 @dataclass
@@ -77,49 +79,64 @@ def read_vocabulary(path: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(entry): int(rank) for entry, rank in map(bytes.split, lines)})
 
 
-def words(text: str, lower: bool = True) -> Column:
-    """The words of a text, in order."""
-    read = F.translate(F.col(text), UPPER, UPPER.lower()) if lower else F.col(text)
-    return F.regexp_extract_all(read, F.lit(WORD), F.lit(0))
+class _Memo(dict):
+    """word → its pieces; a word that is not there is cut."""
 
+    def __init__(self, cut):
+        super().__init__()
+        self.cut = cut
 
-def _cut_udf(vocabulary: Vocabulary):
-    _ship()
-    token = _token(vocabulary)
+    def __missing__(self, word: str) -> list[int]:
+        if len(word) > MEMO_CHARS:
+            return self.cut(word)
+        if len(self) >= MEMO:
+            self.clear()
+        pieces = self[word] = self.cut(word)
+        return pieces
 
-    @F.pandas_udf("array<int>")
-    def _cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        v = _loaded(vocabulary, token)
-        for batch in batches:
-            yield batch.map(v.cut)
-    return _cut
 
+class Cutter:
+    """The pieces of texts; loaded once for each Python worker."""
 
-def dictionary(df: DataFrame, text: str, vocabulary: Vocabulary, lower: bool = True) -> DataFrame:
-    """Staged table (word, pieces) of the distinct words of all texts, each cut once."""
-    spark = df.sparkSession
-    distinct = df.select(F.explode(words(text, lower)).alias("word")).distinct()
-    path = scratch_path(spark, "subwords")
-    distinct.select("word", _cut_udf(vocabulary)("word").alias("pieces")).write.parquet(path)
-    return spark.read.schema("word string, pieces array<int>").parquet(path)
+    def __init__(self, vocabulary: Vocabulary, limit: int | None = None, lower: bool = True):
+        self.vocabulary, self.limit, self.lower = vocabulary, limit, lower
+        self._words = self._memo = None
 
+    def load(self) -> None:
+        import regex
 
-def encode(df: DataFrame, key: str, text: str, cut: DataFrame, limit: int | None = None, lower: bool = True) -> DataFrame:
-    """(key, ids): the pieces of every text in order, by the ``dictionary`` of these texts.
+        self.vocabulary.load()
+        self._words, self._memo = regex.compile(WORD), _Memo(self.vocabulary.cut)
 
-    ``key`` names one text.  A word that a large part of all texts have is
-    split by AQE, as both sides of the join may be large.  Each word has at
-    least one piece, so with a limit no word beyond it is sent to the join.
-    """
-    in_order = words(text, lower)
-    if limit is not None:
-        in_order = F.slice(in_order, 1, limit)
-    found = df.select(key, F.posexplode(in_order).alias("at", "word")).join(cut, "word").select(key, "at", "pieces")
-    # texts without words are kept by a place before the first
-    every = df.select(key, F.lit(-1).alias("at"), F.array().cast("array<int>").alias("pieces"))
-    placed = found.union(every).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "pieces"))).alias("placed"))
-    ids = F.flatten(F.col("placed.pieces"))
-    return placed.select(key, (ids if limit is None else F.slice(ids, 1, limit)).alias("ids"))
+    def pieces(self, text: str | None) -> list[int]:
+        if not text:
+            return []
+        if self.lower:
+            text = text.translate(LOWER)
+        out, memo = [], self._memo
+        if self.limit is None:
+            for word in self._words.findall(text):
+                out += memo[word]
+            return out
+        for found in self._words.finditer(text):
+            if len(out) >= self.limit:
+                break
+            out += memo[found[0]]
+        return out[: self.limit]
+
+
+def encode(text: str, vocabulary: Vocabulary, limit: int | None = None, lower: bool = True) -> Column:
+    """array<int>: the pieces of a text in order."""
+    _ship()
+    cutter = Cutter(vocabulary, limit, lower)
+    token = _token(cutter)
+
+    @F.pandas_udf("array<int>")
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        c = _loaded(cutter, token)
+        for texts in batches:
+            yield texts.map(lambda t: np.array(c.pieces(t), np.int32))
+    return _encode(F.col(text))
 
 
 class SubwordClassifier:
@@ -130,59 +147,37 @@ class SubwordClassifier:
     that training did not see weigh nothing.
     """
 
-    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, prior: np.ndarray, id2label: dict,
-                 limit: int | None = None, lower: bool = True):
-        self.vocabulary, self.weights, self.prior = vocabulary, weights, prior
-        self.id2label, self.limit, self.lower = dict(id2label), limit, lower
-        self._words = None
-        self._memo: dict = {}
+    def __init__(self, cutter: Cutter, weights: np.ndarray, prior: np.ndarray, id2label: dict):
+        self.cutter, self.weights, self.prior, self.id2label = cutter, weights, prior, dict(id2label)
 
     def load(self) -> None:
-        import regex
-
-        self.vocabulary.load()
-        self._words, self._memo = regex.compile(WORD), {}
-
-    def pieces(self, text: str) -> list[int]:
-        if self.lower:
-            text = text.translate(str.maketrans(UPPER, UPPER.lower()))
-        out: list[int] = []
-        for found in self._words.finditer(text):
-            if self.limit is not None and len(out) >= self.limit:
-                break
-            word = found[0]
-            cut = self._memo.get(word)
-            if cut is None:
-                if len(self._memo) >= MEMO:
-                    self._memo.clear()
-                cut = self._memo[word] = self.vocabulary.cut(word)
-            out += cut
-        return out if self.limit is None else out[: self.limit]
+        self.cutter.load()
 
     def logits(self, texts: pd.Series) -> pd.Series:
         def one(text):
             if text is None or not text.strip():
                 return None
-            ids = np.array(self.pieces(text), np.int64)
+            ids = np.array(self.cutter.pieces(text), np.int64)
             return (self.prior + self.weights[ids[ids != UNKNOWN]].sum(axis=0)).astype(float).tolist()
         return texts.map(one)
 
 
-def train_subwords(encoded: DataFrame, label: str, id2label: dict, vocabulary: Vocabulary, limit: int | None = None,
+def train_subwords(train: DataFrame, text: str, label: str, id2label: dict, vocabulary: Vocabulary, limit: int | None = None,
                    lower: bool = True) -> SubwordClassifier:
-    """Multinomial naive Bayes over the pieces of all labelled texts: (ids, label) of ``encode``.
+    """Multinomial naive Bayes over the pieces of all labelled texts.
 
     ``label`` is a class number of ``id2label`` (rows of others or NULL are
     left out); add-one smoothing over the pieces seen.  The driver receives
     one row per piece seen, at most the entries of the vocabulary.
     """
-    spark, classes = encoded.sparkSession, sorted(id2label)
+    spark, classes = train.sparkSession, sorted(id2label)
     if classes != list(range(len(classes))):
         raise ValueError("classes are numbered from 0 on")
-    known = encoded.where(F.col(label).isin(classes)).select(F.col(label).alias("y"), "ids")
+    known = train.where(F.col(label).isin(classes)).select(F.col(label).alias("y"), text)
     of = [F.sum((F.col("y") == c).cast("long")).alias(f"c{c}") for c in classes]
     path = scratch_path(spark, "piece-counts")
-    pieces = known.select("y", F.explode("ids").alias("piece")).where(F.col("piece") != UNKNOWN)
+    ids = known.select("y", encode(text, vocabulary, limit, lower).alias("ids"))
+    pieces = ids.select("y", F.explode("ids").alias("piece")).where(F.col("piece") != UNKNOWN)
     pieces.groupBy("piece").agg(*of).write.parquet(path)
     counts = spark.read.schema("piece int, " + ", ".join(f"c{c} long" for c in classes)).parquet(path)
     total = counts.agg(F.count(F.lit(1)).alias("size"), *[F.coalesce(F.sum(f"c{c}"), F.lit(0)).alias(f"c{c}") for c in classes]).first()
@@ -194,4 +189,4 @@ def train_subwords(encoded: DataFrame, label: str, id2label: dict, vocabulary: V
     weights = np.zeros((max(vocabulary.entries.values(), default=0) + 1, len(classes)), np.int64)
     weights[seen["piece"].to_numpy(np.int64)] = seen[[f"c{c}" for c in classes]].to_numpy(np.int64)
     prior = np.rint(np.log([rows[f"c{c}"] + 1 for c in classes]) * MICRO).astype(np.int64)
-    return SubwordClassifier(vocabulary, weights, prior, id2label, limit, lower)
+    return SubwordClassifier(Cutter(vocabulary, limit, lower), weights, prior, id2label)

@@ -9,7 +9,7 @@ from reviewflow.operators import sentiment as SE
 from reviewflow.operators import subwords as SW
 from reviewflow.plans import derive as D
 from reviewflow.plans.registry import register
-from reviewflow.session import scratch_path, spread
+from reviewflow.session import spread
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LABELS = {0: "negative", 1: "neutral", 2: "positive"}
@@ -32,9 +32,8 @@ cut AS (SELECT w, list(id ORDER BY s) AS pieces FROM walk GROUP BY w),
 encoded AS (SELECT doc_id, flatten(list(pieces ORDER BY pos)) AS ids FROM found JOIN cut USING (w) GROUP BY doc_id)"""
 
 
-def _encoded(spark, sf_dir, vocabulary):
-    docs = spread(D.table(spark, sf_dir, "documents")).select("doc_id", "text")
-    return docs, SW.encode(docs, "doc_id", "text", SW.dictionary(docs, "text", vocabulary))
+def _docs(spark, sf_dir):
+    return spread(D.table(spark, sf_dir, "documents")).select("doc_id", "text")
 
 
 @register("q_subwords", f"""{_ENCODED_SQL}
@@ -42,10 +41,10 @@ SELECT doc_id, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_pieces, md5(coalesce(a
 FROM documents LEFT JOIN encoded USING (doc_id)
 """)
 def q_subwords(spark, sf_dir):
-    """Subword pieces of every whole text, each distinct word cut once."""
-    _, encoded = _encoded(spark, sf_dir, SW.read_vocabulary(VOCABULARY))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"),
-                          F.md5(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_md5"))
+    """Subword pieces of every whole text."""
+    ids = _docs(spark, sf_dir).select("doc_id", SW.encode("text", SW.read_vocabulary(VOCABULARY)).alias("ids"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_pieces"),
+                      F.md5(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_md5"))
 
 
 @register("q_subword_labels", f"""{_ENCODED_SQL},
@@ -66,11 +65,8 @@ FROM documents JOIN winner USING (doc_id)
 """)
 def q_subword_labels(spark, sf_dir):
     """A classifier trained on the pieces of the labelled documents; logits in the workers → argmax → label name."""
-    vocabulary = SW.read_vocabulary(VOCABULARY)
-    docs, encoded = _encoded(spark, sf_dir, vocabulary)
+    docs = _docs(spark, sf_dir)
     labels = D.table(spark, sf_dir, "labels").select("doc_id", F.expr(
         "CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 WHEN quality = 0 THEN 1 END").alias("y"))
-    path = scratch_path(spark, "labelled-pieces")
-    encoded.join(labels, "doc_id").select("y", "ids").write.parquet(path)
-    model = SW.train_subwords(spark.read.schema("y int, ids array<int>").parquet(path), "y", LABELS, vocabulary)
+    model = SW.train_subwords(docs.join(labels, "doc_id"), "text", "y", LABELS, SW.read_vocabulary(VOCABULARY))
     return SE.label_text(docs, "text", model).select("doc_id", "sentiment")

@@ -2,7 +2,6 @@
 
 import math
 
-import numpy as np
 import pandas as pd
 import pytest
 import regex
@@ -27,8 +26,8 @@ def plain(vocabulary, word):
     return out
 
 
-def plain_text(vocabulary, text):
-    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+def plain_text(vocabulary, text, lower=True):
+    lowered = "".join(c.lower() if lower and "A" <= c <= "Z" else c for c in text or "")
     return [p for w in regex.findall(SW.WORD, lowered) for p in plain(vocabulary, w)]
 
 
@@ -51,40 +50,50 @@ def test_vocabulary_is_bounded(monkeypatch):
         SW.Vocabulary({bytes([i]): i for i in range(4)})
 
 
+def cutter(**options):
+    c = SW.Cutter(SMALL, **options)
+    c.load()
+    return c
+
+
 @pytest.mark.parametrize("limit", [None, 1, 3, 40])
-def test_table_and_worker_give_the_same_pieces(spark, limit):
+@pytest.mark.parametrize("lower", [True, False])
+def test_pieces_of_whole_texts(spark, limit, lower):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
-    got = {r.id: r.ids for r in SW.encode(df, "id", "text", SW.dictionary(df, "text", SMALL), limit).collect()}
-    assert got == {i: plain_text(SMALL, t)[:limit] for i, t in enumerate(TEXTS)}
-    worker = SW.SubwordClassifier(SMALL, np.zeros((12, 2)), np.zeros(2), {0: "a", 1: "b"}, limit)
-    worker.load()
-    assert got == {i: worker.pieces(t or "") for i, t in enumerate(TEXTS)}
+    got = {r.id: r.ids for r in df.select("id", SW.encode("text", SMALL, limit, lower).alias("ids")).collect()}
+    assert got == {i: plain_text(SMALL, t, lower)[:limit] for i, t in enumerate(TEXTS)}
 
 
-def test_each_distinct_word_is_cut_once_and_a_memo_may_be_full(spark, monkeypatch):
-    df = spark.createDataFrame([("a b a",), ("B c",), (None,)], "text string")
-    cut = SW.dictionary(df, "text", SMALL)
-    assert sorted(r.word for r in cut.collect()) == ["a", "b", "c"]
+def test_a_full_memo_changes_nothing(monkeypatch):
+    text = "good go o d good goodness ! good"
+    whole = cutter().pieces(text)
     monkeypatch.setattr(SW, "MEMO", 2)
-    worker = SW.SubwordClassifier(SMALL, np.zeros((12, 1)), np.zeros(1), {0: "a"})
-    worker.load()
-    assert worker.pieces("good go o d good") == plain_text(SMALL, "good go o d good")
+    c = cutter()
+    assert c.pieces(text) == whole == plain_text(SMALL, text) and len(c._memo) <= 2
+
+
+def test_a_very_long_word_takes_linear_time():
+    ids = cutter().pieces("good" * 250_000)
+    assert len(ids) > 500_000 and ids[:2] == [2, SW.UNKNOWN]
+
+
+def test_encode_adds_no_shuffle(spark):
+    plan = spark.range(3).selectExpr("string(id) AS text").select(SW.encode("text", SMALL))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") >= 1
 
 
 def test_empty_tables(spark):
-    df = spark.createDataFrame([], "id int, text string")
-    cut = SW.dictionary(df, "text", SMALL)
-    assert cut.count() == 0 and SW.encode(df, "id", "text", cut).count() == 0
-    model = SW.train_subwords(spark.createDataFrame([], "y int, ids array<int>"), "y", {0: "a", 1: "b"}, SMALL)
+    df = spark.createDataFrame([], "y int, text string")
+    assert df.select(SW.encode("text", SMALL)).count() == 0
+    model = SW.train_subwords(df, "text", "y", {0: "a", 1: "b"}, SMALL)
     model.load()
     assert model.logits(pd.Series(["good", " "])).tolist() == [[0.0, 0.0], None]
 
 
 def test_training_against_plain_counts(spark):
     rows = [(0, "good good"), (1, "bad !"), (1, "goodness"), (None, "x"), (7, "go"), (0, ""), (2, None)]
-    encoded = spark.createDataFrame([(y, plain_text(SMALL, t)) for y, t in rows], "y int, ids array<int>")
     names = {0: "negative", 1: "neutral", 2: "positive"}
-    model = SW.train_subwords(encoded, "y", names, SMALL)
+    model = SW.train_subwords(spark.createDataFrame(rows, "y int, text string"), "text", "y", names, SMALL)
     model.load()
     hits = [(y, p) for y, t in rows if y in names for p in plain_text(SMALL, t) if p != SW.UNKNOWN]
     size, text = len({p for _, p in hits}), "good go !"
@@ -108,8 +117,7 @@ def test_held_out_agreement(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality IS NOT NULL").select("doc_id", "quality")
     known, v = docs.join(labels, "doc_id"), SW.read_vocabulary(VOCABULARY)
     fitted = known.where("doc_id % 3 <> 0")
-    encoded = SW.encode(fitted, "doc_id", "text", SW.dictionary(fitted, "text", v)).join(labels, "doc_id")
-    model = SW.train_subwords(encoded, "quality", {0: "0", 1: "1"}, v)
+    model = SW.train_subwords(fitted, "text", "quality", {0: "0", 1: "1"}, v)
     asked = SE.label_text(known.where("doc_id % 3 = 0"), "text", model).where("sentiment <> ''").toPandas()
     share = (asked.sentiment == asked.quality.astype(str)).mean()
     usual = max(asked.quality.mean(), 1 - asked.quality.mean())
