@@ -20,8 +20,10 @@ checked.  Null and blank texts have no pieces.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,12 +35,13 @@ from reviewflow.session import scratch_path
 
 WORD = r"[\p{L}\p{N}]+|[^\x00-\x20\p{L}\p{N}]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = str.maketrans(UPPER, UPPER.lower())
+# ``WORD`` for texts of ASCII alone, which need no character classes.
+ASCII_WORD = re.compile(r"[A-Za-z0-9]+|[^\x00-\x20A-Za-z0-9]")
 UNKNOWN = -1
 # Entries of a vocabulary: what the driver and every Python worker hold.
 MAX_ENTRIES = 1 << 20
 # Words whose pieces a worker remembers, and their longest; when it is full it starts anew.
-MEMO, MEMO_CHARS = 1 << 16, 64
+MEMO, MEMO_CHARS = 1 << 18, 64
 
 
 @dataclass
@@ -108,21 +111,18 @@ class Cutter:
         self.vocabulary.load()
         self._words, self._memo = regex.compile(WORD), _Memo(self.vocabulary.cut)
 
+    def words(self, text: str) -> list[str]:
+        if text.isascii():
+            return ASCII_WORD.findall(text.lower() if self.lower else text)
+        if self.lower:                                  # bytes.lower changes A-Z only
+            text = text.encode().lower().decode()
+        return self._words.findall(text)
+
     def pieces(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if self.lower:
-            text = text.translate(LOWER)
-        out, memo = [], self._memo
-        if self.limit is None:
-            for word in self._words.findall(text):
-                out += memo[word]
-            return out
-        for found in self._words.finditer(text):
-            if len(out) >= self.limit:
-                break
-            out += memo[found[0]]
-        return out[: self.limit]
+        words = self.words(text) if text else []
+        if self.limit is not None:                      # a word has one piece at least
+            words = words[: self.limit]
+        return list(chain.from_iterable(map(self._memo.__getitem__, words)))[: self.limit]
 
 
 def encode(text: str, vocabulary: Vocabulary, limit: int | None = None, lower: bool = True) -> Column:
@@ -152,13 +152,22 @@ class SubwordClassifier:
 
     def load(self) -> None:
         self.cutter.load()
+        self._of_word = _Memo(lambda word: self._weigh(self.cutter.vocabulary.cut(word)))
+
+    def _weigh(self, pieces: list[int]) -> list[int]:
+        ids = np.array(pieces, np.int64)
+        return self.weights[ids[ids != UNKNOWN]].sum(axis=0).tolist()
 
     def logits(self, texts: pd.Series) -> pd.Series:
         def one(text):
             if text is None or not text.strip():
                 return None
-            ids = np.array(self.cutter.pieces(text), np.int64)
-            return (self.prior + self.weights[ids[ids != UNKNOWN]].sum(axis=0)).astype(float).tolist()
+            if self.cutter.limit is not None:           # a word may be cut off in its middle
+                found = [self._weigh(self.cutter.pieces(text))]
+            else:                                       # what a word weighs is summed up once, as long as it is remembered
+                found = map(self._of_word.__getitem__, self.cutter.words(text))
+            flat = np.fromiter(chain.from_iterable(found), np.int64).reshape(-1, len(self.prior))
+            return (self.prior + flat.sum(axis=0)).astype(float).tolist()
         return texts.map(one)
 
 

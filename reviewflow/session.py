@@ -25,9 +25,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # pandas-UDF scorers receive whole review texts: 2,000 records per Arrow
-    # batch keeps a Python worker's batch to tens of MB even for long texts
+    # pandas-UDF scorers receive whole review texts: a batch is bounded in
+    # records and in bytes, which keeps a Python worker small for long texts
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.ui.enabled": "false",
 }
 

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 import regex
@@ -56,6 +57,9 @@ def cutter(**options):
     return c
 
 
+CUTTER = cutter()
+
+
 @pytest.mark.parametrize("limit", [None, 1, 3, 40])
 @pytest.mark.parametrize("lower", [True, False])
 def test_pieces_of_whole_texts(spark, limit, lower):
@@ -90,6 +94,23 @@ def test_empty_tables(spark):
     assert model.logits(pd.Series(["good", " "])).tolist() == [[0.0, 0.0], None]
 
 
+@given(st.text(alphabet="goOdnes!é日İ_\x7f\x00 -1²", max_size=40))
+def test_words_of_ascii_and_other_texts(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    assert CUTTER.words(text) == regex.findall(SW.WORD, lowered)
+
+
+@pytest.mark.parametrize("limit", [None, 1, 2, 5])
+def test_logits_sum_the_weights_of_the_pieces(limit):
+    weights = np.arange(24, dtype=np.int64).reshape(12, 2) ** 2
+    model = SW.SubwordClassifier(SW.Cutter(SMALL, limit), weights, np.array([3, 4]), {0: "a", 1: "b"})
+    model.load()
+    for text in filter(None, TEXTS):
+        ids = [p for p in plain_text(SMALL, text)[:limit] if p != SW.UNKNOWN]
+        want = [float(3 + sum(weights[p, 0] for p in ids)), float(4 + sum(weights[p, 1] for p in ids))]
+        assert model.logits(pd.Series([text]))[0] == (want if text.strip() else None)
+
+
 def test_training_against_plain_counts(spark):
     rows = [(0, "good good"), (1, "bad !"), (1, "goodness"), (None, "x"), (7, "go"), (0, ""), (2, None)]
     names = {0: "negative", 1: "neutral", 2: "positive"}
