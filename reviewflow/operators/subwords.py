@@ -152,11 +152,14 @@ class SubwordClassifier:
 
     def load(self) -> None:
         self.cutter.load()
+        # the last row, at UNKNOWN, weighs nothing
+        self._rows = [*map(tuple, self.weights.tolist()), (0,) * len(self.prior)]
         self._of_word = _Memo(lambda word: self._weigh(self.cutter.vocabulary.cut(word)))
 
-    def _weigh(self, pieces: list[int]) -> list[int]:
-        ids = np.array(pieces, np.int64)
-        return self.weights[ids[ids != UNKNOWN]].sum(axis=0).tolist()
+    def _weigh(self, pieces: list[int]) -> tuple:
+        if len(pieces) == 1:
+            return self._rows[pieces[0]]
+        return tuple(map(sum, zip(*map(self._rows.__getitem__, pieces)))) if pieces else self._rows[UNKNOWN]
 
     def logits(self, texts: pd.Series) -> pd.Series:
         def one(text):

@@ -68,5 +68,6 @@ def q_subword_labels(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     labels = D.table(spark, sf_dir, "labels").select("doc_id", F.expr(
         "CASE WHEN toxic = 1 THEN 0 WHEN quality = 1 THEN 2 WHEN quality = 0 THEN 1 END").alias("y"))
-    model = SW.train_subwords(docs.join(labels, "doc_id"), "text", "y", LABELS, SW.read_vocabulary(VOCABULARY))
+    # always by sort and merge: broadcast while the labels are few, the plan and its cost would change with the input
+    model = SW.train_subwords(docs.join(labels.hint("merge"), "doc_id"), "text", "y", LABELS, SW.read_vocabulary(VOCABULARY))
     return SE.label_text(docs, "text", model).select("doc_id", "sentiment")
