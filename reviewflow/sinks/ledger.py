@@ -167,11 +167,13 @@ class Ledger:
         return there.join(self.files(target).select("path", "length", "modified"), ["path", "length", "modified"], "left_anti")
 
     def take(self, files: DataFrame, target: str) -> str | None:
-        """Begin a load of ``files``: its id, or None where there are none."""
+        """Begin a load of ``files``: its id, or None where there are none.
+
+        A REBALANCE gathers the rows into few files; a ``coalesce(1)`` would run the listing and its anti-join in one task."""
         load_id = uuid.uuid4().hex
         seen = Observation()
         taken = files.select(F.lit(target).alias("target"), "path", "length", "modified", F.lit(load_id).alias("load_id"), F.lit(BEGUN).alias("state"))
-        taken.observe(seen, F.count(F.lit(1)).alias("n")).coalesce(1).write.mode("append").parquet(os.path.join(self.path, "files"))
+        taken.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(os.path.join(self.path, "files"))
         return load_id if seen.get["n"] else None
 
     def taken(self, load_id: str) -> list[str]:

@@ -120,6 +120,19 @@ def test_landed_files_are_loaded_once(spark, reviews, tmp_path):
     assert [(c["files"], c["read"], c["rejected"]) for c in counts] == [(2, 6, 0), (1, 5, 0), (1, 4, 0)]
 
 
+def test_files_are_taken_in_many_tasks(spark, tmp_path):
+    """The listing and its anti-join keep their tasks; the ledger's rows come to few files."""
+    from pyspark import TaskContext
+
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    task = F.udf(lambda _: str(TaskContext.get().taskAttemptId()))
+    files = spark.range(0, 40, 1, 8).select(task("id").alias("path"), F.col("id").alias("length"), F.current_timestamp().alias("modified"))
+    load = ledger.take(files, "t")
+    assert len(set(ledger.taken(load))) == 8 and ledger.files("t").count() == 40
+    assert ledger.files("t").select(F.col("_metadata.file_path")).distinct().count() < 8
+    assert ledger.take(files.where("false"), "t") is None and ledger.take(files.where("length < 0"), "t") is None
+
+
 @pytest.mark.parametrize("where", ["scan", "append", "record"])
 def test_a_lost_load_is_finished_with_just_its_files(spark, reviews, tmp_path, monkeypatch, where):
     """Files that came after the load began are a load of their own; nothing is lost or doubled."""
