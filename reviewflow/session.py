@@ -29,6 +29,10 @@ DEFAULT_CONF = {
     # records and in bytes, which keeps a Python worker small for long texts
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    # a landing has a folder a city: Spark lists folders in a task each, up to
+    # 10,000, and every task's result goes to the driver; fewer tasks list
+    # many folders each and send the driver little beside the files' names
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.ui.enabled": "false",
 }
 

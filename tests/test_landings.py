@@ -78,3 +78,18 @@ def test_changed_files_are_noticed(spark, tmp_path):
     with pytest.raises(op.ChangedLanding):
         op.read_as_of(spark, path, SCHEMA)
     assert "x" in names(op.read_as_of(spark, path, SCHEMA, verify=False))
+
+
+def test_a_listing_of_many_folders_takes_a_bounded_number_of_tasks(spark, tmp_path):
+    """Each task's result goes to the driver: a task a city would send it as much beside the files' names."""
+    path, sc = str(tmp_path), spark.sparkContext
+    many = spark.range(100).select(F.concat(F.lit("city-"), "id").alias("city_slug"), F.array(F.col("id").cast("string")).alias("data"))
+    op.land(many, path, "2024-01-01 00:00:00")
+    sc.setJobGroup("read-as-of", "")
+    try:
+        read = op.read_as_of(spark, path, SCHEMA)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("read-as-of") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert 32 < max(tasks) <= 64 and names(read) == sorted(str(n) for n in range(100))
