@@ -323,20 +323,28 @@ def apply_trained(model, df: DataFrame, id2label: dict, label_col: str = "sentim
 # ------------------------------------------------------- naive Bayes by counts
 
 MICRO = 1_000_000       # weights are whole millionths of a natural log, so sums are exact in any order
+HEAD_TOKENS, HEAD_LENGTH = 1 << 17, 64      # the most tokens of a model's head and their longest, so a task holds some 15 MB
 
 
 @dataclass
 class CountsModel:
-    """Naive Bayes by counts: a staged table (token, weight) of any size, and the weight every text has."""
+    """Naive Bayes by counts: a staged table (token, weight) of any size, and the weight every text has.
+
+    ``head`` holds the most frequent tokens, ``tail`` all others (None, None: not split)."""
 
     weights: DataFrame
     prior: int
+    head: DataFrame | None = None
+    tail: DataFrame | None = None
+
+
+def _words(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    return df.select(*keys, F.explode(tokens(text)).alias("token")).filter("token <> ''")
 
 
-def token_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def _counted(words: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, token, times): the tokens of each text, counted before they are shuffled by token."""
-    return (df.select(*keys, F.explode(tokens(text)).alias("token")).filter("token <> ''")
-            .groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("times")))
+    return words.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("times"))
 
 
 def train_counts(train: DataFrame, text: str, label: str) -> CountsModel:
@@ -345,7 +353,9 @@ def train_counts(train: DataFrame, text: str, label: str) -> CountsModel:
     ``label`` is 0/1 (NULL rows are left out), with add-one smoothing over the
     whole vocabulary; a weight is the log odds of class 1 in millionths.  The
     counts are staged as a table and never come to the driver; only their
-    three sums and the two class sizes do.
+    three sums, the two class sizes and how many tokens have about which
+    count do.  The head is the counts' upper end, as far as it has no more
+    than ``HEAD_TOKENS`` tokens.
     """
     spark = train.sparkSession
     known = train.filter(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), text)
@@ -359,19 +369,36 @@ def train_counts(train: DataFrame, text: str, label: str) -> CountsModel:
 
     def share(c):
         return F.log((F.col(c) + 1) / F.lit(float((total[c] or 0) + total["size"])))
-    weights = counts.select("token", F.round((share("p") - share("n")) * MICRO).cast("long").alias("weight"))
+    weight = F.round((share("p") - share("n")) * MICRO).cast("long").alias("weight")
+    # quarters of a power of two; tokens too long for the head come last
+    size = F.when(F.length("token") <= HEAD_LENGTH, F.floor(F.log2(F.col("p") + F.col("n")) * 4)).otherwise(F.lit(-1))
+    held, least = 0, None
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("tokens")).collect(), reverse=True):
+        held += r["tokens"]
+        if r["size"] < 0 or held > HEAD_TOKENS:
+            break
+        least = r["size"]
+    head, tail = (None, None) if least is None else (counts.where(c).select("token", weight) for c in (size >= least, size < least))
     prior = round((math.log((rows["p"] or 0) + 1) - math.log((rows["n"] or 0) + 1)) * MICRO)
-    return CountsModel(weights, prior)
+    return CountsModel(counts.select("token", weight), prior, head, tail)
 
 
 def apply_counts(model: CountsModel, df: DataFrame, key: str, text: str, id2label: dict, label_col: str = "sentiment") -> DataFrame:
     """Score with ``train_counts``: key, log_odds (millionths), label name; tokens the model lacks weigh nothing.
 
-    Each text sends one row per different token to the join; a token that a
-    large part of all texts have is split by AQE, as both sides may be large.
-    Every key has the prior, so texts without tokens are kept.
+    Most occurrences are of few tokens: those of the model's head are weighed
+    where the text is read and sent as one sum a text.  For all other tokens,
+    and for all where the session's broadcasts are off, each text sends one row
+    per different token to the join; a token that a large part of all texts
+    have is split by AQE, as both sides may be large.  Every key has the prior,
+    so texts without tokens are kept.
     """
-    weighed = token_counts(df, [key], text).join(model.weights, "token").select(key, (F.col("weight") * F.col("times")).alias("weight"))
+    words, far, near = _words(df, [key], text), model.weights, None
+    if model.head is not None and not df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        near = words.join(F.broadcast(model.head), "token").select(key, "weight")
+        words, far = words.join(F.broadcast(model.head.select("token")), "token", "left_anti"), model.tail
+    weighed = _counted(words, [key]).join(far, "token").select(key, (F.col("weight") * F.col("times")).alias("weight"))
+    weighed = weighed if near is None else weighed.union(near)
     every = df.select(key, F.lit(model.prior).cast("long").alias("weight"))
     out = weighed.union(every).groupBy(key).agg(F.sum("weight").alias("log_odds"))
     return out.withColumn(label_col, F.when(F.col("log_odds") > 0, F.lit(id2label[1])).otherwise(F.lit(id2label[0])))

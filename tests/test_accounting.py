@@ -209,6 +209,29 @@ def test_counts_model_weighs_every_token(spark):
     assert model.weights.count() > 7000
 
 
+@pytest.mark.parametrize("most", [0, 40, 1 << 17])
+def test_counts_model_weighs_frequent_tokens_where_texts_are_read(spark, monkeypatch, most):
+    """Only tokens out of the head are shuffled with their texts, and the sums are those of the plain code for any size of head."""
+    monkeypatch.setattr(SE, "HEAD_TOKENS", most)
+    rows = [(i, " ".join(chr(97 + i % 3) + "x" * (j * j % 83) for j in range(60)) + f" {'r' * (i + 1)} the the The", i % 2 if i % 5 else None) for i in range(60)]
+    rows += [(7, "the cxx repeated key", 1), (None, "the x", 1), (61, None, 0)]
+    df = spark.createDataFrame(rows, "id long, text string, y int").repartition(3)
+    model = SE.train_counts(df, "text", "y")
+    scored = SE.apply_counts(model, df, "id", "text", {0: "N", 1: "P"})
+    plain = _plain_naive_bayes([(i, *r[1:]) for i, r in enumerate(rows)])
+    wanted = {}
+    for i, r in enumerate(rows):
+        wanted[r[0]] = wanted.get(r[0], 0) + plain[i]
+    assert {r.id: r.log_odds for r in scored.collect()} == wanted
+    if not most:
+        assert model.head is None
+        return
+    head, tail = (sorted(r.token for r in x.collect()) for x in (model.head, model.tail))
+    assert "the" in head and len(head) <= most and max(map(len, head)) <= SE.HEAD_LENGTH < max(map(len, tail))
+    assert sorted(head + tail) == sorted(r.token for r in model.weights.collect())
+    assert "LeftAnti" in scored._jdf.queryExecution().executedPlan().toString()
+
+
 def test_counts_model_does_not_depend_on_a_broadcast(spark):
     """Both sides of the join may be large: with broadcasts off it is a sort-merge join, and the plan has no limit."""
     df = spark.createDataFrame([(1, "a b", 1), (2, "b c", 0)], "id long, text string, y int")
