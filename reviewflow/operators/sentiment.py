@@ -324,13 +324,14 @@ def apply_trained(model, df: DataFrame, id2label: dict, label_col: str = "sentim
 
 MICRO = 1_000_000       # weights are whole millionths of a natural log, so sums are exact in any order
 HEAD_TOKENS, HEAD_LENGTH = 1 << 17, 64      # the most tokens of a model's head and their longest, so a task holds some 15 MB
+HEAD_ROW = 18           # bytes a row of the staged head has at most beside its token's letters
 
 
 @dataclass
 class CountsModel:
     """Naive Bayes by counts: a staged table (token, weight) of any size, and the weight every text has.
 
-    ``head`` holds the most frequent tokens, ``tail`` all others (None, None: not split)."""
+    ``head``, staged on its own, holds the most frequent tokens, ``tail`` all others (None, None: not split)."""
 
     weights: DataFrame
     prior: int
@@ -338,6 +339,10 @@ class CountsModel:
     tail: DataFrame | None = None
 
 
+def _broadcast_limit(spark) -> int:
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def _words(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return df.select(*keys, F.explode(tokens(text)).alias("token")).filter("token <> ''")
 
@@ -355,7 +360,7 @@ def train_counts(train: DataFrame, text: str, label: str) -> CountsModel:
     counts are staged as a table and never come to the driver; only their
     three sums, the two class sizes and how many tokens have about which
     count do.  The head is the counts' upper end, as far as it has no more
-    than ``HEAD_TOKENS`` tokens.
+    than ``HEAD_TOKENS`` tokens and Spark broadcasts a table of that size.
     """
     spark = train.sparkSession
     known = train.filter(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), text)
@@ -372,13 +377,17 @@ def train_counts(train: DataFrame, text: str, label: str) -> CountsModel:
     weight = F.round((share("p") - share("n")) * MICRO).cast("long").alias("weight")
     # quarters of a power of two; tokens too long for the head come last
     size = F.when(F.length("token") <= HEAD_LENGTH, F.floor(F.log2(F.col("p") + F.col("n")) * 4)).otherwise(F.lit(-1))
-    held, least = 0, None
-    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("tokens")).collect(), reverse=True):
-        held += r["tokens"]
-        if r["size"] < 0 or held > HEAD_TOKENS:
+    tokens_held, bytes_held, least = 0, 0, None
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("token") + HEAD_ROW).alias("bytes")).collect(), reverse=True):
+        tokens_held, bytes_held = tokens_held + r["n"], bytes_held + r["bytes"]
+        if r["size"] < 0 or tokens_held > HEAD_TOKENS or bytes_held > _broadcast_limit(spark):
             break
         least = r["size"]
-    head, tail = (None, None) if least is None else (counts.where(c).select("token", weight) for c in (size >= least, size < least))
+    head = tail = None
+    if least is not None:
+        head, path = counts.where(size >= least).select("token", weight), scratch_path(spark, "token-head")
+        head.hint("rebalance").write.parquet(path)
+        head, tail = spark.read.schema(head.schema).parquet(path), counts.where(size < least).select("token", weight)
     prior = round((math.log((rows["p"] or 0) + 1) - math.log((rows["n"] or 0) + 1)) * MICRO)
     return CountsModel(counts.select("token", weight), prior, head, tail)
 
@@ -388,15 +397,15 @@ def apply_counts(model: CountsModel, df: DataFrame, key: str, text: str, id2labe
 
     Most occurrences are of few tokens: those of the model's head are weighed
     where the text is read and sent as one sum a text.  For all other tokens,
-    and for all where the session's broadcasts are off, each text sends one row
-    per different token to the join; a token that a large part of all texts
-    have is split by AQE, as both sides may be large.  Every key has the prior,
-    so texts without tokens are kept.
+    and for all where the session does not broadcast a table of the head's size,
+    each text sends one row per different token to the join; a token that a
+    large part of all texts have is split by AQE, as both sides may be large.
+    Every key has the prior, so texts without tokens are kept.
     """
     words, far, near = _words(df, [key], text), model.weights, None
-    if model.head is not None and not df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
-        near = words.join(F.broadcast(model.head), "token").select(key, "weight")
-        words, far = words.join(F.broadcast(model.head.select("token")), "token", "left_anti"), model.tail
+    if model.head is not None and int(str(model.head._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= _broadcast_limit(df.sparkSession):
+        near = words.join(model.head, "token").select(key, "weight")
+        words, far = words.join(model.head.select("token"), "token", "left_anti"), model.tail
     weighed = _counted(words, [key]).join(far, "token").select(key, (F.col("weight") * F.col("times")).alias("weight"))
     weighed = weighed if near is None else weighed.union(near)
     every = df.select(key, F.lit(model.prior).cast("long").alias("weight"))

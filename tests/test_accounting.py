@@ -229,7 +229,15 @@ def test_counts_model_weighs_frequent_tokens_where_texts_are_read(spark, monkeyp
     head, tail = (sorted(r.token for r in x.collect()) for x in (model.head, model.tail))
     assert "the" in head and len(head) <= most and max(map(len, head)) <= SE.HEAD_LENGTH < max(map(len, tail))
     assert sorted(head + tail) == sorted(r.token for r in model.weights.collect())
-    assert "LeftAnti" in scored._jdf.queryExecution().executedPlan().toString()
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("BroadcastHashJoin") >= 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")      # less than the head: all tokens go to the join of two large sides
+    try:
+        again = SE.apply_counts(model, df, "id", "text", {0: "N", 1: "P"})
+        assert "LeftAnti" not in again._jdf.queryExecution().executedPlan().toString()
+        assert {r.id: r.log_odds for r in again.collect()} == wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_counts_model_does_not_depend_on_a_broadcast(spark):
