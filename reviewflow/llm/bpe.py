@@ -16,11 +16,13 @@ of any length take memory in proportion to their bytes.
 from __future__ import annotations
 
 import base64
+import re
 from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +35,9 @@ PAIRS_KEPT = 1_000_000
 NEVER = 1 << 60
 SHORT = 64                  # characters or bytes
 BRIEF = 24                  # bytes of a piece up to which the prefix program runs for many pieces at once
-STORED = 4 << 20            # token ids that the store of stretches holds, at most, before it starts anew
+STORED = 4 << 20            # token ids that the store of pieces holds, at most, before it makes room
 LONG_TEXT = 1 << 20         # beyond it pieces are walked one by one, not listed
+BEHIND = re.compile(r"(?<=\S) ")       # a space behind a character that is no white space
 
 
 class Vocabulary:
@@ -43,6 +46,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
+        self.by_place, self.places = pa.array(ranks, pa.binary()), np.fromiter(ranks.values(), np.int32, len(ranks))
         self.longest = max(map(len, ranks), default=1)
         self.matcher = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -360,77 +364,144 @@ class Tokenizer:
             return list(self._matches(text))
         return [*self._matches(first), *between, *self._matches(" " + end)]
 
-    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ends): the encodings of many texts one behind the other, and where each begins and the last one ends.
-
-        Different stretches between spaces are encoded once, all new ones of the batch together, and kept by number;
-        a text is then a list of numbers, from which the ids are gathered."""
+    def encode_batch(self, texts: pa.Array) -> pa.ListArray:
+        """The encodings of many texts.  The last batch's are kept: where a query asks for the ids and for what follows from
+        them, Spark has one worker run this twice over each batch."""
+        if self.batch is None or not self.batch[0].equals(texts):
+            self.batch = None
+            self.batch = texts, self._batch(texts.fill_null(""))
+        return self.batch[1]
+
+    def _batch(self, texts: pa.Array) -> pa.ListArray:
+        """Different stretches between spaces are cut once a batch, and their pieces encoded once, all new ones together,
+        and kept by number; a text is then a list of numbers, from which the ids are gathered."""
         if not self.cut:
-            return self._listed([list(self._matches(x)) for x in texts])
-        if len(self.numbers) > PIECES_KEPT or len(self.ids) > STORED:
-            self._forget()
-        cuts = [x.split(" ") if " " in x else None for x in texts]
-        seen = set()
-        for c in filter(None, cuts):
-            seen.update(c[1:-1])
-        self._learn([w for w in seen if w not in self.numbers])
-        number, own, base, parts, sizes = self.numbers.__getitem__, [], len(self.start), [], []
-        for x, c in zip(texts, cuts):
-            middle = None
-            if c and not c[0][-1:].isspace():
-                middle = np.fromiter(map(number, c[1:-1]), np.int64, len(c) - 2)
-            if middle is None or (middle < 0).any():
-                own.append(self._matches(x))
-                parts.append(np.array([base + len(own) - 1]))
-            else:
-                own += [self._matches(c[0]), self._matches(" " + c[-1])]
-                parts.append(np.concatenate([[base + len(own) - 2], middle, [base + len(own) - 1]]))
-        extra, ends = self._listed(own)
-        start, length = np.concatenate([self.start, ends[:-1] + len(self.ids)]), np.concatenate([self.length, np.diff(ends)])
-        index = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        sizes = np.array([len(p) for p in parts], np.int64)
-        words = np.concatenate([[0], np.cumsum(length[index])])
-        return (strung(index, start, length, np.concatenate([self.ids, extra])),
-                words[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)])
+            ids, ends = self._listed([self._matches(x) for x in texts.to_pylist()])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+        parts, ends = self._parts(texts)
+        first, last = ends[:-1], ends[1:] - 1
+        several = last > first
+        between = np.ones(len(parts), bool)
+        between[first] = between[last] = False
+        coded = parts.dictionary_encode()
+        number, asked = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), bool)
+        asked[number[between]] = True
+        ids, length = self._stretches(coded.dictionary.filter(pa.array(asked)))
+        known = len(length)
+        own, own_ends = self._listed([self._matches(x) for x in parts.take(pa.array(first)).to_pylist()]
+                                     + [self._matches(" " + x) for x in parts.take(pa.array(last[several])).to_pylist()])
+        number = (np.cumsum(asked) - 1)[number]
+        number[first] = known + np.arange(len(first))
+        number[last[several]] = known + len(first) + np.arange(several.sum())
+        starts = np.concatenate([[0], np.cumsum(length), own_ends[1:] + len(ids)])
+        encoded = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate([ids, own])))
+        every = encoded.take(pa.array(number))
+        return pa.ListArray.from_arrays(pa.array(every.offsets.to_numpy()[ends]), every.values)
+
+    @staticmethod
+    def _parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The texts cut at spaces, and where the parts of each begin and those of the last one end.  Where a space is cut
+        that does not stand behind a character which is no white space, the text is cut anew, only at those that do."""
+        cuts = pc.split_pattern(texts, " ")
+        parts, ends = cuts.flatten(), cuts.offsets.to_numpy()
+        empty = pc.equal(parts, "").to_numpy(zero_copy_only=False)
+        loose = empty | pc.utf8_is_space(pc.utf8_slice_codeunits(parts, -1)).to_numpy(zero_copy_only=False)
+        loose[ends[:-1]] &= ~empty[ends[:-1]]
+        loose[ends[1:] - 1] = False
+        if not loose.any():
+            return parts, ends
+        uneven = np.zeros(len(texts), bool)
+        uneven[np.searchsorted(ends, np.flatnonzero(loose), "right") - 1] = True
+        anew = pa.array(map(BEHIND.split, texts.filter(pa.array(uneven)).to_pylist()), pa.list_(texts.type))
+        order = np.empty(len(texts), np.int64)
+        order[np.concatenate([np.flatnonzero(~uneven), np.flatnonzero(uneven)])] = np.arange(len(texts))
+        cuts = pa.concat_arrays([cuts.filter(pa.array(~uneven)).cast(anew.type), anew]).take(pa.array(order))
+        return cuts.flatten(), cuts.offsets.to_numpy()
 
     def _forget(self) -> None:
-        self.numbers, self.start, self.length, self.ids = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.known, self.start, self.length = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used, self.batch = np.zeros(0, np.int32), np.zeros(0, bool), None
+
+    def _make_room(self) -> None:
+        """When the store of pieces is full, those of the last batch stay, if they leave half of it free."""
+        if len(self.known) <= PIECES_KEPT and len(self.ids) <= STORED:
+            return
+        stay, length = np.flatnonzero(self.used), self.length[self.used]
+        if 2 * len(stay) > PIECES_KEPT or 2 * length.sum() > STORED:
+            self._forget()
+            return
+        self.ids = strung(stay, self.start, self.length, self.ids)
+        self.known, self.start, self.length = self.known.take(pa.array(stay)), np.cumsum(length) - length, length
 
     @staticmethod
     def _listed(encodings) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum([0, *map(len, encodings)]).astype(np.int64)
         return np.fromiter(chain.from_iterable(encodings), np.int32, int(ends[-1])), ends
 
-    def _learn(self, stretches: list[str]) -> None:
-        """Number new stretches and store their ids; -1 for one that is empty or ends with white space."""
-        fit = [w for w in stretches if w and not w[-1].isspace()]
-        if len(fit) < len(stretches):
-            self.numbers.update((w, -1) for w in stretches if not w or w[-1].isspace())
-        if not fit:
-            return
-        pieces = self.pattern.findall(" " + " ".join(fit))
-        order = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
-        data = [p.encode("utf-8") for p in order]
-        brief = [k for k, d in enumerate(data) if len(d) <= BRIEF and d not in self.vocabulary.ranks]
-        ids, length = self.together.encode([data[k] for k in brief])
-        rest = set(range(len(data))).difference(brief)
-        others, ends = self._listed([self._piece(p) for k, p in enumerate(order) if k in rest])
-        size, begin = np.zeros(len(data), np.int64), np.zeros(len(data), np.int64)
-        rest = sorted(rest)
-        size[brief], begin[brief] = length, np.cumsum(length) - length
-        size[rest], begin[rest] = np.diff(ends), ends[:-1] + len(ids)
-        index = np.fromiter(map(order.__getitem__, pieces), np.int64, len(pieces))
-        # a stretch holds no space, so its first piece is the one that starts with the space before it
-        first = np.flatnonzero(np.fromiter((p[0] == " " for p in pieces), bool, len(pieces)))
-        length = np.add.reduceat(size[index], first)
-        self.numbers.update(zip(fit, range(len(self.start), len(self.start) + len(fit))))
+    def _stretches(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of different stretches that stand behind a space and do not end with white space."""
+        self._make_room()
+        self.used = np.zeros(len(self.known), bool)
+        size = pc.utf8_length(stretches).to_numpy() + np.int64(1)
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // LONG_TEXT)) + 1          # some LONG_TEXT characters at once
+        found = [self._some(stretches[a:b], size[a:b]) for a, b in zip([0, *cuts], [*cuts, len(stretches)]) if b > a]
+        return (np.concatenate([np.zeros(0, np.int32), *[ids for ids, _ in found]]),
+                np.concatenate([np.zeros(0, np.int64), *[length for _, length in found]]))
+
+    def _some(self, stretches: pa.Array, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if size.max() > LONG_TEXT:
+            ids, ends = self._listed([self._matches(" " + x) for x in stretches.to_pylist()])
+            return ids, np.diff(ends)
+        pieces = pa.array(self.pattern.findall(" " + " ".join(stretches.to_pylist())), pa.string()).dictionary_encode()
+        place = pc.index_in(pieces.dictionary, value_set=self.known)
+        new, at = place.is_null(), place.fill_null(0).to_numpy().astype(np.int64)
+        fresh, old = new.to_numpy(zero_copy_only=False), len(self.known)
+        at[fresh] = old + np.arange(fresh.sum())
+        self._learn(pieces.dictionary.filter(new))
+        self.used = np.concatenate([self.used, np.ones(len(self.known) - old, bool)])
+        self.used[at] = True
+        # pieces leave nothing out, so the first one of a stretch begins with the space before it
+        index = pieces.indices.to_numpy()
+        ends = np.cumsum(pc.utf8_length(pieces.dictionary).to_numpy()[index], dtype=np.int64)
+        first = np.searchsorted(ends, np.cumsum(size) - size, "right")
+        index = at[index]
+        return strung(index, self.start, self.length, self.ids), np.add.reduceat(self.length[index], first)
+
+    def _learn(self, pieces: pa.Array) -> None:
+        """Number new pieces and store their ids."""
+        data = pieces.cast(pa.binary())
+        whole = pc.index_in(data, value_set=self.vocabulary.by_place)
+        token = whole.is_valid().to_numpy(zero_copy_only=False)
+        brief = ~token & (pc.binary_length(data).to_numpy() <= BRIEF)
+        rest = ~token & ~brief
+        some, some_length = self.together.encode(data.filter(pa.array(brief)).to_pylist())
+        others, ends = self._listed([self._piece(p) for p in pieces.filter(pa.array(rest)).to_pylist()])
+        length = np.ones(len(pieces), np.int64)
+        length[brief], length[rest] = some_length, np.diff(ends)
+        begin = np.empty(len(pieces), np.int64)
+        begin[token] = np.arange(token.sum())
+        begin[brief] = token.sum() + np.cumsum(some_length) - some_length
+        begin[rest] = token.sum() + len(some) + ends[:-1]
+        ids = np.concatenate([self.vocabulary.places[whole.drop_null().to_numpy()], some, others])
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.ids = np.concatenate([self.ids, strung(index, begin, size, np.concatenate([ids, others]))])
+        self.ids = np.concatenate([self.ids, strung(np.arange(len(pieces)), begin, length, ids)])
+        self.known = pa.concat_arrays([self.known, pieces])
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
+    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of many texts: those of all tokens one behind the other, cut where a text ends."""
+        ends = np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()])
+        place = pc.index_in(ids.flatten(), value_set=pa.array(self.vocabulary.places))
+        if place.null_count:
+            raise ValueError("an id has no token")
+        data = self.vocabulary.by_place.take(place)
+        cut = data.buffers()[1], data.buffers()[2]
+        starts = np.frombuffer(cut[0], np.int32, len(data) + 1)[ends] if len(data) else np.zeros(len(ends), np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(starts), cut[1]])
+
 
 class EditableText:
     """A text whose encoding follows appends and edits: pieces before the change and pieces behind it, once the
@@ -497,8 +568,7 @@ class Coder:
 
         @F.arrow_udf("array<int>")
         def encoded(texts: pa.Array) -> pa.Array:
-            ids, ends = _tokenizer(key, data).encode_all([x or "" for x in texts.to_pylist()])
-            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+            return _tokenizer(key, data).encode_batch(texts)
 
         return docs.withColumn(into, encoded(whole_text(text_col)))
 
@@ -507,8 +577,6 @@ class Coder:
 
         @F.arrow_udf("binary")
         def decoded(ids: pa.Array) -> pa.Array:
-            t, flat = _tokenizer(key, data), ids.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()])
-            return pa.array((t.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])), pa.binary())
+            return _tokenizer(key, data).decode_batch(ids)
 
         return frame.withColumn(into, decoded(F.col(ids_col)))

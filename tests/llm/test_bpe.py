@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -91,3 +92,71 @@ def test_which_tokens_may_touch_is_what_merging_their_bytes_gives():
     pairs = [(r.choice(whole), r.choice(short)) for _ in range(20_000)]
     pairs += [(a, b) for a in whole[:60] for b in whole[200:400]]
     assert all(v.follows(a, b) == (v.merged(v.tokens[a] + v.tokens[b]) == [a, b]) for a, b in pairs)
+
+
+def same_batch(tokenizer, texts):
+    got = tokenizer.encode_batch(pa.array(texts, pa.string()))
+    assert got.to_pylist() == [THEIRS.encode_ordinary(x or "") for x in texts]
+    assert tokenizer.decode_batch(got).to_pylist() == [(x or "").encode() for x in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), ODD, st.text(st.sampled_from("a  \n\x1c\x85é"), max_size=9)), max_size=8))
+def test_batches_give_the_ids_of_the_library(texts):
+    same_batch(OURS, texts)
+
+
+def test_batches_of_uneven_long_and_sliced_texts():
+    texts = ["", None, " ", "  a", "a  b", "a \n b c", "if x:\n    return  y \n", "a" * 40 + " " + "漢" * 30 + " x" * 9, "\0 a\0b \0"]
+    for at in range(len(texts)):
+        same_batch(OURS, texts[at:] + texts[:at])
+    whole = pa.array(texts, pa.string())
+    got = OURS.encode_batch(whole.slice(3, 4))
+    assert got.to_pylist() == [THEIRS.encode_ordinary(x) for x in texts[3:7]]
+    assert OURS.decode_batch(got.slice(1, 2)).to_pylist() == [x.encode() for x in texts[4:6]]
+    assert OURS.decode_batch(pa.array([None, []], pa.list_(pa.int32()))).to_pylist() == [b"", b""]
+
+
+def test_full_stores_give_the_same(monkeypatch):
+    r, t = random.Random(5), op.Tokenizer(RANKS, PATTERN)
+    words = ["".join(r.choice("thaneoringed,.") for _ in range(r.randint(1, 30))) for _ in range(300)]
+    monkeypatch.setattr(op, "LONG_TEXT", 25)
+    for kept, stored in [(60, 1 << 20), (1 << 20, 150), (200, 1 << 20), (0, 0)]:
+        monkeypatch.setattr(op, "PIECES_KEPT", kept)
+        monkeypatch.setattr(op, "STORED", stored)
+        for _ in range(8):
+            same_batch(t, [" ".join(r.choices(words, k=12)) for _ in range(r.choice([1, 3, 30]))])
+
+
+def test_a_batch_that_comes_twice_is_encoded_once(monkeypatch):
+    t, runs = op.Tokenizer(RANKS, PATTERN), []
+    work = t._batch
+    monkeypatch.setattr(t, "_batch", lambda texts: runs.append(len(texts)) or work(texts))
+    first, other = ["the one and", None, "other"], ["the one and", "", "others"]
+    for texts in (first, first, other, other, first):
+        same_batch(t, texts)
+    assert runs == [3, 3, 3]
+
+
+def test_the_query_encodes_each_batch_once(spark, docs, tmp_path):
+    coder = op.Coder(spark, PATH, PATTERN + "|(?!)")      # a tokenizer of its own, so that no other test has the watched one
+    key, data, log = coder.key, coder.data, str(tmp_path / "runs")
+
+    @op.F.arrow_udf("long")
+    def watched(x: pa.Array) -> pa.Array:
+        tokenizer = op._tokenizer(key, data)
+        if "_batch" not in vars(tokenizer):
+            work = tokenizer._batch
+
+            def noted(texts):
+                with open(log, "a") as f:
+                    f.write("x")
+                return work(texts)
+            tokenizer._batch = noted
+        return x
+
+    df = docs([(k, f"text {k} of the batch") for k in range(20)]).coalesce(1).withColumn("doc_id", watched("doc_id"))
+    coded = coder.decode(coder.encode(df))
+    got = coded.select("doc_id", op.F.size("ids").alias("n"), "decoded").collect()
+    assert {r.doc_id: bytes(r.decoded) for r in got} == {k: f"text {k} of the batch".encode() for k in range(20)}
+    assert open(log).read() == "x"
